@@ -95,26 +95,34 @@ def default_rate(loans: DataFrame, by: list[str], weight: str = "principal") ->
     return loans.groupBy(*by).agg(F.count(F.lit(1)).alias("loan_count"), rate.alias("default_rate_pct"))
 
 
-def loan_balances_daily(loans: DataFrame, p: Params) -> DataFrame:
+def loan_balances_daily(loans: DataFrame, p: Params, partitions: int | None = None) -> DataFrame:
     """Loan x day from disbursement to as_of, with the balance estimated for that day.
 
-    The day rows are produced inside each loan's own task: no shuffle, however long the range.
+    A loan becomes thousands of rows, so the narrow loan rows are first spread over a fixed
+    number of tasks (size-based coalescing would not foresee the growth). The balance changes
+    only with the month: it is worked out per loan and month and copied to the days.
     """
-    day = F.col("balance_date")
-    days = F.sequence("disbursement_date", lit_date(p.as_of_date))
-    started = loans.filter(F.col("disbursement_date") <= lit_date(p.as_of_date))
-    paid = least_strict(
-        months_between_boundaries(F.col("disbursement_date"), day),
-        tenure_months(F.col("loan_amount"), F.col("emi_amount")),
-    )
-    return started.select(
-        "loan_sk", "loan_id", "loan_type", "customer_id", "loan_amount", "emi_amount",
-        "disbursement_date", F.explode(days).alias("balance_date"),
-    ).select(
-        "loan_sk", "loan_id", "loan_type", "customer_id", "balance_date",
-        month_start(day).alias("balance_month"),
-        outstanding(F.col("loan_amount"), F.col("emi_amount"), paid).alias("outstanding_balance"),
+    if partitions is None:
+        partitions = int(loans.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    as_of = lit_date(p.as_of_date)
+    amount, emi, start = F.col("loan_amount"), F.col("emi_amount"), F.col("disbursement_date")
+    months = F.sequence(month_start(start), month_start(as_of), F.expr("interval 1 month"))
+    ids = ["loan_sk", "loan_id", "loan_type", "customer_id"]
+    per_month = (
+        loans.filter(start <= as_of)
+        .select(*ids, "loan_amount", "emi_amount", "disbursement_date", tenure_months(amount, emi).alias("_tenure"))
+        .repartition(partitions, "loan_sk")
+        .withColumn("balance_month", F.explode(months))
     )
+    paid = least_strict(months_between_boundaries(start, F.col("balance_month")), F.col("_tenure"))
+    first = F.greatest(start, F.col("balance_month"))
+    last = F.least(as_of, F.last_day("balance_month"))
+    return per_month.select(
+        *ids,
+        "balance_month",
+        outstanding(amount, emi, paid).alias("outstanding_balance"),
+        F.sequence(first, last).alias("_days"),
+    ).select(*ids, F.explode("_days").alias("balance_date"), "balance_month", "outstanding_balance")
 
 
 def vintage(loans: DataFrame) -> DataFrame:
