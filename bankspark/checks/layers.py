@@ -22,9 +22,9 @@ from bankspark.sources.files import land
 # --- sources --------------------------------------------------------------------------------
 
 
-@query("source_scan", "SELECT * FROM nation")
+@query("source_scan", "SELECT * FROM orders")
 def _(b: Bank):
-    return b.table("nation")
+    return b.table("orders")
 
 
 @query("land_audit", """

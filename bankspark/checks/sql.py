@@ -379,7 +379,7 @@ CTES["query_log"] = f"""
   SELECT 'user_' || CAST(user_id AS VARCHAR) AS user_name,
     {pick(('FIN_ADMIN', 'DBT_TRANSFORMER', 'BI_READER'), 'user_id % 3')} AS role_name,
     'create table t as select 1 ' || CASE WHEN event_id % 3 = 0 THEN 'insert into' ELSE 'INSERT  INTO' END
-      || ' MART_' || CAST(event_id % 7 AS VARCHAR) || ' values' AS query_text,
+      || ' MART_' || CAST(event_id % 5 AS VARCHAR) || ' values' AS query_text,
     CASE WHEN event_id % 5 = 0 THEN 'OTHER' ELSE 'BANK' END AS database_name,
     'SCHEMA_' || CAST(event_id % 4 AS VARCHAR) AS schema_name,
     {pick(('SELECT', 'CREATE_TABLE_AS_SELECT', 'MERGE', 'UPDATE', 'DELETE', 'INSERT', 'GRANT'), 'event_id % 7')} AS query_type,

@@ -218,7 +218,7 @@ def query_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         f"{_pick(('FIN_ADMIN', 'DBT_TRANSFORMER', 'BI_READER'), 'user_id % 3')} as role_name",
         "concat('create table t as select 1 ',"
         " if(event_id % 3 = 0, 'insert into', 'INSERT  INTO'),"
-        " ' MART_', cast(event_id % 7 as string), ' values') as query_text",
+        " ' MART_', cast(event_id % 5 as string), ' values') as query_text",
         f"{_pick(('BANK', 'OTHER'), 'if(event_id % 5 = 0, 1, 0)')} as database_name",
         "concat('SCHEMA_', cast(event_id % 4 as string)) as schema_name",
         f"{_pick(('SELECT', 'CREATE_TABLE_AS_SELECT', 'MERGE', 'UPDATE', 'DELETE', 'INSERT', 'GRANT'), 'event_id % 7')}"
