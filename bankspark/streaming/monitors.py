@@ -56,7 +56,7 @@ def rapid_fire_stream(
         if state.hasTimedOut:
             state.remove()
             return
-        bucket = group[1]
+        bucket = int(group[1])
         old_us, old_n = (np.array(v, dtype=np.int64) for v in state.get) if state.exists else (
             np.empty(0, np.int64), np.empty(0, np.int64),
         )
@@ -73,7 +73,7 @@ def rapid_fire_stream(
 
         state.update((us.tolist(), n.tolist()))
         bucket_end_ms = (bucket + 1) * width_us // 1000
-        state.setTimeoutTimestamp(max(bucket_end_ms, state.getCurrentWatermarkMs() + 1))
+        state.setTimeoutTimestamp(max(bucket_end_ms, int(state.getCurrentWatermarkMs()) + 1))
         if emit.any():
             yield pd.DataFrame(
                 {
