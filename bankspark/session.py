@@ -37,6 +37,7 @@ def local_session(cpus: int | str = 8, app: str = "bankspark", **conf: str) -> S
         SparkSession.builder.master(f"local[{cpus}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.shuffle.partitions", str(cpus))
     )

@@ -11,6 +11,7 @@ from pyspark.errors import AnalysisException
 
 from bankspark.functions.dates import lit_ts
 from bankspark.operators.changes import merge_by_key, sync_columns
+from bankspark.operators.history import snapshot_check, start_history
 from bankspark.schemas import DELETED, SYNCED
 from bankspark.session import work_dir
 
@@ -126,15 +127,27 @@ def rewrite_partitions(
         "partitionOverwriteMode", "dynamic"
     ).partitionBy(PART).parquet(path)
     for part in sorted(set(touched) - kept):
-        _drop_partition(spark, path, part)
+        # A partition whose last row left has nothing that would overwrite it.
+        discard(spark, os.path.join(path, f"{PART}={part}"))
+    discard(spark, staged)
 
 
-def _drop_partition(spark: SparkSession, path: str, part: str) -> None:
-    """Remove the folder of a partition that has no rows any more."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(os.path.join(path, f"{PART}={part}"))
+def discard(spark: SparkSession, path: str) -> None:
+    """Remove a folder this library wrote, on whatever file system it is."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+def replace_table(df: DataFrame, path: str) -> DataFrame:
+    """Overwrite a table with rows that may be read from it, by way of a staged copy."""
+    spark = df.sparkSession
+    staged = work_dir(spark, "replace")
+    df.write.parquet(staged)
+    spark.read.schema(df.schema).parquet(staged).write.mode("overwrite").parquet(path)
+    discard(spark, staged)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def merge_into_table(
     spark: SparkSession, path: str, updates: DataFrame, key: str, date_col: str,
     grain: str = "month",
@@ -150,6 +163,37 @@ def merge_into_table(
         spark, path, date_col, key, grain, updates, updates,
         lambda old, new: merge_by_key(old, new, key),
     )
+    discard(spark, staged)
+
+
+def advance_snapshot(
+    spark: SparkSession, path: str, current: DataFrame, key: str, check_cols: Sequence[str],
+    run_ts: datetime, invalidate_hard_deletes: bool = True,
+) -> DataFrame:
+    """One run of a type-2 snapshot kept as an `open` table and a `closed` folder per run.
+
+    Only the open versions are read and rewritten, so the cost of a run does not grow with the
+    history. Repeating a run after a failure overwrites what it had written.
+    """
+    open_path = os.path.join(path, "open")
+    closed_path = os.path.join(path, "closed", f"r{run_ts:%Y%m%d%H%M%S}")
+    opened = read_if_exists(spark, open_path)
+    if opened is None:
+        return replace_table(start_history(current, run_ts), open_path)
+    staged = work_dir(spark, "snapshot")
+    snapshot_check(opened, current, key, check_cols, run_ts, invalidate_hard_deletes).write.parquet(staged)
+    versions = spark.read.parquet(staged)
+    versions.filter(F.col("valid_to").isNotNull()).write.mode("overwrite").parquet(closed_path)
+    versions.filter(F.col("valid_to").isNull()).write.mode("overwrite").parquet(open_path)
+    discard(spark, staged)
+    return read_snapshot(spark, path)
+
+
+def read_snapshot(spark: SparkSession, path: str) -> DataFrame:
+    """All versions, open and closed."""
+    opened = spark.read.parquet(os.path.join(path, "open"))
+    closed = read_if_exists(spark, os.path.join(path, "closed", "*"))
+    return opened if closed is None else opened.unionByName(closed)
 
 
 def read_clustered(spark: SparkSession, path: str, cols: Sequence[str] | None = None) -> DataFrame:

@@ -18,7 +18,7 @@ from bankspark.plans.staging import cleanse_transactions
 from bankspark.schemas import DELETED
 from bankspark.session import work_dir
 from bankspark.sources.sinks import (
-    append_log, read_clustered, read_if_exists, rewrite_partitions, write_clustered,
+    append_log, discard, read_clustered, read_if_exists, rewrite_partitions, write_clustered,
 )
 
 KEY, DAY = "transaction_sk", "transaction_date"
@@ -50,12 +50,9 @@ def changes_per_key(records: DataFrame) -> DataFrame:
 
 
 def merge_batch(
-    spark: SparkSession, records: DataFrame, sink: str, now: Column, grain: str = "month"
-) -> DataFrame:
-    """Merge one batch of change records into the sink; returns the batch's changes."""
-    staged = work_dir(spark, "changes")
-    changes_per_key(records).write.parquet(staged)
-    changes = spark.read.parquet(staged)
+    spark: SparkSession, changes: DataFrame, sink: str, now: Column, grain: str = "month"
+) -> None:
+    """Merge one batch of prepared changes into the sink."""
     target = read_if_exists(spark, sink)
     if target is None:
         inserts = changes.filter(F.col("cdc_operation") == "INSERT").withColumn("ingested_at", now)
@@ -67,19 +64,23 @@ def merge_batch(
             incoming=changes.filter(F.col("cdc_operation") == "INSERT"),
             merge=lambda old, _: apply_changes(old, changes, KEY, now),
         )
-    return changes
 
 
 def flag_batch(
     spark: SparkSession, changes: DataFrame, sink: str, log: str, p: Params, now: Column
 ) -> None:
-    """Flag the sink rows of the batch's keys; rows it deleted or ignored are not there."""
-    stored = read_if_exists(spark, sink)
-    if stored is None:
+    """Flag the sink rows of the batch's keys; rows it deleted or ignored are not there.
+
+    The log is first cut down to the batch's keys, so that it is never shuffled as a whole.
+    """
+    if read_if_exists(spark, sink) is None:
         return
     applied = changes.filter(F.col("cdc_operation") != "DELETE").select(KEY)
     rows = read_clustered(spark, sink).join(applied, KEY, "left_semi")
-    append_log(flag_suspicious(rows, read_if_exists(spark, log), p, now), log)
+    logged = read_if_exists(spark, log)
+    if logged is not None:
+        logged = logged.select(KEY).join(applied, KEY, "left_semi")
+    append_log(flag_suspicious(rows, logged, p, now), log)
 
 
 def start_cdc(
@@ -94,8 +95,12 @@ def start_cdc(
         if batch.isEmpty():
             return
         spark = batch.sparkSession
-        changes = merge_batch(spark, batch, sink, stamp, grain)
+        staged = work_dir(spark, "changes")
+        changes_per_key(batch).write.parquet(staged)
+        changes = spark.read.parquet(staged)
+        merge_batch(spark, changes, sink, stamp, grain)
         flag_batch(spark, changes, sink, log, p, stamp)
+        discard(spark, staged)
 
     writer = records.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
     if available_now:

@@ -27,7 +27,7 @@ def dedup_within_watermark(df: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def rapid_fire_stream(
-    df: DataFrame, key: str, ts: str, minutes: int = 60, bucket_windows: int = 1
+    df: DataFrame, key: str, ts: str, minutes: int = 60, bucket_windows: int = 6
 ) -> DataFrame:
     """(key, ts, txn_count) for each instant whose 60-minute count is new or has grown.
 
