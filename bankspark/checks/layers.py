@@ -6,6 +6,7 @@ from datetime import datetime
 
 from pyspark.sql import functions as F
 
+from bankspark import schemas
 from bankspark.checks.context import RUN2, Bank, query
 from bankspark.checks.sql import AS_OF, REVENUE, T1, T2, cents, code, dbl, month, rdiv, sum_if, title
 from bankspark.functions import cleanse, rules
@@ -17,7 +18,8 @@ from bankspark.operators.history import (
 )
 from bankspark.plans import dims, enrich, staging
 from bankspark.sources import sinks
-from bankspark.sources.files import land
+from bankspark.session import work_dir
+from bankspark.sources.files import land, load, read_csv
 
 # --- sources --------------------------------------------------------------------------------
 
@@ -461,3 +463,57 @@ def _(b: Bank):
     return b.stg["loans"].select(
         "loan_id", annuity_emi(F.col("loan_amount"), F.col("interest_rate"), F.lit(60)).alias("emi")
     )
+
+
+# --- files ----------------------------------------------------------------------------------
+
+def _loan_files(b: Bank) -> str:
+    """The raw loans as compressed CSV files; some fields hold null tokens, blanks or rubbish."""
+    n = F.substr("loan_id", F.lit(2)).cast("bigint")
+    text = b.raw["loans"].select(
+        "loan_id",
+        F.concat(F.lit(" "), "customer_id", F.lit(" ")).alias("customer_id"),
+        F.when(n % 7 == 0, "null").otherwise(F.col("loan_type")).alias("loan_type"),
+        F.when(n % 50 == 0, "12,x").otherwise(F.col("loan_amount").cast("string")).alias("loan_amount"),
+        F.col("interest_rate").cast("string").alias("interest_rate"),
+        F.coalesce(F.col("emi_amount").cast("string"), F.lit("NULL")).alias("emi_amount"),
+        "loan_status",
+        F.when(n % 90 == 0, "soon").otherwise(F.col("disbursement_date").cast("string")).alias("disbursement_date"),
+    )
+    path = work_dir(b.spark, "loan_files")
+    text.write.csv(path, header=True, compression="gzip", quote='"', escape='"')
+    return path
+
+
+_N = "CAST(substr(loan_id, 2) AS BIGINT)"
+_CSV_SQL = f"""SELECT loan_id, customer_id, CASE WHEN {_N} % 7 = 0 THEN NULL ELSE loan_type END AS loan_type,
+    CASE WHEN {_N} % 50 = 0 THEN NULL ELSE CAST(loan_amount AS DOUBLE) END AS loan_amount, CAST(interest_rate AS DOUBLE) AS interest_rate,
+    CAST(emi_amount AS DOUBLE) AS emi_amount, loan_status, CASE WHEN {_N} % 90 = 0 THEN NULL ELSE disbursement_date END AS disbursement_date
+  FROM raw_loans"""
+
+
+@query("csv_scan", _CSV_SQL)
+def _(b: Bank):
+    return read_csv(b.spark, _loan_files(b), schemas.LOANS)
+
+
+@query("csv_load_good", f"{_CSV_SQL} WHERE {_N} % 50 <> 0 AND {_N} % 90 <> 0")
+def _(b: Bank):
+    return load(b.spark, _loan_files(b), schemas.LOANS)[0]
+
+
+@query("csv_load_rejected", f"""
+  SELECT loan_id, CASE WHEN {_N} % 50 = 0 THEN 'loan_amount' ELSE 'disbursement_date' END AS reject_reason
+  FROM raw_loans WHERE {_N} % 50 = 0 OR {_N} % 90 = 0""")
+def _(b: Bank):
+    return load(b.spark, _loan_files(b), schemas.LOANS)[1].select("loan_id", "reject_reason")
+
+
+@query("stg_branches_warehouse", f"SELECT md5(branch_id) AS branch_sk, {code('branch_id')} AS branch_id, {title('branch_name')} AS branch_name, {title('city')} AS city, {code('state')} AS state, {title('region')} AS region FROM raw_branches WHERE NOT _deleted")
+def _(b: Bank):
+    return staging.stg_branches(b.raw["branches"], staging.WAREHOUSE)
+
+
+@query("stg_calendar_warehouse", "SELECT md5(CAST(date_key AS VARCHAR)) AS date_sk, date_key, month, quarter, year, fiscal_period FROM raw_calendar")
+def _(b: Bank):
+    return staging.stg_calendar_dim(b.raw["calendar"], staging.WAREHOUSE)

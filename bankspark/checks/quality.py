@@ -13,7 +13,8 @@ from bankspark.checks.sql import (
 from bankspark.functions import masks, rules
 from bankspark.functions.dates import lit_ts
 from bankspark.operators import changes, governance, ops, quality as Q, rows
-from bankspark.plans import dims, dq, loans as loan_plans, marts
+from bankspark.plans import dims, dq, loans as loan_plans, marts, staging
+from bankspark.plans.build import as_of, load_fact_from_raw
 from bankspark.session import work_dir
 from bankspark.sources import sinks, standin
 from bankspark.streaming.cdc import SINK_COLS
@@ -358,6 +359,12 @@ def _(b: Bank):
     return _small(changes.incremental_slice(b.stg["transactions"], "transaction_timestamp", backfill_from=datetime(2000, 3, 1)))
 
 
+@query("stg_transactions_since", """
+  SELECT transaction_id, transaction_timestamp, transaction_status FROM stg_transactions WHERE transaction_timestamp >= DATE '2001-05-01'""")
+def _(b: Bank):
+    return _small(staging.stg_transactions_since(b.raw["transactions"], datetime(2001, 5, 1)))
+
+
 @query("merge_by_key", """
   SELECT transaction_id, CASE WHEN transaction_timestamp < DATE '2000-07-01' THEN 'STALE' ELSE transaction_status END AS transaction_status FROM stg_transactions""")
 def _(b: Bank):
@@ -374,15 +381,10 @@ def _(b: Bank):
 def _(b: Bank):
     """Two loads into a written table: everything before 2001, then the slice since then."""
     path = work_dir(b.spark, "fct")
-    cols = ["transaction_sk", "transaction_id", "transaction_timestamp", "transaction_date", "amount_usd", "loaded_at"]
-    src = b.fct.select(*cols)
-    first = src.filter(F.col("transaction_timestamp") < lit_ts(_CUT)).withColumn("loaded_at", lit_ts(datetime(2000, 12, 31)))
-    sinks.merge_into_table(b.spark, path, first, "transaction_sk", "transaction_date")
-    later = changes.incremental_slice(
-        src, "transaction_timestamp", sinks.read_clustered(b.spark, path), b.p.txn_late_arrival_overlap_hours
-    )
-    sinks.merge_into_table(b.spark, path, later, "transaction_sk", "transaction_date")
-    return sinks.read_clustered(b.spark, path).drop("transaction_sk")
+    early = b.raw["transactions"].filter(F.col("transaction_timestamp") < lit_ts(_CUT))
+    for raw, p in ((early, as_of(b.p, datetime(2000, 12, 31))), (b.raw["transactions"], b.p)):
+        fact = load_fact_from_raw(b.spark, path, raw, b.stg, b.fx, p)
+    return fact.select("transaction_id", "transaction_timestamp", "transaction_date", "amount_usd", "loaded_at")
 
 
 @query("clustered_table", "SELECT transaction_id, transaction_date, CAST(amount AS DOUBLE) AS amount FROM stg_transactions WHERE transaction_date >= DATE '2001-01-01'")

@@ -125,7 +125,7 @@ def _drain(b: Bank, stream: DataFrame, name: str) -> DataFrame:
     RANGE BETWEEN INTERVAL 60 MINUTE PRECEDING AND CURRENT ROW) AS txn_count FROM events""")
 def _(b: Bank):
     timed = monitors.with_event_time(_events(b).select("user_id", "ts"), "ts")
-    emitted = _drain(b, monitors.rapid_fire_stream(timed, "user_id", "ts"), "rapid")
+    emitted = _drain(b, monitors.rapid_fire_stream(timed, "user_id", "ts", bucket_windows=24), "rapid")
     return monitors.final_counts(emitted, "user_id", "ts").withColumn("ts", F.col("ts").cast("timestamp_ntz"))
 
 

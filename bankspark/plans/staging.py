@@ -7,6 +7,8 @@ amounts as null.
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from bankspark.config import RISK_LEVELS
@@ -14,6 +16,7 @@ from bankspark.functions import rules
 from bankspark.functions.cleanse import (
     canonical, default_unknown, md5_key, norm_code, norm_name, surrogate_key, zero_to_null,
 )
+from bankspark.functions.dates import lit_ts
 from bankspark.functions.numbers import flag
 from bankspark.operators.rows import drop_deleted, latest_per_key, require
 from bankspark.schemas import SYNCED
@@ -103,6 +106,20 @@ def stg_transactions(raw: DataFrame, variant: str = MODELED) -> DataFrame:
     )
 
 
+def stg_transactions_since(raw: DataFrame, bound: datetime) -> DataFrame:
+    """The staged transactions at or after `bound`, without staging the whole history.
+
+    Only ids with some version at or after the bound can qualify, so the others are dropped
+    before the deduplicating shuffle; all versions of the rest take part in it, since the
+    newest version may have moved before the bound.
+    """
+    ts = F.col("transaction_timestamp")
+    code = norm_code(F.col("transaction_id"))
+    recent = raw.filter(ts >= lit_ts(bound)).select(code.alias("_id")).distinct()
+    versions = raw.join(recent, code == F.col("_id"), "left_semi")
+    return stg_transactions(versions).filter(ts >= lit_ts(bound))
+
+
 def stg_loans(raw: DataFrame, variant: str = MODELED) -> DataFrame:
     required = () if variant == WAREHOUSE else ("loan_id",)
     rows = _source(raw, *required).select(

@@ -6,7 +6,7 @@ import os
 from collections.abc import Callable, Sequence
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 from pyspark.errors import AnalysisException
 
 from bankspark.functions.dates import lit_ts
@@ -100,14 +100,15 @@ def rewrite_partitions(
     spark: SparkSession, path: str, date_col: str, key: str, grain: str,
     affected_keys: DataFrame, incoming: DataFrame,
     merge: Callable[[DataFrame, DataFrame], DataFrame],
-) -> None:
-    """Apply `merge(target, incoming)` to the partitions it can touch and leave the others.
+) -> list[str]:
+    """Apply `merge(target, incoming)` to the partitions it can touch and leave the others;
+    returns the touched partitions.
 
     Touched are the partitions of the incoming rows and those that hold one of
-    `affected_keys`; the lookup reads only the key and partition columns. The new rows are
-    written to the shared folder first, so that nothing is read and overwritten at once and a
-    lost executor costs only its tasks. Each partition is then swapped as a whole; a run that
-    dies in between can simply be repeated.
+    `affected_keys`; that lookup reads only the key and partition columns. The new rows are
+    written once, beside the old files, which the commit replaces partition by partition when
+    all tasks are done: a lost executor costs its tasks, and a run that failed can be repeated.
+    `incoming` and `affected_keys` must not themselves read from `path`.
     """
     target = spark.read.parquet(path)
     holds = target.select(key, PART).join(affected_keys.select(key), key, "left_semi").select(PART)
@@ -115,21 +116,38 @@ def rewrite_partitions(
     # One value per touched month or day.
     touched = [r[0] for r in holds.union(arriving).distinct().collect()]
     if not touched:
-        return
+        return []
     old = target.filter(F.col(PART).isin(*touched)).drop(PART)
-    staged = work_dir(spark, "rewrite")
-    _clustered(merge(old, incoming), date_col, key, grain).write.partitionBy(PART).parquet(staged)
-    fresh = spark.read.parquet(staged)
-    kept = {r[0] for r in fresh.select(PART).distinct().collect()}
-    fresh.repartitionByRange(
-        F.col(PART), F.col(date_col), F.pmod(F.xxhash64(key), F.lit(1024))
-    ).sortWithinPartitions(PART, date_col).write.mode("overwrite").option(
-        "partitionOverwriteMode", "dynamic"
-    ).partitionBy(PART).parquet(path)
-    for part in sorted(set(touched) - kept):
-        # A partition whose last row left has nothing that would overwrite it.
+    written = Observation()
+    _clustered(merge(old, incoming), date_col, key, grain).observe(
+        written, F.collect_set(PART).alias("parts")
+    ).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(PART).parquet(path)
+    for part in sorted(set(touched) - set(written.get["parts"])):
+        # A partition whose last row left has nothing that would replace it.
         discard(spark, os.path.join(path, f"{PART}={part}"))
-    discard(spark, staged)
+    return touched
+
+
+def newest_partition(spark: SparkSession, path: str) -> str | None:
+    """The last month or day of a clustered table, from its folder names."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    listing = folder.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(folder)
+    names = [f.getPath().getName() for f in listing]
+    parts = [n.split("=", 1)[1] for n in names if n.startswith(f"{PART}=") and not n.endswith("=none")]
+    return max(parts, default=None)
+
+
+def newest_rows(spark: SparkSession, path: str) -> DataFrame | None:
+    """The rows of the last partition: enough to find the newest date of the table."""
+    if read_if_exists(spark, path) is None:
+        return None
+    part = newest_partition(spark, path)
+    return read_parts(spark, path, [] if part is None else [part])
+
+
+def read_parts(spark: SparkSession, path: str, parts: Sequence[str]) -> DataFrame:
+    """Some partitions of a clustered table."""
+    return spark.read.parquet(path).filter(F.col(PART).isin(*parts)).drop(PART)
 
 
 def discard(spark: SparkSession, path: str) -> None:

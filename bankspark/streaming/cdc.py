@@ -18,7 +18,8 @@ from bankspark.plans.staging import cleanse_transactions
 from bankspark.schemas import DELETED
 from bankspark.session import work_dir
 from bankspark.sources.sinks import (
-    append_log, discard, read_clustered, read_if_exists, rewrite_partitions, write_clustered,
+    append_log, discard, read_clustered, read_if_exists, read_parts, rewrite_partitions,
+    write_clustered,
 )
 
 KEY, DAY = "transaction_sk", "transaction_date"
@@ -51,32 +52,36 @@ def changes_per_key(records: DataFrame) -> DataFrame:
 
 def merge_batch(
     spark: SparkSession, changes: DataFrame, sink: str, now: Column, grain: str = "month"
-) -> None:
-    """Merge one batch of prepared changes into the sink."""
+) -> list[str] | None:
+    """Merge one batch of prepared changes into the sink; returns the partitions it touched,
+    None for all of them (the first batch)."""
     target = read_if_exists(spark, sink)
     if target is None:
         inserts = changes.filter(F.col("cdc_operation") == "INSERT").withColumn("ingested_at", now)
         write_clustered(inserts.select(*SINK_COLS), sink, DAY, KEY, grain)
-    else:
-        rewrite_partitions(
-            spark, sink, DAY, KEY, grain,
-            affected_keys=changes,
-            incoming=changes.filter(F.col("cdc_operation") == "INSERT"),
-            merge=lambda old, _: apply_changes(old, changes, KEY, now),
-        )
+        return None
+    return rewrite_partitions(
+        spark, sink, DAY, KEY, grain,
+        affected_keys=changes,
+        incoming=changes.filter(F.col("cdc_operation") == "INSERT"),
+        merge=lambda old, _: apply_changes(old, changes, KEY, now),
+    )
 
 
 def flag_batch(
-    spark: SparkSession, changes: DataFrame, sink: str, log: str, p: Params, now: Column
+    spark: SparkSession, changes: DataFrame, sink: str, log: str, p: Params, now: Column,
+    touched: list[str] | None = None,
 ) -> None:
     """Flag the sink rows of the batch's keys; rows it deleted or ignored are not there.
 
-    The log is first cut down to the batch's keys, so that it is never shuffled as a whole.
+    Only the partitions the merge touched are read, and the log is first cut down to the
+    batch's keys, so that neither is read or shuffled as a whole.
     """
     if read_if_exists(spark, sink) is None:
         return
     applied = changes.filter(F.col("cdc_operation") != "DELETE").select(KEY)
-    rows = read_clustered(spark, sink).join(applied, KEY, "left_semi")
+    stored = read_clustered(spark, sink) if touched is None else read_parts(spark, sink, touched)
+    rows = stored.join(applied, KEY, "left_semi")
     logged = read_if_exists(spark, log)
     if logged is not None:
         logged = logged.select(KEY).join(applied, KEY, "left_semi")
@@ -98,8 +103,8 @@ def start_cdc(
         staged = work_dir(spark, "changes")
         changes_per_key(batch).write.parquet(staged)
         changes = spark.read.parquet(staged)
-        merge_batch(spark, changes, sink, stamp, grain)
-        flag_batch(spark, changes, sink, log, p, stamp)
+        touched = merge_batch(spark, changes, sink, stamp, grain)
+        flag_batch(spark, changes, sink, log, p, stamp, touched)
         discard(spark, staged)
 
     writer = records.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)

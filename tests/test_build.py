@@ -44,6 +44,8 @@ def test_gate_stops_the_build_before_publication(spark, sf_dir, tmp_path):
     raw, fx = standin.raw_tables(spark, sf_dir), standin.exchange_rates(spark)
     with pytest.raises(QualityGateError, match="freshness_raw_transactions"):
         build(spark, raw, fx, str(folder), standin.BANK)
-    assert sorted(p.name for p in folder.iterdir()) == ["audit"]
+    # Staging and the audit log exist; no snapshot, dimension, fact or mart does.
+    assert sorted(p.name for p in folder.iterdir()) == ["audit", "staging"]
     runs = spark.read.parquet(str(folder / "audit" / "run_results"))
-    assert bag(runs, "node_name", "status") == [("dq_results", "error")]
+    assert bag(runs.filter("status = 'error'"), "node_name") == [("dq_results",)]
+    assert {r["node_type"] for r in runs.collect()} == {"view", "test"}
