@@ -7,7 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
@@ -27,70 +27,71 @@ def dedup_within_watermark(df: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def rapid_fire_stream(
-    df: DataFrame, key: str, ts: str, minutes: int = 60, bucket_windows: int = 6
+    df: DataFrame, key: str, ts: str, minutes: int = 60, bucket_windows: int = 1, slots: int = 64
 ) -> DataFrame:
     """(key, ts, txn_count) for each instant whose 60-minute count is new or has grown.
 
     A late row raises the counts of instants after it, which are then emitted again; the
-    final count of an instant is the largest one emitted. State is kept per key and time
-    bucket, not per key: a bucket holds its distinct instants and those of the window before
-    it, so a hot key is spread over its buckets, and the state leaves when the watermark
-    passes the bucket's end.
+    final count of an instant is the largest one emitted.
+
+    State is kept per time bucket and key slot: the distinct instants of the bucket and of the
+    window before it, with their counts. A hot key is thus spread over its buckets, rows at one
+    instant take one entry, and the state leaves when the watermark passes the bucket's end.
+    Keys share a slot so that a task works on arrays instead of on one key at a time; take
+    more `slots` for more tasks, and wider buckets to catch up on a long backlog.
     """
     window_us = minutes * MICROS_PER_MINUTE
     width_us = window_us * bucket_windows
-    out = T.StructType(
-        [
-            T.StructField(key, df.schema[key].dataType),
-            T.StructField(ts, T.TimestampType()),
-            T.StructField("txn_count", T.LongType()),
-        ]
-    )
 
-    def counts(us: np.ndarray, n: np.ndarray) -> np.ndarray:
-        running = np.concatenate([[0], np.cumsum(n)])
-        first = np.searchsorted(us, us - window_us, side="left")
-        return running[1:] - running[first]
+    def counts(known: pd.DataFrame) -> np.ndarray:
+        """Window counts of rows sorted by key and instant, all keys at once: each key gets its
+        own stretch of one number line, more than a window apart from the next."""
+        us = known["us"].to_numpy(np.int64)
+        offset = us - us.min()
+        stretch = int(offset.max()) + window_us + 1
+        line = pd.factorize(known["k"])[0].astype(np.int64) * stretch + offset
+        running = np.concatenate([[0], np.cumsum(known["n"].to_numpy(np.int64))])
+        return running[1:] - running[np.searchsorted(line, line - window_us, side="left")]
 
     def update(group: tuple, parts: Iterator[pd.DataFrame], state: GroupState):
         if state.hasTimedOut:
             state.remove()
             return
         bucket = int(group[1])
-        old_us, old_n = (np.array(v, dtype=np.int64) for v in state.get) if state.exists else (
-            np.empty(0, np.int64), np.empty(0, np.int64),
-        )
-        arrived = np.concatenate([p["_us"].to_numpy(np.int64) for p in parts])
-        new_us, new_n = np.unique(arrived, return_counts=True)
-        us, where = np.unique(np.concatenate([old_us, new_us]), return_inverse=True)
-        n = np.zeros(len(us), np.int64)
-        np.add.at(n, where, np.concatenate([old_n, new_n]))
-
-        before = np.zeros(len(us), np.int64)
-        before[np.searchsorted(us, old_us)] = counts(old_us, old_n)
-        now = counts(us, n)
-        emit = (now != before) & (us // width_us == bucket)
-
-        state.update((us.tolist(), n.tolist()))
+        frames = [p[["k", "us"]].assign(n=1, c=0) for p in parts]
+        if state.exists:
+            frames.append(pd.DataFrame(dict(zip(("k", "us", "n", "c"), state.get))))
+        known = pd.concat(frames).groupby(["k", "us"], as_index=False, sort=True)[["n", "c"]].sum()
+        now = counts(known)
+        is_news = (now != known["c"]) & (known["us"] // width_us == bucket)
+        known["c"] = now
+        grown = known[is_news]
+        state.update(tuple(known[c].tolist() for c in ("k", "us", "n", "c")))
         bucket_end_ms = (bucket + 1) * width_us // 1000
         state.setTimeoutTimestamp(max(bucket_end_ms, int(state.getCurrentWatermarkMs()) + 1))
-        if emit.any():
-            yield pd.DataFrame(
-                {
-                    key: [group[0]] * int(emit.sum()),
-                    ts: pd.to_datetime(us[emit], unit="us", utc=True),
-                    "txn_count": now[emit],
-                }
-            )
+        if len(grown):
+            yield grown[["k", "us", "c"]]
 
     us = epoch_micros(F.col(ts))
     own, last = F.floor(us / width_us), F.floor((us + window_us) / width_us)
+    text = F.col(key).cast("string")
+    # A leading mark tells a missing key from an empty one.
     placed = df.select(
-        key, ts, us.alias("_us"),
+        ts,
+        F.when(text.isNull(), "").otherwise(F.concat(F.lit("="), text)).alias("k"),
+        us.alias("us"),
+        F.pmod(F.xxhash64(text), F.lit(slots)).alias("_slot"),
         F.explode(F.array_distinct(F.array(own, last))).alias("_bucket"),
     )
-    return placed.groupBy(key, "_bucket").applyInPandasWithState(
-        update, out, "us array<long>, n array<long>", "append", GroupStateTimeout.EventTimeTimeout
+    emitted = placed.groupBy("_slot", "_bucket").applyInPandasWithState(
+        update, "k string, us long, c long",
+        "k array<string>, us array<long>, n array<long>, c array<long>",
+        "append", GroupStateTimeout.EventTimeTimeout,
+    )
+    return emitted.select(
+        F.when(F.col("k") != "", F.substr("k", F.lit(2))).cast(df.schema[key].dataType).alias(key),
+        F.timestamp_micros("us").alias(ts),
+        F.col("c").alias("txn_count"),
     )
 
 

@@ -108,7 +108,7 @@ def events(n=400, keys=6, seed=3):
     start = datetime(2024, 1, 1)
     rows = []
     for i in range(n):
-        key = "hot" if rng.random() < 0.4 else f"k{rng.randrange(keys)}"
+        key = rng.choice(["hot", "hot", "hot", None, ""] + [f"k{n}" for n in range(keys)])
         rows.append((i, key, start + timedelta(seconds=rng.randrange(0, 30 * 3600), microseconds=rng.choice([0, 1]))))
     return rows
 
