@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from bankspark.functions.dates import month_start
 
@@ -47,22 +47,23 @@ def to_usd(amount: Column, rate: Column) -> Column:
 def fx_as_of(df: DataFrame, fx: DataFrame, currency: str, day: str) -> DataFrame:
     """Adds `rate_to_usd`: the latest rate at or before the row's day, 1.0 before the first.
 
-    The rates of a currency become one array sorted newest first, as long as its number of
-    rate months; the join is then a plain equi-join on the currency instead of a range join.
+    Rates hold from the start of a month, so they are laid out as one row per currency and
+    month up to the last month that has any rate; a row looks up its own month, or that last
+    one if it is later. This makes the as-of match an equi-join.
     """
-    series = (
-        monthly_rates(fx)
-        .groupBy("_ccy")
-        .agg(
-            F.sort_array(
-                F.collect_list(F.struct(F.col("_fx_month").alias("m"), F.col("_rate").alias("r"))),
-                asc=False,
-            ).alias("_series")
-        )
+    rates = monthly_rates(fx)
+    last_month = rates.agg(F.max("_fx_month")).scalar()
+    following = F.lead("_fx_month").over(Window.partitionBy("_ccy").orderBy("_fx_month"))
+    until = F.coalesce(F.add_months(following, -1), last_month)
+    dense = rates.withColumn("_until", until).select(
+        "_ccy",
+        "_rate",
+        F.explode(F.sequence("_fx_month", "_until", F.expr("interval 1 month"))).alias("_in_month"),
     )
-    in_force = F.filter("_series", lambda x: x["m"] <= F.col(day))
+    wanted = F.least(month_start(F.col(day)), last_month)
     return (
-        df.join(series, F.col(currency) == F.col("_ccy"), "left")
-        .withColumn("rate_to_usd", F.coalesce(F.get(in_force, F.lit(0))["r"], _one()))
-        .drop("_ccy", "_series")
+        df.withColumn("_wanted", wanted)
+        .join(dense, (F.col(currency) == F.col("_ccy")) & (F.col("_wanted") == F.col("_in_month")), "left")
+        .withColumn("rate_to_usd", F.coalesce("_rate", _one()))
+        .drop("_wanted", "_ccy", "_rate", "_in_month")
     )

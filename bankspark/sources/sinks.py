@@ -102,14 +102,14 @@ def rewrite_partitions(
     merge: Callable[[DataFrame, DataFrame], DataFrame],
 ) -> list[str]:
     """Apply `merge(target, incoming)` to the partitions it can touch and leave the others;
-    returns the touched partitions.
+    returns the touched partitions. One writer at a time.
 
     Touched are the partitions of the incoming rows and those that hold one of
-    `affected_keys`; that lookup reads only the key and partition columns. The new rows are
-    written once, beside the old files, which the commit replaces partition by partition when
-    all tasks are done: a lost executor costs its tasks, and a run that failed can be repeated.
-    `incoming` and `affected_keys` must not themselves read from `path`.
+    `affected_keys`; that lookup reads only the key and partition columns. The new partitions
+    are written beside the table and moved in when complete, so a lost executor costs its
+    tasks, and an interrupted move is finished by the next merge.
     """
+    finish_move(spark, path)
     target = spark.read.parquet(path)
     holds = target.select(key, PART).join(affected_keys.select(key), key, "left_semi").select(PART)
     arriving = incoming.select(_part_value(date_col, grain).alias(PART))
@@ -119,20 +119,81 @@ def rewrite_partitions(
         return []
     old = target.filter(F.col(PART).isin(*touched)).drop(PART)
     written = Observation()
+    pending = path.rstrip("/") + PENDING
     _clustered(merge(old, incoming), date_col, key, grain).observe(
         written, F.collect_set(PART).alias("parts")
-    ).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(PART).parquet(path)
-    for part in sorted(set(touched) - set(written.get["parts"])):
-        # A partition whose last row left has nothing that would replace it.
-        discard(spark, os.path.join(path, f"{PART}={part}"))
+    ).write.partitionBy(PART).parquet(pending)
+    fs = _fs(spark, pending)
+    for part in set(touched) - set(written.get["parts"]):
+        # A partition whose last row left: an empty folder takes its place.
+        fs.mkdirs(_path(spark, pending, f"{PART}={part}"))
+    fs.create(_path(spark, pending, READY)).close()
+    finish_move(spark, path)
     return touched
 
 
+# New data waits in a folder of this suffix; the marker file says that it is complete.
+PENDING, READY = "__pending", "_READY"
+
+
+def _path(spark: SparkSession, *parts: str):
+    return spark._jvm.org.apache.hadoop.fs.Path(os.path.join(*parts))
+
+
+def _fs(spark: SparkSession, path: str):
+    return _path(spark, path).getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def finish_move(spark: SparkSession, path: str) -> None:
+    """Move complete pending partitions into the table, or drop incomplete ones.
+
+    Each step can be repeated: a partition still in the pending folder has not been moved.
+    """
+    path = path.rstrip("/")
+    pending = path + PENDING
+    fs = _fs(spark, path)
+    if not fs.exists(_path(spark, pending)):
+        return
+    if fs.exists(_path(spark, pending, READY)):
+        for status in fs.listStatus(_path(spark, pending)):
+            name = status.getPath().getName()
+            if not name.startswith(f"{PART}="):
+                continue
+            fs.delete(_path(spark, path, name), True)
+            if len(fs.listStatus(status.getPath())):
+                fs.rename(status.getPath(), _path(spark, path, name))
+    fs.delete(_path(spark, pending), True)
+
+
+def finish_replace(spark: SparkSession, path: str) -> None:
+    """Put a complete pending table in place of the table, or drop an incomplete one."""
+    path = path.rstrip("/")
+    pending = path + PENDING
+    fs = _fs(spark, path)
+    if not fs.exists(_path(spark, pending)):
+        return
+    if not fs.exists(_path(spark, pending, READY)):
+        fs.delete(_path(spark, pending), True)
+        return
+    fs.delete(_path(spark, path), True)
+    fs.rename(_path(spark, pending), _path(spark, path))
+    fs.delete(_path(spark, path, READY), False)
+
+
+def replace_table(df: DataFrame, path: str) -> DataFrame:
+    """Replace a table by rows that may be read from it. The old table stays until the new one
+    is complete."""
+    spark = df.sparkSession
+    pending = path.rstrip("/") + PENDING
+    df.write.mode("overwrite").parquet(pending)
+    _fs(spark, path).create(_path(spark, pending, READY)).close()
+    finish_replace(spark, path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def newest_partition(spark: SparkSession, path: str) -> str | None:
     """The last month or day of a clustered table, from its folder names."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    listing = folder.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(folder)
-    names = [f.getPath().getName() for f in listing]
+    names = [f.getPath().getName() for f in _fs(spark, path).listStatus(_path(spark, path))]
     parts = [n.split("=", 1)[1] for n in names if n.startswith(f"{PART}=") and not n.endswith("=none")]
     return max(parts, default=None)
 
@@ -152,18 +213,7 @@ def read_parts(spark: SparkSession, path: str, parts: Sequence[str]) -> DataFram
 
 def discard(spark: SparkSession, path: str) -> None:
     """Remove a folder this library wrote, on whatever file system it is."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
-
-
-def replace_table(df: DataFrame, path: str) -> DataFrame:
-    """Overwrite a table with rows that may be read from it, by way of a staged copy."""
-    spark = df.sparkSession
-    staged = work_dir(spark, "replace")
-    df.write.parquet(staged)
-    spark.read.schema(df.schema).parquet(staged).write.mode("overwrite").parquet(path)
-    discard(spark, staged)
-    return spark.read.schema(df.schema).parquet(path)
+    _fs(spark, path).delete(_path(spark, path), True)
 
 
 def merge_into_table(
@@ -171,6 +221,7 @@ def merge_into_table(
     grain: str = "month",
 ) -> None:
     """Merge by unique key into a date-clustered table, created if missing."""
+    finish_move(spark, path)
     if read_if_exists(spark, path) is None:
         write_clustered(updates, path, date_col, key, grain)
         return
@@ -191,18 +242,24 @@ def advance_snapshot(
     """One run of a type-2 snapshot kept as an `open` table and a `closed` folder per run.
 
     Only the open versions are read and rewritten, so the cost of a run does not grow with the
-    history. Repeating a run after a failure overwrites what it had written.
+    history. A run can be repeated, whether it failed or not: versions that it had already
+    closed are not closed again.
     """
     open_path = os.path.join(path, "open")
     closed_path = os.path.join(path, "closed", f"r{run_ts:%Y%m%d%H%M%S}")
+    finish_replace(spark, open_path)
     opened = read_if_exists(spark, open_path)
     if opened is None:
         return replace_table(start_history(current, run_ts), open_path)
     staged = work_dir(spark, "snapshot")
     snapshot_check(opened, current, key, check_cols, run_ts, invalidate_hard_deletes).write.parquet(staged)
     versions = spark.read.parquet(staged)
-    versions.filter(F.col("valid_to").isNotNull()).write.mode("overwrite").parquet(closed_path)
-    versions.filter(F.col("valid_to").isNull()).write.mode("overwrite").parquet(open_path)
+    closing = versions.filter(F.col("valid_to").isNotNull())
+    done = read_if_exists(spark, closed_path)
+    if done is not None:
+        closing = closing.join(done.select(key, "valid_from"), [key, "valid_from"], "left_anti")
+    closing.select(*versions.columns).write.mode("append").parquet(closed_path)
+    replace_table(versions.filter(F.col("valid_to").isNull()), open_path)
     discard(spark, staged)
     return read_snapshot(spark, path)
 

@@ -99,6 +99,40 @@ def test_written_merge_moves_rows_between_partitions(spark, tmp_path):
     assert parts == ["date_part=m2024-01", "date_part=m2024-03", "date_part=none"]
 
 
+def test_an_interrupted_move_is_finished_or_dropped(spark, tmp_path):
+    path, pending = tmp_path / "fact", tmp_path / "fact__pending"
+    schema = "k string, day date, v int"
+    day = lambda s: ts(s).date()
+    base = frame(spark, schema, ("a", day("2024-01-05"), 1), ("b", day("2024-02-05"), 2), ("c", day("2024-03-05"), 3))
+    sinks.write_clustered(base, str(path), "day", "k")
+    # Incomplete: dropped.
+    sinks.write_clustered(frame(spark, schema, ("a", day("2024-01-05"), 9)), str(pending), "day", "k")
+    sinks.finish_move(spark, str(path))
+    assert bag(sinks.read_clustered(spark, str(path)), "k", "v") == [("a", 1), ("b", 2), ("c", 3)] and not pending.exists()
+    # Complete, and the process died after it had removed the old January: finished.
+    sinks.write_clustered(frame(spark, schema, ("a", day("2024-01-05"), 9)), str(pending), "day", "k")
+    (pending / "date_part=m2024-02").mkdir()
+    (pending / sinks.READY).touch()
+    sinks.discard(spark, str(path / "date_part=m2024-01"))
+    sinks.merge_into_table(spark, str(path), frame(spark, schema, ("d", day("2024-04-01"), 4)), "k", "day")
+    assert bag(sinks.read_clustered(spark, str(path)), "k", "v") == [("a", 9), ("c", 3), ("d", 4)] and not pending.exists()
+
+
+def test_replacing_a_table_survives_an_interruption(spark, tmp_path):
+    path = str(tmp_path / "t")
+    sinks.replace_table(spark.range(3), path)
+    sinks.replace_table(spark.read.parquet(path).filter("id > 0"), path)
+    assert spark.read.parquet(path).count() == 2
+    spark.range(7).write.parquet(path + sinks.PENDING)
+    sinks.finish_replace(spark, path)
+    assert spark.read.parquet(path).count() == 2
+    spark.range(7).write.parquet(path + sinks.PENDING)
+    (tmp_path / ("t" + sinks.PENDING) / sinks.READY).touch()
+    sinks.discard(spark, path)
+    sinks.finish_replace(spark, path)
+    assert spark.read.parquet(path).count() == 7
+
+
 def test_clustered_table_prunes_and_spreads_a_hot_day(spark, tmp_path):
     path = str(tmp_path / "hot")
     df = spark.range(0, 20000, 1, 4).select(

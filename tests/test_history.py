@@ -67,6 +67,19 @@ def test_written_snapshot_equals_the_one_in_memory(spark, tmp_path):
         assert bag(written) == bag(memory)
 
 
+def test_a_repeated_run_keeps_the_history(spark, tmp_path):
+    path = str(tmp_path / "snap")
+    sinks.advance_snapshot(spark, path, state(spark, ("a", "A", "X", "N"), ("b", "B", "X", "N")), "id", CHECK, R1)
+    changed = state(spark, ("a", "A", "Y", "N"))
+    once = bag(sinks.advance_snapshot(spark, path, changed, "id", CHECK, R2))
+    assert bag(sinks.advance_snapshot(spark, path, changed, "id", CHECK, R2)) == once
+    # A run that died after it had closed versions but before it replaced the open ones.
+    sinks.replace_table(
+        start_history(state(spark, ("a", "A", "X", "N"), ("b", "B", "X", "N")), R1), path + "/open"
+    )
+    assert bag(sinks.advance_snapshot(spark, path, changed, "id", CHECK, R2)) == once
+
+
 def test_point_in_time_join(spark):
     now = state(spark, ("a", "A", "Y", "N"))
     history = snapshot_check(first(spark), now, "id", CHECK, R2)
