@@ -391,7 +391,7 @@ def _(b: Bank):
 def _(b: Bank):
     path = work_dir(b.spark, "clustered")
     rows_ = b.stg["transactions"].select("transaction_id", "transaction_date", "amount")
-    sinks.write_clustered(rows_, path, "transaction_date", "transaction_id")
+    sinks.write_clustered(rows_, path, "transaction_date")
     return sinks.read_clustered(b.spark, path).filter(F.col("transaction_date") >= F.lit("2001-01-01").cast("date"))
 
 
@@ -468,9 +468,10 @@ def _(b: Bank):
 
 @query("high_water_mark", "SELECT max(transaction_timestamp) - INTERVAL 24 HOUR AS bound, count(*) AS target_rows FROM stg_transactions")
 def _(b: Bank):
-    target = b.stg["transactions"]
-    bound = target.agg((F.max("transaction_timestamp") - F.expr("interval 24 hours")).alias("bound"))
-    return bound.crossJoin(target.agg(F.count(F.lit(1)).alias("target_rows")))
+    newest = F.max("transaction_timestamp")
+    return b.stg["transactions"].agg(
+        (newest - F.expr("interval 24 hours")).alias("bound"), F.count(F.lit(1)).alias("target_rows")
+    )
 
 
 # --- governance -----------------------------------------------------------------------------

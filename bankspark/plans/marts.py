@@ -220,19 +220,16 @@ def quarterly_kpis(revenue: DataFrame) -> DataFrame:
 def nim_quarterly(fct: DataFrame, loans: DataFrame) -> DataFrame:
     """Net interest margin proxy per quarter: completed interest less a quarter of the yearly
     carrying cost, in percent of the outstanding balance."""
-    book = loans.agg(
-        F.sum("outstanding_balance_est").cast("decimal(28,2)").alias("outstanding_usd"),
-        F.sum(
-            F.round(F.col("outstanding_balance_est") * F.col("interest_rate") / 400, 2).cast("decimal(18,2)")
-        ).cast("decimal(28,2)").alias("quarter_cost_usd"),
-    )
+    owed = F.col("outstanding_balance_est")
+    quarter_cost = F.round(owed * F.col("interest_rate") / 400, 2).cast("decimal(18,2)")
+    book_owed = loans.agg(F.sum(owed).cast("decimal(28,2)")).scalar()
+    book_cost = loans.agg(F.sum(quarter_cost).cast("decimal(28,2)")).scalar()
     interest = (
         completed(fct)
         .filter(F.col("transaction_type") == "INTEREST")
         .groupBy(quarter_start(F.col("transaction_date")).alias("quarter"))
         .agg(F.sum("amount_usd").cast("decimal(28,2)").alias("interest_usd"))
     )
-    return interest.crossJoin(book).withColumn(
-        "nim_pct",
-        ratio_pct(F.col("interest_usd") - F.col("quarter_cost_usd"), F.col("outstanding_usd"), 4),
-    )
+    priced = interest.withColumn("outstanding_usd", book_owed).withColumn("quarter_cost_usd", book_cost)
+    margin = F.col("interest_usd") - F.col("quarter_cost_usd")
+    return priced.withColumn("nim_pct", ratio_pct(margin, F.col("outstanding_usd"), 4))

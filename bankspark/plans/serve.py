@@ -388,4 +388,4 @@ def accept_branch_rows(league: DataFrame, performance: DataFrame) -> DataFrame:
 
 def _accept(tile: DataFrame, view: DataFrame) -> DataFrame:
     gap = F.abs(F.col("tile_value") - F.col("view_value"))
-    return tile.crossJoin(view).withColumn("ok", flag(gap <= F.lit("0.01").cast("decimal(18,2)")))
+    return tile.withColumn("view_value", view.scalar()).withColumn("ok", flag(gap <= F.lit("0.01").cast("decimal(18,2)")))

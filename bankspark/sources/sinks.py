@@ -40,6 +40,8 @@ def append_log(df: DataFrame, path: str) -> None:
 
 
 def read_if_exists(spark: SparkSession, path: str) -> DataFrame | None:
+    if "*" not in path and not _fs(spark, path).exists(_path(spark, path)):
+        return None
     try:
         return spark.read.parquet(path)
     except AnalysisException:
@@ -75,25 +77,20 @@ def _part_value(date_col: str, grain: str) -> Column:
     return F.coalesce(F.date_format(date_col, pattern), F.lit("none"))
 
 
-def _clustered(df: DataFrame, date_col: str, key: str, grain: str) -> DataFrame:
-    """Rows by date range, so that a task writes few partitions; a hot date is spread over
-    several tasks by its keys."""
-    spread = F.pmod(F.xxhash64(key), F.lit(1024))
+def _clustered(df: DataFrame, date_col: str, grain: str) -> DataFrame:
+    """Rows gathered by partition and sorted by date. The rebalance hint lets AQE size the
+    writing tasks by the data: small partitions share a task, a large or hot one is split."""
     return (
         df.withColumn(PART, _part_value(date_col, grain))
-        .repartitionByRange(F.col(PART), F.col(date_col), spread)
+        .hint("rebalance", F.col(PART))
         .sortWithinPartitions(PART, date_col)
     )
 
 
-def write_clustered(
-    df: DataFrame, path: str, date_col: str, key: str, grain: str = "month"
-) -> None:
+def write_clustered(df: DataFrame, path: str, date_col: str, grain: str = "month") -> None:
     """Table partitioned by month or day and sorted by date inside its files, so that date
     filters skip partitions and row groups. Take `day` where a month is terabytes."""
-    _clustered(df, date_col, key, grain).write.mode("overwrite").option(
-        "partitionOverwriteMode", "static"
-    ).partitionBy(PART).parquet(path)
+    _clustered(df, date_col, grain).write.mode("overwrite").partitionBy(PART).parquet(path)
 
 
 def rewrite_partitions(
@@ -120,7 +117,7 @@ def rewrite_partitions(
     old = target.filter(F.col(PART).isin(*touched)).drop(PART)
     written = Observation()
     pending = path.rstrip("/") + PENDING
-    _clustered(merge(old, incoming), date_col, key, grain).observe(
+    _clustered(merge(old, incoming), date_col, grain).observe(
         written, F.collect_set(PART).alias("parts")
     ).write.partitionBy(PART).parquet(pending)
     fs = _fs(spark, pending)
@@ -200,7 +197,7 @@ def newest_partition(spark: SparkSession, path: str) -> str | None:
 
 def newest_rows(spark: SparkSession, path: str) -> DataFrame | None:
     """The rows of the last partition: enough to find the newest date of the table."""
-    if read_if_exists(spark, path) is None:
+    if not _fs(spark, path).exists(_path(spark, path)):
         return None
     part = newest_partition(spark, path)
     return read_parts(spark, path, [] if part is None else [part])
@@ -222,8 +219,8 @@ def merge_into_table(
 ) -> None:
     """Merge by unique key into a date-clustered table, created if missing."""
     finish_move(spark, path)
-    if read_if_exists(spark, path) is None:
-        write_clustered(updates, path, date_col, key, grain)
+    if not _fs(spark, path).exists(_path(spark, path)):
+        write_clustered(updates, path, date_col, grain)
         return
     staged = work_dir(spark, "updates")
     updates.write.parquet(staged)

@@ -58,7 +58,7 @@ def merge_batch(
     target = read_if_exists(spark, sink)
     if target is None:
         inserts = changes.filter(F.col("cdc_operation") == "INSERT").withColumn("ingested_at", now)
-        write_clustered(inserts.select(*SINK_COLS), sink, DAY, KEY, grain)
+        write_clustered(inserts.select(*SINK_COLS), sink, DAY, grain)
         return None
     return rewrite_partitions(
         spark, sink, DAY, KEY, grain,

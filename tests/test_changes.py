@@ -104,13 +104,13 @@ def test_an_interrupted_move_is_finished_or_dropped(spark, tmp_path):
     schema = "k string, day date, v int"
     day = lambda s: ts(s).date()
     base = frame(spark, schema, ("a", day("2024-01-05"), 1), ("b", day("2024-02-05"), 2), ("c", day("2024-03-05"), 3))
-    sinks.write_clustered(base, str(path), "day", "k")
+    sinks.write_clustered(base, str(path), "day")
     # Incomplete: dropped.
-    sinks.write_clustered(frame(spark, schema, ("a", day("2024-01-05"), 9)), str(pending), "day", "k")
+    sinks.write_clustered(frame(spark, schema, ("a", day("2024-01-05"), 9)), str(pending), "day")
     sinks.finish_move(spark, str(path))
     assert bag(sinks.read_clustered(spark, str(path)), "k", "v") == [("a", 1), ("b", 2), ("c", 3)] and not pending.exists()
     # Complete, and the process died after it had removed the old January: finished.
-    sinks.write_clustered(frame(spark, schema, ("a", day("2024-01-05"), 9)), str(pending), "day", "k")
+    sinks.write_clustered(frame(spark, schema, ("a", day("2024-01-05"), 9)), str(pending), "day")
     (pending / "date_part=m2024-02").mkdir()
     (pending / sinks.READY).touch()
     sinks.discard(spark, str(path / "date_part=m2024-01"))
@@ -133,13 +133,23 @@ def test_replacing_a_table_survives_an_interruption(spark, tmp_path):
     assert spark.read.parquet(path).count() == 7
 
 
-def test_clustered_table_prunes_and_spreads_a_hot_day(spark, tmp_path):
+def test_clustered_table_prunes_and_splits_a_hot_day(spark, tmp_path):
     path = str(tmp_path / "hot")
-    df = spark.range(0, 20000, 1, 4).select(
-        F.col("id").cast("string").alias("k"),
-        F.when(F.col("id") % 3 == 0, F.lit("2024-01-01")).otherwise(F.lit("2024-02-01")).cast("date").alias("day"),
+    df = spark.range(0, 200000, 1, 8).select(
+        F.md5(F.col("id").cast("string")).alias("k"),
+        F.when(F.col("id") % 3 == 0, F.lit("2024-01-01").cast("date"))
+        .otherwise(F.date_add(F.lit("2024-02-01").cast("date"), (F.col("id") % 20).cast("int"))).alias("day"),
     )
-    sinks.write_clustered(df, path, "day", "k", grain="day")
+    size = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    old = spark.conf.get(size)
+    spark.conf.set(size, "500KB")
+    try:
+        sinks.write_clustered(df, path, "day", grain="day")
+    finally:
+        spark.conf.set(size, old)
     back = spark.read.parquet(path).filter("date_part = 'd2024-01-01'")
-    assert back.count() == 6667 and len(back.inputFiles()) >= 1
+    assert back.count() == 66667
+    hot = [f for f in spark.read.parquet(path).inputFiles() if "d2024-01-01" in f]
+    cold = [f for f in spark.read.parquet(path).inputFiles() if "d2024-02-05" in f]
+    assert len(hot) >= 4 and len(hot) > len(cold)
     assert "PartitionFilters: [isnotnull(date_part" in back._jdf.queryExecution().executedPlan().toString()
