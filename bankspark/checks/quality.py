@@ -326,12 +326,13 @@ def _(b: Bank):
     coalesce(CAST(abs(row_count - prev_row_count) * 2 > prev_row_count AS INT), 0) AS is_row_drift
   FROM (SELECT *, avg(duration_s) OVER (PARTITION BY connector ORDER BY epoch(synced_at)::BIGINT RANGE BETWEEN 2592000 PRECEDING AND 1 PRECEDING) AS avg_duration_s,
       lag(row_count) OVER (PARTITION BY connector ORDER BY synced_at) AS prev_row_count
-    FROM (SELECT CAST(user_id AS VARCHAR) AS connector, ts AS synced_at, CAST(floor(value) AS BIGINT) AS duration_s, 1000 + event_id % 1500 AS row_count FROM events))
+    FROM (SELECT event_type AS connector, date_trunc('hour', ts) AS synced_at, CAST(sum(CAST(floor(value) AS BIGINT)) AS BIGINT) AS duration_s, count(*) AS row_count FROM events GROUP BY 1, 2))
   WHERE duration_s > avg_duration_s * 2 OR abs(row_count - prev_row_count) * 2 > prev_row_count""")
 def _(b: Bank):
-    log = b.table("events").selectExpr(
-        "cast(user_id as string) as connector", "ts as synced_at", "cast(floor(value) as bigint) as duration_s",
-        "1000 + event_id % 1500 as row_count",
+    """The log of an hourly sync per kind of event."""
+    hour = F.date_trunc("hour", "ts").cast("timestamp_ntz")
+    log = b.table("events").groupBy(F.col("event_type").alias("connector"), hour.alias("synced_at")).agg(
+        F.sum(F.floor("value")).alias("duration_s"), F.count(F.lit(1)).alias("row_count")
     )
     return Q.sync_anomalies(log)
 
