@@ -81,15 +81,19 @@ def revenue_exec(revenue: DataFrame) -> DataFrame:
     )
 
 
-def active_customers_exact(fct: DataFrame) -> DataFrame:
-    """Month x segment x region recount of distinct customers."""
+def active_customers_exact(fct: DataFrame, error: float | None = None) -> DataFrame:
+    """Month x segment x region recount of distinct customers; with `error`, the relative
+    standard deviation to accept, a sketch instead of an exact count."""
+    customers = (
+        F.countDistinct("customer_id") if error is None else F.approx_count_distinct("customer_id", error)
+    )
     return (
         completed(fct)
         .groupBy(
             month_start(F.col("transaction_date")).alias("revenue_month"),
             "customer_segment", "branch_region",
         )
-        .agg(F.countDistinct("customer_id").alias("active_customers"))
+        .agg(customers.alias("active_customers"))
     )
 
 

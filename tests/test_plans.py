@@ -67,6 +67,19 @@ def test_hot_account_is_split_by_the_adaptive_join(spark):
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
+def test_sketched_counts_are_near_the_exact_ones(spark):
+    from bankspark.plans.serve import active_customers_exact
+
+    fct = spark.range(20000).select(
+        F.lit("COMPLETED").alias("transaction_status"), F.lit("2024-01-15").cast("date").alias("transaction_date"),
+        F.lit("RETAIL").alias("customer_segment"), F.lit("Emea").alias("branch_region"),
+        (F.col("id") % 5000).alias("customer_id"),
+    )
+    exact = active_customers_exact(fct).first()["active_customers"]
+    near = active_customers_exact(fct, 0.02).first()["active_customers"]
+    assert exact == 5000 and abs(near - exact) < 500
+
+
 def test_registry():
     assert len(QUERIES) > 120 and set(ORACLE) <= set(QUERIES)
     assert len(set(QUERIES) - set(ORACLE)) == 0
