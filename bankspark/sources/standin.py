@@ -9,15 +9,17 @@ older copies of a row, orphan references, odd amounts.
 
 from __future__ import annotations
 
+import os
 from datetime import date, datetime
 from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from bankspark.config import Params
 from bankspark.schemas import EXCHANGE_RATES
 from bankspark.sources.calendar import calendar_of
-from bankspark.sources.files import source
+from bankspark.sources import files
 
 BANK = Params(as_of=datetime(2001, 12, 31))
 EVENTS = Params(as_of=datetime(2024, 1, 31))
@@ -41,6 +43,17 @@ BASE_RATES = {"USD": "1.0", "INR": "0.01205", "EUR": "1.088", "GBP": "1.272"}
 SYNC = "timestamp_ntz'2001-12-31 00:00:00'"
 
 
+_schemas: dict[str, StructType] = {}
+
+
+def source(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A benchmark table. These never change, so the schema in a file is looked up once."""
+    path = os.path.join(sf_dir, f"{name}.parquet")
+    if path not in _schemas:
+        _schemas[path] = files.source(spark, sf_dir, name).schema
+    return spark.read.schema(_schemas[path]).parquet(path)
+
+
 def _pick(values: tuple[str, ...], index: str) -> str:
     """SQL: the value at a zero-based index."""
     items = ", ".join(f"'{v}'" for v in values)

@@ -83,6 +83,8 @@ def test_changes_over_several_runs(spark, tmp_path):
     before = pipe.stored(), pipe.flags()
     pipe.run()  # nothing new has landed
     assert (pipe.stored(), pipe.flags()) == before
+    pipe.run(change("unknown", "60000.00", "DELETE"))  # touches no partition
+    assert (pipe.stored(), pipe.flags()) == before
 
 
 def test_a_repeated_batch_changes_nothing(spark, tmp_path):
