@@ -54,15 +54,25 @@ def with_burst_count(
     )
 
 
+def burst_hits(
+    df: DataFrame, key: str, ts: str, minutes: int = 60, at_least: int = 3
+) -> DataFrame:
+    """The (key, ts) instants whose window holds at least `at_least` rows."""
+    return burst_counts(df, key, ts, minutes).filter(F.col("txn_count") >= at_least)
+
+
 def with_burst_flag(
     df: DataFrame, key: str, ts: str, minutes: int = 60, at_least: int = 3,
-    name: str = "is_rapid_fire_flag",
+    name: str = "is_rapid_fire_flag", hits: DataFrame | None = None,
 ) -> DataFrame:
     """Every row with a 0/1 flag: at least `at_least` rows in the window ending at it.
 
-    Only the instants that reach the count are joined back, which are few.
+    Only the instants that reach the count are joined back, which are few. Pass the written
+    `burst_hits` as `hits` where `df` is large: their size is then known when the join is
+    planned, and if it is small `df` is not shuffled at all.
     """
-    hits = burst_counts(df, key, ts, minutes).filter(F.col("txn_count") >= at_least)
+    if hits is None:
+        hits = burst_hits(df, key, ts, minutes, at_least)
     return (
         df.join(hits, _same(df, key, ts), "left")
         .withColumn(name, F.when(F.col("txn_count").isNotNull(), 1).otherwise(0))

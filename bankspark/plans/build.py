@@ -144,7 +144,8 @@ def build(
     table("fct_quarterly_kpis", lambda: marts.quarterly_kpis(revenue))
     table("fct_customer_profitability", lambda: marts.customer_profitability(customer, fact, loan, p))
     table("fct_loan_portfolio", lambda: loans.loan_portfolio(loan))
-    flagged = table("fct_fraud_indicators", lambda: fraud.fraud_indicators(fact, p))
+    hits = table("rapid_fire_hits", lambda: fraud.rapid_fire_hits(fact, p), "work")
+    flagged = table("fct_fraud_indicators", lambda: fraud.fraud_indicators(fact, p, hits))
     table("vw_fraud_daily", lambda: serve.fraud_daily(flagged), "view")
     table("vw_revenue_exec", lambda: serve.revenue_exec(revenue), "view")
     table("column_tests", lambda: dq.run_contracts(out, dq.MART_CONTRACTS, p), "test")

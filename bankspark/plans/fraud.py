@@ -8,7 +8,7 @@ from bankspark.config import Params
 from bankspark.functions import rules
 from bankspark.functions.dates import lit_ts
 from bankspark.functions.numbers import flag
-from bankspark.operators.bursts import with_burst_flag
+from bankspark.operators.bursts import burst_hits, with_burst_flag
 from bankspark.operators.joins import not_already_in
 from bankspark.operators.rows import non_empty
 
@@ -21,11 +21,20 @@ REASONS = (
 )
 
 
-def fraud_indicators(fct: DataFrame, p: Params) -> DataFrame:
-    """Transactions that meet at least one rule, with all reasons."""
-    flagged = with_burst_flag(
+def rapid_fire_hits(fct: DataFrame, p: Params) -> DataFrame:
+    """The accounts and instants that the rapid-fire rule catches."""
+    return burst_hits(
         fct, "account_id", "transaction_timestamp", p.rapid_fire_minutes, p.rapid_fire_count
     )
+
+
+def fraud_indicators(fct: DataFrame, p: Params, hits: DataFrame | None = None) -> DataFrame:
+    """Transactions that meet at least one rule, with all reasons. `hits` are the written
+    rapid_fire_hits, worked out on the fly if missing."""
+    flagged = with_burst_flag(
+        fct, "account_id", "transaction_timestamp", p.rapid_fire_minutes, p.rapid_fire_count,
+        hits=hits,
+    )
     reasons = F.array_compact(
         F.array(*[F.when(F.col(c) == 1, F.lit(reason)) for reason, c in REASONS])
     )

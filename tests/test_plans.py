@@ -6,14 +6,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from bankspark.checks.all import ORACLE, QUERIES
-from bankspark.operators.bursts import with_burst_flag
+from bankspark.operators.bursts import burst_hits, with_burst_flag
+from bankspark.sources.sinks import materialize
 from tests.util import final_plan, plan
 
-# Queries that write or stream inside and hand back a plain scan.
-WRITERS = {
-    "cdc_stream", "suspicious_stream", "rapid_fire_stream", "fraud_daily_stream", "dedup_watermark", "stream_progress",
-    "fct_incremental", "clustered_table", "append_only_log", "materialised_reload", "column_tests_marts",
-}
 ROW_LEVEL = (
     "stg_transactions", "enrich_transactions", "revenue_monthly", "branch_performance", "customer_profitability",
     "fraud_indicators", "rapid_fire_txn", "point_in_time_join", "snapshot_scd2", "apply_changes", "table_changes",
@@ -67,6 +63,19 @@ def test_hot_account_is_split_by_the_adaptive_join(spark):
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
+def test_written_hits_spare_the_fact_its_shuffle(spark, tmp_path):
+    fact = spark.range(20000).select(
+        F.concat(F.lit("A"), F.col("id") % 500).alias("account_id"), F.timestamp_seconds(F.col("id") * F.when(F.col("id") < 5000, 3).otherwise(7)).cast("timestamp_ntz").alias("t"),
+    )
+    fact.write.parquet(str(tmp_path / "fact"))
+    fact = spark.read.parquet(str(tmp_path / "fact"))
+    hits = materialize(burst_hits(fact, "account_id", "t"), str(tmp_path), "hits")
+    quick = with_burst_flag(fact, "account_id", "t", hits=hits)
+    assert "BroadcastHashJoin" in plan(quick) and "Exchange hashpartitioning" not in plan(quick)
+    slow = with_burst_flag(fact, "account_id", "t")
+    assert quick.exceptAll(slow).count() == 0 and quick.filter("is_rapid_fire_flag = 1").count() > 0
+
+
 def test_sketched_counts_are_near_the_exact_ones(spark):
     from bankspark.plans.serve import active_customers_exact
 
