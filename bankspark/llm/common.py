@@ -9,6 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from bankspark.session import work_dir
+from bankspark.sources.sinks import discard
 
 # Rows per Arrow batch handed to Python. Texts can be long, so batches are kept short; the
 # operators cut them once more by bytes (`byte_slices`).
@@ -29,7 +30,14 @@ def write_stage(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
     spark = df.sparkSession
     path = work_dir(spark, name)
     df.write.option("compression", "zstd").partitionBy(*partition_by).parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    back = spark.read.schema(df.schema).parquet(path)
+    back.stage_path = path
+    return back
+
+
+def drop_stage(df: DataFrame) -> None:
+    """Remove an intermediate that nothing will read again."""
+    discard(df.sparkSession, df.stage_path)
 
 
 def id_remainder(col: str, mod: int) -> Column:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from bankspark.llm import langid, packing
+from bankspark.llm import langid, packing, suffix_dedup
 from bankspark.llm.common import id_remainder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -23,6 +23,14 @@ def query(f: Callable[[SparkSession, str], DataFrame]):
     return f
 
 
+@query
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return suffix_dedup.remove_repeats(docs, min_bytes=200, keep="none").select(
+        "doc_id", "llm_kept.n_bytes", "llm_kept.n_removed", "llm_kept.n_spans",
+        F.sha2("llm_kept.kept", 256).alias("kept_sha256"))
+
+
 @query
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").withColumn("held_out", id_remainder("doc_id", 3) == 1)
