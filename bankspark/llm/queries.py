@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from bankspark.llm import langid, packing, suffix_dedup
+from bankspark.llm import langid, near_dup, packing, suffix_dedup
 from bankspark.llm.common import id_remainder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -38,6 +38,12 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(docs.select("doc_id", "text", "held_out"), model).drop("text")
 
 
+@query
+def op9_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return near_dup.near_duplicates(docs).select("doc_id", "n_shingles", "component_id", "kept")
+
+
 @query
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
