@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from bankspark.llm import langid, near_dup, packing, suffix_dedup
+from bankspark.llm import decontam, langid, near_dup, packing, suffix_dedup
 from bankspark.llm.common import id_remainder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -23,6 +23,10 @@ def query(f: Callable[[SparkSession, str], DataFrame]):
     return f
 
 
+# A-Z as a-z and nothing else, in the checking SQL.
+SQL_LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
 @query
 def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -31,6 +35,40 @@ def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("llm_kept.kept", 256).alias("kept_sha256"))
 
 
+@query
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), "contaminated")
+
+
+ORACLE["op4_decontamination"] = rf"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all({SQL_LOWER.format("coalesce(text, '')")}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+), i AS (
+  SELECT DISTINCT item_id, regexp_extract_all({SQL_LOWER.format("coalesce(text, '')")}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark
+), win AS (
+  SELECT DISTINCT item_id, len(list_slice(w, s, s + 12)) AS size, array_to_string(list_slice(w, s, s + 12), ' ') AS terms
+  FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 12, 1) + 1)) AS s FROM i WHERE len(w) > 0)
+), sizes AS (SELECT DISTINCT size FROM win),
+grams AS (
+  SELECT doc_id, s, size, array_to_string(list_slice(w, s, s + size - 1), ' ') AS terms
+  FROM (SELECT doc_id, w, size, unnest(range(1, len(w) - size + 2)) AS s FROM d, sizes)
+), hit AS (SELECT g.doc_id, g.s, g.size, win.item_id FROM grams g JOIN win USING (size, terms)),
+covered AS (
+  SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(s, s + size)) AS p FROM hit) GROUP BY doc_id
+), named AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS id FROM hit) GROUP BY doc_id
+)
+SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(d.w) AS contaminated
+FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN named USING (doc_id)
+"""
+
+
 @query
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").withColumn("held_out", id_remainder("doc_id", 3) == 1)
