@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from bankspark.llm import decontam, langid, near_dup, packing, suffix_dedup
+from bankspark.llm import decontam, langid, near_dup, packing, preferences, suffix_dedup, url_filter
 from bankspark.llm.common import id_remainder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -35,6 +35,34 @@ def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("llm_kept.kept", 256).alias("kept_sha256"))
 
 
+# Fixed values of the contract.
+URL_RULES = [
+    ("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"),
+    ("net", "/es/", "block"), ("net", "/fr/", "block"),
+]
+
+
+@query
+def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    return url_filter.apply_rules(pages, rules).select("page_id", "llm_rule.*")
+
+
+ORACLE["op2_url_filter"] = f"""
+WITH rules(rhost, rpath, rverdict) AS (VALUES {", ".join(str(r) for r in URL_RULES)}),
+a AS (SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
+b AS (SELECT page_id, rest, regexp_extract(rest, '^[^/?#]*') AS raw FROM a),
+p AS (SELECT page_id, {SQL_LOWER.format("raw")} AS host, regexp_extract(substr(rest, length(raw) + 1), '^[^?#]*') AS path FROM b),
+m AS (
+  SELECT page_id, arg_max(rhost || rpath, length(rhost) * 1000 + length(rpath)) AS rule,
+         arg_max(rverdict, length(rhost) * 1000 + length(rpath)) AS rverdict
+  FROM p JOIN rules ON (host = rhost OR ends_with(host, '.' || rhost)) AND starts_with(path, rpath) GROUP BY page_id
+)
+SELECT p.page_id, host, path, rule, coalesce(rverdict, 'allow') AS verdict FROM p LEFT JOIN m USING (page_id)
+"""
+
+
 @query
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -69,6 +97,47 @@ FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN named USING (doc_id)
 """
 
 
+@query
+def op5_preference_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations")
+    pairs = preferences.format_pairs(turns, preferences.neighbour_pairs(turns))
+    shown = lambda c: F.array_join(F.transform(c, lambda s: F.concat(s["start"], F.lit("-"), s["end"])), ",")
+    return pairs.withColumns({c: shown(c) for c in ("chosen_trained", "rejected_trained")})
+
+
+ORACLE["op5_preference_format"] = """
+WITH t AS (
+  SELECT conv_id, coalesce(role, 'unknown') AS role, coalesce(text, '') AS text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, 'unknown'), coalesce(text, '')) AS i
+  FROM conversations WHERE conv_id IS NOT NULL
+), n AS (
+  SELECT conv_id, count(*) AS k, sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END) AS said FROM t GROUP BY conv_id
+), pairs AS (
+  SELECT c.conv_id AS chosen_id, r.conv_id AS rejected_id, least(c.k, r.k) AS k
+  FROM n c JOIN n r ON c.conv_id // 2 = r.conv_id // 2 AND c.conv_id <> r.conv_id
+       AND (c.said > r.said OR c.said = r.said AND c.conv_id < r.conv_id)
+), common AS (
+  SELECT chosen_id, rejected_id, coalesce(min(CASE WHEN c.role <> r.role OR c.text <> r.text THEN c.i - 1 END), any_value(k)) AS n_prompt
+  FROM pairs JOIN t c ON c.conv_id = chosen_id JOIN t r ON r.conv_id = rejected_id AND r.i = c.i GROUP BY chosen_id, rejected_id
+), shown AS (
+  SELECT chosen_id, rejected_id, n_prompt, conv_id = chosen_id AS chosen, i, role, text, i > n_prompt AS rest,
+         '<|' || role || '|>' || chr(10) || text || '<|end|>' || chr(10) AS line
+  FROM common JOIN t ON conv_id IN (chosen_id, rejected_id)
+), placed AS (
+  SELECT *, sum(length(line)) OVER (PARTITION BY chosen_id, rejected_id, chosen, rest ORDER BY i) - length(line) AS pos FROM shown
+), spans AS (
+  SELECT *, CASE WHEN rest AND role = 'assistant' THEN (pos + length(role) + 5)::BIGINT || '-' || (pos + length(line) - 1)::BIGINT END AS span FROM placed
+)
+SELECT chosen_id, rejected_id, CAST(n_prompt AS INTEGER) AS n_prompt,
+       coalesce(string_agg(line, '' ORDER BY i) FILTER (WHERE chosen AND NOT rest), '') AS prompt,
+       coalesce(string_agg(line, '' ORDER BY i) FILTER (WHERE chosen AND rest), '') AS chosen,
+       coalesce(string_agg(span, ',' ORDER BY i) FILTER (WHERE chosen AND rest), '') AS chosen_trained,
+       coalesce(string_agg(line, '' ORDER BY i) FILTER (WHERE NOT chosen AND rest), '') AS rejected,
+       coalesce(string_agg(span, ',' ORDER BY i) FILTER (WHERE NOT chosen AND rest), '') AS rejected_trained
+FROM spans GROUP BY chosen_id, rejected_id, n_prompt
+"""
+
+
 @query
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").withColumn("held_out", id_remainder("doc_id", 3) == 1)
