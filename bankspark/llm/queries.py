@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from bankspark.llm import decontam, langid, near_dup, packing, preferences, quality, suffix_dedup, topk, url_filter
+from bankspark.llm import decontam, langid, lm, near_dup, packing, preferences, quality, suffix_dedup, topk, url_filter
 from bankspark.llm.common import id_remainder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -170,6 +170,14 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(docs.select("doc_id", "text", "held_out"), model).drop("text")
 
 
+@query
+def op8_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = lm.score_corpus(docs, id_remainder("doc_id", 5) == 1)
+    no_id = F.col("k_id") == F.lit(-(2**63)).cast("long")
+    return found.select(F.when(~no_id, F.col("k_id")).alias("doc_id"), *found.columns[2:])
+
+
 @query
 def op9_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
