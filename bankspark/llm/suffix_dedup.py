@@ -397,8 +397,9 @@ def merge_spans(flat: list[int] | None) -> list[tuple[int, int]]:
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_bytes: int = 200,
-                   keep: str = "first", out: str = "llm_kept") -> DataFrame:
-    """`docs` with a struct column `out`: n_bytes, n_removed, n_spans, kept (the bytes that stay).
+                   keep: str = "first", out: str = "llm_kept", as_text: bool = False) -> DataFrame:
+    """`docs` with a struct column `out`: n_bytes, n_removed, n_spans, kept (the bytes that stay;
+    `as_text`: as a string, without the halves of characters that a cut left).
 
     A byte goes if a string of `min_bytes` around it, inside one document, stands earlier in the
     corpus, the same document included (`keep="first"`: documents in order of id, null first), or
@@ -418,7 +419,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     k_id, k_row = row_key(id_col, text_col)
     left = docs.select(*[F.col(f"`{c}`") for c in names], k_id, k_row)
     joined = left.join(spans, ["k_id", "k_row"], "left").select(*[left[f"`{c}`"] for c in names], "spans")
-    kind = T.StructType.fromDDL("n_bytes long, n_removed long, n_spans long, kept binary")
+    kind = T.StructType.fromDDL(f"n_bytes long, n_removed long, n_spans long, kept {'string' if as_text else 'binary'}")
+    held = pa.string() if as_text else pa.binary()
     schema = T.StructType([*docs.schema.fields, T.StructField(out, kind)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -436,8 +438,9 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                         at = b
                     keep_parts.append(text[at:])
                     kept = b"".join(keep_parts)
-                    rows.append({"n_bytes": len(text), "n_removed": len(text) - len(kept), "n_spans": len(cuts), "kept": kept})
-                arrow = pa.array(rows, pa.struct([("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept", pa.binary())]))
+                    shown = kept.decode("utf-8", "ignore") if as_text else kept
+                    rows.append({"n_bytes": len(text), "n_removed": len(text) - len(kept), "n_spans": len(cuts), "kept": shown})
+                arrow = pa.array(rows, pa.struct([("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept", held)]))
                 yield pa.RecordBatch.from_arrays([*part.columns[:len(names)], arrow], names=[*names, out])
 
     return joined.mapInArrow(run, schema)
