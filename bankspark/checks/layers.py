@@ -16,10 +16,10 @@ from bankspark.operators.changes import sync_columns
 from bankspark.operators.history import (
     current_rows, overwrite_type1, snapshot_check, start_history, with_version_key,
 )
-from bankspark.plans import dims, enrich, staging
+from bankspark.plans import dims, enrich, marts, staging
 from bankspark.sources import sinks
 from bankspark.session import work_dir
-from bankspark.sources.files import land, load, read_csv
+from bankspark.sources.files import land, load, read_csv, read_seed
 
 # --- sources --------------------------------------------------------------------------------
 
@@ -47,14 +47,18 @@ def _(b: Bank):
 
 
 @query("seed_rates", """
-  SELECT currency, CAST(rate_to_usd AS DOUBLE) AS rate_to_usd, effective_month, n FROM fx JOIN (
+  SELECT currency, CAST(rate_to_usd AS DOUBLE) AS rate_to_usd, effective_month, coalesce(n, 0) AS n FROM fx LEFT JOIN (
     SELECT currency AS c, date_trunc('month', transaction_date) AS m, count(*) AS n
     FROM stg_transactions GROUP BY 1, 2) ON c = currency AND m = effective_month""")
 def _(b: Bank):
+    """The rates written as a seed file and read back, with the transactions each applies to."""
+    path = work_dir(b.spark, "seed")
+    b.fx.write.csv(path, header=True)
     used = b.stg["transactions"].groupBy(
         F.col("currency"), F.trunc("transaction_date", "month").alias("effective_month")
     ).agg(F.count(F.lit(1)).alias("n"))
-    return b.fx.join(used, ["currency", "effective_month"])
+    rates = read_seed(b.spark, path, schemas.EXCHANGE_RATES)
+    return rates.join(used, ["currency", "effective_month"], "left").fillna(0, ["n"])
 
 
 @query("calendar_source", "SELECT date_key, month, quarter, year, fiscal_period FROM raw_calendar")
@@ -222,39 +226,47 @@ def _(b: Bank):
     return b.stg["calendar"]
 
 
-@query("stg_customers_warehouse", f"""
-  SELECT md5(customer_id) AS customer_sk, {code('customer_id')} AS customer_id, loaded_at FROM (
-    SELECT customer_id, _synced AS loaded_at, row_number() OVER (PARTITION BY {code('customer_id')} ORDER BY _synced DESC) AS rn
-    FROM raw_customers WHERE NOT _deleted) WHERE rn = 1""")
+def _twin(sk: str, key: str, cols: str, raw: str, where: str = "") -> str:
+    """The newest row per cleansed key, with the hash of the raw one."""
+    return f"""
+  SELECT md5(raw_key) AS {sk}, * EXCLUDE (raw_key, rn) FROM (
+    SELECT {key} AS raw_key, {cols}, _synced AS loaded_at, row_number() OVER (PARTITION BY {code(key)} ORDER BY _synced DESC) AS rn
+    FROM {raw} WHERE NOT _deleted {where}) WHERE rn = 1"""
+
+
+@query("stg_customers_warehouse", _twin(
+    "customer_sk", "customer_id", f"""{code('customer_id')} AS customer_id, {title('customer_name')} AS customer_name,
+      coalesce({code('customer_segment')}, 'UNKNOWN') AS customer_segment,
+      CASE WHEN {code('risk_category')} IN ('LOW', 'MEDIUM', 'HIGH') THEN {code('risk_category')} ELSE 'UNKNOWN' END AS risk_category,
+      {title('region')} AS region, onboarding_date""", "raw_customers"))
 def _(b: Bank):
-    return staging.stg_customers(b.raw["customers"], staging.WAREHOUSE).select("customer_sk", "customer_id", "loaded_at")
+    return staging.stg_customers(b.raw["customers"], staging.WAREHOUSE)
 
 
-@query("stg_accounts_warehouse", f"""
-  SELECT md5(account_id) AS account_sk, {code('account_id')} AS account_id, coalesce({code('account_status')}, 'UNKNOWN') AS account_status FROM (
-    SELECT *, row_number() OVER (PARTITION BY {code('account_id')} ORDER BY _synced DESC) AS rn
-    FROM raw_accounts WHERE NOT _deleted) WHERE rn = 1""")
+@query("stg_accounts_warehouse", _twin(
+    "account_sk", "account_id", f"""{code('account_id')} AS account_id, {code('customer_id')} AS customer_id, {code('account_type')} AS account_type,
+      {code('branch_id')} AS branch_id, coalesce({code('account_status')}, 'UNKNOWN') AS account_status, open_date""", "raw_accounts"))
 def _(b: Bank):
-    return staging.stg_accounts(b.raw["accounts"], staging.WAREHOUSE).select("account_sk", "account_id", "account_status")
+    return staging.stg_accounts(b.raw["accounts"], staging.WAREHOUSE)
 
 
-@query("stg_transactions_warehouse", f"""
-  SELECT md5(transaction_id) AS transaction_sk, {code('transaction_id')} AS transaction_id, CAST(nullif(amount, 0) AS DOUBLE) AS amount FROM (
-    SELECT *, row_number() OVER (PARTITION BY {code('transaction_id')} ORDER BY _synced DESC) AS rn
-    FROM raw_transactions WHERE NOT _deleted AND amount IS NOT NULL) WHERE rn = 1""")
+@query("stg_transactions_warehouse", _twin(
+    "transaction_sk", "transaction_id", f"""{code('transaction_id')} AS transaction_id, {code('account_id')} AS account_id,
+      {code('transaction_type')} AS transaction_type, CAST(nullif(amount, 0) AS DOUBLE) AS amount, {code('currency')} AS currency,
+      {code('merchant_category')} AS merchant_category, transaction_timestamp, CAST(transaction_timestamp AS DATE) AS transaction_date,
+      coalesce({code('transaction_status')}, 'UNKNOWN') AS transaction_status""", "raw_transactions", "AND amount IS NOT NULL"))
 def _(b: Bank):
-    return staging.stg_transactions(b.raw["transactions"], staging.WAREHOUSE).select("transaction_sk", "transaction_id", "amount")
+    return staging.stg_transactions(b.raw["transactions"], staging.WAREHOUSE)
 
 
 @query("stg_loans_warehouse", f"""
-  SELECT md5(loan_id) AS loan_sk, loan_id, {code('loan_status')} AS loan_status,
-    CAST({code('loan_status')} IN ('DEFAULTED', 'WRITTEN_OFF') AS INT) AS is_default_flag,
+  SELECT md5(loan_id) AS loan_sk, {code('loan_id')} AS loan_id, {code('customer_id')} AS customer_id, {code('loan_type')} AS loan_type,
+    CAST(loan_amount AS DOUBLE) AS loan_amount, CAST(interest_rate AS DOUBLE) AS interest_rate, CAST(emi_amount AS DOUBLE) AS emi_amount,
+    {code('loan_status')} AS loan_status, CAST({code('loan_status')} IN ('DEFAULTED', 'WRITTEN_OFF') AS INT) AS is_default_flag,
     CAST({code('loan_status')} = 'DELINQUENT' AS INT) AS is_delinquent_flag, disbursement_date, _synced AS loaded_at
   FROM raw_loans WHERE NOT _deleted""")
 def _(b: Bank):
-    return staging.stg_loans(b.raw["loans"], staging.WAREHOUSE).select(
-        "loan_sk", "loan_id", "loan_status", "is_default_flag", "is_delinquent_flag", "disbursement_date", "loaded_at"
-    )
+    return staging.stg_loans(b.raw["loans"], staging.WAREHOUSE)
 
 
 @query("loan_flags", "SELECT loan_id, loan_status, is_default_flag, is_delinquent_flag, is_active_flag FROM stg_loans")
@@ -277,7 +289,7 @@ def _(b: Bank):
 
 @query("completed_filter", f"SELECT transaction_id, {_AMOUNT} FROM stg_transactions WHERE transaction_status = 'COMPLETED'")
 def _(b: Bank):
-    return b.stg["transactions"].filter(F.col("transaction_status") == "COMPLETED").select("transaction_id", "amount")
+    return marts.completed(b.stg["transactions"]).select("transaction_id", "amount")
 
 
 @query("array_non_empty", "SELECT c_custkey, array_to_string(list_filter([CASE WHEN c_acctbal < 0 THEN 'DEBT' END, CASE WHEN c_custkey % 3 = 0 THEN 'THIRD' END], lambda x: x IS NOT NULL), '|') AS marks FROM customer WHERE c_acctbal < 0 OR c_custkey % 3 = 0")

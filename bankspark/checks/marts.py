@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import date
+from datetime import date, datetime
 
 from pyspark.sql import Window, functions as F
 
@@ -15,6 +15,9 @@ from bankspark.functions import masks, rules
 from bankspark.functions.dates import lit_date
 from bankspark.operators import bursts, rows
 from bankspark.plans import fraud, loans, marts, serve
+from bankspark.plans.balances import load_balances
+from bankspark.plans.build import as_of
+from bankspark.session import work_dir
 from bankspark.sources import standin
 
 _REV = "revenue_month, customer_segment, customer_risk_category, branch_region"
@@ -139,21 +142,42 @@ def _(b: Bank):
 
 
 _DAILY = f"""
-  SELECT balance_date, loan_type, CASE WHEN tenure IS NULL THEN NULL ELSE
+  SELECT loan_id, balance_date, loan_type, CASE WHEN tenure IS NULL THEN NULL ELSE
     greatest(CAST(loan_amount - emi_amount * least({months_on('disbursement_date', 'balance_date')}, tenure) AS DECIMAL(18, 2)), CAST(0 AS DECIMAL(18, 2))) END AS balance
   FROM (SELECT *, CAST(unnest(generate_series(CAST(disbursement_date AS TIMESTAMP), {AS_OF_TS}, INTERVAL 1 DAY)) AS DATE) AS balance_date
     FROM amortized WHERE disbursement_date <= {AS_OF})"""
 
+# Each loan's days folded to one row: the second sum gives each day a weight of its own, so a
+# balance on the wrong day shows.
+_PER_LOAN = f"""
+  SELECT loan_id, loan_type, count(*) AS days, count(balance) AS rated_days, min(balance_date) AS first_day, max(balance_date) AS last_day,
+    {dbl('sum(balance)')} AS outstanding_usd,
+    CAST(sum(CAST(balance * 100 AS BIGINT) % 1000003 * ((balance_date - DATE '1990-01-01') % 10007)) AS BIGINT) AS by_day
+  FROM daily GROUP BY 1, 2"""
 
-@query("loan_balances_daily", f"""
-  SELECT balance_date, loan_type, count(*) AS loans, count(balance) AS rated_loans, {dbl('sum(balance)')} AS outstanding_usd
-  FROM daily GROUP BY 1, 2""", daily=_DAILY)
+
+def _per_loan(daily):
+    day, balance = F.col("balance_date"), F.col("outstanding_balance")
+    weight = F.date_diff(day, F.lit("1990-01-01").cast("date")) % 10007
+    return daily.groupBy("loan_id", "loan_type").agg(
+        F.count(F.lit(1)).alias("days"), F.count(balance).alias("rated_days"), F.min(day).alias("first_day"), F.max(day).alias("last_day"),
+        F.sum(balance).alias("outstanding_usd"), F.sum((balance * 100).cast("bigint") % 1000003 * weight).alias("by_day"))
+
+
+@query("loan_balances_daily", _PER_LOAN, daily=_DAILY)
 def _(b: Bank):
-    return loans.loan_balances_daily(b.stg["loans"], b.p).groupBy("balance_date", "loan_type").agg(
-        F.count(F.lit(1)).alias("loans"),
-        F.count("outstanding_balance").alias("rated_loans"),
-        F.sum("outstanding_balance").alias("outstanding_usd"),
-    )
+    return _per_loan(loans.loan_balances_daily(b.stg["loans"], b.p))
+
+
+@query("loan_balances_backfill", _PER_LOAN, daily=_DAILY)
+def _(b: Bank):
+    """The stored table: a first load up to mid-2000 without some loans, one up to the end, and one
+    from the first day of the loans that were missing."""
+    path, all_loans = work_dir(b.spark, "balances"), b.stg["loans"]
+    late = (F.substr("loan_id", F.lit(2)).cast("bigint") % 50 == 3) & (F.col("disbursement_date") >= F.lit("1999-06-15").cast("date"))
+    load_balances(b.spark, path, all_loans.filter(~late), as_of(b.p, datetime(2000, 6, 20)))
+    load_balances(b.spark, path, all_loans.filter(~late), b.p)
+    return _per_loan(load_balances(b.spark, path, all_loans, b.p, date(1999, 6, 15)))
 
 
 @query("vintage", f"""

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import os
 from datetime import date, datetime
 
 from pyspark.sql import functions as F
 
 from bankspark.checks.context import RUN1, RUN2, Bank, query
+from bankspark.checks.spec import MART_SPEC, SOURCE_SPEC, STAGING_SPEC, spec_sql
 from bankspark.checks.sql import (
     AS_OF, AS_OF_TS, REVENUE, T1, T2, cents, code, dbl, rdiv, share_pct, sum_if,
 )
@@ -14,7 +16,7 @@ from bankspark.functions import masks, rules
 from bankspark.functions.dates import lit_ts
 from bankspark.operators import changes, governance, ops, quality as Q, rows
 from bankspark.plans import dims, dq, loans as loan_plans, marts, staging
-from bankspark.plans.build import as_of, load_fact_from_raw
+from bankspark.plans.build import as_of, load_fact_from_raw, load_staged_fact
 from bankspark.session import work_dir
 from bankspark.sources import sinks, standin
 from bankspark.streaming.cdc import SINK_COLS
@@ -125,8 +127,22 @@ def _(b: Bank):
     return _verdicts(dq.volume_checks(b.stg, date(2001, 7, 30)))
 
 
+def _sample(name: str, table: str, key: str, bad: str) -> str:
+    rows_ = f"SELECT '{{\"{key}\":\"' || {key} || '\"}}' AS j FROM {table} WHERE {bad} ORDER BY {key} LIMIT 5"
+    return f"WHEN '{name}' THEN (SELECT coalesce(string_agg(j, '|' ORDER BY j), '') FROM ({rows_}))"
+
+
+_SAMPLES = "CASE check_name " + " ".join([
+    _sample("fk_accounts_to_customers", "stg_accounts", "account_id", "customer_id NOT IN (SELECT customer_id FROM stg_customers)"),
+    _sample("fk_transactions_to_accounts", "stg_transactions", "transaction_id", "account_id NOT IN (SELECT account_id FROM stg_accounts)"),
+    _sample("range_transaction_amount_positive", "stg_transactions", "transaction_id", "amount <= 0"),
+    _sample("range_transaction_date_not_future", "stg_transactions", "transaction_id", f"transaction_timestamp > {AS_OF_TS}"),
+    _sample("range_loan_interest_rate", "stg_loans", "loan_id", "interest_rate < 0 OR interest_rate > 30"),
+]) + " ELSE '' END"
+
+
 @query("dq_suite", f"""
-  SELECT 'run-1' AS check_run_id, *, '' AS failed_row_sample, {AS_OF_TS} AS executed_at, 'engine' AS executed_by
+  SELECT 'run-1' AS check_run_id, *, {_SAMPLES} AS failed_row_sample, {AS_OF_TS} AS executed_at, 'engine' AS executed_by
   FROM ({' UNION ALL '.join([_FRESH, _UNIQUE, _FK, _RANGE, _volume(AS_OF)])})""")
 def _(b: Bank):
     return dq.run_bank_suite(b.raw, b.stg, b.p, "run-1")
@@ -221,7 +237,7 @@ _QUALIFY = f"({sum_if(REVENUE)} - {sum_if(_REFUND)})"
     (SELECT sum(net_revenue_usd) AS m FROM revenue), (SELECT {_QUALIFY} AS f FROM fct WHERE transaction_status = 'COMPLETED')
   WHERE abs(m - f) > 0.01""")
 def _(b: Bank):
-    return _reconcile(b, marts.completed(b.fct))
+    return dq.revenue_variance(b.revenue, marts.completed(b.fct))
 
 
 @query("revenue_reconciles_variance", f"""
@@ -229,46 +245,7 @@ def _(b: Bank):
     (SELECT sum(net_revenue_usd) AS m FROM revenue), (SELECT {_QUALIFY} AS f FROM fct)
   WHERE abs(m - f) > 0.01""")
 def _(b: Bank):
-    return _reconcile(b, b.fct)
-
-
-def _reconcile(b: Bank, fact):
-    kind, usd = F.col("transaction_type"), F.col("amount_usd")
-    zero = F.lit(0).cast("decimal(18,2)")
-    value = F.sum(F.when(rules.is_revenue(kind), usd).otherwise(zero)) - F.sum(
-        F.when(kind == "REFUND", usd).otherwise(zero)
-    )
-    return Q.assert_reconciles(
-        b.revenue, F.sum("net_revenue_usd").cast("decimal(28,2)"), fact, value.cast("decimal(28,2)")
-    )
-
-
-def _contract_sql(contracts) -> str:
-    parts = []
-    for model, tests in contracts.items():
-        for t in tests:
-            kind, col = t[0], t[1]
-            severity = "ERROR"
-            if kind == "not_null":
-                n = f"SELECT count(*) FROM {model} WHERE {col} IS NULL"
-            elif kind == "unique":
-                n = f"SELECT count(*) FROM (SELECT {col} FROM {model} WHERE {col} IS NOT NULL GROUP BY 1 HAVING count(*) > 1)"
-            elif kind == "accepted_values":
-                values = ", ".join(repr(v) for v in t[2])
-                n = f"SELECT count(*) FROM {model} WHERE {col} NOT IN ({values})"
-            elif kind == "between":
-                lo, hi = t[2]
-
-                def lit(v):
-                    return AS_OF if v == "as_of" else f"DATE '{v}'" if isinstance(v, str) else str(v)
-
-                conds = ([f"{col} < {lit(lo)}"] if lo is not None else []) + ([f"{col} > {lit(hi)}"] if hi is not None else [])
-                n = f"SELECT count(*) FROM {model} WHERE {' OR '.join(conds)}"
-            else:
-                parent, pcol, severity = t[2]
-                n = f"SELECT count(*) FROM {model} WHERE {col} IS NOT NULL AND {col} NOT IN (SELECT {pcol} FROM {parent})"
-            parts.append(f"SELECT '{model}' AS model, '{col}' AS column_name, '{kind}' AS test, ({n}) AS failures, '{severity}' AS severity")
-    return " UNION ALL ".join(parts)
+    return dq.revenue_variance(b.revenue, b.fct)
 
 
 _MODEL_SQL = {
@@ -287,12 +264,12 @@ _MODEL_SQL = {
 }
 
 
-@query("column_tests_sources", _contract_sql(dq.SOURCE_CONTRACTS))
+@query("column_tests_sources", spec_sql(SOURCE_SPEC))
 def _(b: Bank):
     return dq.run_contracts({f"raw_{n}": b.raw[n] for n in b.raw}, dq.SOURCE_CONTRACTS, b.p)
 
 
-@query("column_tests_staging", _contract_sql(dq.STAGING_CONTRACTS))
+@query("column_tests_staging", spec_sql(STAGING_SPEC))
 def _(b: Bank):
     return dq.run_contracts({f"stg_{n}": b.stg[n] for n in b.stg}, dq.STAGING_CONTRACTS, b.p)
 
@@ -308,7 +285,7 @@ def _mart_models(b: Bank):
     }
 
 
-@query("column_tests_marts", _contract_sql(dq.MART_CONTRACTS), **_MODEL_SQL)
+@query("column_tests_marts", spec_sql(MART_SPEC), **_MODEL_SQL)
 def _(b: Bank):
     folder = work_dir(b.spark, "marts")
     written = {n: sinks.materialize(df, folder, n) for n, df in _mart_models(b).items()}
@@ -376,7 +353,10 @@ def _(b: Bank):
 
 
 @query("fct_incremental", """
-  SELECT transaction_id, transaction_timestamp, transaction_date, CAST(amount_usd AS DOUBLE) AS amount_usd,
+  SELECT transaction_sk, transaction_id, transaction_timestamp, transaction_date, transaction_type, transaction_status, merchant_category,
+    CAST(amount_local AS DOUBLE) AS amount_local, currency, CAST(amount_usd AS DOUBLE) AS amount_usd, account_sk, account_id, customer_sk, customer_id,
+    customer_segment, customer_risk_category, branch_sk, branch_id, branch_region, branch_state,
+    is_failed_flag, is_blocked_flag, is_high_value_flag, is_round_high_value_flag,
     CASE WHEN transaction_timestamp >= (SELECT max(transaction_timestamp) - INTERVAL 24 HOUR FROM fct WHERE transaction_date < DATE '2001-01-01')
       THEN TIMESTAMP '2001-12-31' ELSE TIMESTAMP '2000-12-31' END AS loaded_at FROM fct""")
 def _(b: Bank):
@@ -385,7 +365,7 @@ def _(b: Bank):
     early = b.raw["transactions"].filter(F.col("transaction_timestamp") < lit_ts(_CUT))
     for raw, p in ((early, as_of(b.p, datetime(2000, 12, 31))), (b.raw["transactions"], b.p)):
         fact = load_fact_from_raw(b.spark, path, raw, b.stg, b.fx, p)
-    return fact.select("transaction_id", "transaction_timestamp", "transaction_date", "amount_usd", "loaded_at")
+    return fact
 
 
 @query("clustered_table", "SELECT transaction_id, transaction_date, CAST(amount AS DOUBLE) AS amount FROM stg_transactions WHERE transaction_date >= DATE '2001-01-01'")
@@ -409,7 +389,11 @@ def _(b: Bank):
     folder = work_dir(b.spark, "tables")
     rows_ = b.stg["accounts"].select("branch_id", "account_id")
     sinks.materialize(rows_, folder, "accounts")
-    return sinks.materialize(rows_, folder, "accounts")
+    again = sinks.materialize(rows_, folder, "accounts")
+    path = os.path.join(folder, "reloaded")
+    for _ in (1, 2):
+        sinks.reload(again, path)
+    return b.spark.read.parquet(path)
 
 
 _OP = "CASE CAST(substr(transaction_id, 2) AS BIGINT) % 5 WHEN 0 THEN 'DELETE' WHEN 1 THEN 'UPDATE' WHEN 2 THEN 'INSERT' END"
@@ -469,10 +453,24 @@ def _(b: Bank):
 
 @query("high_water_mark", "SELECT max(transaction_timestamp) - INTERVAL 24 HOUR AS bound, count(*) AS target_rows FROM stg_transactions")
 def _(b: Bank):
-    newest = F.max("transaction_timestamp")
-    return b.stg["transactions"].agg(
-        (newest - F.expr("interval 24 hours")).alias("bound"), F.count(F.lit(1)).alias("target_rows")
-    )
+    rows_ = b.stg["transactions"]
+    bound = changes.high_water_mark(rows_, "transaction_timestamp", b.p.txn_late_arrival_overlap_hours)
+    return rows_.agg(lit_ts(bound).alias("bound"), F.count(F.lit(1)).alias("target_rows"))
+
+
+_OLD = """
+  SELECT * REPLACE (CASE n % 10 WHEN 0 THEN NULL WHEN 1 THEN TIMESTAMP '1899-12-31 00:00:00' ELSE transaction_timestamp END AS transaction_timestamp)
+  FROM (SELECT *, CAST(substr(transaction_id, 2) AS BIGINT) AS n FROM stg_transactions)"""
+
+
+@query("fct_first_load", "SELECT transaction_id, transaction_timestamp, CAST(transaction_timestamp AS DATE) AS transaction_date, CAST(amount AS DOUBLE) AS amount_local FROM old", old=_OLD)
+def _(b: Bank):
+    """Rows without a time and from before 1900 are in the first load, as the build runs it."""
+    n = F.substr("transaction_id", F.lit(2)).cast("bigint") % 10
+    ts = F.when(n == 0, None).when(n == 1, lit_ts(datetime(1899, 12, 31))).otherwise(F.col("transaction_timestamp"))
+    old = b.stg["transactions"].withColumn("transaction_timestamp", ts).withColumn("transaction_date", F.col("transaction_timestamp").cast("date"))
+    fact = load_staged_fact(b.spark, work_dir(b.spark, "fct"), {**b.stg, "transactions": old}, b.fx, b.p)
+    return fact.select("transaction_id", "transaction_timestamp", "transaction_date", "amount_local")
 
 
 # --- governance -----------------------------------------------------------------------------

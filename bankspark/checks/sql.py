@@ -143,8 +143,9 @@ CTES["raw_transactions"] = f"""
       ELSE 'COMPLETED' END AS transaction_status,
     occurred + to_seconds(CAST(60 + n % 600 - copy * 50 AS INT)) AS _synced, n % 101 = 0 AS _deleted
   FROM (SELECT *, {_copies('n % 97 = 0')} FROM (
-    SELECT o_orderkey AS n, o_custkey, o_totalprice,
-      o_orderdate + to_seconds(CAST((o_orderkey * 7919) % 86400 AS INT)) AS occurred FROM orders))"""
+    SELECT o_orderkey + CAST(burst AS BIGINT) * 1000000100 AS n, o_custkey, o_totalprice,
+      o_orderdate + to_seconds(CAST((o_orderkey * 7919) % 86400 AS INT) + burst * 600) AS occurred
+    FROM (SELECT *, unnest(CASE WHEN o_orderkey % 250 = 7 THEN [0, 1, 2, 3] ELSE [0] END) AS burst FROM orders)))"""
 
 CTES["raw_loans"] = f"""
   SELECT 'L' || lpad(CAST(n AS VARCHAR), 9, '0') AS loan_id,

@@ -125,22 +125,24 @@ def _drain(b: Bank, stream: DataFrame, name: str) -> DataFrame:
     RANGE BETWEEN INTERVAL 60 MINUTE PRECEDING AND CURRENT ROW) AS txn_count FROM events""")
 def _(b: Bank):
     timed = monitors.with_event_time(_events(b).select("user_id", "ts"), "ts")
-    emitted = _drain(b, monitors.rapid_fire_stream(timed, "user_id", "ts", bucket_windows=24), "rapid")
+    emitted = _drain(b, monitors.rapid_fire_stream(timed, "user_id", "ts"), "rapid")
     return monitors.final_counts(emitted, "user_id", "ts").withColumn("ts", F.col("ts").cast("timestamp_ntz"))
 
 
 @query("fraud_daily_stream", f"""
   SELECT CAST(transaction_timestamp AS DATE) AS flag_date, currency, count(*) AS flagged_count, {dbl('sum(amount)')} AS flagged_amount
-  FROM payments WHERE (transaction_status = 'BLOCKED' OR amount >= 25000)
-    AND date_trunc('day', transaction_timestamp) + INTERVAL 1 DAY <= (
-      SELECT max(transaction_timestamp) - INTERVAL 24 HOUR FROM payments WHERE transaction_status = 'BLOCKED' OR amount >= 25000)
-  GROUP BY 1, 2""")
+  FROM payments WHERE transaction_status = 'BLOCKED' OR amount >= 25000 GROUP BY 1, 2""")
 def _(b: Bank):
-    payments = standin.stream_payments(_events(b))
-    reason = suspicion_reason(F.col("transaction_status"), F.col("amount"), standin.EVENTS)
-    timed = monitors.with_event_time(payments.filter(reason.isNotNull()), "transaction_timestamp")
-    daily = monitors.fraud_daily_stream(timed, "transaction_timestamp", ["currency"], "amount")
-    return _drain(b, daily, "daily")
+    """Days the stream has closed and those still open."""
+    def flags(events: DataFrame) -> DataFrame:
+        payments = standin.stream_payments(events)
+        reason = suspicion_reason(F.col("transaction_status"), F.col("amount"), standin.EVENTS)
+        return payments.filter(reason.isNotNull())
+
+    timed = monitors.with_event_time(flags(_events(b)), "transaction_timestamp")
+    how = ("transaction_timestamp", ["currency"], "amount")
+    closed = _drain(b, monitors.fraud_daily_stream(timed, *how), "daily")
+    return monitors.with_open_days(closed, flags(b.table("events")), *how)
 
 
 @query("dedup_watermark", "SELECT event_id, user_id, event_type FROM events")
@@ -151,9 +153,20 @@ def _(b: Bank):
     return _drain(b, unique, "dedup")
 
 
-@query("stream_progress", "SELECT CAST(sum(n) AS BIGINT) AS input_rows FROM (SELECT count(*) AS n FROM events)")
+_BATCHES = 110  # more than a query itself remembers
+
+
+@query("stream_progress", f"SELECT {_BATCHES} AS batches, count(*) AS input_rows, CAST(0 AS BIGINT) AS late_rows FROM events")
 def _(b: Bank):
+    """The events in many files, one micro-batch each."""
     home = work_dir(b.spark, "progress")
-    q = monitors.run_to_files(_events(b), os.path.join(home, "out"), os.path.join(home, "ckpt"))
-    q.awaitTermination()
-    return monitors.progress_log(b.spark, q).agg(F.sum("input_rows").alias("input_rows"))
+    landing, log = os.path.join(home, "landing"), os.path.join(home, "log")
+    events = b.table("events").select("event_id", "ts")
+    part = F.pmod("event_id", F.lit(_BATCHES)).alias("part")
+    events.select("*", part).repartition(8, "part").write.partitionBy("part").parquet(landing)
+    with monitors.progress_log(b.spark, log, "audit", every=50):
+        stream = b.spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(os.path.join(landing, "*"))
+        q = stream.writeStream.queryName("audit").format("noop").option("checkpointLocation", os.path.join(home, "ckpt")).trigger(availableNow=True).start()
+        q.awaitTermination()
+    return b.spark.read.parquet(log).filter("input_rows > 0").agg(
+        F.count(F.lit(1)).cast("int").alias("batches"), F.sum("input_rows").alias("input_rows"), F.sum("late_rows").alias("late_rows"))

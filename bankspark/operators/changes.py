@@ -9,30 +9,36 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from bankspark.functions.dates import lit_ts
 
-EPOCH_FLOOR = datetime(1900, 1, 1)
-
 # Fixed value: the columns a change of kind UPDATE may set on a stored transaction.
 CDC_UPDATE_COLS = ("amount", "currency", "merchant_category", "transaction_status", "loaded_at")
 
 
-def high_water_mark(target: DataFrame, ts: str, overlap_hours: int) -> datetime:
-    """Lower bound of the next load: newest stored time less the overlap.
+def high_water_mark(target: DataFrame, ts: str, overlap_hours: int) -> datetime | None:
+    """Lower bound of the next load: newest stored time less the overlap; None if no time is
+    stored, so that nothing is left out.
 
     One value is fetched so that the bound reaches the source scan as a literal and whole
     files and row groups are skipped.
     """
     newest = target.agg(F.max(ts).alias("m")).first()["m"]
-    return EPOCH_FLOOR if newest is None else newest - timedelta(hours=overlap_hours)
+    return None if newest is None else newest - timedelta(hours=overlap_hours)
 
 
 def incremental_slice(
     src: DataFrame, ts: str, target: DataFrame | None = None, overlap_hours: int = 24,
-    backfill_from: datetime | None = None,
+    backfill_from: datetime | None = None, loaded: str | None = None, loaded_since: datetime | None = None,
 ) -> DataFrame:
-    """Source rows at or after the target's high-water mark, or an explicit bound."""
+    """Source rows at or after the target's high-water mark, or an explicit bound; all rows, also
+    those without a time, if there is neither. With `loaded_since` also rows of any time that
+    were loaded (column `loaded`) since then, which finds what arrived later than the overlap."""
+    if backfill_from is None and target is not None:
+        backfill_from = high_water_mark(target, ts, overlap_hours)
     if backfill_from is None:
-        backfill_from = EPOCH_FLOOR if target is None else high_water_mark(target, ts, overlap_hours)
-    return src.filter(F.col(ts) >= lit_ts(backfill_from))
+        return src
+    bound = F.col(ts) >= lit_ts(backfill_from)
+    if loaded is not None and loaded_since is not None:
+        bound = bound | (F.col(loaded) >= lit_ts(loaded_since))
+    return src.filter(bound)
 
 
 def sync_columns(target: DataFrame, incoming: DataFrame) -> DataFrame:

@@ -5,7 +5,7 @@ Predicates on one table share a single scan of it.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Collection, Sequence
 from dataclasses import dataclass
 from datetime import date, datetime, timedelta
 
@@ -116,19 +116,27 @@ def check_predicates(df: DataFrame, checks: Sequence[tuple[Check, Column]]) -> D
     )
 
 
+def failed_sample(df: DataFrame, bad: Column | None, cols: Sequence[str], n: int = 5) -> Column:
+    """Up to n failing rows as JSON texts (the first by `cols`; each task keeps only its own first
+    n), as a scalar subquery. Without `bad` all rows of `df` are failing ones."""
+    rows = df if bad is None else df.filter(bad)
+    first = rows.select(*cols).orderBy(*cols).limit(n)
+    return first.agg(F.sort_array(F.collect_list(F.to_json(F.struct(*cols))))).scalar()
+
+
 def with_failed_sample(
     verdicts: DataFrame, df: DataFrame, bad: Column, cols: Sequence[str], n: int = 5
 ) -> DataFrame:
-    """The verdict rows with up to n failing rows attached as JSON texts (the first by `cols`;
-    each task keeps only its own first n)."""
-    sample = (
-        df.filter(bad)
-        .select(*cols)
-        .orderBy(*cols)
-        .limit(n)
-        .agg(F.sort_array(F.collect_list(F.to_json(F.struct(*cols)))))
-    )
-    return verdicts.withColumn("failed_row_sample", sample.scalar())
+    """The verdict rows with up to n failing rows attached."""
+    return verdicts.withColumn("failed_row_sample", failed_sample(df, bad, cols, n))
+
+
+def with_failed_samples(verdicts: DataFrame, samples: dict[str, Column]) -> DataFrame:
+    """The verdict rows, each with the sample given for its check."""
+    shown = F.lit(None).cast("array<string>")
+    for name, sample in samples.items():
+        shown = F.when(F.col("check_name") == name, sample).otherwise(shown)
+    return verdicts.withColumn("failed_row_sample", shown)
 
 
 def check_invariant(df: DataFrame, check: Check, violated: Column) -> DataFrame:
@@ -362,16 +370,32 @@ class QualityGateError(RuntimeError):
     """An ERROR check failed; nothing downstream may be published."""
 
 
-def gate(results: DataFrame) -> None:
+def failed_checks(results: DataFrame, waive: Collection[str] = ()) -> DataFrame:
+    """The ERROR checks that failed and are not waived."""
+    bad = (F.col("status") == "FAIL") & (F.col("severity") == ERROR) & ~F.col("check_name").isin(*waive)
+    return results.filter(bad).select(F.col("check_name").alias("failed"))
+
+
+def failed_tests(tests: DataFrame, waive: Collection[str] = ()) -> DataFrame:
+    """The column tests of severity ERROR with failures, as model.column.test."""
+    name = F.concat_ws(".", "model", "column_name", "test")
+    return tests.filter((F.col("failures") > 0) & (F.col("severity") == ERROR) & ~name.isin(*waive)).select(name.alias("failed"))
+
+
+def _raise(failed: DataFrame) -> None:
+    names = sorted(r["failed"] for r in failed.collect())  # a few verdict rows
+    if names:
+        raise QualityGateError("failed checks: " + ", ".join(names))
+
+
+def gate(results: DataFrame, waive: Collection[str] = ()) -> None:
     """Raise if any ERROR check failed (looks at the few verdict rows)."""
-    failed = [
-        r["check_name"]
-        for r in results.filter((F.col("status") == "FAIL") & (F.col("severity") == ERROR))
-        .select("check_name")
-        .collect()
-    ]
-    if failed:
-        raise QualityGateError("failed checks: " + ", ".join(sorted(failed)))
+    _raise(failed_checks(results, waive))
+
+
+def gate_tests(tests: DataFrame, waive: Collection[str] = ()) -> None:
+    """Raise if any column test of severity ERROR failed."""
+    _raise(failed_tests(tests, waive))
 
 
 def sync_anomalies(

@@ -1,8 +1,12 @@
-"""The batch build: stage, check, snapshot, then write dimensions, facts and marts in order.
+"""The batch build: stage, check, snapshot, load the fact, write dimensions and marts, check them,
+and only then publish.
 
 Staging is written once, so that the deduplicating shuffle runs once and the checks read only
-the columns they need; the transaction fact is merged incrementally; everything else is
-refreshed in full from written inputs, so no mart recomputes the enrichment.
+the columns they need. Source and staging contracts and the quality suite stand before anything
+that is kept. The transaction fact is merged incrementally, a slice at a time, and each slice is
+tested before it is merged. Everything else is refreshed in full from written inputs into a pending
+folder, and takes the place of the published tables together, once its contracts, the business
+invariants and the reconciliation hold.
 """
 
 from __future__ import annotations
@@ -10,16 +14,18 @@ from __future__ import annotations
 import os
 import time
 import uuid
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Collection, Mapping
 from dataclasses import replace
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from bankspark.config import Params
+from bankspark.functions.masks import READER
 from bankspark.operators import changes, ops, quality
-from bankspark.plans import dims, dq, enrich, fraud, loans, marts, serve
+from bankspark.plans import balances, dims, dq, enrich, fraud, loans, marts, serve
 from bankspark.plans.staging import stage, stg_transactions, stg_transactions_since
+from bankspark.session import work_dir
 from bankspark.sources import sinks
 
 FACT_KEY, FACT_DAY, FACT_TS = "transaction_sk", "transaction_date", "transaction_timestamp"
@@ -27,25 +33,47 @@ FACT_KEY, FACT_DAY, FACT_TS = "transaction_sk", "transaction_date", "transaction
 
 def load_fact(
     spark: SparkSession, path: str, txn: DataFrame, stg: Mapping[str, DataFrame], fx: DataFrame,
-    p: Params, grain: str = "month",
+    p: Params, grain: str = "month", check: Callable[[DataFrame], None] | None = None,
 ) -> DataFrame:
     """Merge staged transactions into the fact, enriching only those given; touched partitions
-    are rewritten, the others left."""
+    are rewritten, the others left. `check` sees the written slice first and may raise."""
     enriched = enrich.enrich_transactions(
         txn, stg["accounts"], stg["customers"], stg["branches"], fx, p
     )
-    sinks.merge_into_table(
-        spark, path, enrich.fct_transactions(enriched, p), FACT_KEY, FACT_DAY, grain
-    )
+    rows = enrich.fct_transactions(enriched, p)
+    if check is None:
+        sinks.merge_into_table(spark, path, rows, FACT_KEY, FACT_DAY, grain)
+        return sinks.read_clustered(spark, path)
+    slice_path = work_dir(spark, "slice")
+    try:
+        rows.write.parquet(slice_path)
+        rows = spark.read.schema(rows.schema).parquet(slice_path)
+        check(rows)
+        sinks.merge_into_table(spark, path, rows, FACT_KEY, FACT_DAY, grain)
+    finally:
+        sinks.discard(spark, slice_path)
     return sinks.read_clustered(spark, path)
 
 
+def load_staged_fact(
+    spark: SparkSession, path: str, stg: Mapping[str, DataFrame], fx: DataFrame, p: Params, grain: str = "month",
+    backfill_from: datetime | None = None, loaded_since: datetime | None = None,
+    check: Callable[[DataFrame], None] | None = None,
+) -> DataFrame:
+    """The load from staging: everything the first time; then from the high-water mark, or from
+    `backfill_from`, and whatever was synced since `loaded_since`, however late it is."""
+    bound = fact_bound(spark, path, p) if backfill_from is None else backfill_from
+    txn = changes.incremental_slice(
+        stg["transactions"], FACT_TS, backfill_from=bound, loaded="loaded_at", loaded_since=loaded_since)
+    return load_fact(spark, path, txn, stg, fx, p, grain, check)
+
+
 def load_fact_from_raw(
     spark: SparkSession, path: str, raw: DataFrame, stg: Mapping[str, DataFrame], fx: DataFrame,
-    p: Params, grain: str = "month",
+    p: Params, grain: str = "month", backfill_from: datetime | None = None,
 ) -> DataFrame:
     """The incremental load by itself, staging no more of the raw feed than the slice needs."""
-    bound = fact_bound(spark, path, p)
+    bound = fact_bound(spark, path, p) if backfill_from is None else backfill_from
     txn = stg_transactions(raw) if bound is None else stg_transactions_since(raw, bound)
     return load_fact(spark, path, txn, stg, fx, p, grain)
 
@@ -60,96 +88,129 @@ def fact_bound(spark: SparkSession, path: str, p: Params) -> datetime | None:
 
 def build(
     spark: SparkSession, raw: Mapping[str, DataFrame], fx: DataFrame, folder: str, p: Params,
-    gate: bool = True, grain: str = "month", user: str = "engine",
+    gate: bool = True, grain: str = "month", user: str = "engine", waive: Collection[str] = (),
+    backfill_from: datetime | None = None, loaded_since: datetime | None = None, role: str = READER,
 ) -> dict[str, DataFrame]:
     """Run everything; returns the written tables by name.
 
-    A failed ERROR check stops the build before anything is published, unless `gate` is off.
+    A failed ERROR check or test stops the build before anything is published, unless `gate` is
+    off or the check is one of `waive` (a check's name, or model.column.test). `backfill_from` loads
+    the fact again from a moment on, and the daily balances from its day; `loaded_since` adds what
+    was synced since then, however late. `role` decides how the names of `customer_360` look.
     """
     invocation, started = uuid.uuid4().hex, datetime.now()
-    ops.set_run_tag(spark, "bank", os.path.basename(folder), invocation, user)
     log: list[tuple] = []
     out: dict[str, DataFrame] = {}
+    pending = os.path.join(folder, f"_pending-{invocation}")
+    waiting: list[str] = []
 
     def step(name: str, kind: str, work: Callable[[], DataFrame]) -> DataFrame:
         t0, status, message = time.monotonic(), "success", ""
         try:
             out[name] = work()
         except Exception as e:
-            status, message = "error", str(e).splitlines()[0][:500]
+            status, message = "error", str(e) or type(e).__name__
             raise
         finally:
             log.append(
                 ops.run_row(invocation, started, name, kind, status, time.monotonic() - t0, message)
             )
-            if status == "error":
-                write_log()
         return out[name]
 
-    def write_log() -> None:
-        sinks.append_log(ops.log_run(spark, log), os.path.join(folder, "audit", "run_results"))
-
-    def table(name: str, df: Callable[[], DataFrame], kind: str = "model") -> DataFrame:
-        return step(name, kind, lambda: sinks.materialize(df(), folder, name))
+    def audit(name: str, rows: DataFrame) -> DataFrame:
+        """Append to an audit table; the rows of this run so far, and those just added."""
+        path = os.path.join(folder, "audit", name)
+        fresh = sinks.materialize(rows, os.path.join(folder, f"_pending-{invocation}"), f"{name}-{uuid.uuid4().hex[:8]}")
+        sinks.append_log(fresh, path)
+        return fresh
 
-    stg = {
-        name: step(
-            f"stg_{name}", "view",
-            lambda name=name, df=df: sinks.materialize(df, os.path.join(folder, "staging"), f"stg_{name}"),
-        )
-        for name, df in stage(raw).items()
-    }
-
-    def checked() -> DataFrame:
-        path = os.path.join(folder, "audit", "dq_results")
-        sinks.append_log(dq.run_bank_suite(raw, stg, p, invocation, user), path)
-        mine = spark.read.parquet(path).filter(f"check_run_id = '{invocation}'")
+    def verdicts(rows: list[DataFrame]) -> DataFrame:
+        fresh = audit("dq_results", quality.run_suite(rows, p.as_of, user, invocation))
         if gate:
-            quality.gate(mine)
-        return mine
+            quality.gate(fresh, waive)
+        return fresh
 
-    step("dq_results", "test", checked)
+    def contracts(models: Mapping[str, DataFrame], rules: Mapping[str, list[tuple]]) -> DataFrame:
+        fresh = audit("column_tests", dq.run_contracts(models, rules, p).withColumn("check_run_id", F.lit(invocation)))
+        if gate:
+            quality.gate_tests(fresh, waive)
+        return fresh
 
-    snap = step(
-        "snap_customers", "snapshot",
-        lambda: sinks.advance_snapshot(
-            spark, os.path.join(folder, "snap_customers"), stg["customers"], "customer_id",
-            dims.CUSTOMER_CHECK_COLS, p.as_of,
-        ),
-    )
-    step(
-        "snap_accounts", "snapshot",
-        lambda: sinks.advance_snapshot(
-            spark, os.path.join(folder, "snap_accounts"), stg["accounts"], "account_id",
-            dims.ACCOUNT_CHECK_COLS, p.as_of,
-        ),
-    )
-    customer = table("dim_customer", lambda: dims.dim_customer(stg["customers"], snap))
-    table("dim_account", lambda: dims.dim_account(stg["accounts"], stg["branches"], p))
-    branch = table("dim_branch", lambda: dims.dim_branch(stg["branches"]))
-    table("dim_date", lambda: dims.dim_date(stg["calendar"]))
-    fact_path = os.path.join(folder, "fct_transactions")
-
-    def fact_load() -> DataFrame:
-        bound = fact_bound(spark, fact_path, p)
-        txn = changes.incremental_slice(stg["transactions"], FACT_TS, backfill_from=bound or changes.EPOCH_FLOOR)
-        return load_fact(spark, fact_path, txn, stg, fx, p, grain)
-
-    fact = step("fct_transactions", "incremental", fact_load)
-    loan = table(
-        "fct_loans", lambda: loans.fct_loans(loans.amortize_loans(stg["loans"], p), customer, p)
-    )
-    revenue = table("fct_revenue_monthly", lambda: marts.revenue_monthly(fact))
-    table("fct_branch_performance", lambda: marts.branch_performance(fact, branch))
-    table("fct_quarterly_kpis", lambda: marts.quarterly_kpis(revenue))
-    table("fct_customer_profitability", lambda: marts.customer_profitability(customer, fact, loan, p))
-    table("fct_loan_portfolio", lambda: loans.loan_portfolio(loan))
-    hits = table("rapid_fire_hits", lambda: fraud.rapid_fire_hits(fact, p), "work")
-    flagged = table("fct_fraud_indicators", lambda: fraud.fraud_indicators(fact, p, hits))
-    table("vw_fraud_daily", lambda: serve.fraud_daily(flagged), "view")
-    table("vw_revenue_exec", lambda: serve.revenue_exec(revenue), "view")
-    table("column_tests", lambda: dq.run_contracts(out, dq.MART_CONTRACTS, p), "test")
-    write_log()
+    def table(name: str, df: Callable[[], DataFrame], kind: str = "model") -> DataFrame:
+        waiting.append(name)
+        return step(name, kind, lambda: sinks.materialize(df(), pending, name))
+
+    def work() -> None:
+        step("source_tests", "test", lambda: contracts({f"raw_{n}": df for n, df in raw.items()}, dq.SOURCE_CONTRACTS))
+        stg = {
+            name: step(
+                f"stg_{name}", "view",
+                lambda name=name, df=df: sinks.materialize(df, os.path.join(folder, "staging"), f"stg_{name}"),
+            )
+            for name, df in stage(raw).items()
+        }
+        step("staging_tests", "test", lambda: contracts({f"stg_{n}": df for n, df in stg.items()}, dq.STAGING_CONTRACTS))
+        step("dq_results", "test", lambda: verdicts(dq.bank_checks(raw, stg, p)))
+        snap = step(
+            "snap_customers", "snapshot",
+            lambda: sinks.advance_snapshot(
+                spark, os.path.join(folder, "snap_customers"), stg["customers"], "customer_id",
+                dims.CUSTOMER_CHECK_COLS, p.as_of,
+            ),
+        )
+        accounts = step(
+            "snap_accounts", "snapshot",
+            lambda: sinks.advance_snapshot(
+                spark, os.path.join(folder, "snap_accounts"), stg["accounts"], "account_id",
+                dims.ACCOUNT_CHECK_COLS, p.as_of,
+            ),
+        )
+        customer = table("dim_customer", lambda: dims.dim_customer(stg["customers"], snap))
+        account = table("dim_account", lambda: dims.dim_account(stg["accounts"], stg["branches"], p))
+        table("dim_account_history", lambda: accounts)
+        branch = table("dim_branch", lambda: dims.dim_branch(stg["branches"]))
+        table("dim_date", lambda: dims.dim_date(stg["calendar"]))
+        table("dim_loan_type", lambda: dims.dim_loan_type(stg["loans"]))
+        table("dim_merchant_category", lambda: dims.dim_merchant_category(stg["transactions"]))
+        fact_rules = {"fct_transactions": dq.MART_CONTRACTS["fct_transactions"]}
+
+        def check_slice(rows: DataFrame) -> None:
+            contracts({"fct_transactions": rows, "dim_account": account}, fact_rules)
+
+        fact = step("fct_transactions", "incremental", lambda: load_staged_fact(
+            spark, os.path.join(folder, "fct_transactions"), stg, fx, p, grain, backfill_from, loaded_since, check_slice))
+        loan = table(
+            "fct_loans", lambda: loans.fct_loans(loans.amortize_loans(stg["loans"], p), customer, p)
+        )
+        revenue = table("fct_revenue_monthly", lambda: marts.revenue_monthly(fact))
+        table("fct_branch_performance", lambda: marts.branch_performance(fact, branch))
+        table("fct_quarterly_kpis", lambda: marts.quarterly_kpis(revenue))
+        profit = table("fct_customer_profitability", lambda: marts.customer_profitability(customer, fact, loan, p))
+        table("fct_loan_portfolio", lambda: loans.loan_portfolio(loan))
+        hits = table("rapid_fire_hits", lambda: fraud.rapid_fire_hits(fact, p), "work")
+        flagged = table("fct_fraud_indicators", lambda: fraud.fraud_indicators(fact, p, hits))
+        table("vw_fraud_daily", lambda: serve.fraud_daily(flagged), "view")
+        table("vw_revenue_exec", lambda: serve.revenue_exec(revenue), "view")
+        table("vw_customer_360", lambda: serve.customer_360(customer, profit, fact, p, role), "view")
+        table("layer_reconciliation", lambda: quality.reconcile(raw, stg), "test")
+        others = {m: t for m, t in dq.MART_CONTRACTS.items() if m != "fct_transactions"}
+        step("mart_tests", "test", lambda: contracts(out, others))
+        step("invariants", "test", lambda: verdicts([
+            *dq.invariants(raw, stg, loan, fact, flagged, profit), dq.revenue_reconciles(revenue, fact)]))
+        step("loan_balances_daily", "incremental", lambda: balances.load_balances(
+            spark, os.path.join(folder, "loan_balances_daily"), stg["loans"], p, backfill_from and backfill_from.date()))
+        for name in waiting:
+            out[name] = sinks.publish(spark, os.path.join(pending, name), os.path.join(folder, name))
+
+    try:
+        with ops.run_tagged(spark, "bank", os.path.basename(folder), invocation, user):
+            work()
+    finally:
+        sinks.append_log(ops.log_run(spark, log), os.path.join(folder, "audit", "run_results"))
+        sinks.discard(spark, pending)
+    for name in ("dq_results", "column_tests"):
+        path = os.path.join(folder, "audit", name)
+        out[name] = spark.read.parquet(path).filter(F.col("check_run_id") == invocation)
     return out
 
 

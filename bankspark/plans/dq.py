@@ -8,9 +8,12 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, functions as F
 
 from bankspark.config import Params
+from bankspark.functions import rules
 from bankspark.functions.dates import lit_date, lit_ts
 from bankspark.operators import quality as Q
+from bankspark.operators.joins import orphans
 from bankspark.operators.quality import ERROR, INFO, WARN, Check
+from bankspark.plans.marts import completed
 
 FRESH_DETAIL = "Max lag (minutes) since last sync"
 MASTERS = ("customers", "accounts", "loans", "branches")
@@ -58,40 +61,43 @@ def uniqueness_checks(raw: Mapping[str, DataFrame], stg: Mapping[str, DataFrame]
 
 
 def referential_checks(stg: Mapping[str, DataFrame]) -> list[DataFrame]:
+    """With samples of the rows whose parent is missing."""
+
+    def check(child: str, parent: str, key: str, own: str, c: Check, tolerance: int = 0) -> DataFrame:
+        verdict = Q.check_fk(stg[child], stg[parent], c, key, tolerance=tolerance)
+        lost = orphans(stg[child], stg[parent], key)
+        return Q.with_failed_samples(verdict, {c.name: Q.failed_sample(lost, None, [own])})
+
     return [
-        Q.check_fk(
-            stg["accounts"], stg["customers"],
-            Check("fk_accounts_to_customers", "REFERENTIAL", "STG", "stg_accounts", WARN,
-                  "Accounts whose customer is missing (5 tolerated)"),
-            "customer_id", tolerance=5,
-        ),
-        Q.check_fk(
-            stg["transactions"], stg["accounts"],
-            Check("fk_transactions_to_accounts", "REFERENTIAL", "STG", "stg_transactions", ERROR,
-                  "Transactions whose account is missing"),
-            "account_id",
-        ),
+        check("accounts", "customers", "customer_id", "account_id",
+              Check("fk_accounts_to_customers", "REFERENTIAL", "STG", "stg_accounts", WARN,
+                    "Accounts whose customer is missing (5 tolerated)"), tolerance=5),
+        check("transactions", "accounts", "account_id", "transaction_id",
+              Check("fk_transactions_to_accounts", "REFERENTIAL", "STG", "stg_transactions", ERROR,
+                    "Transactions whose account is missing")),
     ]
 
 
 def range_checks(stg: Mapping[str, DataFrame], p: Params) -> list[DataFrame]:
+    """One scan per table for the counts; the samples of failing rows stop at a few rows a task."""
+
+    def checks(table: str, key: str, tests: list[tuple[Check, Column]]) -> DataFrame:
+        samples = {c.name: Q.failed_sample(stg[table], bad, [key]) for c, bad in tests}
+        return Q.with_failed_samples(Q.check_predicates(stg[table], tests), samples)
+
     return [
-        Q.check_predicates(
-            stg["transactions"],
-            [
-                (Check("range_transaction_amount_positive", "RANGE", "STG", "stg_transactions", ERROR,
-                       "Transactions with amount <= 0"), F.col("amount") <= 0),
-                (Check("range_transaction_date_not_future", "RANGE", "STG", "stg_transactions", WARN,
-                       "Transactions later than now"),
-                 F.col("transaction_timestamp") > lit_ts(p.as_of)),
-            ],
-        ),
-        Q.check_predicates(
-            stg["loans"],
-            [(Check("range_loan_interest_rate", "RANGE", "STG", "stg_loans", WARN,
-                    "Loans with an interest rate outside [0, 30] percent"),
-              (F.col("interest_rate") < 0) | (F.col("interest_rate") > 30))],
-        ),
+        checks("transactions", "transaction_id", [
+            (Check("range_transaction_amount_positive", "RANGE", "STG", "stg_transactions", ERROR,
+                   "Transactions with amount <= 0"), F.col("amount") <= 0),
+            (Check("range_transaction_date_not_future", "RANGE", "STG", "stg_transactions", WARN,
+                   "Transactions later than now"),
+             F.col("transaction_timestamp") > lit_ts(p.as_of)),
+        ]),
+        checks("loans", "loan_id", [
+            (Check("range_loan_interest_rate", "RANGE", "STG", "stg_loans", WARN,
+                   "Loans with an interest rate outside [0, 30] percent"),
+             (F.col("interest_rate") < 0) | (F.col("interest_rate") > 30)),
+        ]),
     ]
 
 
@@ -101,16 +107,37 @@ def volume_checks(stg: Mapping[str, DataFrame], as_of: date) -> list[DataFrame]:
     return [Q.check_volume(stg["transactions"], c, "transaction_date", as_of)]
 
 
-def run_bank_suite(
-    raw: Mapping[str, DataFrame], stg: Mapping[str, DataFrame], p: Params, run_id: str | None = None,
-    executed_by: str = "engine",
-) -> DataFrame:
+def bank_checks(raw: Mapping[str, DataFrame], stg: Mapping[str, DataFrame], p: Params) -> list[DataFrame]:
     """All checks in their fixed order: freshness, uniqueness, references, ranges, volume."""
-    checks = [
+    return [
         *freshness_checks(raw, p), *uniqueness_checks(raw, stg), *referential_checks(stg),
         *range_checks(stg, p), *volume_checks(stg, p.as_of_date),
     ]
-    return Q.run_suite(checks, p.as_of, executed_by, run_id)
+
+
+def run_bank_suite(
+    raw: Mapping[str, DataFrame], stg: Mapping[str, DataFrame], p: Params, run_id: str | None = None,
+    executed_by: str = "engine",
+) -> DataFrame:
+    return Q.run_suite(bank_checks(raw, stg, p), p.as_of, executed_by, run_id)
+
+
+def revenue_variance(revenue: DataFrame, fct: DataFrame) -> DataFrame:
+    """The net revenue of the mart and of the fact's rows, if they differ."""
+    kind, usd = F.col("transaction_type"), F.col("amount_usd")
+    zero = F.lit(0).cast("decimal(18,2)")
+    value = F.sum(F.when(rules.is_revenue(kind), usd).otherwise(zero)) - F.sum(
+        F.when(kind == "REFUND", usd).otherwise(zero)
+    )
+    return Q.assert_reconciles(
+        revenue, F.sum("net_revenue_usd").cast("decimal(28,2)"), fct, value.cast("decimal(28,2)")
+    )
+
+
+def revenue_reconciles(revenue: DataFrame, fct: DataFrame) -> DataFrame:
+    """The revenue mart against the completed rows of the fact, as a verdict row."""
+    check = Check("revenue_reconciles", "INVARIANT", "MART", "fct_revenue_monthly", ERROR)
+    return Q.check_invariant(revenue_variance(revenue, completed(fct)), check, F.lit(True))
 
 
 def invariants(

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from bankspark.config import Params
@@ -95,8 +97,11 @@ def default_rate(loans: DataFrame, by: list[str], weight: str = "principal") ->
     return loans.groupBy(*by).agg(F.count(F.lit(1)).alias("loan_count"), rate.alias("default_rate_pct"))
 
 
-def loan_balances_daily(loans: DataFrame, p: Params, partitions: int | None = None) -> DataFrame:
-    """Loan x day from disbursement to as_of, with the balance estimated for that day.
+def loan_balances_daily(
+    loans: DataFrame, p: Params, partitions: int | None = None, since: date | None = None
+) -> DataFrame:
+    """Loan x day from disbursement to as_of, with the balance estimated for that day. `since`
+    leaves out the months before that day's.
 
     A loan becomes thousands of rows, so the narrow loan rows are first spread over a fixed
     number of tasks (size-based coalescing would not foresee the growth). The balance changes
@@ -106,10 +111,13 @@ def loan_balances_daily(loans: DataFrame, p: Params, partitions: int | None = No
         partitions = int(loans.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     as_of = lit_date(p.as_of_date)
     amount, emi, start = F.col("loan_amount"), F.col("emi_amount"), F.col("disbursement_date")
-    months = F.sequence(month_start(start), month_start(as_of), F.expr("interval 1 month"))
+    first_month = month_start(start)
+    if since is not None:
+        first_month = F.greatest(first_month, month_start(lit_date(since)))
+    months = F.sequence(first_month, month_start(as_of), F.expr("interval 1 month"))
     ids = ["loan_sk", "loan_id", "loan_type", "customer_id"]
     per_month = (
-        loans.filter(start <= as_of)
+        loans.filter((start <= as_of) & (first_month <= month_start(as_of)))
         .select(*ids, "loan_amount", "emi_amount", "disbursement_date", tenure_months(amount, emi).alias("_tenure"))
         .repartition(partitions, "loan_sk")
         .withColumn("balance_month", F.explode(months))

@@ -66,6 +66,7 @@ def shared_dir(spark: SparkSession) -> str:
     return _fallback_dir
 
 
-def work_dir(spark: SparkSession, name: str) -> str:
-    """A fresh folder name for one run below the shared folder."""
-    return os.path.join(shared_dir(spark), f"{name}-{uuid.uuid4().hex[:12]}")
+def work_dir(spark: SparkSession, name: str, below: str | None = None) -> str:
+    """A fresh folder name for one run, below the shared folder or a given one that all executors
+    see (a session whose `spark.checkpoint.dir` is unset cannot be given one any more)."""
+    return os.path.join(below or shared_dir(spark), f"{name}-{uuid.uuid4().hex[:12]}")

@@ -69,9 +69,18 @@ def land(df: DataFrame, synced_at: datetime | None = None, deleted: bool = False
     return df.withColumn(SYNCED, at).withColumn(DELETED, F.lit(deleted))
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder is there, asked of its own file system."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
+
+
 def source(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """A table by name from a folder: parquet as it is, CSV by its declared schema."""
-    csv = os.path.join(folder, f"{name}.csv")
-    if name in RAW and os.path.exists(csv):
-        return read_csv(spark, csv, RAW[name])
+    """A table by name from a folder, on any file system Spark reads: parquet as it is, CSV
+    (plain or gzip; a gzip file is one task, however large) by its declared schema."""
+    if name in RAW:
+        for ending in ("csv", "csv.gz"):
+            path = os.path.join(folder, f"{name}.{ending}")
+            if exists(spark, path):
+                return read_csv(spark, path, RAW[name])
     return spark.read.parquet(os.path.join(folder, f"{name}.parquet"))

@@ -19,10 +19,9 @@ PART = "date_part"
 
 
 def materialize(df: DataFrame, folder: str, name: str) -> DataFrame:
-    """Full refresh: write the table and hand back the written rows."""
-    path = os.path.join(folder, name)
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """Full refresh: write the table and hand back the written rows. An existing table stays in
+    place until the new one is complete."""
+    return replace_table(df, os.path.join(folder, name))
 
 
 def reload(df: DataFrame, path: str) -> None:
@@ -44,8 +43,12 @@ def read_if_exists(spark: SparkSession, path: str) -> DataFrame | None:
         return None
     try:
         return spark.read.parquet(path)
-    except AnalysisException:
-        return None
+    except AnalysisException as e:
+        # A folder without files yet, or a pattern nothing matches. Anything else is an error:
+        # taken for a missing table it would be overwritten.
+        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
 
 
 def sync(
@@ -93,6 +96,15 @@ def write_clustered(df: DataFrame, path: str, date_col: str, grain: str = "month
     _clustered(df, date_col, grain).write.mode("overwrite").partitionBy(PART).parquet(path)
 
 
+def stored_grain(spark: SparkSession, path: str) -> str | None:
+    """`day` or `month` as the folders of a clustered table tell; None if they do not."""
+    for status in _fs(spark, path).listStatus(_path(spark, path)):
+        label = status.getPath().getName().removeprefix(f"{PART}=")
+        if label != status.getPath().getName() and label[0] in "dm" and label != "none":
+            return {"d": "day", "m": "month"}[label[0]]
+    return None
+
+
 def rewrite_partitions(
     spark: SparkSession, path: str, date_col: str, key: str, grain: str,
     affected_keys: DataFrame, incoming: DataFrame,
@@ -104,9 +116,11 @@ def rewrite_partitions(
     Touched are the partitions of the incoming rows and those that hold one of
     `affected_keys`; that lookup reads only the key and partition columns. The new partitions
     are written beside the table and moved in when complete, so a lost executor costs its
-    tasks, and an interrupted move is finished by the next merge.
+    tasks, and an interrupted move is finished by the next merge. A table keeps the grain it was
+    written with; `grain` counts for a table without dated partitions.
     """
     finish_move(spark, path)
+    grain = stored_grain(spark, path) or grain
     target = spark.read.parquet(path)
     holds = target.select(key, PART).join(affected_keys.select(key), key, "left_semi").select(PART)
     arriving = incoming.select(_part_value(date_col, grain).alias(PART))
@@ -141,6 +155,12 @@ def _fs(spark: SparkSession, path: str):
     return _path(spark, path).getFileSystem(spark._jsc.hadoopConfiguration())
 
 
+def _rename(fs, source, target) -> None:
+    """Move a folder; a file system that only answers no leaves everything where it is."""
+    if not fs.rename(source, target):
+        raise OSError(f"could not move {source} to {target}; the new data is still at {source}")
+
+
 def finish_move(spark: SparkSession, path: str) -> None:
     """Move complete pending partitions into the table, or drop incomplete ones.
 
@@ -158,7 +178,7 @@ def finish_move(spark: SparkSession, path: str) -> None:
                 continue
             fs.delete(_path(spark, path, name), True)
             if len(fs.listStatus(status.getPath())):
-                fs.rename(status.getPath(), _path(spark, path, name))
+                _rename(fs, status.getPath(), _path(spark, path, name))
     fs.delete(_path(spark, pending), True)
 
 
@@ -173,14 +193,27 @@ def finish_replace(spark: SparkSession, path: str) -> None:
         fs.delete(_path(spark, pending), True)
         return
     fs.delete(_path(spark, path), True)
-    fs.rename(_path(spark, pending), _path(spark, path))
+    _rename(fs, _path(spark, pending), _path(spark, path))
     fs.delete(_path(spark, path, READY), False)
 
 
+def publish(spark: SparkSession, source: str, path: str) -> DataFrame:
+    """Put a complete table, written elsewhere on the same file system, in place of `path`."""
+    finish_replace(spark, path)
+    pending = path.rstrip("/") + PENDING
+    fs = _fs(spark, path)
+    fs.mkdirs(_path(spark, path).getParent())
+    _rename(fs, _path(spark, source), _path(spark, pending))
+    fs.create(_path(spark, pending, READY)).close()
+    finish_replace(spark, path)
+    return spark.read.parquet(path)
+
+
 def replace_table(df: DataFrame, path: str) -> DataFrame:
     """Replace a table by rows that may be read from it. The old table stays until the new one
     is complete."""
     spark = df.sparkSession
+    finish_replace(spark, path)
     pending = path.rstrip("/") + PENDING
     df.write.mode("overwrite").parquet(pending)
     _fs(spark, path).create(_path(spark, pending, READY)).close()
@@ -215,21 +248,24 @@ def discard(spark: SparkSession, path: str) -> None:
 
 def merge_into_table(
     spark: SparkSession, path: str, updates: DataFrame, key: str, date_col: str,
-    grain: str = "month",
+    grain: str = "month", work: str | None = None,
 ) -> None:
-    """Merge by unique key into a date-clustered table, created if missing."""
+    """Merge by unique key into a date-clustered table, created if missing. Intermediate rows go
+    below `work`, the shared folder if not given, and leave with the call, also if it fails."""
     finish_move(spark, path)
     if not _fs(spark, path).exists(_path(spark, path)):
         write_clustered(updates, path, date_col, grain)
         return
-    staged = work_dir(spark, "updates")
+    staged = work_dir(spark, "updates", work)
     updates.write.parquet(staged)
-    updates = spark.read.parquet(staged)
-    rewrite_partitions(
-        spark, path, date_col, key, grain, updates, updates,
-        lambda old, new: merge_by_key(old, new, key),
-    )
-    discard(spark, staged)
+    try:
+        updates = spark.read.parquet(staged)
+        rewrite_partitions(
+            spark, path, date_col, key, grain, updates, updates,
+            lambda old, new: merge_by_key(old, new, key),
+        )
+    finally:
+        discard(spark, staged)
 
 
 def advance_snapshot(

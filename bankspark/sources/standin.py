@@ -140,9 +140,13 @@ def raw_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # Every 250th payment is the first of four within half an hour; the others have numbers of
+    # their own beyond those of the orders, and with them their own type, status and dirt.
     orders = source(spark, sf_dir, "orders").selectExpr(
-        "o_orderkey as n", "o_custkey", "o_totalprice",
-        "timestampadd(SECOND, cast((o_orderkey * 7919) % 86400 as int), o_orderdate) as at",
+        "*", "explode(if(o_orderkey % 250 = 7, array(0, 1, 2, 3), array(0))) as burst"
+    ).selectExpr(
+        "o_orderkey + cast(burst as bigint) * 1000000100 as n", "o_custkey", "o_totalprice",
+        "timestampadd(SECOND, cast((o_orderkey * 7919) % 86400 as int) + burst * 600, o_orderdate) as at",
     )
     code = "concat('T', lpad(cast(n as string), 10, '0'))"
     return _copies(orders, "n % 97 = 0").selectExpr(

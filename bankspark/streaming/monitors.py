@@ -3,21 +3,24 @@
 from __future__ import annotations
 
 import json
+import threading
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from bankspark.functions.dates import epoch_micros
 from bankspark.operators.bursts import MICROS_PER_MINUTE
+from bankspark.sources.sinks import append_log
 
 
 def with_event_time(df: DataFrame, ts: str, delay: str = "24 hours") -> DataFrame:
     """Event time as a zoned timestamp (session time zone UTC) with a watermark: rows later
-    than `delay` are dropped."""
+    than `delay` are dropped by stateful steps; `ProgressLog` counts them per batch."""
     return df.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, delay)
 
 
@@ -27,50 +30,42 @@ def dedup_within_watermark(df: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def rapid_fire_stream(
-    df: DataFrame, key: str, ts: str, minutes: int = 60, bucket_windows: int = 1, slots: int = 64
+    df: DataFrame, key: str, ts: str, minutes: int = 60, bucket_windows: int = 1
 ) -> DataFrame:
     """(key, ts, txn_count) for each instant whose 60-minute count is new or has grown.
 
     A late row raises the counts of instants after it, which are then emitted again; the
     final count of an instant is the largest one emitted.
 
-    State is kept per time bucket and key slot: the distinct instants of the bucket and of the
-    window before it, with their counts. A hot key is thus spread over its buckets, rows at one
-    instant take one entry, and the state leaves when the watermark passes the bucket's end.
-    Keys share a slot so that a task works on arrays instead of on one key at a time; take
-    more `slots` for more tasks, and wider buckets to catch up on a long backlog.
+    State is kept per key and time bucket: the distinct instants of the bucket and of the
+    window before it, with their counts. So a group holds one key's rows of at most
+    `bucket_windows` + 1 windows, however hot the key or long its history; rows at one instant
+    take one entry, and the state leaves when the watermark passes the bucket's end. Take
+    wider buckets to catch up on a long backlog with fewer groups.
     """
     window_us = minutes * MICROS_PER_MINUTE
     width_us = window_us * bucket_windows
 
-    def counts(known: pd.DataFrame) -> np.ndarray:
-        """Window counts of rows sorted by key and instant, all keys at once: each key gets its
-        own stretch of one number line, more than a window apart from the next."""
-        us = known["us"].to_numpy(np.int64)
-        offset = us - us.min()
-        stretch = int(offset.max()) + window_us + 1
-        line = pd.factorize(known["k"])[0].astype(np.int64) * stretch + offset
-        running = np.concatenate([[0], np.cumsum(known["n"].to_numpy(np.int64))])
-        return running[1:] - running[np.searchsorted(line, line - window_us, side="left")]
-
     def update(group: tuple, parts: Iterator[pd.DataFrame], state: GroupState):
         if state.hasTimedOut:
             state.remove()
             return
         bucket = int(group[1])
-        frames = [p[["k", "us"]].assign(n=1, c=0) for p in parts]
-        if state.exists:
-            frames.append(pd.DataFrame(dict(zip(("k", "us", "n", "c"), state.get))))
-        known = pd.concat(frames).groupby(["k", "us"], as_index=False, sort=True)[["n", "c"]].sum()
-        now = counts(known)
-        is_news = (now != known["c"]) & (known["us"] // width_us == bucket)
-        known["c"] = now
-        grown = known[is_news]
-        state.update(tuple(known[c].tolist() for c in ("k", "us", "n", "c")))
+        us = [p["us"].to_numpy(np.int64) for p in parts]
+        n = [np.ones(len(x), np.int64) for x in us]
+        old_us, old_n, old_c = (np.array(x, np.int64) for x in state.get) if state.exists else (np.zeros(0, np.int64),) * 3
+        at, place = np.unique(np.concatenate([*us, old_us]), return_inverse=True)
+        rows = np.bincount(place, weights=np.concatenate([*n, old_n]), minlength=len(at)).astype(np.int64)
+        before = np.zeros(len(at), np.int64)
+        before[np.searchsorted(at, old_us)] = old_c
+        running = np.concatenate([[0], np.cumsum(rows)])
+        now = running[1:] - running[np.searchsorted(at, at - window_us, side="left")]
+        state.update((at.tolist(), rows.tolist(), now.tolist()))
         bucket_end_ms = (bucket + 1) * width_us // 1000
         state.setTimeoutTimestamp(max(bucket_end_ms, int(state.getCurrentWatermarkMs()) + 1))
-        if len(grown):
-            yield grown[["k", "us", "c"]]
+        news = (now != before) & (at // width_us == bucket)
+        if news.any():
+            yield pd.DataFrame({"k": group[0], "us": at[news], "c": now[news]})
 
     us = epoch_micros(F.col(ts))
     own, last = F.floor(us / width_us), F.floor((us + window_us) / width_us)
@@ -80,12 +75,10 @@ def rapid_fire_stream(
         ts,
         F.when(text.isNull(), "").otherwise(F.concat(F.lit("="), text)).alias("k"),
         us.alias("us"),
-        F.pmod(F.xxhash64(text), F.lit(slots)).alias("_slot"),
         F.explode(F.array_distinct(F.array(own, last))).alias("_bucket"),
     )
-    emitted = placed.groupBy("_slot", "_bucket").applyInPandasWithState(
-        update, "k string, us long, c long",
-        "k array<string>, us array<long>, n array<long>, c array<long>",
+    emitted = placed.groupBy("k", "_bucket").applyInPandasWithState(
+        update, "k string, us long, c long", "us array<long>, n array<long>, c array<long>",
         "append", GroupStateTimeout.EventTimeTimeout,
     )
     return emitted.select(
@@ -100,15 +93,28 @@ def final_counts(emitted: DataFrame, key: str, ts: str) -> DataFrame:
     return emitted.groupBy(key, ts).agg(F.max("txn_count").alias("txn_count"))
 
 
-def fraud_daily_stream(flags: DataFrame, ts: str, by: list[str], amount: str) -> DataFrame:
-    """Daily roll-up, each day emitted once, when the watermark has passed its end."""
-    return (
-        flags.groupBy(F.window(ts, "1 day").alias("w"), *by)
-        .agg(F.count(F.lit(1)).alias("flagged_count"), F.sum(amount).alias("flagged_amount"))
-        .select(F.col("w.start").cast("date").alias("flag_date"), *by, "flagged_count", "flagged_amount")
+def daily_flags(flags: DataFrame, day: Column, by: list[str], amount: str) -> DataFrame:
+    return flags.groupBy(day, *by).agg(
+        F.count(F.lit(1)).alias("flagged_count"), F.sum(amount).alias("flagged_amount")
     )
 
 
+def fraud_daily_stream(flags: DataFrame, ts: str, by: list[str], amount: str) -> DataFrame:
+    """Daily roll-up, each day emitted once, when the watermark has passed its end. The days that
+    are still open are `with_open_days`."""
+    rolled = daily_flags(flags, F.window(ts, "1 day").alias("w"), by, amount)
+    return rolled.select(F.col("w.start").cast("date").alias("flag_date"), *by, "flagged_count", "flagged_amount")
+
+
+def with_open_days(closed: DataFrame, flags: DataFrame, ts: str, by: list[str], amount: str) -> DataFrame:
+    """The roll-up of all days: what the stream has closed, and the later days from the flags so
+    far. Days close in order, so one date tells them apart, and only open days are read again."""
+    last = closed.agg(F.max("flag_date")).first()[0]  # one value
+    day = F.col(ts).cast("date")
+    still = flags if last is None else flags.filter(day > F.lit(last))
+    return closed.unionByName(daily_flags(still, day.alias("flag_date"), by, amount))
+
+
 def run_to_files(df: DataFrame, path: str, checkpoint: str, available_now: bool = True) -> StreamingQuery:
     """Append a stream's rows to parquet files, exactly once."""
     writer = (
@@ -119,18 +125,60 @@ def run_to_files(df: DataFrame, path: str, checkpoint: str, available_now: bool
 
 
 PROGRESS = (
-    "query_name string, batch_id long, started_at string, input_rows long, "
+    "query_name string, batch_id long, started_at string, input_rows long, late_rows long, "
     "batch_duration_ms long, sources string"
 )
 
 
-def progress_log(spark: SparkSession, query: StreamingQuery) -> DataFrame:
-    """A row per recent micro-batch with rows read and the source offsets; append it to a log."""
-    rows = [
-        (
-            p.name, p.batchId, p.timestamp, p.numInputRows, p.batchDuration,
+class ProgressLog(StreamingQueryListener):
+    """Appends a row for every micro-batch of a session's streams, with the rows read, the rows that
+    came too late for the watermark and were dropped, and the source offsets.
+
+    Rows are written `every` so many batches and when a query ends; a crash can cost the last ones.
+    Add it with `spark.streams.addListener`. `name` limits it to one query.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, name: str | None = None, every: int = 1):
+        self.spark, self.path, self.name, self.every = spark, path, name, every
+        self.rows: list[tuple] = []
+        self.ended = threading.Event()
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        p = event.progress
+        if self.name is not None and p.name != self.name:
+            return
+        late = sum(s.numRowsDroppedByWatermark for s in p.stateOperators)
+        self.rows.append((
+            p.name, p.batchId, p.timestamp, p.numInputRows, late, p.batchDuration,
             json.dumps([{"start": s.startOffset, "end": s.endOffset} for s in p.sources]),
-        )
-        for p in query.recentProgress
-    ]
-    return spark.createDataFrame(rows, PROGRESS)
+        ))
+        if len(self.rows) >= self.every:
+            self.write()
+
+    def onQueryTerminated(self, event) -> None:
+        self.write()
+        self.ended.set()
+
+    def write(self) -> None:
+        rows, self.rows = self.rows, []
+        if rows:
+            append_log(self.spark.createDataFrame(rows, PROGRESS), self.path)
+
+
+@contextmanager
+def progress_log(spark: SparkSession, path: str, name: str | None = None, every: int = 1) -> Iterator[ProgressLog]:
+    """Log the streams that run inside the block, to the last batch of the first that ends."""
+    log = ProgressLog(spark, path, name, every)
+    spark.streams.addListener(log)
+    try:
+        yield log
+        log.ended.wait(60)
+    finally:
+        spark.streams.removeListener(log)
+        log.write()

@@ -52,11 +52,25 @@ def test_tags_survive_renames_and_no_raw_value_leaks(spark):
     assert not raw & shown
 
 
-def test_inventory_and_uncovered_columns(spark):
-    df = G.tag(tagged(spark), "id", "PII_HIGH")
-    refs = G.tag_references({"contacts": df})
+def test_inventory_and_coverage(spark):
+    df = G.tag_open(G.tag(tagged(spark), "id", "PII_HIGH"), "id")
+    refs = bag(G.tag_references({"contacts": df}))
     assert ("contacts", "name", "PII_FIELD", "NAME") in refs and ("contacts", "amount", "DATA_CLASS", "FINANCIAL_SENSITIVE") in refs
-    assert G.unmasked_columns({"contacts": df}) == [("contacts", "id", "PII_HIGH")]
+    assert bag(G.unmasked_columns({"contacts": df})) == [("contacts", "id", "PII_HIGH")]
+    coverage = {c: x for _, c, _, x in bag(G.mask_coverage({"contacts": df}))}
+    assert coverage == {"id": "OPEN", "name": "FIELD", "email": "FIELD", "phone": "FIELD", "gid": "FIELD", "amount": "AMOUNT"}
+    assert G.unmasked_columns({"contacts": contacts(spark)}).count() == 0
+
+
+def test_protected_columns_without_a_mask_of_their_own_are_masked_out(spark):
+    df = frame(spark, "home string, secret string, wealth double, code int", ("Street 1", "s", 12.5, 7))
+    for c, cls, f in (("home", "PII_HIGH", "ADDRESS"), ("secret", "PII_HIGH", None), ("wealth", "FINANCIAL_SENSITIVE", None), ("code", "PII_LOW", "NAME")):
+        df = G.tag(df, c, cls, f)
+    for role in (M.READER, "INTERN"):
+        shown = G.apply_masks(df, role)
+        assert bag(shown) == [(None, None, None, None)] and shown.dtypes == df.dtypes
+    assert bag(G.apply_masks(df, M.ADMIN)) == bag(df)
+    assert bag(G.apply_masks(G.tag_open(df, "secret"), "INTERN"), "secret") == [("s",)]
 
 
 def test_row_access(spark):

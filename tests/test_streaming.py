@@ -134,17 +134,44 @@ def test_rapid_fire_stream_with_rows_out_of_order_equals_the_batch(spark, tmp_pa
     schema = "id int, k string, t timestamp_ntz"
     stream = monitors.with_event_time(stream_files(spark, tmp_path, schema, batches), "t")
     out = str(tmp_path / "out")
-    q = monitors.run_to_files(
-        monitors.rapid_fire_stream(stream, "k", "t", bucket_windows=bucket_windows), out, str(tmp_path / "ckpt")
-    )
-    q.awaitTermination()
+    with monitors.progress_log(spark, str(tmp_path / "log"), every=3):
+        monitors.run_to_files(
+            monitors.rapid_fire_stream(stream, "k", "t", bucket_windows=bucket_windows), out, str(tmp_path / "ckpt")
+        ).awaitTermination()
     emitted = spark.read.parquet(out)
     got = monitors.final_counts(emitted, "k", "t").withColumn("t", F.col("t").cast("timestamp_ntz"))
     want = burst_counts(frame(spark, schema, *rows), "k", "t")
     assert bag(got) == bag(want)
     assert emitted.count() >= got.count()  # late rows are corrections, not losses
-    log = monitors.progress_log(spark, q)
-    assert log.agg(F.sum("input_rows")).first()[0] == len(rows) and log.count() >= 4
+    log = spark.read.parquet(str(tmp_path / "log"))
+    assert log.agg(F.sum("input_rows"), F.sum("late_rows")).first() == (len(rows), 0) and log.count() >= 4
+
+
+def test_one_hot_account_and_rows_that_come_too_late(spark, tmp_path):
+    """Most rows belong to one account; two rows are beyond the watermark, and counted as such."""
+    t0 = datetime(2024, 1, 1)
+    rows = [(i, "hot" if i % 10 else f"k{i}", t0 + timedelta(seconds=i * 7)) for i in range(3000)]
+    batches = [rows[:1500], rows[1500:] + [(9000, "far", t0 + timedelta(days=9))], [(9003, "far", t0 + timedelta(days=9))], [(9001, "hot", t0), (9002, "k0", t0)]]
+    schema = "id int, k string, t timestamp_ntz"
+    stream = monitors.with_event_time(stream_files(spark, tmp_path, schema, batches), "t")
+    out, log = str(tmp_path / "out"), str(tmp_path / "log")
+    with monitors.progress_log(spark, log):
+        monitors.run_to_files(monitors.rapid_fire_stream(stream, "k", "t"), out, str(tmp_path / "ckpt")).awaitTermination()
+    got = monitors.final_counts(spark.read.parquet(out), "k", "t").withColumn("t", F.col("t").cast("timestamp_ntz"))
+    want = burst_counts(frame(spark, schema, *rows, (9000, "far", t0 + timedelta(days=9)), (9003, "far", t0 + timedelta(days=9))), "k", "t")
+    assert bag(got) == bag(want)
+    assert spark.read.parquet(log).agg(F.sum("late_rows")).first()[0] > 0
+
+
+def test_open_days_join_the_closed_ones(spark):
+    t0 = datetime(2024, 1, 1)
+    flags = frame(spark, "r string, amount int, t timestamp_ntz", ("x", 1, t0), ("x", 2, t0 + timedelta(days=1)), ("y", 4, t0 + timedelta(days=1)))
+    how = ("t", ["r"], "amount")
+    none = frame(spark, "flag_date date, r string, flagged_count long, flagged_amount long")
+    whole = bag(monitors.with_open_days(none, flags, *how))
+    assert len(whole) == 3
+    closed = frame(spark, "flag_date date, r string, flagged_count long, flagged_amount long", (t0.date(), "x", 1, 1))
+    assert bag(monitors.with_open_days(closed, flags, *how)) == whole
 
 
 def test_rapid_fire_state_expires(spark, tmp_path):
