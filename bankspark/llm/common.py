@@ -35,6 +35,11 @@ def write_stage(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
     return back
 
 
+def few(df: DataFrame, limit: int) -> DataFrame:
+    """A written table, marked for broadcast if it has at most `limit` rows."""
+    return F.broadcast(df) if df.count() <= limit else df
+
+
 def drop_stage(df: DataFrame) -> None:
     """Remove an intermediate that nothing will read again."""
     discard(df.sparkSession, df.stage_path)
@@ -54,6 +59,24 @@ def row_key(id_col: str, text_col: str) -> tuple[Column, Column]:
     )
 
 
+KEY = ["llm_k_id", "llm_k_row"]
+
+
+def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """All columns of `docs` and the row key under names that do not clash with them."""
+    key = row_key(id_col, text_col)
+    return docs.select(*columns_of(docs), *[c.alias(name) for c, name in zip(key, KEY)])
+
+
+def as_key(found: DataFrame, *more: str) -> DataFrame:
+    """The row key of a result (k_id, k_row) under the names of `keyed`, and more of its columns."""
+    return found.select(*[F.col(c).alias(name) for c, name in zip(("k_id", "k_row"), KEY)], *more)
+
+
+def columns_of(docs: DataFrame) -> list[Column]:
+    return [F.col(f"`{c}`") for c in docs.columns]
+
+
 def texts_of(batch: pa.RecordBatch, col: str) -> tuple[np.ndarray, np.ndarray]:
     """UTF-8 bytes of a string column and the n + 1 offsets into them; null is empty."""
     arr = batch.column(batch.schema.get_field_index(col))

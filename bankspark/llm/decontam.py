@@ -7,7 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from bankspark.llm.common import row_key, write_stage
+from bankspark.llm.common import KEY, as_key, columns_of, few, keyed, row_key, write_stage
 
 WINDOW = 13
 # Bounds under which a side is broadcast: terms of the items, documents with candidates.
@@ -29,11 +29,6 @@ def words(text: Column) -> Column:
     return F.array_remove(F.split(lower_ascii(F.coalesce(text, F.lit(""))), BREAKS), "")
 
 
-def few(df: DataFrame, limit: int) -> DataFrame:
-    """A written table, marked for broadcast if it has at most `limit` rows."""
-    return F.broadcast(df) if df.count() <= limit else df
-
-
 @dataclass
 class Index:
     """Postings of the corpus (k_id, k_row, place, tid) for the terms of the items' windows, and
@@ -159,7 +154,5 @@ def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of `docs` that are not contaminated, with their columns."""
-    dirty = contamination(docs, items, id_col, text_col).filter("contaminated").select("k_id", "k_row").distinct()
-    names = docs.columns
-    rows = docs.select(*[F.col(f"`{c}`") for c in names], *row_key(id_col, text_col))
-    return rows.join(dirty, ["k_id", "k_row"], "left_anti").select(*[F.col(f"`{c}`") for c in names])
+    dirty = as_key(contamination(docs, items, id_col, text_col).filter("contaminated")).distinct()
+    return keyed(docs, id_col, text_col).join(dirty, KEY, "left_anti").select(*columns_of(docs))

@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from bankspark.llm.common import byte_slices, drop_stage, prepare, row_key, texts_of, write_stage
+from bankspark.llm.common import KEY, as_key, byte_slices, columns_of, drop_stage, keyed, prepare, row_key, texts_of, write_stage
 
 GRAM = 24  # bytes of the hashed grams; a window of `min_bytes` holds min_bytes - GRAM + 1 of them
 BUCKET_BYTES = 8 << 20  # stretches whose suffixes one group sorts at a time
@@ -413,12 +413,9 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     stretches are sorted once, whatever the number of copies; a hash with too many distinct
     stretches for one task is counted window by window instead.
     """
-    spark = docs.sparkSession
-    spans = repeated_spans(docs, id_col, text_col, min_bytes, keep)
+    spans = as_key(repeated_spans(docs, id_col, text_col, min_bytes, keep), F.col("spans").alias("llm_spans"))
     names = docs.columns
-    k_id, k_row = row_key(id_col, text_col)
-    left = docs.select(*[F.col(f"`{c}`") for c in names], k_id, k_row)
-    joined = left.join(spans, ["k_id", "k_row"], "left").select(*[left[f"`{c}`"] for c in names], "spans")
+    joined = keyed(docs, id_col, text_col).join(spans, KEY, "left").select(*columns_of(docs), "llm_spans")
     kind = T.StructType.fromDDL(f"n_bytes long, n_removed long, n_spans long, kept {'string' if as_text else 'binary'}")
     held = pa.string() if as_text else pa.binary()
     schema = T.StructType([*docs.schema.fields, T.StructField(out, kind)])
