@@ -89,6 +89,15 @@ def _(b: Bank):
     return marts.quarterly_kpis(b.revenue)
 
 
+@query("kpis_in_order", f"""
+  SELECT revenue_quarter, branch_region, {dbl('net')} AS net_revenue_usd,
+    CAST(row_number() OVER (ORDER BY revenue_quarter DESC, net DESC, branch_region NULLS FIRST) AS INT) AS position FROM quarterly""", quarterly=_QUARTERLY)
+def _(b: Bank):
+    """As the report shows them: the newest quarter first, in it the region with most revenue."""
+    kpis = marts.quarterly_kpis(b.revenue).select("revenue_quarter", "branch_region", "net_revenue_usd")
+    return rows.in_order(kpis, F.desc("revenue_quarter"), F.desc("net_revenue_usd"), "branch_region")
+
+
 @query("nim_quarterly", f"""
   SELECT quarter, {dbl('interest')} AS interest_usd, {dbl('owed')} AS outstanding_usd, {dbl('cost')} AS quarter_cost_usd,
     {ratio_pct('interest - cost', 'owed', 4)} AS nim_pct

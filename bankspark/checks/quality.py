@@ -214,6 +214,15 @@ def _(b: Bank):
     return Q.scorecard(_results(b), date(2024, 2, 14))
 
 
+@query("scorecard_in_order", """
+  SELECT check_date, layer, check_category, total_checks, CAST(row_number() OVER (ORDER BY check_date DESC, layer, check_category) AS INT) AS position FROM (
+    SELECT CAST(executed_at AS DATE) AS check_date, layer, check_category, count(*) AS total_checks FROM results
+    WHERE executed_at >= DATE '2024-01-15' GROUP BY 1, 2, 3)""", results=_RESULTS)
+def _(b: Bank):
+    card = Q.scorecard(_results(b), date(2024, 2, 14)).select("check_date", "layer", "check_category", "total_checks")
+    return rows.in_order(card, F.desc("check_date"), "layer", "check_category")
+
+
 _ENTITIES = ("customers", "accounts", "transactions", "loans", "branches")
 
 

@@ -66,9 +66,10 @@ def bottom_n(df: DataFrame, n: int, measure: str, tiebreak: Sequence[str]) -> Da
     return df.orderBy(*order).limit(n)
 
 
-def share_of_total(df: DataFrame, part: Sequence[str], value: Column) -> Column:
-    """Sum of `value` over the row's partition; divide by it for a share."""
-    return F.sum(value).over(Window.partitionBy(*part))
+def in_order(df: DataFrame, *order: Column | str, position: str = "position") -> DataFrame:
+    """The rows of a report in the order it is shown, numbered. For aggregates: one task numbers
+    them."""
+    return df.withColumn(position, F.row_number().over(Window.orderBy(*order))).orderBy(position)
 
 
 def sample_rows(df: DataFrame, n: int) -> DataFrame:

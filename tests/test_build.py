@@ -2,9 +2,12 @@ from datetime import datetime
 
 import pytest
 
+from pyspark.sql import functions as F
+
 from bankspark.operators.quality import QualityGateError
 from bankspark.plans import marts
-from bankspark.plans.build import as_of, build
+from bankspark.plans.build import as_of, build, load_staged_fact
+from bankspark.plans.staging import stage
 from bankspark.sources import standin
 from tests.util import bag
 
@@ -34,18 +37,70 @@ def test_two_builds(spark, sf_dir, tmp_path):
     assert runs.select("invocation_id").distinct().count() == 2
     assert runs.filter("status <> 'success'").count() == 0
     results = spark.read.parquet(folder + "/audit/dq_results")
-    assert results.count() == 26
+    assert results.count() == 2 * (13 + 5)
+    assert results.filter("check_name = 'fk_transactions_to_accounts'").first()["failed_row_sample"]
     failing = {r["test"] for r in two["column_tests"].filter("failures > 0 and severity = 'ERROR'").collect()}
-    assert failing <= {"accepted_values", "relationships"}
+    assert failing <= {"accepted_values", "relationships", "between"}
+
+
+# What the stand-in feeds are known to fail: their regions, dates and ages are not the bank's.
+KNOWN = (
+    "stg_customers.region.accepted_values", "stg_customers.customer_segment.accepted_values", "stg_customers.onboarding_date.between",
+    "stg_loans.customer_id.relationships", "dim_customer.customer_segment.accepted_values", "fct_loans.customer_id.relationships",
+    "freshness_raw_transactions", "fk_transactions_to_accounts", "range_transaction_amount_positive",
+)
 
 
 def test_gate_stops_the_build_before_publication(spark, sf_dir, tmp_path):
     folder = tmp_path / "bank"
     raw, fx = standin.raw_tables(spark, sf_dir), standin.exchange_rates(spark)
-    with pytest.raises(QualityGateError, match="freshness_raw_transactions"):
+    with pytest.raises(QualityGateError, match="stg_customers.region.accepted_values"):
         build(spark, raw, fx, str(folder), standin.BANK)
     # Staging and the audit log exist; no snapshot, dimension, fact or mart does.
     assert sorted(p.name for p in folder.iterdir()) == ["audit", "staging"]
     runs = spark.read.parquet(str(folder / "audit" / "run_results"))
-    assert bag(runs.filter("status = 'error'"), "node_name") == [("dq_results",)]
+    assert bag(runs.filter("status = 'error'"), "node_name") == [("staging_tests",)]
     assert {r["node_type"] for r in runs.collect()} == {"view", "test"}
+    assert not spark.getTags()
+
+
+def test_duplicate_branch_publishes_nothing_and_waived_tests_let_pass(spark, sf_dir, tmp_path):
+    raw, fx = standin.raw_tables(spark, sf_dir), standin.exchange_rates(spark)
+    twice = {**raw, "branches": raw["branches"].union(raw["branches"].limit(1).withColumn("branch_id", F.trim("branch_id")))}
+    folder = tmp_path / "bad"
+    with pytest.raises(QualityGateError, match="stg_branches.branch_id.unique"):
+        build(spark, twice, fx, str(folder), standin.BANK, waive=KNOWN)
+    assert sorted(p.name for p in folder.iterdir()) == ["audit", "staging"]
+
+    # Rows without a time, or from before any other, are in the first load.
+    n = F.substr("transaction_id", F.lit(-3)).cast("int")
+    old = F.when(n % 10 == 0, None).when(n % 10 == 1, F.lit(datetime(1899, 12, 31)).cast("timestamp_ntz")).otherwise(F.col("transaction_timestamp"))
+    odd = {**raw, "transactions": raw["transactions"].withColumn("transaction_timestamp", old)}
+    folder = tmp_path / "good"
+    without_time = [f"{c}.not_null" for c in (
+        "raw_transactions.transaction_timestamp", "stg_transactions.transaction_timestamp", "fct_revenue_monthly.revenue_month",
+        "fct_branch_performance.performance_month", "fct_quarterly_kpis.revenue_quarter")]
+    out = build(spark, odd, fx, str(folder), standin.BANK, waive=(*KNOWN, *without_time))
+    staged = spark.read.parquet(str(folder / "staging" / "stg_transactions"))
+    assert out["fct_transactions"].count() == staged.count()
+    assert out["fct_transactions"].filter("transaction_timestamp is null").count() > 0
+    assert out["fct_transactions"].filter("transaction_timestamp < '1900-01-01'").count() > 0
+    names = {p.name for p in folder.iterdir()}
+    assert {"dim_loan_type", "dim_merchant_category", "dim_account_history", "vw_customer_360", "layer_reconciliation", "loan_balances_daily"} <= names
+    assert not [n for n in names if "pending" in n]
+    assert out["loan_balances_daily"].count() > 0
+
+
+def test_backfill_loads_again_from_a_moment_on_and_late_rows_by_load_time(spark, sf_dir, tmp_path):
+    raw = standin.raw_tables(spark, sf_dir)
+    stg = stage(raw)
+    fx, path = standin.exchange_rates(spark), str(tmp_path / "fct")
+    load_staged_fact(spark, path, stg, fx, standin.BANK)
+    fact = load_staged_fact(spark, path, stg, fx, LATER, backfill_from=datetime(2001, 1, 1))
+    assert fact.filter("loaded_at > '2001-12-31' and transaction_timestamp < '2001-01-01'").count() == 0
+    assert fact.filter("loaded_at = '2001-12-31' and transaction_timestamp >= '2001-01-01'").count() == 0
+    since = datetime(1999, 6, 1)
+    again = as_of(standin.BANK, datetime(2002, 1, 2))
+    fact = load_staged_fact(spark, path, stg, fx, again, loaded_since=since)
+    synced = stg["transactions"].filter(F.col("loaded_at") >= F.lit(since).cast("timestamp_ntz")).count()
+    assert fact.filter("loaded_at = '2002-01-02'").count() == synced

@@ -1,7 +1,5 @@
 """What the physical plans must and must not contain."""
 
-import os
-
 import pytest
 from pyspark.sql import functions as F
 
@@ -94,14 +92,7 @@ def test_registry():
     assert len(set(QUERIES) - set(ORACLE)) == 0
 
 
-SOME = (
-    "stg_customers", "dedup_latest", "enrich_transactions", "revenue_monthly", "branch_performance", "quarterly_kpis",
-    "customer_profitability", "loan_portfolio", "fraud_indicators", "customer_360", "snapshot_scd2", "apply_changes",
-    "dq_suite", "column_tests_staging", "apply_masks",
-)
-
-
-@pytest.mark.parametrize("name", sorted(QUERIES) if os.environ.get("ALL_QUERIES") else SOME)
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_agrees_with_its_sql(spark, sf_dir, name):
     import duckdb
 
