@@ -2,7 +2,8 @@
 and only then publish.
 
 Staging is written once, so that the deduplicating shuffle runs once and the checks read only
-the columns they need. Source and staging contracts and the quality suite stand before anything
+the columns they need; that of the transactions is kept by date and takes only what was synced
+since the last build. Source and staging contracts and the quality suite stand before anything
 that is kept. The transaction fact is merged incrementally, a slice at a time, and each slice is
 tested before it is merged. Everything else is refreshed in full from written inputs into a pending
 folder, and takes the place of the published tables together, once its contracts, the business
@@ -24,7 +25,9 @@ from bankspark.config import Params
 from bankspark.functions.masks import READER
 from bankspark.operators import changes, ops, quality
 from bankspark.plans import balances, dims, dq, enrich, fraud, loans, marts, serve
-from bankspark.plans.staging import stage, stg_transactions, stg_transactions_since
+from bankspark.plans.staging import (
+    refresh_staged_transactions, stage, stg_transactions, stg_transactions_since,
+)
 from bankspark.session import work_dir
 from bankspark.sources import sinks
 
@@ -142,10 +145,14 @@ def build(
 
     def work() -> None:
         step("source_tests", "test", lambda: contracts({f"raw_{n}": df for n, df in raw.items()}, dq.SOURCE_CONTRACTS))
+        staging = os.path.join(folder, "staging")
+        txn_path = os.path.join(staging, "stg_transactions")
         stg = {
             name: step(
                 f"stg_{name}", "view",
-                lambda name=name, df=df: sinks.materialize(df, os.path.join(folder, "staging"), f"stg_{name}"),
+                (lambda: refresh_staged_transactions(spark, txn_path, raw["transactions"], p.txn_late_arrival_overlap_hours, grain))
+                if name == "transactions" else
+                (lambda name=name, df=df: sinks.materialize(df, staging, f"stg_{name}")),
             )
             for name, df in stage(raw).items()
         }
@@ -177,8 +184,16 @@ def build(
         def check_slice(rows: DataFrame) -> None:
             contracts({"fct_transactions": rows, "dim_account": account}, fact_rules)
 
-        fact = step("fct_transactions", "incremental", lambda: load_staged_fact(
-            spark, os.path.join(folder, "fct_transactions"), stg, fx, p, grain, backfill_from, loaded_since, check_slice))
+        def load() -> DataFrame:
+            """From the partitions of the staging that the slice can lie in."""
+            path = os.path.join(folder, "fct_transactions")
+            bound = fact_bound(spark, path, p) if backfill_from is None else backfill_from
+            whole = bound is None or loaded_since is not None
+            txn = stg["transactions"] if whole else sinks.read_since(spark, txn_path, bound)
+            return load_staged_fact(
+                spark, path, {**stg, "transactions": txn}, fx, p, grain, bound, loaded_since, check_slice)
+
+        fact = step("fct_transactions", "incremental", load)
         loan = table(
             "fct_loans", lambda: loans.fct_loans(loans.amortize_loans(stg["loans"], p), customer, p)
         )

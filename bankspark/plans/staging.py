@@ -7,9 +7,10 @@ amounts as null.
 
 from __future__ import annotations
 
-from datetime import datetime
+import os
+from datetime import datetime, timedelta
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from bankspark.config import RISK_LEVELS
 from bankspark.functions import rules
@@ -19,7 +20,9 @@ from bankspark.functions.cleanse import (
 from bankspark.functions.dates import lit_ts
 from bankspark.functions.numbers import flag
 from bankspark.operators.rows import drop_deleted, latest_per_key, require
-from bankspark.schemas import SYNCED
+from bankspark.schemas import DELETED, SYNCED
+from bankspark.session import work_dir
+from bankspark.sources import sinks
 
 MODELED, WAREHOUSE = "modeled", "warehouse"
 
@@ -120,6 +123,52 @@ def stg_transactions_since(raw: DataFrame, bound: datetime) -> DataFrame:
     return stg_transactions(versions).filter(ts >= lit_ts(bound))
 
 
+def refresh_staged_transactions(
+    spark: SparkSession, path: str, raw: DataFrame, overlap_hours: int = 24, grain: str = "month"
+) -> DataFrame:
+    """Bring the stored staging of transactions, clustered by date, up to the raw feed.
+
+    The first time everything is staged. Later only raw rows synced since the newest stored sync,
+    less the overlap, or without a sync time, are cleansed and deduplicated; of them and the
+    stored versions of their ids the newest stays. Ids deleted since are staged again from all
+    their versions. Only partitions that these touch are written.
+    """
+    sinks.finish_move(spark, path)
+    stored = sinks.read_if_exists(spark, path)
+    if stored is None or sinks.PART not in stored.columns:
+        sinks.write_clustered(stg_transactions(raw), path, "transaction_date", grain)
+        return sinks.read_clustered(spark, path)
+    newest = stored.agg(F.max("loaded_at")).first()[0]  # one value
+    recent = raw
+    if newest is not None:
+        since = lit_ts(newest - timedelta(hours=overlap_hours))
+        recent = raw.filter((F.col(SYNCED) >= since) | F.col(SYNCED).isNull())
+    code = norm_code(F.col("transaction_id"))
+    work = work_dir(spark, "staged")
+    try:
+        gone_path, fresh_path = os.path.join(work, "gone"), os.path.join(work, "fresh")
+        recent.filter(F.col(DELETED)).select(code.alias("_id")).distinct().write.parquet(gone_path)
+        gone = spark.read.parquet(gone_path)
+        fresh = stg_transactions(recent)
+        if not gone.isEmpty():
+            # An older version of a deleted row may stand again, so all its versions are read.
+            versions = raw.join(gone, code == F.col("_id"), "left_semi")
+            kept = fresh.join(gone, F.col("transaction_id") == F.col("_id"), "left_anti")
+            fresh = kept.unionByName(stg_transactions(versions))
+        fresh.write.parquet(fresh_path)
+        fresh = spark.read.schema(fresh.schema).parquet(fresh_path)
+        keys = fresh.select("transaction_sk").union(gone.select(surrogate_key(F.col("_id"))))
+
+        def merge(old: DataFrame, new: DataFrame) -> DataFrame:
+            left = old.join(gone, F.col("transaction_id") == F.col("_id"), "left_anti")
+            return latest_per_key(left.unionByName(new), "transaction_id", "loaded_at", TXN_TIES)
+
+        sinks.rewrite_partitions(spark, path, "transaction_date", "transaction_sk", grain, keys, fresh, merge)
+    finally:
+        sinks.discard(spark, work)
+    return sinks.read_clustered(spark, path)
+
+
 def stg_loans(raw: DataFrame, variant: str = MODELED) -> DataFrame:
     required = () if variant == WAREHOUSE else ("loan_id",)
     rows = _source(raw, *required).select(

@@ -241,6 +241,14 @@ def read_parts(spark: SparkSession, path: str, parts: Sequence[str]) -> DataFram
     return spark.read.parquet(path).filter(F.col(PART).isin(*parts)).drop(PART)
 
 
+def read_since(spark: SparkSession, path: str, since: datetime) -> DataFrame:
+    """The partitions of a clustered table from a moment's day or month on, and the one of rows
+    without a date; the others are not read. Labels sort as their dates do, `none` last."""
+    rows = spark.read.parquet(path)
+    label = {"day": f"d{since:%Y-%m-%d}", "month": f"m{since:%Y-%m}"}.get(stored_grain(spark, path) or "")
+    return (rows if label is None else rows.filter(F.col(PART) >= label)).drop(PART)
+
+
 def discard(spark: SparkSession, path: str) -> None:
     """Remove a folder this library wrote, on whatever file system it is."""
     _fs(spark, path).delete(_path(spark, path), True)
