@@ -9,19 +9,22 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from bankspark.llm.common import byte_slices, drop_stage, prepare, row_key, texts_of, write_stage
+from bankspark.llm.common import KEY, as_key, byte_slices, columns_of, drop_stage, few, keyed, prepare, row_key, texts_of, write_stage
 
 WORDS = 5
 SIMILARITY = 75  # per cent
 PERMS = 64  # minwise tokens of a document
 TREES = 12
-FAN = 2  # branches that a document follows at a further level
-NODE_LIMIT = 1000  # documents that are compared exhaustively at once
+FIRST_TREES = 2
+FAN = 2  # branches that a document follows at most at a further level; 1.5 on average
+NODE_LIMIT = 2000  # documents that are compared exhaustively at once
 MAX_DEPTH = 10
 # A pair goes to the exact comparison if so many of its PERMS tokens agree: 4.6 standard
 # deviations under the expectation at the similarity asked for.
 LEAST_AGREEING = 32
 BUCKET_ROWS = 20_000
+LOCAL_EDGES = 500_000  # edges that one task contracts
+BROADCAST_ROWS = 1_000_000  # keys or labels (a few longs a row) that are broadcast at most
 
 _rng = np.random.default_rng(19970611)
 BYTE_CODE = _rng.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -81,8 +84,8 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray, words: int = WORDS) -> l
         if b - a >= words:
             out.append(np.unique(grams[a:b - words + 1]))
         elif b > a:
-            whole = (codes[a:b] * PLACE[:b - a]).sum(dtype=np.uint64) + np.uint64(b - a) * PLACE[-1]
-            out.append(mix(np.array([whole], np.uint64)))
+            whole = np.append(codes[a:b] * PLACE[:b - a], np.array([b - a], np.uint64) * PLACE[-1:])
+            out.append(mix(whole.sum(dtype=np.uint64, keepdims=True)))
         else:
             out.append(grams[:0])
     return out
@@ -170,45 +173,164 @@ def spanning_edges(weight: np.ndarray) -> list[tuple[int, int]]:
     return edges
 
 
-def _candidates(similarity: int, exhaustive: bool):
-    """Candidate pairs of the nodes in a bucket: a spanning forest of the likely ones, or every
-    likely pair of documents that lie in different components so far (`label`)."""
+def by_node(table: pa.Table) -> Iterator[tuple[int, dict[str, np.ndarray]]]:
+    """The nodes of a bucket with their columns."""
+    node = table.column("node").to_numpy()
+    order = np.argsort(node, kind="stable")
+    cols = {c: table.column(c).to_numpy()[order] for c in ("v", "n", "label")}
+    cols["sketch"] = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint8).reshape(len(node), PERMS)[order]
+    cuts = (np.nonzero(np.diff(node[order]))[0] + 1).tolist()
+    for a, b in zip([0, *cuts], [*cuts, len(node)]):
+        if b - a > 1:
+            yield int(node[order[a]]), {c: x[a:b] for c, x in cols.items()}
+
+
+def open_pairs(rows: dict[str, np.ndarray], similarity: int) -> np.ndarray:
+    """Agreeing tokens of the likely pairs whose documents are in different components."""
+    weight = likely(rows["sketch"], rows["n"], similarity)
+    weight[rows["label"][:, None] == rows["label"][None, :]] = 0
+    return weight
+
+
+def _spanning(similarity: int):
+    """A spanning forest of each node's likely pairs."""
+
+    def run(table: pa.Table) -> pa.Table:
+        out: list[tuple[int, int, int]] = []
+        for _, rows in by_node(table):
+            weight = open_pairs(rows, similarity)
+            for i, j in spanning_edges(weight):
+                p, q = int(rows["v"][i]), int(rows["v"][j])
+                out.append((min(p, q), max(p, q), int(weight[i, j])))
+        c = list(zip(*out)) if out else [[], [], []]
+        return pa.table({n: pa.array(x, pa.int64()) for n, x in zip("xyw", c)})
+
+    return run
+
+
+def _unsettled(similarity: int):
+    """The documents of each node that have a likely partner in another component."""
 
     def run(table: pa.Table) -> pa.Table:
-        node = table.column("node").to_numpy()
-        order = np.argsort(node, kind="stable")
-        v = table.column("v").to_numpy()[order]
-        n = table.column("n").to_numpy()[order]
-        label = table.column("label").to_numpy()[order]
-        sketch = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint8).reshape(len(v), PERMS)[order]
-        cuts = np.nonzero(np.diff(node[order]))[0] + 1
-        xs, ys = [], []
-        for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(v)]):
-            if b - a < 2:
-                continue
-            weight = likely(sketch[a:b], n[a:b], similarity)
-            weight[label[a:b, None] == label[None, a:b]] = 0
-            if exhaustive:
-                i, j = np.nonzero(np.triu(weight))
-                pairs = list(zip(i.tolist(), j.tolist()))
-            else:
-                pairs = spanning_edges(weight)
-            for i, j in pairs:
-                p, q = int(v[a + i]), int(v[a + j])
-                xs.append(min(p, q))
-                ys.append(max(p, q))
-        return pa.table({"x": pa.array(xs, pa.int64()), "y": pa.array(ys, pa.int64())})
+        nodes, vs = [], []
+        for node, rows in by_node(table):
+            v = rows["v"][open_pairs(rows, similarity).any(axis=1)]
+            nodes.append(np.full(len(v), node))
+            vs.append(v)
+        flat = lambda x: np.concatenate(x) if x else np.zeros(0, np.int64)
+        return pa.table({"node": pa.array(flat(nodes), pa.int64()), "v": pa.array(flat(vs), pa.int64())})
 
     return run
 
 
+class Forest:
+    """Union-find over any keys."""
+
+    def __init__(self):
+        self.up: dict[int, int] = {}
+
+    def root(self, v: int) -> int:
+        up = self.up
+        r = v
+        while (p := up.get(r, r)) != r:
+            r = p
+        while v != r:
+            up[v], v = r, up.get(v, v)
+        return r
+
+    def join(self, a: int, b: int) -> bool:
+        a, b = self.root(a), self.root(b)
+        if a == b:
+            return False
+        up = self.up
+        up[max(a, b)] = up.setdefault(min(a, b), min(a, b))
+        return True
+
+
+def common_grams(sets: list[np.ndarray]) -> np.ndarray:
+    """Sizes of all pairwise intersections, by products of slices of the incidence matrix."""
+    m = len(sets)
+    doc = np.repeat(np.arange(m), [len(s) for s in sets])
+    _, gram, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    on = count[gram] > 1
+    doc, gram = doc[on], np.unique(gram[on], return_inverse=True)[1]
+    out = np.zeros((m, m), np.float64)
+    step = 4096
+    order = np.argsort(gram, kind="stable")
+    doc, gram = doc[order], gram[order]
+    for a in range(0, int(gram[-1]) + 1 if len(gram) else 0, step):
+        lo, hi = np.searchsorted(gram, [a, a + step])
+        part = np.zeros((m, step), np.float32)
+        part[doc[lo:hi], gram[lo:hi] - a] = 1
+        out += part @ part.T
+    return out
+
+
+def _compare(similarity: int):
+    """One node, exhaustively on full sets: links that join components not joined before."""
+
+    def run(table: pa.Table) -> pa.Table:
+        grams = table.column("grams").combine_chunks()
+        flat, at = grams.flatten().to_numpy(), np.concatenate([[0], np.cumsum(grams.value_lengths().to_numpy())])
+        sets = [flat[a:b] for a, b in zip(at[:-1], at[1:])]
+        sizes = np.diff(at)
+        v, label = table.column("v").to_pylist(), table.column("label").to_pylist()
+        common = common_grams(sets)
+        near = 100 * common >= similarity * (sizes[:, None] + sizes[None, :] - common)
+        forest, links = Forest(), []
+        for i, j in zip(*np.nonzero(np.triu(near, 1))):
+            if forest.join(label[i], label[j]):
+                links.append((min(v[i], v[j]), max(v[i], v[j])))
+        c = list(zip(*links)) if links else [[], []]
+        return pa.table({n: pa.array(x, pa.int64()) for n, x in zip("xy", c)})
+
+    return run
+
+
+def _edges_of(batches: Iterator[pa.RecordBatch]) -> list[np.ndarray]:
+    held = [[c.to_numpy() for c in b.columns] for b in batches if b.num_rows]
+    return [np.concatenate(c) for c in zip(*held)]
+
+
+def _local_forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of a task's weighted edges (x, y, w) a maximum spanning forest."""
+    if edges := _edges_of(batches):
+        x, y, w = edges
+        forest = Forest()
+        order = np.lexsort((y, x, -w)).tolist()
+        x, y = x.tolist(), y.tolist()
+        on = [i for i in order if forest.join(x[i], y[i])]
+        yield pa.RecordBatch.from_arrays([pa.array([c[i] for i in on], pa.int64()) for c in (x, y)], names=["x", "y"])
+
+
+def _local_stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of a task's edges: each vertex, its component's least vertex included, with that vertex."""
+    if edges := _edges_of(batches):
+        forest = Forest()
+        for a, b in zip(edges[0].tolist(), edges[1].tolist()):
+            forest.join(a, b)
+        v = list(forest.up)
+        yield pa.RecordBatch.from_arrays([pa.array(v, pa.int64()), pa.array([forest.root(a) for a in v], pa.int64())], names=["v", "label"])
+
+
+def spanning_forest(edges: DataFrame, most: int) -> DataFrame:
+    """A subset (x, y) of at most `most` weighted edges that connects what they connect: each task
+    of about LOCAL_EDGES drops those that close a circle."""
+    return edges.repartition(-(-most // LOCAL_EDGES) or 1).mapInArrow(_local_forest, "x long, y long")
+
+
 def components(edges: DataFrame) -> DataFrame:
-    """(v, label): the least vertex reachable from each vertex of the edges (x, y).
+    """(v, label): the least vertex reachable from each vertex of the written edges (x, y).
 
-    Alternates large-star and small-star steps, each written, until nothing changes. A vertex with
-    many neighbours is one key of two-sided joins, which adaptive execution splits.
+    Tasks of at most LOCAL_EDGES edges contract theirs to stars. If one task held all edges,
+    that is the result. Else large-star and small-star steps alternate, each written, until nothing
+    changes; a vertex with many neighbours is one key of two-sided joins, which adaptive execution splits.
     """
-    now = write_stage(edges.select(F.greatest("x", "y").alias("u"), F.least("x", "y").alias("w")).filter("u != w").distinct(), "edges")
+    parts = -(-edges.count() // LOCAL_EDGES) or 1
+    stars = write_stage(edges.repartition(parts).mapInArrow(_local_stars, "v long, label long"), "stars")
+    if parts == 1:
+        return stars
+    now = write_stage(stars.filter("v != label").select(F.col("v").alias("u"), F.col("label").alias("w")).distinct(), "edges")
     state = None
     while True:
         both = now.union(now.select("w", "u"))
@@ -230,7 +352,7 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 class Join:
-    """State of one similarity join: vertices, confirmed edges, components so far."""
+    """State of one similarity join: vertices, full sets fetched so far, components so far."""
 
     def __init__(self, docs: DataFrame, id_col: str, text_col: str, words: int, similarity: int):
         self.words, self.similarity = words, similarity
@@ -246,95 +368,132 @@ class Join:
             .agg(F.min(place).alias("place"), F.max("n_shingles").alias("n"), F.first("tokens").alias("tokens"))
             .select("v", "place", "n", "tokens", sketch.alias("sketch")), "vertices")
         self.labels: DataFrame | None = None
-        self.edges: DataFrame | None = None
-        self.tested: DataFrame | None = None
+        self.edges: DataFrame | None = None  # the labels as links
         self.sets: DataFrame | None = None
 
-    def alive(self, rows: DataFrame) -> DataFrame:
-        """Rows (node, v) of the nodes that hold several components; of nodes with the same
-        documents one is enough. Adds the node's size and the vertex's label."""
-        rows = self.labelled(rows)
-        h = F.xxhash64("v")
-        nodes = rows.groupBy("node").agg(
-            F.count("*").alias("size"), F.min("label").alias("a"), F.max("label").alias("b"),
-            F.sum(h % (1 << 31)).alias("s"), F.bit_xor(h).alias("t")).filter("a != b")
-        nodes = nodes.groupBy("size", "s", "t").agg(F.min("node").alias("node")).select("node", "size")
-        return rows.join(nodes, "node")
-
     def labelled(self, rows: DataFrame) -> DataFrame:
         if self.labels is None:
             return rows.withColumn("label", F.col("v"))
         return rows.join(self.labels, "v", "left").withColumn("label", F.coalesce("label", "v"))
 
-    def candidates(self, rows: DataFrame, exhaustive: bool) -> DataFrame:
-        """Pairs to confirm among rows (node, v, label) of nodes of bounded size."""
-        rows = rows.join(self.vertices.select("v", "n", "sketch"), "v")
-        count = rows.agg(F.count("*")).first()[0]
+    def alive(self, rows: DataFrame) -> DataFrame:
+        """Rows (node, v) of the nodes that hold several components, with the node's size and the
+        vertex's label. Written."""
+        rows = self.labelled(rows)
+        nodes = rows.groupBy("node").agg(F.count("*").alias("size"), F.min("label").alias("a"), F.max("label").alias("b"))
+        return write_stage(rows.join(nodes.filter("a != b").select("node", "size"), "node"), "nodes")
+
+    def in_buckets(self, rows: DataFrame, count: int):
+        """Rows (node, v, label), about `count`, with their sketches, many small nodes to a group."""
         buckets = max(1, count // BUCKET_ROWS * 2)
-        rows = rows.withColumn("bucket", F.pmod(F.xxhash64("node", F.lit("bucket")), F.lit(buckets)))
-        return rows.groupBy("bucket").applyInArrow(_candidates(self.similarity, exhaustive), "x long, y long").distinct()
-
-    def confirm(self, pairs: DataFrame) -> bool:
-        """Compare full sets; keeps the true links, renews the components. Whether any was new."""
-        if self.tested is not None:
-            pairs = pairs.join(self.tested, ["x", "y"], "left_anti")
-        pairs = write_stage(pairs, "pairs")
-        if pairs.isEmpty():
-            return False
-        wanted = pairs.select(F.explode(F.array("x", "y")).alias("v")).distinct()
+        rows = rows.select("node", "v", "label").join(self.vertices.select("v", "n", "sketch"), "v")
+        return rows.withColumn("bucket", F.pmod(F.xxhash64("node", F.lit("bucket")), F.lit(buckets))).groupBy("bucket")
+
+    def fetch(self, wanted: DataFrame) -> None:
+        """Make sure of the full sets of some vertices (v; written, also several times)."""
+        places = self.vertices.join(few(wanted, BROADCAST_ROWS), "v", "left_semi").select("v", "place.k_id", "place.k_row")
         if self.sets is not None:
-            wanted = wanted.join(self.sets.select("v"), "v", "left_anti")
-        wanted = self.vertices.join(wanted, "v", "left_semi").select("v", "place.k_id", "place.k_row")
-        fresh = (
-            self.source.join(wanted, ["k_id", "k_row"]).select("v", "text").mapInArrow(_sets(self.words), "v long, grams array<long>")
-            .dropDuplicates(["v"])
-        )
-        fresh = write_stage(fresh, "sets")
+            places = places.join(few(self.sets.select("v"), BROADCAST_ROWS), "v", "left_anti")
+        places = write_stage(places, "wanted")
+        if places.isEmpty():
+            return
+        # Rows that repeat id and text give a set more than once, which does no harm.
+        fresh = self.source.join(few(places, BROADCAST_ROWS), ["k_id", "k_row"]).select("v", "text")
+        fresh = write_stage(fresh.mapInArrow(_sets(self.words), "v long, grams array<long>"), "sets")
         self.sets = fresh if self.sets is None else self.sets.unionByName(fresh)
-        sides = self.sets.select(F.col("v"), F.col("grams"))
+
+    def link(self, links: DataFrame) -> bool:
+        """Take confirmed links into the components. Whether there were any."""
+        links = write_stage(links, "links")
+        if links.isEmpty():
+            return False
+        if self.edges is not None:
+            links = write_stage(links.unionByName(self.edges), "links")
+        labels = components(links)
+        self.edges = labels.filter("v != label").select(F.col("v").alias("x"), F.col("label").alias("y"))
+        self.labels = few(labels, BROADCAST_ROWS)
+        return True
+
+    def link_spanning(self, rows: DataFrame, count: int) -> bool:
+        """Link what a spanning forest of likely pairs confirms. rows: (node, v, label)."""
+        pairs = self.in_buckets(rows, count).applyInArrow(_spanning(self.similarity), "x long, y long, w long")
+        pairs = write_stage(spanning_forest(pairs, count), "pairs")  # a node has fewer edges than rows
+        if pairs.isEmpty():
+            return False
+        self.fetch(pairs.select(F.explode(F.array("x", "y")).alias("v")))
         both = (
-            pairs.join(sides.select(F.col("v").alias("x"), F.col("grams").alias("gx")), "x")
-            .join(sides.select(F.col("v").alias("y"), F.col("grams").alias("gy")), "y")
+            self.sets.select(F.col("v").alias("x"), F.col("grams").alias("gx")).join(few(pairs, BROADCAST_ROWS), "x")
+            .join(self.sets.select(F.col("v").alias("y"), F.col("grams").alias("gy")), "y")
         )
         common = F.size(F.array_intersect("gx", "gy")).cast("long")
         union = F.size("gx") + F.size("gy") - common
-        links = write_stage(both.filter(100 * common >= self.similarity * union).select("x", "y"), "links")
-        self.tested = pairs if self.tested is None else self.tested.unionByName(pairs)
-        self.edges = links if self.edges is None else self.edges.unionByName(links)
-        if links.isEmpty():
+        return self.link(both.filter(100 * common >= self.similarity * union).select("x", "y"))
+
+    def link_exhaustively(self, rows: DataFrame) -> bool:
+        """Compare all likely pairs of written nodes of bounded size that are in different components."""
+        left = self.in_buckets(rows, rows.count()).applyInArrow(_unsettled(self.similarity), "node long, v long")
+        left = write_stage(left, "unsettled")
+        if left.isEmpty():
             return False
-        edges = links
-        if self.labels is not None:
-            edges = edges.unionByName(self.labels.filter("v != label").select(F.col("v").alias("x"), F.col("label").alias("y")))
-        self.labels = components(edges)
-        return True
+        # Of nodes with the same unsettled documents one is enough.
+        h = F.xxhash64("v")
+        nodes = left.groupBy("node").agg(F.count("*").alias("n"), F.sum(h % (1 << 31)).alias("s"), F.bit_xor(h).alias("t"))
+        nodes = write_stage(nodes.groupBy("n", "s", "t").agg(F.min("node").alias("node")).select("node"), "nodes")
+        left = write_stage(left.join(few(nodes, BROADCAST_ROWS), "node", "left_semi"), "unsettled")
+        self.fetch(left.select("v"))
+        rows = self.labelled(self.sets.join(few(left, BROADCAST_ROWS), "v"))
+        return self.link(rows.select("node", "v", "label", "grams").groupBy("node").applyInArrow(_compare(self.similarity), "x long, y long"))
+
+    def link_large(self, rows: DataFrame, salt: int) -> DataFrame:
+        """Link nodes of any size through one document per component, as long as that joins a fifth
+        of them; returns the nodes (node, v, tree) that still hold several components."""
+        before = None
+        while True:
+            rows = self.alive(rows.select("node", "v", "tree"))
+            if rows.isEmpty():
+                return rows
+            leaders = rows.groupBy("node", "label").agg(F.min("v").alias("v"))
+            sizes = leaders.groupBy("node").agg(F.count("*").alias("leaders"))
+            leaders = write_stage(leaders.join(sizes, "node"), "leaders")
+            count = leaders.count()
+            if before is not None and count > 0.8 * before:
+                return rows
+            before = count
+            if not self.link_spanning(blocked(leaders, "leaders", salt), count):
+                return rows
+
+    def leaves(self, trees: int) -> DataFrame:
+        """(v, node, tree): each vertex in the first node of its first so many trees."""
+        return self.vertices.select("v", F.posexplode(F.slice("tokens", 1, trees)).alias("tree", "token")).select(
+            "v", F.xxhash64("tree", "token", F.lit(0)).alias("node"), "tree")
 
     def run(self) -> None:
-        tokens = F.col("tokens")
-        rows = self.vertices.select("v", F.posexplode(F.slice(tokens, 1, TREES)).alias("tree", "token")).select(
-            "v", F.xxhash64("tree", "token", F.lit(0)).alias("node"), "tree")
+        # A few trees link most copies, so that the nodes of the others are settled from the start.
+        # Large nodes meet in blocks, and then by one document per component.
+        first = self.alive(self.leaves(FIRST_TREES))
+        if not first.isEmpty():
+            self.link_spanning(blocked(first, "size", 0), first.count())
+            large = first.filter(F.col("size") > NODE_LIMIT)
+            if not large.isEmpty():
+                self.link_large(large, 0)
+        rows = self.leaves(TREES)
         for depth in range(1, MAX_DEPTH + 1):
-            level = write_stage(self.alive(rows), f"nodes{depth}")
+            level = self.alive(rows)
             if level.isEmpty():
                 return
-            # Large nodes meet in blocks first, then by one document per component.
-            block = F.when(F.col("size") > NODE_LIMIT, F.pmod(F.xxhash64("v", F.lit(depth)), F.ceil(F.col("size") / NODE_LIMIT)).cast("long"))
-            self.confirm(self.candidates(level.withColumn("node", F.xxhash64("node", F.coalesce(block, F.lit(-1)))).drop("size"), False))
-            small = level.filter(F.col("size") <= NODE_LIMIT).select("node", "v")
-            self.confirm(self.candidates(self.alive(small).drop("size"), True))
-            rows = level.filter(F.col("size") > NODE_LIMIT).select("node", "v", "tree")
-            while not (rest := write_stage(self.alive(rows), "large")).isEmpty():
-                leaders = rest.groupBy("node", "label").agg(F.min("v").alias("v"))
-                sizes = leaders.groupBy("node").agg(F.count("*").alias("leaders"))
-                leaders = leaders.join(sizes, "node")
-                part = F.pmod(F.xxhash64("v", F.lit("leader"), F.lit(depth)), F.ceil(F.col("leaders") / NODE_LIMIT)).cast("long")
-                leaders = leaders.withColumn("node", F.xxhash64("node", part)).drop("leaders")
-                if not self.confirm(self.candidates(leaders, False)):
-                    break
+            self.link_exhaustively(level.filter(F.col("size") <= NODE_LIMIT))
+            rest = level.filter(F.col("size") > NODE_LIMIT)
             if rest.isEmpty():
                 return
-            # Branch: each document follows FAN further tokens of its own.
-            rows = rest.select("node", "v", "tree").join(self.vertices.select("v", "tokens"), "v").withColumn("b", F.explode(F.sequence(F.lit(0), F.lit(FAN - 1))))
+            if depth == 1:
+                rest = self.link_large(rest, depth)
+                if rest.isEmpty():
+                    return
+            # Branch: the documents of a node follow one further token of their own, and those of
+            # half the nodes a second one.
+            second = F.pmod(F.xxhash64("node", F.lit("second")), F.lit(2)) == 0
+            ways = F.when(second, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+            rows = rest.select("node", "v", "tree").join(self.vertices.select("v", "tokens"), "v").withColumn("b", F.explode(ways))
             pick = (F.col("tree") + TREES + depth * FAN + F.col("b") * 29) % PERMS + 1
             rows = rows.select("v", F.xxhash64("node", "b", F.element_at("tokens", pick.cast("int"))).alias("node"), "tree")
         self.blocks(rows)
@@ -342,7 +501,7 @@ class Join:
     def blocks(self, rows: DataFrame) -> None:
         """What is still large at the last level: every pair of its blocks is compared."""
         half = NODE_LIMIT // 2
-        rest = write_stage(self.alive(rows), "rest")
+        rest = self.alive(rows)
         if rest.isEmpty():
             return
         count = F.ceil(F.col("size") / half).cast("long")
@@ -350,14 +509,21 @@ class Join:
         other = F.explode(F.sequence(F.lit(0).cast("long"), count - 1))
         rest = rest.withColumn("other", other).withColumn(
             "node", F.xxhash64("node", F.least("mine", "other"), F.greatest("mine", "other")))
-        self.confirm(self.candidates(rest.select("node", "v", "label"), False))
-        rest = self.labelled(rest.select("node", "v").distinct())
-        self.confirm(self.candidates(rest, True))
+        self.link_exhaustively(write_stage(rest.select("node", "v", "label").distinct(), "rest"))
+
+
+def blocked(rows: DataFrame, size: str, salt: int) -> DataFrame:
+    """Nodes of more than NODE_LIMIT rows cut into random blocks of about that."""
+    parts = F.ceil(F.col(size) / NODE_LIMIT)
+    block = F.when(F.col(size) > NODE_LIMIT, F.pmod(F.xxhash64("v", F.lit(salt)), parts).cast("long")).otherwise(F.lit(-1).cast("long"))
+    return rows.withColumn("node", F.xxhash64("node", block))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS,
                     similarity: int = SIMILARITY) -> DataFrame:
-    """Per row of `docs`: k_id and k_row (see `row_key`), doc_id, n_shingles, component_id, kept.
+    """Per row of `docs`: k_id and k_row (see `row_key`), doc_id, n_shingles, component_id, kept,
+    class_id (the component's vertex, also where ids are null or stand for several texts; null
+    without words).
 
     A document's set holds its distinct `words`-word shingles (words end at ASCII white space,
     A-Z lower-cased); fewer words make one shingle; null, empty and blank texts have none and are
@@ -367,10 +533,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     repeat id and text agree; other columns are ignored; an empty table gives no rows.
 
     Documents with equal sets become one vertex. TREES independent trees deal the vertices to
-    nodes by one minwise token. Nodes up to NODE_LIMIT are compared exhaustively: first a spanning
-    forest of the likely pairs (by agreeing tokens), then every likely pair that still lies in
-    different components. Larger nodes link block by block and through one document per component,
-    and then branch by FAN further minwise tokens, with their components known, so that a node whose
+    nodes by one minwise token. In the first trees a spanning forest of each node's likely pairs (by
+    agreeing tokens) is confirmed, which links most copies. Then nodes up to NODE_LIMIT are
+    compared exhaustively, on full sets gathered at the node: every document with a likely partner
+    in another component. Larger nodes link block by block and through one document per component,
+    and then branch by further minwise tokens (1.5 on average, so that
+    pairs at 0.75 are expected to stay together somewhere and pairs under 0.67 are not), with their components known, so that a node whose
     documents are all linked is done whatever its size. At MAX_DEPTH all blocks of what is left
     are compared with each other. Two documents at 0.75 miss each other in all trees at one level
     with probability 0.25 ** 12.
@@ -384,7 +552,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     component = F.when(F.col("v").isNull(), F.col("doc_id")).otherwise(F.col("least"))
     return rows.select(
         "k_id", "k_row", "doc_id", "n_shingles", component.alias("component_id"),
-        F.col("doc_id").eqNullSafe(component).alias("kept"))
+        F.col("doc_id").eqNullSafe(component).alias("kept"), F.col("label").alias("class_id"))
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS,
@@ -396,12 +564,8 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wo
     """
     found = near_duplicates(docs, id_col, text_col, words, similarity)
     place = F.struct(F.col("doc_id").isNull(), "k_id", "k_row")
-    groups = found.filter("n_shingles > 0").groupBy("component_id", "kept").agg(F.min(place).alias("place"))
-    groups = groups.filter("kept and component_id is not null").select("place.k_id", "place.k_row")
-    lone = found.filter("n_shingles = 0 or component_id is null").select("k_id", "k_row")
-    stay = groups.unionByName(lone).distinct()
-    names = docs.columns
-    k_id, k_row = row_key(id_col, text_col)
-    rows = docs.select(*[F.col(f"`{c}`") for c in names], k_id, k_row)
-    kept = rows.join(stay, ["k_id", "k_row"], "left_semi").dropDuplicates(["k_id", "k_row"])
-    return kept.select(*[F.col(f"`{c}`") for c in names])
+    groups = found.filter("n_shingles > 0 and kept").groupBy("class_id").agg(F.min(place).alias("place"))
+    groups = groups.select("place.k_id", "place.k_row")
+    lone = found.filter("n_shingles = 0").select("k_id", "k_row")
+    stay = as_key(groups.unionByName(lone)).distinct()
+    return keyed(docs, id_col, text_col).join(stay, KEY, "left_semi").dropDuplicates(KEY).select(*columns_of(docs))
