@@ -13,6 +13,7 @@ from bankspark.llm.common import KEY, as_key, byte_slices, columns_of, drop_stag
 
 GRAM = 24  # bytes of the hashed grams; a window of `min_bytes` holds min_bytes - GRAM + 1 of them
 BUCKET_BYTES = 8 << 20  # stretches whose suffixes one group sorts at a time
+SCAN_BYTES = 1 << 18  # texts hashed at a time: the arrays stay in the processor's cache
 HELD_BYTES = 24 << 20  # distinct stretches a task gathers before it passes them on
 
 _rng = np.random.default_rng(20240229)
@@ -173,7 +174,7 @@ def _stretch_rows(min_bytes: int):
         held: dict[bytes, tuple] = {}
         size = 0
         for batch in batches:
-            for part in byte_slices(batch, "text"):
+            for part in byte_slices(batch, "text", SCAN_BYTES):
                 data, offsets = texts_of(part, "text")
                 ids = part.column(0).to_numpy(zero_copy_only=False)
                 rows = part.column(1).to_numpy(zero_copy_only=False)
@@ -221,7 +222,7 @@ def _stretch_rows(min_bytes: int):
 def _anchor_rows(min_bytes: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in byte_slices(batch, "text"):
+            for part in byte_slices(batch, "text", SCAN_BYTES):
                 data, offsets = texts_of(part, "text")
                 doc, anchor, _, _, twice = stretches(data, offsets, min_bytes)
                 rows = part.column(0).to_numpy(zero_copy_only=False)
