@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
+from bankspark.llm.common import few, write_stage
 from bankspark.llm.decontam import lower_ascii
 
 POINTS_PER_SWEEP = 100_000
+BROADCAST_HOSTS = 1_000_000
 
 
 def host_and_path(url: Column) -> tuple[Column, Column]:
@@ -68,6 +70,8 @@ def apply_rules(pages: DataFrame, rules: DataFrame, url_col: str = "url", defaul
     suffixes = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
     points = urls.withColumn("level", F.explode(suffixes)).join(kept.select(F.col("host").alias("level")).distinct(), "level", "left_semi")
     sweeps = points.groupBy("level").agg(F.ceil(F.count("*") / points_per_sweep).cast("long").alias("sweeps"))
+    # A row per host that has rules, so that the points need not be gathered by host for it.
+    sweeps = few(write_stage(sweeps, "sweeps"), BROADCAST_HOSTS)
     points = points.join(sweeps, "level").select(
         "level", F.pmod(F.xxhash64("host", "path"), F.col("sweeps")).alias("sweep"),
         range_key(F.col("level"), F.col("path")).alias("key"), F.lit(1).alias("kind"), "host", "path")
