@@ -16,7 +16,7 @@ SIMILARITY = 75  # per cent
 PERMS = 64  # minwise tokens of a document
 TREES = 12
 FIRST_TREES = 2
-FAN = 2  # branches that a document follows at most at a further level; 1.5 on average
+FAN = 2  # branches that every document follows at a further level
 NODE_LIMIT = 2000  # documents that are compared exhaustively at once
 MAX_DEPTH = 10
 # A pair goes to the exact comparison if so many of its PERMS tokens agree: 4.6 standard
@@ -101,6 +101,27 @@ def signatures(sets: list[np.ndarray]) -> np.ndarray:
     return out
 
 
+def branch_tokens(sets: list[np.ndarray], depth: int) -> np.ndarray:
+    """FAN minwise tokens for each tree, by hash functions that only this level of this tree uses."""
+    rng = np.random.default_rng([19970611, depth])
+    multiply = rng.integers(1, 2**63, TREES * FAN, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+    add = rng.integers(0, 2**63, TREES * FAN, dtype=np.uint64)
+    flat = np.concatenate(sets)
+    at = np.concatenate([[0], np.cumsum([len(s) for s in sets])])[:-1]
+    out = np.empty((len(sets), TREES * FAN), np.uint32)
+    for p in range(TREES * FAN):
+        out[:, p] = np.minimum.reduceat(flat * multiply[p] + add[p], at) >> np.uint64(32)
+    return out
+
+
+def missed(similarity: float, depth: int, trees: int = TREES) -> float:
+    """Expected share of the pairs of a similarity that share no node at a depth (1: first tokens)."""
+    apart = 0.0
+    for _ in range(depth - 1):
+        apart = (1 - similarity + similarity * apart) ** FAN
+    return (1 - similarity + similarity * apart) ** trees
+
+
 def vertex(values: np.ndarray) -> int:
     """A number that stands for a set; equal sets share it."""
     return int.from_bytes(hashlib.md5(values.tobytes()).digest()[:8], "little", signed=True)
@@ -138,6 +159,21 @@ def _sets(words: int):
     return run
 
 
+def _branch(words: int, depth: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in byte_slices(batch, "text", 1 << 20):
+                sets = shingle_sets(*texts_of(part, "text"), words)
+                if not sets:
+                    continue
+                tokens = branch_tokens(sets, depth)
+                at = np.arange(len(sets) + 1, dtype=np.int32) * (TREES * FAN)
+                tokens = pa.ListArray.from_arrays(pa.array(at), pa.array(tokens.ravel().view(np.int32)))
+                yield pa.RecordBatch.from_arrays([part.column(0), tokens], names=["v", "further"])
+
+    return run
+
+
 def agreeing(sketch: np.ndarray, other: np.ndarray) -> np.ndarray:
     """Number of equal tokens for each pair of rows."""
     if len(sketch) * len(other) <= 4096:
@@ -489,15 +525,23 @@ class Join:
                 rest = self.link_large(rest, depth)
                 if rest.isEmpty():
                     return
-            # Branch: the documents of a node follow one further token of their own, and those of
-            # half the nodes a second one.
-            second = F.pmod(F.xxhash64("node", F.lit("second")), F.lit(2)) == 0
-            ways = F.when(second, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
-            rows = rest.select("node", "v", "tree").join(self.vertices.select("v", "tokens"), "v").withColumn("b", F.explode(ways))
-            pick = (F.col("tree") + TREES + depth * FAN + F.col("b") * 29) % PERMS + 1
-            rows = rows.select("v", F.xxhash64("node", "b", F.element_at("tokens", pick.cast("int"))).alias("node"), "tree")
+            rows = self.branch(rest, depth)
         self.blocks(rows)
 
+    def branch(self, rest: DataFrame, depth: int) -> DataFrame:
+        """(v, node, tree) a level below the written nodes `rest`: every document follows FAN further
+        tokens of its own, read off its text again, as few documents come this far."""
+        places = self.vertices.join(few(rest.select("v").distinct(), BROADCAST_ROWS), "v", "left_semi")
+        places = write_stage(places.select("v", "place.k_id", "place.k_row"), "wanted")
+        further = self.source.join(few(places, BROADCAST_ROWS), ["k_id", "k_row"]).select("v", "text")
+        further = further.mapInArrow(_branch(self.words, depth), "v long, further array<int>")
+        # Rows that repeat id and text give the same tokens again.
+        further = write_stage(further.groupBy("v").agg(F.first("further").alias("further")), "further")
+        ways = F.explode(F.array(*[F.lit(b) for b in range(FAN)]))
+        rows = rest.select("node", "v", "tree").join(further, "v").withColumn("b", ways)
+        token = F.element_at("further", (F.col("tree") * FAN + F.col("b") + 1).cast("int"))
+        return rows.select("v", F.xxhash64("node", "b", token).alias("node"), "tree")
+
     def blocks(self, rows: DataFrame) -> None:
         """What is still large at the last level: every pair of its blocks is compared."""
         half = NODE_LIMIT // 2
@@ -537,11 +581,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     agreeing tokens) is confirmed, which links most copies. Then nodes up to NODE_LIMIT are
     compared exhaustively, on full sets gathered at the node: every document with a likely partner
     in another component. Larger nodes link block by block and through one document per component,
-    and then branch by further minwise tokens (1.5 on average, so that
-    pairs at 0.75 are expected to stay together somewhere and pairs under 0.67 are not), with their components known, so that a node whose
-    documents are all linked is done whatever its size. At MAX_DEPTH all blocks of what is left
-    are compared with each other. Two documents at 0.75 miss each other in all trees at one level
-    with probability 0.25 ** 12.
+    and then branch by FAN further minwise tokens, each tree and level by hash functions
+    of its own, with their components known, so that a node whose documents are all linked is done
+    whatever its size. At MAX_DEPTH all blocks of what is left are compared with each other. Two
+    documents at 0.75 stay together in a tree with probability 0.75 at the first level and at
+    least 2/3 at any depth, so all 12 trees part them with probability 3 ** -12 at most (`missed`).
     """
     join = Join(docs, id_col, text_col, words, similarity)
     join.run()

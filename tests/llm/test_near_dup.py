@@ -1,3 +1,5 @@
+import random
+
 import numpy as np
 import pytest
 
@@ -57,3 +59,29 @@ def test_word_hashes_follow_the_contract():
     codes, first = nd.word_hashes(np.frombuffer(data, np.uint8), offsets)
     assert list(first) == [0, 4, 7, 7, 8]
     assert list(codes[:3]) == list(codes[4:7]) and len(set(codes.tolist())) == 5
+
+
+def test_pairs_stay_together_down_to_depth_five(spark):
+    """Recall of the branching against brute force: near pairs that still share a node, at 0.75 and up."""
+    rnd = random.Random(8)
+    rows = []
+    for i in range(300):
+        words = [f"w{rnd.randrange(10**6)}" for _ in range(150)]
+        near = list(words)
+        for at in (20, 60, 100, 130)[:rnd.choice([3, 4])]:
+            near[at] = f"n{rnd.randrange(10**6)}"
+        rows += [(2 * i, " ".join(words)), (2 * i + 1, " ".join(near))]
+    join = nd.Join(docs_frame(spark, rows), "doc_id", "text", nd.WORDS, nd.SIMILARITY)
+    level = join.leaves(nd.TREES)
+    for depth in range(1, 5):
+        level = nd.write_stage(join.branch(nd.write_stage(level, "nodes"), depth), "nodes")
+    # Every document follows FAN tokens in every tree and level.
+    assert {r["count"] for r in level.groupBy("v").count().collect()} == {nd.TREES * nd.FAN ** 4}
+    nodes = {}
+    v = {r.v: r.k_id for r in join.signed.collect()}
+    for r in level.collect():
+        nodes.setdefault(v[r.v], set()).add(r.node)
+    sets = {i: {tuple(w[k:k + 5]) for k in range(len(w) - 4)} for i, w in ((i, t.split()) for i, t in rows)}
+    alike = [2 * i for i in range(300) if 100 * len(sets[2 * i] & sets[2 * i + 1]) >= 75 * len(sets[2 * i] | sets[2 * i + 1])]
+    lost = sum(not nodes[i] & nodes[i + 1] for i in alike)
+    assert len(alike) > 250 and lost == 0 and nd.missed(0.75, nd.MAX_DEPTH) < 2e-6
