@@ -74,11 +74,12 @@ def _(b: Bank):
 @query("run_log", "SELECT event_type AS node_name, 'model' AS node_type, 'error' AS status, string_agg(event_id, chr(10) ORDER BY event_id) AS message, 'local' AS target_name FROM events WHERE event_id % 50 = 0 GROUP BY event_type")
 def _(b: Bank):
     """A row per kind of event, as a failed node whose message has many lines; it is kept whole."""
-    kinds = b.table("events").filter("event_id % 50 = 0").groupBy("event_type").agg(F.sort_array(F.collect_list("event_id")).alias("ids"))
-    nodes = [
-        ops.run_row("run", datetime(2024, 1, 1), r["event_type"], "model", "error", 1.5, "\n".join(str(i) for i in r["ids"]))
-        for r in kinds.collect()
-    ]
+    ids = F.sort_array(F.collect_list("event_id")).cast("array<string>")
+    kinds = b.table("events").filter("event_id % 50 = 0").groupBy("event_type").agg(F.array_join(ids, "\n").alias("message"))
+    nodes = kinds.select(
+        F.lit("run").alias("invocation_id"), F.lit(datetime(2024, 1, 1)).alias("run_started_at"), F.current_timestamp().alias("run_completed_at"),
+        F.col("event_type").alias("node_name"), F.lit("model").alias("node_type"), F.lit("error").alias("status"),
+        F.lit(1.5).alias("execution_time_s"), "message", F.lit("local").alias("target_name"))
     return ops.log_run(b.spark, nodes).select("node_name", "node_type", "status", "message", "target_name")
 
 

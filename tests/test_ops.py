@@ -18,6 +18,14 @@ def test_run_log_and_tag(spark):
     assert got["inserted_at"] is not None
 
 
+def test_run_log_takes_a_frame_without_collecting_it(spark):
+    row = ops.run_row("i1", datetime(2024, 1, 1), "fct", "model", "error", 1.5, "one\ntwo")
+    listed = ops.log_run(spark, [row])
+    frames = ops.log_run(spark, listed.drop("inserted_at").select(*reversed(listed.columns[:-1])))
+    assert frames.dtypes == listed.dtypes
+    assert frames.drop("inserted_at").collect() == listed.drop("inserted_at").collect()
+
+
 def test_costs(spark):
     log = frame(
         spark, "query_tag string, query_type string, query_text string, execution_time bigint, credits_used decimal(18,4), credits_used_cloud_services decimal(18,4)",
