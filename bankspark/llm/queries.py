@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from bankspark.llm import decontam, langid, lm, near_dup, packing, preferences, quality, suffix_dedup, topk, url_filter
+from bankspark.llm import decontam, langid, lm, near_dup, packing, preferences, quality, secrets, suffix_dedup, topk, url_filter
 from bankspark.llm.common import id_remainder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -187,3 +187,80 @@ def op9_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
+
+
+@query
+def op11_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = secrets.find_secrets(docs, secrets.fit(secrets.labelled_samples(docs)))
+    base = F.filter("secrets", lambda s: s["kind"] != "random")
+    count = lambda kind: F.size(F.filter("secrets", lambda s: s["kind"] == kind)).cast("long")
+    return found.select(
+        "doc_id", *[count(k).alias(f"n_{k}") for k in secrets.KINDS],
+        F.sha2(secrets.shown(base), 256).alias("base_sha256"), secrets.shown(F.col("secrets")).alias("spans"))
+
+
+def _either_case(text: str) -> str:
+    return "".join(f"[{c.upper()}{c}]" if c.isalpha() else c for c in text)
+
+
+_SQL_ASSIGN = "(" + "|".join(map(_either_case, ("password", "passwd", "secret", "token", "api_?key"))) + r""")["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)"""
+
+
+def _sql_matches(pattern: str, source: str) -> str:
+    """(doc_id, s, e, v) of a pattern's matches in (doc_id, text)."""
+    return f"""(SELECT doc_id, CAST(e - length(v) AS BIGINT) AS s, e, v FROM (
+      SELECT doc_id, v, sum(length(v) + length(g)) OVER (PARTITION BY rid ORDER BY i) AS e FROM (
+        SELECT doc_id, rid, unnest(f) AS v, unnest(list_slice(p, 1, len(f))) AS g, unnest(range(1, len(f) + 1)) AS i
+        FROM (SELECT doc_id, row_number() OVER () AS rid, regexp_extract_all(text, '{pattern}') AS f, string_split_regex(text, '{pattern}') AS p FROM {source}))))"""
+
+
+ORACLE["op11_secret_scan"] = rf"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+chosen AS (
+  SELECT DISTINCT doc_id, text FROM d WHERE CAST('0x' || substr(md5(concat_ws(':', doc_id, text)), 1, 8) AS UBIGINT)
+    < {secrets.MAX_SAMPLE_DOCS}::DOUBLE / (SELECT greatest(count(*), 1) FROM d) * 4294967296
+), given AS (
+  SELECT unnest(list_concat(regexp_extract_all(text, '{_SQL_ASSIGN}', 2), regexp_extract_all(text, '{secrets.ACCESS}'), regexp_extract_all(text, '{secrets.HEX}'))) AS v, text FROM chosen
+), keys AS (SELECT to_base64(unhex(sha256(text) || sha256('+' || text))) AS b, sha256(text) AS h, regexp_replace(to_base64(unhex(sha256(text) || sha256('+' || text))), '[+/=]', '', 'g') AS l FROM chosen),
+words AS (
+  SELECT doc_id, regexp_extract_all(regexp_replace(regexp_replace(regexp_replace(text, '{_SQL_ASSIGN}', ' ', 'g'), '{secrets.ACCESS}', ' ', 'g'), '{secrets.HEX}', ' ', 'g'), '{secrets.RUN % secrets.LEAST_WORD}') AS w FROM chosen
+), pairs AS (SELECT unnest(range(1, len(w))) AS i, unnest(list_slice(w, 1, len(w) - 1)) AS a, unnest(list_slice(w, 2, len(w))) AS b FROM words WHERE len(w) > 1),
+samples AS (
+  SELECT ' ' || replace(v, '.', '') AS v, true AS random FROM (SELECT DISTINCT v FROM given) WHERE length(v) >= {secrets.LEAST_RUN}
+  UNION ALL SELECT DISTINCT ' ' || unnest([b, translate(b, '+/=', '-_'), l, upper(l), substr(h, 1, 40)]), true FROM keys
+  UNION SELECT ' ' || unnest(w), false FROM words
+  UNION SELECT ' ' || CASE (i - 1) % 3 WHEN 0 THEN a || '_' || b WHEN 1 THEN a || '-' || b ELSE a || upper(substr(b, 1, 1)) || substr(b, 2) END, false FROM pairs
+), grams AS (
+  SELECT substr(v, i, 2) AS g, count(*) FILTER (random) AS r, count(*) FILTER (NOT random) AS o
+  FROM (SELECT v, random, unnest(range(1, length(v))) AS i FROM samples) GROUP BY 1
+), symbols AS (SELECT unnest(string_split('{secrets.SYMBOLS}', '')) AS c),
+alone AS (
+  SELECT c, (coalesce(sum(r), 0) + {secrets.PRIOR}) AS r, (coalesce(sum(o), 0) + {secrets.PRIOR}) AS o FROM symbols LEFT JOIN grams ON substr(g, 2, 1) = c GROUP BY c
+), shares AS (SELECT c, r / sum(r) OVER () AS r, o / sum(o) OVER () AS o FROM alone),
+after AS (
+  SELECT c, coalesce(sum(r), 0) + {secrets.BACK} AS r, coalesce(sum(o), 0) + {secrets.BACK} AS o
+  FROM (SELECT c FROM symbols UNION ALL SELECT ' ') LEFT JOIN grams ON substr(g, 1, 1) = c GROUP BY c
+), ratio AS (
+  SELECT a.c || b.c AS g, CAST(round(1000 * (ln((coalesce(grams.r, 0) + {secrets.BACK} * b.r) / a.r) - ln((coalesce(grams.o, 0) + {secrets.BACK} * b.o) / a.o))) AS BIGINT) AS x
+  FROM after a CROSS JOIN shares b LEFT JOIN grams ON grams.g = a.c || b.c
+), base AS (
+  SELECT doc_id, s, 1 AS k, 'assign' AS kind, e FROM {_sql_matches(_SQL_ASSIGN, "d")} WHERE length(regexp_extract(v, '{_SQL_ASSIGN}', 2)) >= {secrets.LEAST_ASSIGNED}
+  UNION ALL SELECT doc_id, s, 2, 'access', e FROM {_sql_matches(secrets.ACCESS, "d")} UNION ALL SELECT doc_id, s, 3, 'hex', e FROM {_sql_matches(secrets.HEX, "d")}
+), runs AS (
+  SELECT r.doc_id, r.s, r.e, r.v FROM {_sql_matches(secrets.RUN % secrets.LEAST_RUN, "d")} r
+  WHERE NOT EXISTS (SELECT 1 FROM base b WHERE b.doc_id = r.doc_id AND b.s < r.e AND r.s < b.e)
+), scored AS (
+  SELECT doc_id, s, e FROM (SELECT doc_id, s, e, ' ' || v AS v, unnest(range(1, length(v) + 1)) AS i FROM runs) JOIN ratio ON g = substr(v, i, 2)
+  GROUP BY doc_id, s, e HAVING sum(x) >= greatest({secrets.LEAST_SCORE}, (e - s) * (SELECT coalesce(sum(r * x) // (2 * sum(r)), 0) FROM ratio JOIN grams USING (g)))
+), spans AS (SELECT * FROM base UNION ALL SELECT doc_id, s, 4, 'random', e FROM scored),
+named AS (
+  SELECT doc_id, count(*) FILTER (k = 1) AS n_assign, count(*) FILTER (k = 2) AS n_access, count(*) FILTER (k = 3) AS n_hex, count(*) FILTER (k = 4) AS n_random,
+    string_agg(kind || ':' || s || ':' || CAST(e AS BIGINT), ',' ORDER BY s, k, e) FILTER (k < 4) AS base,
+    string_agg(kind || ':' || s || ':' || CAST(e AS BIGINT), ',' ORDER BY s, k, e) AS spans
+  FROM spans GROUP BY doc_id
+)
+SELECT d.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex, coalesce(n_random, 0) AS n_random,
+  sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM d LEFT JOIN named USING (doc_id)
+"""
