@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from bankspark.llm import decontam, langid, lm, near_dup, packing, preferences, quality, secrets, suffix_dedup, topk, url_filter
+from bankspark.llm import alignment, decontam, langid, lm, merkle, near_dup, packing, preferences, quality, secrets, suffix_dedup, topk, url_filter
 from bankspark.llm.common import id_remainder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -264,3 +264,69 @@ SELECT d.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_a
   sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
 FROM d LEFT JOIN named USING (doc_id)
 """
+
+
+@query
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    fields = {c: merkle.field(F.col(c)) for c in ("doc_id", "source", "lang", "n_chars", "text")}
+    altered = merkle.digest(*{**fields, "text": merkle.field(merkle.lower_ascii(F.col("text")))}.values())
+    altered = F.when(id_remainder("doc_id", 5) == 0, altered)
+    rows = merkle.manifest(docs, tuple(fields), carry={"altered": altered})
+    seen = rows.withColumn("seen", F.coalesce("altered", "leaf"))
+    return merkle.verify(seen, "seen").select(
+        "doc_id", "leaf", "subroot", "root", F.sha2(merkle.siblings(F.col("path")), 256).alias("proof_sha256"),
+        "folded_root", "verified")
+
+
+def _sql_field(c: str) -> str:
+    return f"coalesce(strlen({c}::VARCHAR) || ':' || {c}::VARCHAR, '-')"
+
+
+_SQL_CRC32 = """xor(list_reduce(list_concat([4294967295::UBIGINT], list_transform(string_split({0}, ''), lambda c: ascii(c)::UBIGINT)),
+  lambda a, b: list_reduce(list_concat([xor(a, b)], [0, 0, 0, 0, 0, 0, 0, 0]::UBIGINT[]),
+    lambda x, y: xor(x >> 1, CASE WHEN x % 2 = 1 THEN 3988292384::UBIGINT ELSE 0::UBIGINT END))), 4294967295::UBIGINT)"""
+_LEAF = " || ".join(_sql_field(c) for c in ("doc_id", "source", "lang", "n_chars", "text"))
+_ALTERED = _LEAF.replace("text::VARCHAR", SQL_LOWER.format("text"))
+
+ORACLE["op12_merkle_manifest"] = f"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, source, sha256({_LEAF}) AS leaf,
+    CASE WHEN {_SQL_CRC32.format("coalesce(doc_id::VARCHAR, '')")} % 5 = 0 THEN sha256({_ALTERED}) ELSE sha256({_LEAF}) END AS seen FROM documents
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS place, count(*) OVER (PARTITION BY source) AS n FROM d
+), tree AS (
+  SELECT source, 0 AS k, place, n, leaf AS h FROM placed
+  UNION ALL
+  SELECT source, k + 1, place // 16, (n + 15) // 16, sha256(string_agg(h, '' ORDER BY place)) FROM tree WHERE n > 1 GROUP BY source, k, place // 16, n
+), sub AS (
+  SELECT source, k AS top, h, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS place, count(*) OVER () AS n FROM tree WHERE n = 1
+), upper_tree AS (
+  SELECT 0 AS k, place, n, h FROM sub
+  UNION ALL
+  SELECT k + 1, place // 16, (n + 15) // 16, sha256(string_agg(h, '' ORDER BY place)) FROM upper_tree WHERE n > 1 GROUP BY k, place // 16, n
+), leaves AS (
+  SELECT p.source, p.place, p.doc_id, p.leaf, p.seen, sub.h AS subroot, sub.top, sub.place AS up, row_number() OVER () AS id
+  FROM placed p JOIN sub ON p.source IS NOT DISTINCT FROM sub.source
+), step AS (
+  SELECT id, k, string_agg(h, '' ORDER BY p) FILTER (p < mine) AS lhs, string_agg(h, '' ORDER BY p) FILTER (p > mine) AS rhs FROM (
+    SELECT id, t.k, t.place AS p, l.place // (16 ** t.k)::BIGINT AS mine, t.h
+    FROM leaves l JOIN tree t ON t.source IS NOT DISTINCT FROM l.source AND t.k < l.top AND t.place // 16 = l.place // (16 ** (t.k + 1))::BIGINT
+    UNION ALL
+    SELECT id, l.top + t.k, t.place, l.up // (16 ** t.k)::BIGINT, t.h FROM leaves l JOIN upper_tree t ON t.n > 1 AND t.place // 16 = l.up // (16 ** (t.k + 1))::BIGINT
+  ) GROUP BY id, k
+), folding AS (
+  SELECT id, 0 AS k, seen AS h FROM leaves
+  UNION ALL
+  SELECT f.id, f.k + 1, sha256(coalesce(lhs, '') || f.h || coalesce(rhs, '')) FROM folding f JOIN step s ON s.id = f.id AND s.k = f.k
+), folded AS (SELECT id, arg_max(h, k) AS folded_root FROM folding GROUP BY id),
+proof AS (SELECT id, string_agg(coalesce(lhs, '') || coalesce(rhs, ''), '' ORDER BY k) AS s FROM step GROUP BY id),
+root AS (SELECT h AS root FROM upper_tree WHERE n = 1)
+SELECT doc_id, leaf, subroot, root, sha256(coalesce(s, '')) AS proof_sha256, folded_root, folded_root = root AS verified
+FROM leaves JOIN folded USING (id) LEFT JOIN proof USING (id) CROSS JOIN root
+"""
+
+
+@query
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.count_links(table(spark, sf_dir, "documents"))
