@@ -205,10 +205,14 @@ def align_texts(texts: list[str | None], tok: Tokenizers) -> Aligned:
     doc_a, doc_b = (np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int64) for ids in (ids_a, ids_b))
     a, b = (np.concatenate([np.zeros(0, np.int64), *ids]) for ids in (ids_a, ids_b))
     by_a, by_b = incidence(tok.a.size[a]), incidence(tok.b.size[b])
-    ends_a, ends_b = by_a.indptr[1:], by_b.indptr[1:]
     # A token's group is the number of common ends before its own; a text's end is one.
-    common = np.intersect1d(ends_a, ends_b, assume_unique=True)
-    return Aligned(a, b, doc_a, doc_b, by_a, by_b, np.searchsorted(common, ends_a), np.searchsorted(common, ends_b), len(common))
+    ends, groups = (by_a.indptr[1:], by_b.indptr[1:]), []
+    for own, other in (ends, ends[::-1]):
+        marks = np.zeros(by_a.n_cols + 1, bool)
+        marks[other] = True
+        last = marks[own]
+        groups.append(np.cumsum(last) - last)
+    return Aligned(a, b, doc_a, doc_b, by_a, by_b, *groups, int(groups[0][-1]) + 1 if len(a) else 0)
 
 
 def group_strings(x: Aligned) -> tuple[np.ndarray, np.ndarray]:
@@ -216,23 +220,28 @@ def group_strings(x: Aligned) -> tuple[np.ndarray, np.ndarray]:
 
     Numbers are written digit by digit for all tokens at once.
     """
-    first_a = np.searchsorted(x.group_a, np.arange(x.n_groups + 1))
-    first_b = np.searchsorted(x.group_b, np.arange(x.n_groups + 1))
+    first_a, first_b = (
+        np.concatenate([[0], np.flatnonzero(np.diff(g)) + 1, [len(g)]])[:x.n_groups + 1] for g in (x.group_a, x.group_b))
     place_a = np.arange(len(x.a)) + first_b[x.group_a]
     place_b = np.arange(len(x.b)) + first_a[x.group_b + 1]
-    ids, ends = np.empty(len(x.a) + len(x.b), np.int64), np.full(len(x.a) + len(x.b), ord(","), np.uint8)
+    ids, ends = np.empty(len(x.a) + len(x.b), np.uint32), np.full(len(x.a) + len(x.b), ord(","), np.uint8)
     ids[place_a], ids[place_b] = x.a, x.b
     ends[place_a[first_a[1:] - 1]] = ord("|")
     ends[place_b[first_b[1:] - 1]] = ord(";")
-    widths = 2 + sum((ids >= 10**k).astype(np.int64) for k in range(1, 7))
+    widths = np.full(len(ids), 2, np.int64)
+    for k in range(1, 10):
+        if not (longer := ids >= 10**k).any():
+            break
+        widths += longer
     at = np.concatenate([[0], np.cumsum(widths)])
     out = np.empty(at[-1], np.uint8)
     out[at[1:] - 1] = ends
     place, left = at[1:] - 2, ids
     while len(left):
-        out[place] = ord("0") + left % 10
-        more = left >= 10
-        place, left = place[more] - 1, left[more] // 10
+        rest = left // 10
+        out[place] = left - rest * 10 + ord("0")
+        more = rest > 0
+        place, left = place[more] - 1, rest[more]
     return out, at[x.doc_a + x.doc_b]
 
 
