@@ -175,7 +175,8 @@ def _per_loan(daily):
 
 @query("loan_balances_daily", _PER_LOAN, daily=_DAILY)
 def _(b: Bank):
-    return _per_loan(loans.loan_balances_daily(b.stg["loans"], b.p))
+    """From the stored intervals."""
+    return _per_loan(loans.daily_balances(load_balances(b.spark, work_dir(b.spark, "balances"), b.stg["loans"], b.p)))
 
 
 @query("loan_balances_backfill", _PER_LOAN, daily=_DAILY)
@@ -186,7 +187,17 @@ def _(b: Bank):
     late = (F.substr("loan_id", F.lit(2)).cast("bigint") % 50 == 3) & (F.col("disbursement_date") >= F.lit("1999-06-15").cast("date"))
     load_balances(b.spark, path, all_loans.filter(~late), as_of(b.p, datetime(2000, 6, 20)))
     load_balances(b.spark, path, all_loans.filter(~late), b.p)
-    return _per_loan(load_balances(b.spark, path, all_loans, b.p, date(1999, 6, 15)))
+    return _per_loan(loans.daily_balances(load_balances(b.spark, path, all_loans, b.p, date(1999, 6, 15))))
+
+
+@query("loan_balances_on_day", f"""
+  SELECT loan_type, balance_date, count(*) AS loan_count, {dbl('sum(balance)')} AS outstanding_usd FROM daily
+  WHERE balance_date BETWEEN DATE '1999-12-28' AND DATE '2000-01-03' GROUP BY 1, 2""", daily=_DAILY)
+def _(b: Bank):
+    """A week across two years, from two months of the stored intervals."""
+    held = load_balances(b.spark, work_dir(b.spark, "balances"), b.stg["loans"], b.p)
+    days = loans.daily_balances(held, date(1999, 12, 28), date(2000, 1, 3))
+    return days.groupBy("loan_type", "balance_date").agg(F.count(F.lit(1)).alias("loan_count"), F.sum("outstanding_balance").alias("outstanding_usd"))
 
 
 @query("vintage", f"""

@@ -12,7 +12,6 @@ from bankspark.functions.dates import lit_ts
 from bankspark.functions.rules import suspicion_reason
 from bankspark.session import work_dir
 from bankspark.sources import standin
-from bankspark.sources.sinks import read_clustered
 from bankspark.streaming import cdc, monitors
 
 
@@ -58,17 +57,23 @@ def _waves(b: Bank) -> list[DataFrame]:
     return [first, image]
 
 
-def _run_cdc(b: Bank) -> tuple[DataFrame, DataFrame]:
-    """Both waves through the change path, one run of the stream after each."""
+def _run_cdc(b: Bank, flags: bool = False) -> DataFrame:
+    """Both waves through the change path, the first folded into the base before the second comes.
+    Returns the sink, or the log of flags that follow it."""
     home = work_dir(b.spark, "cdc")
-    landing, sink, log, ckpt = (os.path.join(home, d) for d in ("landing", "sink", "log", "ckpt"))
+    landing, sink, log, ckpt, flag_ckpt = (os.path.join(home, d) for d in ("landing", "sink", "log", "ckpt", "flag_ckpt"))
+    now = lit_ts(standin.EVENTS.as_of)
     for wave in _waves(b):
         wave.write.mode("append").parquet(landing)
         records = b.spark.readStream.schema(wave.schema).parquet(landing)
-        cdc.start_cdc(
-            records, sink, log, ckpt, standin.EVENTS, lit_ts(standin.EVENTS.as_of), available_now=True
-        ).awaitTermination()
-    return read_clustered(b.spark, sink), b.spark.read.parquet(log)
+        cdc.open_sink(b.spark, sink).fold()
+        cdc.start_cdc(records, sink, ckpt, standin.EVENTS, now, buckets=_BUCKETS, available_now=True).awaitTermination()
+        if flags:
+            cdc.start_flags(b.spark, sink, log, flag_ckpt, standin.EVENTS, now, available_now=True).awaitTermination()
+    return b.spark.read.parquet(log) if flags else cdc.open_sink(b.spark, sink).rows()
+
+
+_BUCKETS = 16  # a file each in these small tables
 
 
 _UPDATED = "event_id % 6 = 0"
@@ -90,7 +95,7 @@ def _reason(amount: str, status: str) -> str:
 
 @query("cdc_stream", "SELECT * EXCLUDE (event_id) REPLACE (CAST(amount AS DOUBLE) AS amount) FROM sink", sink=_SINK)
 def _(b: Bank):
-    return _run_cdc(b)[0].drop("transaction_sk", "transaction_date", "ingested_at")
+    return _run_cdc(b).drop("transaction_sk", "transaction_date", "ingested_at")
 
 
 @query("suspicious_stream", f"""
@@ -101,7 +106,7 @@ def _(b: Bank):
     FROM sink s JOIN payments p USING (transaction_id) WHERE s.cdc_operation = 'UPDATE')
   WHERE flag_reason IS NOT NULL AND before IS NULL""", sink=_SINK)
 def _(b: Bank):
-    return _run_cdc(b)[1].drop("transaction_sk", "flagged_at")
+    return _run_cdc(b, flags=True).drop("transaction_sk", "flagged_at")
 
 
 def _events(b: Bank) -> DataFrame:

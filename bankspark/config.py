@@ -19,6 +19,7 @@ class Params:
     rapid_fire_minutes: int = 60
     high_net_revenue_usd: int = 10000
     cdc_interval_minutes: int = 5
+    flag_memory_days: int = 400
     fiscal_year_start_month: int = 4
 
     @property

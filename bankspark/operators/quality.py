@@ -363,6 +363,59 @@ def run_relationship_test(
     )
 
 
+@dataclass(frozen=True)
+class Reference:
+    """Values of `column` that must stand in `parent_column` of a parent."""
+
+    column: str
+    parent: DataFrame
+    parent_column: str
+    severity: str = ERROR
+
+
+def run_table_tests(
+    df: DataFrame, model: str, rows: Sequence[ColumnTest], unique: Sequence[str] = (), references: Sequence[Reference] = (),
+) -> DataFrame:
+    """Failures of all tests of a table from one scan and one shuffle, a row per test.
+
+    Every row gives its value for each unique and reference test, and once its row-level failures;
+    they are summed by (test, value) together with the parents' values. Before that shuffle each
+    task sums up what it has, so the row-level failures and a hot value are one row a task. Nulls
+    are neither duplicates nor orphans.
+    """
+    n_keyed = len(unique) + len(references)
+    bad = [f"bad{k}" for k in range(len(rows))]
+
+    def entry(test: int, value: Column, own: int, parent: int, bads: Sequence[Column]) -> Column:
+        return F.struct(
+            F.lit(test).alias("test"), value.cast("string").alias("value"), F.lit(own).cast("bigint").alias("own"),
+            F.lit(parent).alias("parent"), *[b.cast("bigint").alias(name) for name, b in zip(bad, bads)])
+
+    none = [F.lit(0)] * len(rows)
+    entries = [entry(n_keyed, F.lit(""), 1, 0, [t.bad.cast("int") for t in rows])] if rows else []
+    entries += [entry(k, F.col(c), 1, 0, none) for k, c in enumerate([*unique, *[r.column for r in references]])]
+    given = df.select(F.explode(F.array(*entries)).alias("e")).select("e.*")
+    for k, r in enumerate(references, len(unique)):
+        given = given.unionByName(r.parent.select(entry(k, F.col(r.parent_column), 0, 1, none).alias("e")).select("e.*"))
+    summed = given.filter("value is not null").groupBy("test", "value").agg(
+        F.sum("own").alias("own"), F.max("parent").alias("parent"), *[F.sum(b).alias(b) for b in bad])
+    of = lambda k: F.col("test") == k
+    failures = [F.coalesce(F.sum(b), F.lit(0)) for b in bad]
+    failures += [F.count_if(of(k) & (F.col("own") > 1)) for k in range(len(unique))]
+    failures += [F.coalesce(F.sum(F.when(of(k) & (F.col("parent") == 0), F.col("own"))), F.lit(0)) for k in range(len(unique), n_keyed)]
+    names = [(t.column, t.test, ERROR) for t in rows] + [(c, "unique", ERROR) for c in unique]
+    names += [(r.column, "relationships", r.severity) for r in references]
+    counted = summed.agg(*[f.cast("bigint").alias(f"n{k}") for k, f in enumerate(failures)])
+    return counted.select(F.explode(F.array(*[outcome(model, *name, F.col(f"n{k}")) for k, name in enumerate(names)])).alias("r")).select("r.*")
+
+
+def outcome(model: str, column: str, test: str, severity: str, failures: Column) -> Column:
+    """A result row of a column test."""
+    return F.struct(
+        F.lit(model).alias("model"), F.lit(column).alias("column_name"), F.lit(test).alias("test"),
+        failures.alias("failures"), F.lit(severity).alias("severity"))
+
+
 # --- gate and monitors ---------------------------------------------------------------------
 
 

@@ -1,35 +1,51 @@
-"""Daily loan balances as a stored table."""
+"""Loan balances as a stored table: an interval per loan and month, from which days are read."""
 
 from __future__ import annotations
 
-from datetime import date
+import os
+from datetime import date, datetime
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from bankspark.config import Params
-from bankspark.plans.loans import loan_balances_daily
+from bankspark.functions.dates import lit_ts
+from bankspark.plans.loans import balance_intervals
 from bankspark.sources import sinks
 
-DAY, PART = "balance_date", "balance_month"
+PART = "balance_month"
+
+
+def stored_months(spark: SparkSession, path: str) -> list[date]:
+    """The months of the table, from its folders' names; no file is read."""
+    names = [n.split("=", 1)[1] for n in sinks.folder_names(spark, path) if n.startswith(f"{PART}=")]
+    return sorted(date.fromisoformat(n) for n in names)
 
 
 def load_balances(
-    spark: SparkSession, path: str, loans: DataFrame, p: Params, backfill_from: date | None = None
+    spark: SparkSession, path: str, loans: DataFrame, p: Params, backfill_from: date | None = None,
+    loaded_since: datetime | None = None,
 ) -> DataFrame:
-    """Bring the table of loan x day up to `p.as_of`; it is partitioned by month.
+    """Bring the table of loan x month (see `balance_intervals`) up to `p.as_of`; it is partitioned by month.
 
-    Whole months are written, from the one after the newest stored day on, or from the month of
-    `backfill_from`, which a late or changed loan touches first; earlier months are left alone.
-    Each month written replaces the one that is there. Running it again changes nothing.
+    Whole months are written, each in place of the one that is there: from the newest stored month
+    on, which has grown by some days; from the month of `backfill_from`, if that is earlier; and
+    from the first month of the loans that were loaded (`loaded_at`) since `loaded_since`, as a changed
+    loan changes all its months. Earlier months are left alone, and a month that no loan has any
+    more goes. Running it again changes nothing.
     """
-    since = backfill_from
-    stored = sinks.read_if_exists(spark, path)
-    if stored is not None and since is None:
-        # The newest month comes from the folder names, its newest day from that month alone.
-        month = stored.agg(F.max(PART)).first()[0]
-        since = month and stored.filter(F.col(PART) == F.lit(month)).agg(F.max(DAY)).first()[0]
-    rows = loan_balances_daily(loans, p, since=None if stored is None else since)
+    months = stored_months(spark, path)
+    since = None
+    if months:
+        since = min(months[-1], backfill_from or months[-1])
+        if loaded_since is not None:
+            changed = loans.filter(F.col("loaded_at") >= lit_ts(loaded_since)).agg(F.min("disbursement_date")).first()[0]
+            since = min(since, changed or since)
+    rows, written = balance_intervals(loans, p, since), Observation()
     # A month is split over as many tasks as its size asks for.
-    (rows.hint("rebalance", F.col(PART)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(PART).parquet(path))
-    return spark.read.parquet(path)
+    (rows.hint("rebalance", F.col(PART)).observe(written, F.collect_set(PART).alias("months"))
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(PART).parquet(path))
+    kept = set(written.get["months"])  # a value per month
+    for month in months:
+        if month >= since.replace(day=1) and month not in kept:
+            sinks.discard(spark, os.path.join(path, f"{PART}={month}"))
+    return spark.read.schema(rows.schema).parquet(path)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -298,28 +298,22 @@ def _row_test(kind: str, column: str, arg, p: Params) -> Q.ColumnTest:
     return Q.test_between(column, _bound(arg[0], p), _bound(arg[1], p))
 
 
+def table_tests(
+    model: str, models: Mapping[str, DataFrame], tests: Sequence[tuple], p: Params
+) -> tuple[list[Q.ColumnTest], list[str], list[Q.Reference]]:
+    """A model's contract as row-level tests, unique columns and references."""
+    rows = [_row_test(t[0], t[1], t[2] if len(t) > 2 else None, p) for t in tests if t[0] not in ("unique", "relationships")]
+    unique = [t[1] for t in tests if t[0] == "unique"]
+    references = [Q.Reference(t[1], models[t[2][0]], t[2][1], t[2][2]) for t in tests if t[0] == "relationships"]
+    return rows, unique, references
+
+
 def run_contracts(
     models: Mapping[str, DataFrame], contracts: Mapping[str, list[tuple]], p: Params
 ) -> DataFrame:
-    """Failures of every column test, one row each, with its severity."""
-    parts: list[DataFrame] = []
-    for model, tests in contracts.items():
-        df = models[model]
-        row_level = [
-            _row_test(t[0], t[1], t[2] if len(t) > 2 else None, p)
-            for t in tests if t[0] not in ("unique", "relationships")
-        ]
-        if row_level:
-            parts.append(Q.run_column_tests(df, model, row_level).withColumn("severity", F.lit(ERROR)))
-        for t in tests:
-            if t[0] == "unique":
-                parts.append(Q.run_unique_test(df, model, t[1]).withColumn("severity", F.lit(ERROR)))
-            elif t[0] == "relationships":
-                parent, column, severity = t[2]
-                parts.append(
-                    Q.run_relationship_test(df, model, t[1], models[parent], column)
-                    .withColumn("severity", F.lit(severity))
-                )
+    """Failures of every column test, one row each, with its severity; a table's tests share a scan
+    and a shuffle."""
+    parts = [Q.run_table_tests(models[model], model, *table_tests(model, models, tests, p)) for model, tests in contracts.items()]
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part)

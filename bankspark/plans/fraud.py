@@ -61,17 +61,17 @@ def fraud_flag(fct: DataFrame, p: Params) -> DataFrame:
 
 
 def flag_suspicious(
-    batch: DataFrame, already: DataFrame | None, p: Params, flagged_at=None
+    batch: DataFrame, already: DataFrame | None, p: Params, flagged_at=None, *more: str
 ) -> DataFrame:
     """New rows for the suspicious-transaction log: first matching reason on the local amount,
-    never a transaction that is already in the log."""
+    never a transaction that is already in the log. `more` columns of the batch are kept."""
     reason = rules.suspicion_reason(F.col("transaction_status"), F.col("amount"), p)
     hits = batch.withColumn("flag_reason", reason).filter(F.col("flag_reason").isNotNull())
     if already is not None:
         hits = not_already_in(hits, already, "transaction_sk")
     return hits.select(
         "transaction_sk", "transaction_id", "account_id", "amount", "currency", "flag_reason",
-        (lit_ts(p.as_of) if flagged_at is None else flagged_at).alias("flagged_at"),
+        (lit_ts(p.as_of) if flagged_at is None else flagged_at).alias("flagged_at"), *more,
     )
 
 

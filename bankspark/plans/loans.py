@@ -97,18 +97,13 @@ def default_rate(loans: DataFrame, by: list[str], weight: str = "principal") ->
     return loans.groupBy(*by).agg(F.count(F.lit(1)).alias("loan_count"), rate.alias("default_rate_pct"))
 
 
-def loan_balances_daily(
-    loans: DataFrame, p: Params, partitions: int | None = None, since: date | None = None
-) -> DataFrame:
-    """Loan x day from disbursement to as_of, with the balance estimated for that day. `since`
-    leaves out the months before that day's.
+def balance_intervals(loans: DataFrame, p: Params, since: date | None = None) -> DataFrame:
+    """Loan x month from disbursement to as_of: the balance estimated for the month and the first and
+    last day it holds for. `since` leaves out the months before that day's.
 
-    A loan becomes thousands of rows, so the narrow loan rows are first spread over a fixed
-    number of tasks (size-based coalescing would not foresee the growth). The balance changes
-    only with the month: it is worked out per loan and month and copied to the days.
+    The balance changes only with the month, so a row stands for some thirty days;
+    `daily_balances` writes them out.
     """
-    if partitions is None:
-        partitions = int(loans.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     as_of = lit_date(p.as_of_date)
     amount, emi, start = F.col("loan_amount"), F.col("emi_amount"), F.col("disbursement_date")
     first_month = month_start(start)
@@ -119,18 +114,36 @@ def loan_balances_daily(
     per_month = (
         loans.filter((start <= as_of) & (first_month <= month_start(as_of)))
         .select(*ids, "loan_amount", "emi_amount", "disbursement_date", tenure_months(amount, emi).alias("_tenure"))
-        .repartition(partitions, "loan_sk")
         .withColumn("balance_month", F.explode(months))
     )
     paid = least_strict(months_between_boundaries(start, F.col("balance_month")), F.col("_tenure"))
-    first = F.greatest(start, F.col("balance_month"))
-    last = F.least(as_of, F.last_day("balance_month"))
     return per_month.select(
-        *ids,
-        "balance_month",
+        *ids, "balance_month", F.greatest(start, F.col("balance_month")).alias("first_day"),
+        F.least(as_of, F.last_day("balance_month")).alias("last_day"),
         outstanding(amount, emi, paid).alias("outstanding_balance"),
-        F.sequence(first, last).alias("_days"),
-    ).select(*ids, F.explode("_days").alias("balance_date"), "balance_month", "outstanding_balance")
+    )
+
+
+def daily_balances(intervals: DataFrame, since: date | None = None, until: date | None = None) -> DataFrame:
+    """Loan x day from the intervals, from `since` to `until`; other months are not read where the
+    intervals are stored by month."""
+    first, last = F.col("first_day"), F.col("last_day")
+    if since is not None:
+        intervals = intervals.filter(F.col("balance_month") >= month_start(lit_date(since)))
+        first = F.greatest(first, lit_date(since))
+    if until is not None:
+        intervals = intervals.filter(F.col("balance_month") <= lit_date(until))
+        last = F.least(last, lit_date(until))
+    days = F.when(first <= last, F.sequence(first, last))
+    return intervals.select(
+        "loan_sk", "loan_id", "loan_type", "customer_id", F.explode(days).alias("balance_date"), "balance_month",
+        "outstanding_balance")
+
+
+def loan_balances_daily(loans: DataFrame, p: Params, since: date | None = None) -> DataFrame:
+    """Loan x day from disbursement to as_of, with the balance estimated for that day. `since`
+    leaves out the months before that day's."""
+    return daily_balances(balance_intervals(loans, p, since))
 
 
 def vintage(loans: DataFrame) -> DataFrame:

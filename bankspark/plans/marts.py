@@ -52,11 +52,10 @@ def revenue_monthly(fct: DataFrame, outflow: bool = False) -> DataFrame:
     return result
 
 
-def branch_performance(fct: DataFrame, dim_branch: DataFrame) -> DataFrame:
+def branch_months(fct: DataFrame) -> DataFrame:
     """Month x branch activity of completed transactions.
 
-    Reduced to one row per month, branch, customer and account before the two distinct counts
-    and before the join with the branches.
+    Reduced to one row per month, branch, customer and account before the two distinct counts.
     """
     group = ["performance_month", "branch_id"]
     reduced = (
@@ -72,7 +71,7 @@ def branch_performance(fct: DataFrame, dim_branch: DataFrame) -> DataFrame:
             F.sum("is_high_value_flag").alias("high"),
         )
     )
-    per_branch = reduced.groupBy(*group).agg(
+    return reduced.groupBy(*group).agg(
         F.countDistinct("account_id").alias("active_accounts"),
         F.countDistinct("customer_id").alias("active_customers"),
         F.sum("n").alias("transaction_count"),
@@ -81,6 +80,15 @@ def branch_performance(fct: DataFrame, dim_branch: DataFrame) -> DataFrame:
         F.sum("failed").alias("failed_count"),
         F.sum("high").alias("high_value_count"),
     )
+
+
+def branch_performance(fct: DataFrame, dim_branch: DataFrame) -> DataFrame:
+    """Month x branch activity with the branch's attributes."""
+    return branch_performance_of(branch_months(fct), dim_branch)
+
+
+def branch_performance_of(per_branch: DataFrame, dim_branch: DataFrame) -> DataFrame:
+    """The same from `branch_months`, the aggregate joined with the branches."""
     return per_branch.join(
         dim_branch.select("branch_id", "branch_name", "city", "state", "region"), "branch_id"
     ).select(
@@ -91,11 +99,11 @@ def branch_performance(fct: DataFrame, dim_branch: DataFrame) -> DataFrame:
     )
 
 
-def customer_txn_agg(fct: DataFrame) -> DataFrame:
-    """Revenue, refunds, counts and first/last date per customer."""
+def customer_txn_agg(fct: DataFrame, *by: str) -> DataFrame:
+    """Revenue, refunds, counts and first/last date per customer (and `by`)."""
     done = F.col("transaction_status") == "COMPLETED"
     kind, usd = F.col("transaction_type"), F.col("amount_usd")
-    return fct.groupBy("customer_id").agg(
+    return fct.groupBy(*by, "customer_id").agg(
         sum_when(rules.is_revenue(kind) & done, usd).alias("total_revenue_usd"),
         sum_when((kind == "REFUND") & done, usd).alias("total_refund_usd"),
         F.count(F.lit(1)).alias("total_txn_count"),
@@ -106,6 +114,19 @@ def customer_txn_agg(fct: DataFrame) -> DataFrame:
     )
 
 
+def customer_txn_total(parts: DataFrame) -> DataFrame:
+    """The same per customer from the aggregates of several spans of time."""
+    return parts.groupBy("customer_id").agg(
+        F.sum("total_revenue_usd").alias("total_revenue_usd"),
+        F.sum("total_refund_usd").alias("total_refund_usd"),
+        F.sum("total_txn_count").alias("total_txn_count"),
+        F.sum("failed_txn_count").alias("failed_txn_count"),
+        F.sum("high_value_txn_count").alias("high_value_txn_count"),
+        F.min("first_txn_date").alias("first_txn_date"),
+        F.max("last_txn_date").alias("last_txn_date"),
+    )
+
+
 def customer_loan_agg(loans: DataFrame) -> DataFrame:
     """Count, principal, outstanding, defaults and mean rate per customer."""
     return loans.groupBy("customer_id").agg(
@@ -121,7 +142,14 @@ def customer_profitability(
     dim_customer: DataFrame, fct: DataFrame, loans: DataFrame, p: Params
 ) -> DataFrame:
     """Customer-grain profitability: net revenue less an interest carrying-cost proxy."""
-    txn, loan = customer_txn_agg(fct), customer_loan_agg(loans)
+    return customer_profitability_of(dim_customer, customer_txn_agg(fct), loans, p)
+
+
+def customer_profitability_of(
+    dim_customer: DataFrame, txn: DataFrame, loans: DataFrame, p: Params
+) -> DataFrame:
+    """The same from the transactions per customer."""
+    loan = customer_loan_agg(loans)
 
     def money(c: str):
         return F.coalesce(F.col(c), F.lit(0)).cast("decimal(18,2)").alias(c)

@@ -8,6 +8,7 @@ amounts as null.
 from __future__ import annotations
 
 import os
+from collections.abc import Callable
 from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -124,18 +125,21 @@ def stg_transactions_since(raw: DataFrame, bound: datetime) -> DataFrame:
 
 
 def refresh_staged_transactions(
-    spark: SparkSession, path: str, raw: DataFrame, overlap_hours: int = 24, grain: str = "month"
+    spark: SparkSession, path: str, raw: DataFrame, overlap_hours: int = 24, grain: str = "month",
+    before: Callable[[list[str] | None], None] | None = None,
 ) -> DataFrame:
     """Bring the stored staging of transactions, clustered by date, up to the raw feed.
 
     The first time everything is staged. Later only raw rows synced since the newest stored sync,
     less the overlap, or without a sync time, are cleansed and deduplicated; of them and the
     stored versions of their ids the newest stays. Ids deleted since are staged again from all
-    their versions. Only partitions that these touch are written.
+    their versions. Only partitions that these touch are written; `before` is told which (None: all).
     """
     sinks.finish_move(spark, path)
     stored = sinks.read_if_exists(spark, path)
     if stored is None or sinks.PART not in stored.columns:
+        if before is not None:
+            before(None)
         sinks.write_clustered(stg_transactions(raw), path, "transaction_date", grain)
         return sinks.read_clustered(spark, path)
     newest = stored.agg(F.max("loaded_at")).first()[0]  # one value
@@ -163,7 +167,7 @@ def refresh_staged_transactions(
             left = old.join(gone, F.col("transaction_id") == F.col("_id"), "left_anti")
             return latest_per_key(left.unionByName(new), "transaction_id", "loaded_at", TXN_TIES)
 
-        sinks.rewrite_partitions(spark, path, "transaction_date", "transaction_sk", grain, keys, fresh, merge)
+        sinks.rewrite_partitions(spark, path, "transaction_date", "transaction_sk", grain, keys, fresh, merge, before)
     finally:
         sinks.discard(spark, work)
     return sinks.read_clustered(spark, path)

@@ -74,7 +74,7 @@ def sync(
     raise ValueError(f"unknown sync mode {mode}")
 
 
-def _part_value(date_col: str, grain: str) -> Column:
+def part_label(date_col: str, grain: str) -> Column:
     """Partition label; the leading letter keeps it a string when folders are listed."""
     pattern = "'d'yyyy-MM-dd" if grain == "day" else "'m'yyyy-MM"
     return F.coalesce(F.date_format(date_col, pattern), F.lit("none"))
@@ -84,7 +84,7 @@ def _clustered(df: DataFrame, date_col: str, grain: str) -> DataFrame:
     """Rows gathered by partition and sorted by date. The rebalance hint lets AQE size the
     writing tasks by the data: small partitions share a task, a large or hot one is split."""
     return (
-        df.withColumn(PART, _part_value(date_col, grain))
+        df.withColumn(PART, part_label(date_col, grain))
         .hint("rebalance", F.col(PART))
         .sortWithinPartitions(PART, date_col)
     )
@@ -108,10 +108,10 @@ def stored_grain(spark: SparkSession, path: str) -> str | None:
 def rewrite_partitions(
     spark: SparkSession, path: str, date_col: str, key: str, grain: str,
     affected_keys: DataFrame, incoming: DataFrame,
-    merge: Callable[[DataFrame, DataFrame], DataFrame],
+    merge: Callable[[DataFrame, DataFrame], DataFrame], before: Callable[[list[str]], None] | None = None,
 ) -> list[str]:
     """Apply `merge(target, incoming)` to the partitions it can touch and leave the others;
-    returns the touched partitions. One writer at a time.
+    returns the touched partitions, and tells `before` ahead of writing them. One writer at a time.
 
     Touched are the partitions of the incoming rows and those that hold one of
     `affected_keys`; that lookup reads only the key and partition columns. The new partitions
@@ -123,11 +123,13 @@ def rewrite_partitions(
     grain = stored_grain(spark, path) or grain
     target = spark.read.parquet(path)
     holds = target.select(key, PART).join(affected_keys.select(key), key, "left_semi").select(PART)
-    arriving = incoming.select(_part_value(date_col, grain).alias(PART))
+    arriving = incoming.select(part_label(date_col, grain).alias(PART))
     # One value per touched month or day.
     touched = [r[0] for r in holds.union(arriving).distinct().collect()]
     if not touched:
         return []
+    if before is not None:
+        before(touched)
     old = target.filter(F.col(PART).isin(*touched)).drop(PART)
     written = Observation()
     pending = path.rstrip("/") + PENDING
@@ -200,15 +202,49 @@ def finish_replace(spark: SparkSession, path: str) -> None:
 def publish(spark: SparkSession, source: str, path: str) -> DataFrame:
     """Put a complete table, written elsewhere on the same file system, in place of `path`."""
     finish_replace(spark, path)
-    pending = path.rstrip("/") + PENDING
     fs = _fs(spark, path)
     fs.mkdirs(_path(spark, path).getParent())
-    _rename(fs, _path(spark, source), _path(spark, pending))
-    fs.create(_path(spark, pending, READY)).close()
+    fs.create(_path(spark, source, READY)).close()
+    _rename(fs, _path(spark, source), _path(spark, path.rstrip("/") + PENDING))
     finish_replace(spark, path)
     return spark.read.parquet(path)
 
 
+def publish_all(spark: SparkSession, pending: str, folder: str) -> list[str]:
+    """Put the tables of a folder, all of them complete, in place of those in `folder`; returns their names.
+
+    A mark says that publication has begun. From then on it is only ever finished, by whoever comes
+    next (`finish_publication`): no set of tables stays half new, half old.
+    """
+    fs = _fs(spark, pending)
+    for name in folder_names(spark, pending):
+        fs.create(_path(spark, pending, f"{READY}={name}")).close()
+    fs.create(_path(spark, pending, READY)).close()
+    return _move_tables(spark, pending, folder)
+
+
+def _move_tables(spark: SparkSession, pending: str, folder: str) -> list[str]:
+    there = folder_names(spark, pending)
+    names = sorted(n.removeprefix(f"{READY}=") for n in there if n.startswith(f"{READY}="))
+    for name in names:
+        if name in there:
+            publish(spark, os.path.join(pending, name), os.path.join(folder, name))
+        else:  # it had left for its place
+            finish_replace(spark, os.path.join(folder, name))
+    discard(spark, pending)
+    return names
+
+
+def finish_publication(spark: SparkSession, folder: str, prefix: str = "_pending-") -> None:
+    """Finish a publication that was cut off, and drop what a run left that never began one."""
+    for name in folder_names(spark, folder):
+        if name.startswith(prefix):
+            pending = os.path.join(folder, name)
+            if READY in folder_names(spark, pending):
+                _move_tables(spark, pending, folder)
+            discard(spark, pending)
+
+
 def replace_table(df: DataFrame, path: str) -> DataFrame:
     """Replace a table by rows that may be read from it. The old table stays until the new one
     is complete."""
@@ -221,6 +257,12 @@ def replace_table(df: DataFrame, path: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def folder_names(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder; none if there is no such folder."""
+    fs, at = _fs(spark, path), _path(spark, path)
+    return [f.getPath().getName() for f in fs.listStatus(at)] if fs.exists(at) else []
+
+
 def newest_partition(spark: SparkSession, path: str) -> str | None:
     """The last month or day of a clustered table, from its folder names."""
     names = [f.getPath().getName() for f in _fs(spark, path).listStatus(_path(spark, path))]
@@ -256,12 +298,15 @@ def discard(spark: SparkSession, path: str) -> None:
 
 def merge_into_table(
     spark: SparkSession, path: str, updates: DataFrame, key: str, date_col: str,
-    grain: str = "month", work: str | None = None,
+    grain: str = "month", work: str | None = None, before: Callable[[list[str] | None], None] | None = None,
 ) -> None:
     """Merge by unique key into a date-clustered table, created if missing. Intermediate rows go
-    below `work`, the shared folder if not given, and leave with the call, also if it fails."""
+    below `work`, the shared folder if not given, and leave with the call, also if it fails. `before`
+    is told which partitions will be written, None for all."""
     finish_move(spark, path)
     if not _fs(spark, path).exists(_path(spark, path)):
+        if before is not None:
+            before(None)
         write_clustered(updates, path, date_col, grain)
         return
     staged = work_dir(spark, "updates", work)
@@ -270,7 +315,7 @@ def merge_into_table(
         updates = spark.read.parquet(staged)
         rewrite_partitions(
             spark, path, date_col, key, grain, updates, updates,
-            lambda old, new: merge_by_key(old, new, key),
+            lambda old, new: merge_by_key(old, new, key), before,
         )
     finally:
         discard(spark, staged)

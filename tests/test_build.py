@@ -86,7 +86,7 @@ def test_duplicate_branch_publishes_nothing_and_waived_tests_let_pass(spark, sf_
     assert out["fct_transactions"].filter("transaction_timestamp is null").count() > 0
     assert out["fct_transactions"].filter("transaction_timestamp < '1900-01-01'").count() > 0
     names = {p.name for p in folder.iterdir()}
-    assert {"dim_loan_type", "dim_merchant_category", "dim_account_history", "vw_customer_360", "layer_reconciliation", "loan_balances_daily"} <= names
+    assert {"dim_loan_type", "dim_merchant_category", "dim_account_history", "vw_customer_360", "layer_reconciliation", "loan_balances"} <= names
     assert not [n for n in names if "pending" in n]
     assert out["loan_balances_daily"].count() > 0
 

@@ -7,7 +7,7 @@ from bankspark.operators import changes
 from bankspark.plans.balances import load_balances
 from bankspark.config import Params
 from bankspark.sources import sinks
-from tests.util import bag, frame
+from tests.util import bag, frame, plan
 
 SCHEMA = "k string, d date, x int"
 
@@ -87,7 +87,7 @@ LOANS = "loan_sk string, loan_id string, loan_type string, customer_id string, l
 def test_daily_balances_grow_by_month_and_can_be_filled_back(spark, tmp_path):
     from decimal import Decimal as D
 
-    from bankspark.plans.loans import loan_balances_daily
+    from bankspark.plans.loans import daily_balances, loan_balances_daily
 
     one = ("s1", "l1", "AUTO", "c", D("1000"), D("100"), date(2024, 1, 15))
     two = ("s2", "l2", "AUTO", "c", D("500"), None, date(2024, 2, 10))
@@ -100,7 +100,38 @@ def test_daily_balances_grow_by_month_and_can_be_filled_back(spark, tmp_path):
     load_balances(spark, path, loans, at(2024, 4, 2))
     assert january == {p.name: p.stat().st_mtime_ns for p in (tmp_path / "balances" / "balance_month=2024-01-01").iterdir()}
     cols = ["loan_id", "balance_date", "outstanding_balance"]
-    assert bag(spark.read.parquet(path), *cols) == bag(loan_balances_daily(loans, at(2024, 4, 2)), *cols)
-    got = bag(load_balances(spark, path, late, at(2024, 4, 2), backfill_from=date(2024, 2, 10)), *cols)
+    days = lambda df: bag(daily_balances(df), *cols)
+    assert days(spark.read.parquet(path)) == bag(loan_balances_daily(loans, at(2024, 4, 2)), *cols)
+    got = days(load_balances(spark, path, late, at(2024, 4, 2), backfill_from=date(2024, 2, 10)))
     assert got == bag(loan_balances_daily(late, at(2024, 4, 2)), *cols)
-    assert got == bag(load_balances(spark, path, late, at(2024, 4, 2)), *cols)
+    held = load_balances(spark, path, late, at(2024, 4, 2))
+    assert got == days(held) and held.count() == 4 + 3
+    # A week is read from its months only; a loan-month is one stored row.
+    week = daily_balances(held, date(2024, 2, 27), date(2024, 3, 2))
+    assert bag(week, *cols) == [r for r in got if date(2024, 2, 27) <= r[1] <= date(2024, 3, 2)]
+    assert {f.split("balance_month=")[1][:7] for f in week.inputFiles()} >= {"2024-02"} and "PartitionFilters: [isnotnull(balance_month" in plan(week)
+
+
+def test_changed_and_vanished_loans_leave_the_stored_balances(spark, tmp_path):
+    from decimal import Decimal as D
+
+    from bankspark.plans.balances import stored_months
+    from bankspark.plans.loans import daily_balances, loan_balances_daily
+
+    cols = ["loan_id", "balance_date", "outstanding_balance"]
+    loan = lambda i, emi, start, loaded: ("s" + i, "l" + i, "AUTO", "c", D("1000"), D(emi), start, loaded)
+    schema, path, p = LOANS + ", loaded_at timestamp_ntz", str(tmp_path / "balances"), Params(as_of=datetime(2024, 5, 3))
+    old = datetime(2024, 5, 1)
+    first = [loan("1", "100", date(2024, 1, 15), old), loan("2", "50", date(2024, 3, 1), old)]
+    load_balances(spark, path, frame(spark, schema, *first), p)
+    # The instalment of loan 2 changes: its months follow, those before its start are left alone.
+    january = {f.name: f.stat().st_mtime_ns for f in (tmp_path / "balances" / "balance_month=2024-01-01").iterdir()}
+    now = frame(spark, schema, first[0], loan("2", "70", date(2024, 3, 1), datetime(2024, 5, 3)))
+    got = load_balances(spark, path, now, p, loaded_since=datetime(2024, 5, 2))
+    assert bag(daily_balances(got), *cols) == bag(loan_balances_daily(now, p), *cols)
+    assert january == {f.name: f.stat().st_mtime_ns for f in (tmp_path / "balances" / "balance_month=2024-01-01").iterdir()}
+    # Loan 1 was entered by mistake: from its start on, months that nobody has go.
+    left = now.filter("loan_id = 'l2'")
+    got = load_balances(spark, path, left, p, backfill_from=date(2024, 1, 15))
+    assert bag(daily_balances(got), *cols) == bag(loan_balances_daily(left, p), *cols)
+    assert [m.month for m in stored_months(spark, path)] == [3, 4, 5]

@@ -8,9 +8,8 @@ from pyspark.sql import functions as F
 from bankspark.config import Params
 from bankspark.functions.dates import lit_ts
 from bankspark.operators.bursts import burst_counts
-from bankspark.sources.sinks import read_clustered
 from bankspark.streaming import cdc, monitors
-from tests.util import bag, frame, ts
+from tests.util import bag, frame, plan, ts
 
 P = Params(as_of=datetime(2024, 1, 31))
 CHANGE = (
@@ -28,29 +27,35 @@ def change(tid, amount, action="INSERT", is_update=False, status="COMPLETED", at
 
 
 class Pipe:
-    """Lands waves of change records and runs the change path after each."""
+    """Lands waves of change records and runs the change path and the flagger after each."""
 
-    def __init__(self, spark, home):
-        self.spark, self.home, self.n = spark, home, 0
-        self.sink, self.log = str(home / "sink"), str(home / "log")
+    def __init__(self, spark, home, buckets=4):
+        self.spark, self.home, self.n, self.buckets = spark, home, 0, buckets
+        self.path, self.log = str(home / "sink"), str(home / "log")
 
     def run(self, *rows):
         self.n += 1
+        now = lit_ts(datetime(2024, 2, self.n))
         if rows:
             frame(self.spark, CHANGE, *rows).coalesce(1).write.mode("append").parquet(str(self.home / "landing"))
         records = self.spark.readStream.schema(CHANGE).parquet(str(self.home / "landing"))
-        cdc.start_cdc(
-            records, self.sink, self.log, str(self.home / "ckpt"), P, lit_ts(datetime(2024, 2, self.n)), available_now=True
-        ).awaitTermination()
+        cdc.start_cdc(records, self.path, str(self.home / "ckpt"), P, now, buckets=self.buckets, available_now=True).awaitTermination()
+        cdc.start_flags(self.spark, self.path, self.log, str(self.home / "ckpt2"), P, now, available_now=True).awaitTermination()
+
+    @property
+    def sink(self):
+        return cdc.open_sink(self.spark, self.path)
 
     def stored(self):
-        return {r["transaction_id"]: r for r in read_clustered(self.spark, self.sink).collect()}
+        return {r["transaction_id"]: r for r in self.sink.rows().collect()}
 
     def flags(self):
         return bag(self.spark.read.parquet(self.log), "transaction_id", "flag_reason")
 
 
-def test_changes_over_several_runs(spark, tmp_path):
+@pytest.mark.parametrize("folds", [False, True])
+def test_changes_over_several_runs(spark, tmp_path, folds):
+    """The same rows and flags whether batches are folded into the base in between or not."""
     pipe = Pipe(spark, tmp_path)
     pipe.run(
         change(" t1", "10.00"), change("t2", "60000.00"), change("t3", "30000.00"), change("t4", "1.00", status="blocked"),
@@ -62,6 +67,10 @@ def test_changes_over_several_runs(spark, tmp_path):
         ("T2", "ROUND_NUMBER_HIGH_VALUE"), ("T3", "HIGH_VALUE"), ("T4", "STATUS_BLOCKED"), ("T5", "STATUS_BLOCKED"), ("T7", "HIGH_VALUE"),
     ]
     assert pipe.flags() == first_flags
+    if folds:
+        assert pipe.sink.fold() > 0 and pipe.sink.fold() == 0
+        pipe.sink.clean()
+        assert len(pipe.stored()) == 7
 
     pipe.run(
         # an update pair at one sync time: the new image wins; a moved time must not move the row
@@ -81,28 +90,112 @@ def test_changes_over_several_runs(spark, tmp_path):
     assert pipe.flags() == sorted([*first_flags, ("T1", "HIGH_VALUE")])
 
     before = pipe.stored(), pipe.flags()
+    if folds:
+        pipe.sink.fold()
+        pipe.sink.clean()
+        assert pipe.stored() == before[0]
     pipe.run()  # nothing new has landed
     assert (pipe.stored(), pipe.flags()) == before
-    pipe.run(change("unknown", "60000.00", "DELETE"))  # touches no partition
+    pipe.run(change("unknown", "60000.00", "DELETE"))
     assert (pipe.stored(), pipe.flags()) == before
 
 
+def take(spark, home, seq, rows, path=None, buckets=4):
+    """One batch straight into a sink."""
+    sink = cdc.open_sink(spark, path or str(home / "sink"), buckets=buckets)
+    cdc.take_batch(sink, cdc.changes_per_key(frame(spark, CHANGE, *rows)), seq, lit_ts(datetime(2024, 2, 1)))
+    return sink
+
+
 def test_a_repeated_batch_changes_nothing(spark, tmp_path):
-    sink, log = str(tmp_path / "sink"), str(tmp_path / "log")
-    now = lit_ts(datetime(2024, 2, 1))
-    for rows in (
+    path, log = str(tmp_path / "sink"), str(tmp_path / "log")
+    for seq, rows in enumerate((
         [change("t1", "60000.00"), change("t2", "5.00"), change("t3", "30000.00")],
         [change("t1", "1.00", "INSERT", True), change("t2", "5.00", "DELETE"), change("t4", "30000.00")],
-    ):
+    )):
         seen = []
-        for attempt in range(2):
-            staged = str(tmp_path / f"{rows[0][3]}-{attempt}")
-            cdc.changes_per_key(frame(spark, CHANGE, *rows)).write.parquet(staged)
-            changes = spark.read.parquet(staged)
-            cdc.merge_batch(spark, changes, sink, now)
-            cdc.flag_batch(spark, changes, sink, log, P, now)
-            seen.append((bag(read_clustered(spark, sink)), bag(spark.read.parquet(log))))
-        assert seen[0] == seen[1]
+        for _ in range(2):
+            sink = take(spark, tmp_path, seq, rows)
+            cdc.start_flags(spark, path, log, str(tmp_path / "ckpt"), P, available_now=True).awaitTermination()
+            seen.append((bag(sink.rows()), bag(spark.read.parquet(log))))
+        assert seen[0] == seen[1] and len(seen[0][1]) == 2 + seq
+    # A fold that failed before it was entered in the books is written again.
+    frame(spark, "transaction_sk string", ("junk",)).write.parquet(path + "/base/version=0/bucket=0/date_part=m2024-01")
+    before = bag(sink.rows())
+    assert sink.fold() > 0 and bag(sink.rows()) == before == bag(cdc.open_sink(spark, path).rows())
+
+
+def test_sink_equals_changes_applied_one_batch_after_the_other(spark, tmp_path):
+    """Random batches, folds and cleaning between some, against the plain merge of whole tables."""
+    from bankspark.operators.changes import apply_changes
+
+    rng = random.Random(8)
+    want = spark.createDataFrame([], cdc.SINK_SCHEMA)
+    for seq in range(6):
+        rows = [change(f"t{rng.randrange(30)}", f"{rng.randrange(1, 60000)}.00", rng.choice(["INSERT", "INSERT", "DELETE"]), rng.random() < 0.4,
+                       at=f"2024-0{rng.randrange(1, 5)}-01", synced=i) for i in range(rng.randrange(1, 25))]
+        sink = take(spark, tmp_path, seq, rows)
+        now = lit_ts(datetime(2024, 2, 1))
+        want = spark.createDataFrame(apply_changes(want, cdc.changes_per_key(frame(spark, CHANGE, *rows)), "transaction_sk", now).collect(), cdc.SINK_SCHEMA)
+        assert bag(sink.rows()) == bag(want)
+        if seq in (1, 2, 4):
+            sink.fold()
+            if seq != 2:
+                sink.clean()
+            assert bag(sink.rows()) == bag(want)
+    some = want.limit(3)
+    assert bag(sink.rows(some)) == bag(want.join(some.select("transaction_sk"), "transaction_sk", "left_semi"))
+
+
+def scans(df):
+    return [line for line in plan(df).splitlines() if "FileScan parquet" in line and ("bucket" in line or "/sink" in line)]
+
+
+def test_a_batch_reads_only_its_buckets(spark, tmp_path):
+    """Ten keys of many, in a sink of 64 buckets: every read of the sink is filtered by partition, and
+    at most ten buckets' files are opened."""
+    take(spark, tmp_path, 0, [change(f"t{i}", "10.00", at=f"2024-0{1 + i % 4}-01") for i in range(600)], buckets=64).fold()
+    sink = take(spark, tmp_path, 1, [change(f"t{i}", "30000.00", "INSERT", True) for i in range(10)])
+    applied = sink.applied(1)
+    assert applied.count() == 10 and bag(applied, "amount")[0] == (Decimal("30000.00"),)
+    found = scans(applied)
+    assert found and all("PartitionFilters: [" in line and "PartitionFilters: []" not in line for line in found)
+    opened = {f.split("bucket=")[1].split("/")[0] for f in applied.inputFiles()}
+    everywhere = {f.split("bucket=")[1].split("/")[0] for f in sink.rows().inputFiles()}
+    assert len(opened) <= 10 < len(everywhere) == 64
+    keys = spark.createDataFrame(applied.select("transaction_sk").limit(3).collect(), "transaction_sk string")
+    assert sink.rows(keys).count() == 3
+    found = scans(sink.rows(keys))
+    assert found and all("PartitionFilters: [" in line and "PartitionFilters: []" not in line for line in found)
+    assert len({f.split("bucket=")[1].split("/")[0] for f in sink.rows(keys).inputFiles() if "/base/" in f}) <= 3
+    # A batch that is only stored reads nothing of the sink, and folding rewrites its buckets only.
+    assert sink.fold() == len(opened)
+    sink.clean()
+    assert sink.rows().count() == 600 and sink.rows().filter("amount = 30000").count() == 10
+
+
+def test_flagging_reads_neither_log_nor_sink(spark, tmp_path):
+    take(spark, tmp_path, 0, [change(f"t{i}", "30000.00") for i in range(20)])
+    path, log = str(tmp_path / "sink"), str(tmp_path / "log")
+    for seq in (1, 2):
+        q = cdc.start_flags(spark, path, log, str(tmp_path / "ckpt"), P, available_now=True)
+        q.awaitTermination()
+        text = q._jsq.explainInternal(False)
+        assert "log" not in [x.rstrip("]") for line in text.splitlines() if "FileScan" in line for x in line.split("/")]
+        assert "/base" not in text and "StreamingDeduplicateWithinWatermark" in text
+        take(spark, tmp_path, seq, [change(f"t{i}", "31000.00", "INSERT", True) for i in range(25)] + [change("new", "30000.00")])
+    assert spark.read.parquet(log).count() == 21
+    # One entry a flagged key.
+    assert q.lastProgress.stateOperators[0].numRowsTotal == 21
+
+
+def test_a_new_stream_goes_on_after_the_batches_of_another(spark, tmp_path):
+    take(spark, tmp_path, 0, [change("t1", "10.00")])
+    sink = take(spark, tmp_path, 3, [change("t2", "10.00")])
+    assert sink.first_seq("a") == 4 and sink.first_seq("a") == 4
+    take(spark, tmp_path, 4, [change("t1", "10.00", "DELETE")]).fold()
+    sink.clean()
+    assert sink.first_seq("b") == 5 and bag(sink.rows(), "transaction_id") == [("T2",)]
 
 
 def events(n=400, keys=6, seed=3):
