@@ -19,6 +19,7 @@ from bankspark.plans.balances import load_balances
 from bankspark.plans.build import as_of
 from bankspark.session import work_dir
 from bankspark.sources import standin
+from bankspark.sources.sinks import materialize
 
 _REV = "revenue_month, customer_segment, customer_risk_category, branch_region"
 
@@ -288,6 +289,26 @@ def _(b: Bank):
     )
 
 
+@query("flag_latency_sketched", """
+  SELECT count(*) AS flag_count, TRUE AS p50_within, TRUE AS p95_within, CAST(quantile_cont(d, 0.95) < 300 AS INT) AS slo_met
+  FROM (SELECT epoch(loaded_at)::BIGINT - epoch(transaction_timestamp)::BIGINT AS d FROM stg_transactions
+    WHERE transaction_status = 'BLOCKED' OR amount >= 25000)""")
+def _(b: Bank):
+    """From stored daily sketches, and whether each quantile's true rank is as near as promised."""
+    reason = rules.suspicion_reason(F.col("transaction_status"), F.col("amount"), b.p)
+    flags = b.stg["transactions"].filter(reason.isNotNull())
+    daily = materialize(fraud.delay_sketches(flags, "transaction_timestamp", "loaded_at"), work_dir(b.spark, "delays"), "daily")
+    found = fraud.flag_latency_of(daily)
+    delay = F.unix_seconds(F.col("loaded_at").cast("timestamp")) - F.unix_seconds(F.col("transaction_timestamp").cast("timestamp"))
+
+    def within(p: float, column: str):
+        value, error = found.select(column).scalar(), F.lit(fraud.rank_error())
+        return (F.avg((delay < value).cast("double")) <= p + error) & (F.avg((delay <= value).cast("double")) >= p - error)
+
+    ranks = flags.agg(within(0.5, "p50_seconds").alias("p50_within"), within(0.95, "p95_seconds").alias("p95_within"))
+    return ranks.select(found.select("flag_count").scalar().alias("flag_count"), "p50_within", "p95_within", found.select("slo_met").scalar().alias("slo_met"))
+
+
 @query("fraud_daily", f"""
   SELECT transaction_date, branch_region, customer_segment, count(*) AS flagged_count, {dbl('sum(amount_usd)')} AS flagged_amount_usd,
     CAST(sum(is_blocked_flag) AS BIGINT) AS blocked_count, CAST(sum(is_round_high_value_flag) AS BIGINT) AS round_hv_count,
@@ -380,6 +401,21 @@ def _(b: Bank):
     return serve.active_customers_exact(b.fct)
 
 
+@query("active_customers_united", f"""
+  SELECT {quarter('transaction_date')} AS revenue_quarter, branch_region, count(DISTINCT customer_id) AS active_customers, TRUE AS within
+  FROM fct WHERE transaction_status = 'COMPLETED' GROUP BY 1, 2""")
+def _(b: Bank):
+    """Quarters and regions united from stored monthly sketches; whether each is as near the exact
+    count as promised."""
+    monthly = materialize(serve.customer_sketches(b.fct), work_dir(b.spark, "sketches"), "monthly")
+    near = serve.active_customers_united(monthly, F.trunc("revenue_month", "quarter").alias("quarter"), F.col("branch_region").alias("region"))
+    exact = marts.completed(b.fct).groupBy(F.trunc("transaction_date", "quarter").alias("revenue_quarter"), "branch_region").agg(
+        F.countDistinct("customer_id").alias("active_customers"))
+    same = F.col("revenue_quarter").eqNullSafe(F.col("quarter")) & F.col("branch_region").eqNullSafe(F.col("region"))
+    off = F.abs(near["active_customers"] - exact["active_customers"]) <= serve.sketch_error() * exact["active_customers"]
+    return exact.join(near, same, "left").select("revenue_quarter", "branch_region", exact["active_customers"], off.alias("within"))
+
+
 def _span(lo: str, hi: str) -> str:
     return f"coalesce(sum(CASE WHEN revenue_month BETWEEN DATE '{lo}' AND DATE '{hi}' THEN revenue_usd ELSE CAST(0 AS DECIMAL(18, 2)) END), 0)"
 

@@ -12,7 +12,7 @@ from bankspark.functions.dates import lit_ts
 from bankspark.functions.rules import suspicion_reason
 from bankspark.session import work_dir
 from bankspark.sources import standin
-from bankspark.streaming import cdc, monitors
+from bankspark.streaming import cdc, late, monitors
 
 
 def _waves(b: Bank) -> list[DataFrame]:
@@ -158,6 +158,60 @@ def _(b: Bank):
     return _drain(b, unique, "dedup")
 
 
+_LATE = """SELECT * FROM events WHERE event_id % 10 = 0 AND ts <= (SELECT max(ts) FROM events WHERE event_id % 10 <> 0) - INTERVAL 24 HOUR"""
+
+
+def _waves_of_events(b: Bank, home: str) -> DataFrame:
+    """Nine tenths of the events, then the newest of the last tenth, then the rest: one micro-batch each."""
+    events = b.table("events").select("event_id", "user_id", "ts")
+    landing = os.path.join(home, "landing")
+    newest = events.filter("event_id % 10 <> 0").agg(F.max("ts") - F.expr("interval 1 day")).scalar()
+    tenth = F.col("event_id") % 10 == 0
+    for name, part in (("a", ~tenth), ("b", tenth & (F.col("ts") > newest)), ("c", tenth & (F.col("ts") <= newest))):
+        events.filter(part).coalesce(1).write.parquet(os.path.join(landing, name))
+    stream = b.spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1)
+    return stream.parquet(os.path.join(landing, "*"))
+
+
+@query("late_rows", "SELECT event_id, user_id, ts FROM late", late=_LATE)
+def _(b: Bank):
+    """The rows that came too late, kept."""
+    home = work_dir(b.spark, "late")
+    stream = _waves_of_events(b, home)
+    late.split_late(stream, "ts", os.path.join(home, "out"), os.path.join(home, "ckpt")).awaitTermination()
+    return late.late_rows(b.spark, os.path.join(home, "out"), stream.schema).select("event_id", "user_id", "ts")
+
+
+@query("late_rows_logged", """
+  SELECT (SELECT count(*) FROM late) AS late_rows, (SELECT count(*) FROM events) - (SELECT count(*) FROM late) AS unique_rows, CAST(0 AS BIGINT) AS late_after_split""", late=_LATE)
+def _(b: Bank):
+    """What the progress log counts for a stateful step on the same stream, and for one behind the split."""
+    home = work_dir(b.spark, "late_logged")
+    at = lambda *names: os.path.join(home, *names)
+    stream = _waves_of_events(b, home)
+    counted = {}
+    late.split_late(stream, "ts", at("out"), at("split_ckpt")).awaitTermination()
+    for name, rows in (("late_rows", stream), ("late_after_split", late.on_time_rows(b.spark, at("out"), stream.schema))):
+        unique = monitors.dedup_within_watermark(monitors.with_event_time(rows, "ts"), ["event_id"])
+        with monitors.progress_log(b.spark, at(f"{name}_log")):
+            monitors.run_to_files(unique, at(name), at(f"{name}_ckpt")).awaitTermination()
+        counted[name] = b.spark.read.parquet(at(f"{name}_log")).agg(F.sum("late_rows").alias(name))
+        counted["unique_rows"] = b.spark.read.parquet(at(name)).agg(F.count(F.lit(1)).alias("unique_rows"))
+    names = ("late_rows", "unique_rows", "late_after_split")
+    return b.spark.range(1).select(*[counted[n].select(n).scalar().alias(n) for n in names])
+
+
+@query("stream_state_keys", "SELECT count(*) AS n_keys FROM events WHERE ts > (SELECT max(ts) FROM events) - INTERVAL 48 HOUR")
+def _(b: Bank):
+    """The events that a deduplication still remembers, from its state store: those not a delay older
+    than the watermark."""
+    home = work_dir(b.spark, "state")
+    timed = monitors.with_event_time(_events(b).select("event_id", "ts"), "ts")
+    ckpt = os.path.join(home, "ckpt")
+    monitors.run_to_files(monitors.dedup_within_watermark(timed, ["event_id"]), os.path.join(home, "out"), ckpt).awaitTermination()
+    return late.state_keys(b.spark, ckpt).agg(F.sum("n_keys").alias("n_keys"))
+
+
 _BATCHES = 110  # more than a query itself remembers
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date, timedelta
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from bankspark.config import Params
 from bankspark.functions import rules
@@ -97,6 +97,31 @@ def active_customers_exact(fct: DataFrame, error: float | None = None) -> DataFr
     )
 
 
+def customer_sketches(fct: DataFrame, lg_nominal: int = 12) -> DataFrame:
+    """Month x segment x region sketches of the customers with completed transactions. Stored, they
+    are united for any quarter, region or total; distinct counts themselves cannot be added up.
+    A sketch keeps 2^lg_nominal digests at most, exact below that number."""
+    return (
+        completed(fct)
+        .groupBy(
+            month_start(F.col("transaction_date")).alias("revenue_month"),
+            "customer_segment", "branch_region",
+        )
+        .agg(F.theta_sketch_agg("customer_id", lg_nominal).alias("customers"))
+    )
+
+
+def sketch_error(lg_nominal: int = 12, deviations: float = 3) -> float:
+    """Relative error that a united count keeps to with so many standard deviations."""
+    return deviations / (2**lg_nominal - 1) ** 0.5
+
+
+def active_customers_united(sketches: DataFrame, *by: str | Column, lg_nominal: int = 12) -> DataFrame:
+    """Distinct customers of any grouping of the sketched months, segments and regions."""
+    united = sketches.groupBy(*by).agg(F.theta_union_agg("customers", lg_nominal).alias("_united"))
+    return united.withColumn("active_customers", F.theta_sketch_estimate("_united")).drop("_united")
+
+
 # --- revenue dashboard ----------------------------------------------------------------------
 
 

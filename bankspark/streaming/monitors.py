@@ -11,7 +11,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from bankspark.functions.dates import epoch_micros
 from bankspark.operators.bursts import MICROS_PER_MINUTE
@@ -29,6 +29,52 @@ def dedup_within_watermark(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.dropDuplicatesWithinWatermark(keys)
 
 
+class _Bursts(StatefulProcessor):
+    """One key and bucket of time: how many rows each instant has, an entry per instant.
+
+    Only the entries of instants that got rows are written; counts are worked out from the
+    entries, which are those of the bucket and of one window before it.
+    """
+
+    def __init__(self, window_us: int, width_us: int):
+        self.window_us, self.width_us = window_us, width_us
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.rows = handle.getMapState("rows", "us long", "n long")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        bucket = int(key[1])
+        held = [(us, n) for (us,), (n,) in self.rows.iterator()]
+        if not held:
+            self.handle.registerTimer((bucket + 1) * self.width_us // 1000)
+        old_us, old_n = (np.array(x, np.int64) for x in (zip(*sorted(held)) if held else ((), ())))
+        new_us, new_n = np.unique(np.concatenate([p["us"].to_numpy(np.int64) for p in rows]), return_counts=True)
+        at, place = np.unique(np.concatenate([new_us, old_us]), return_inverse=True)
+        added, before = (np.bincount(place, weights=w, minlength=len(at)).astype(np.int64) for w in (
+            np.concatenate([new_n, np.zeros(len(old_us))]), np.concatenate([np.zeros(len(new_us)), old_n])))
+        for us, n in zip(at[added > 0].tolist(), (added + before)[added > 0].tolist()):
+            self.rows.updateValue((us,), (n,))
+        first = np.searchsorted(at, at - self.window_us, side="left")
+
+        def counts(n: np.ndarray) -> np.ndarray:
+            running = np.concatenate([[0], np.cumsum(n)])
+            return running[1:] - running[first]
+
+        now = counts(added + before)
+        known = np.where(before > 0, counts(before), 0)
+        news = (now != known) & (at // self.width_us == bucket)
+        if news.any():
+            yield pd.DataFrame({"k": key[0], "us": at[news], "c": now[news]})
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        self.rows.clear()
+        return iter([])
+
+    def close(self) -> None:
+        pass
+
+
 def rapid_fire_stream(
     df: DataFrame, key: str, ts: str, minutes: int = 60, bucket_windows: int = 1
 ) -> DataFrame:
@@ -38,35 +84,13 @@ def rapid_fire_stream(
     final count of an instant is the largest one emitted.
 
     State is kept per key and time bucket: the distinct instants of the bucket and of the
-    window before it, with their counts. So a group holds one key's rows of at most
-    `bucket_windows` + 1 windows, however hot the key or long its history; rows at one instant
-    take one entry, and the state leaves when the watermark passes the bucket's end. Take
+    window before it. So a group holds one key's rows of at most `bucket_windows` + 1 windows,
+    however hot the key or long its history; a batch writes the instants it has rows for and no
+    others, and a timer clears the group when the watermark passes the bucket's end. Take
     wider buckets to catch up on a long backlog with fewer groups.
     """
     window_us = minutes * MICROS_PER_MINUTE
     width_us = window_us * bucket_windows
-
-    def update(group: tuple, parts: Iterator[pd.DataFrame], state: GroupState):
-        if state.hasTimedOut:
-            state.remove()
-            return
-        bucket = int(group[1])
-        us = [p["us"].to_numpy(np.int64) for p in parts]
-        n = [np.ones(len(x), np.int64) for x in us]
-        old_us, old_n, old_c = (np.array(x, np.int64) for x in state.get) if state.exists else (np.zeros(0, np.int64),) * 3
-        at, place = np.unique(np.concatenate([*us, old_us]), return_inverse=True)
-        rows = np.bincount(place, weights=np.concatenate([*n, old_n]), minlength=len(at)).astype(np.int64)
-        before = np.zeros(len(at), np.int64)
-        before[np.searchsorted(at, old_us)] = old_c
-        running = np.concatenate([[0], np.cumsum(rows)])
-        now = running[1:] - running[np.searchsorted(at, at - window_us, side="left")]
-        state.update((at.tolist(), rows.tolist(), now.tolist()))
-        bucket_end_ms = (bucket + 1) * width_us // 1000
-        state.setTimeoutTimestamp(max(bucket_end_ms, int(state.getCurrentWatermarkMs()) + 1))
-        news = (now != before) & (at // width_us == bucket)
-        if news.any():
-            yield pd.DataFrame({"k": group[0], "us": at[news], "c": now[news]})
-
     us = epoch_micros(F.col(ts))
     own, last = F.floor(us / width_us), F.floor((us + window_us) / width_us)
     text = F.col(key).cast("string")
@@ -77,10 +101,8 @@ def rapid_fire_stream(
         us.alias("us"),
         F.explode(F.array_distinct(F.array(own, last))).alias("_bucket"),
     )
-    emitted = placed.groupBy("k", "_bucket").applyInPandasWithState(
-        update, "k string, us long, c long", "us array<long>, n array<long>, c array<long>",
-        "append", GroupStateTimeout.EventTimeTimeout,
-    )
+    emitted = placed.groupBy("k", "_bucket").transformWithStateInPandas(
+        _Bursts(window_us, width_us), "k string, us long, c long", "append", "EventTime")
     return emitted.select(
         F.when(F.col("k") != "", F.substr("k", F.lit(2))).cast(df.schema[key].dataType).alias(key),
         F.timestamp_micros("us").alias(ts),
