@@ -13,7 +13,8 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from bankspark.llm.common import byte_slices, drop_stage, prepare, write_stage
+from bankspark.llm.common import byte_slices, prepare, write_stage
+from bankspark.llm.packing import OTHER_CHARS, Encoder
 
 TOKENIZER_A, TOKENIZER_B = "byte_bpe_50k.json", "piece_bpe_32k.model"
 SPACE_MARK = "▁"
@@ -40,18 +41,19 @@ class Csr:
         return Csr(ptr - ptr[0], self.indices[ptr[0]:ptr[-1]], self.n_cols)
 
     def transposed(self) -> Csr:
-        row = np.repeat(np.arange(self.n_rows), np.diff(self.indptr))
-        order = np.argsort(self.indices, kind="stable")
+        row = np.repeat(np.arange(self.n_rows, dtype=np.int32), np.diff(self.indptr))
+        if not (self.indices[1:] >= self.indices[:-1]).all():
+            row = row[np.argsort(self.indices, kind="stable")]
         ptr = np.zeros(self.n_cols + 1, np.int64)
         np.cumsum(np.bincount(self.indices, minlength=self.n_cols), out=ptr[1:])
-        return Csr(ptr, row[order], self.n_rows)
+        return Csr(ptr, row, self.n_rows)
 
 
 def incidence(counts: np.ndarray) -> Csr:
     """Rows that hold the next counts[r] columns each, as tokens do with the bytes of a text."""
     ptr = np.zeros(len(counts) + 1, np.int64)
     np.cumsum(counts, out=ptr[1:])
-    return Csr(ptr, np.arange(ptr[-1]), int(ptr[-1]))
+    return Csr(ptr, np.arange(ptr[-1], dtype=np.int32), int(ptr[-1]))
 
 
 def membership(group: np.ndarray, n_groups: int) -> Csr:
@@ -61,7 +63,10 @@ def membership(group: np.ndarray, n_groups: int) -> Csr:
 
 def row_sizes(a: Csr, b: Csr) -> np.ndarray:
     """For each row of A, the entries of B's rows that its product with B adds up."""
-    ends = np.concatenate([[0], np.cumsum(np.diff(b.indptr)[a.indices])])
+    width = np.diff(b.indptr)
+    if len(width) and width.min() == width.max() == 1:
+        return np.diff(a.indptr)
+    ends = np.concatenate([[0], np.cumsum(width[a.indices])])
     return np.diff(ends[a.indptr])
 
 
@@ -70,16 +75,20 @@ def product(a: Csr, b: Csr, block: int = BLOCK_ENTRIES) -> Iterator[tuple[np.nda
     together, equal columns added up. Yields (rows, columns, values), some rows at a time, so that
     about `block` entries are expanded at once."""
     done = np.concatenate([[0], np.cumsum(row_sizes(a, b))])
+    width = np.diff(b.indptr)
+    one_each = len(width) and width.min() == width.max() == 1
     start = 0
     while start < a.n_rows:
         stop = max(start + 1, int(np.searchsorted(done, done[start] + block, side="right")) - 1)
         part = a.rows(start, stop)
-        sizes = np.diff(b.indptr)[part.indices]
-        first = np.cumsum(sizes) - sizes
-        at = np.repeat(b.indptr[part.indices] - first, sizes) + np.arange(sizes.sum())
-        row = np.repeat(np.repeat(np.arange(start, stop), np.diff(part.indptr)), sizes)
+        sizes = width[part.indices]
+        at, row = b.indptr[part.indices], np.repeat(np.arange(start, stop), np.diff(part.indptr))
+        if not one_each:
+            first = np.cumsum(sizes) - sizes
+            at = np.repeat(at - first, sizes) + np.arange(sizes.sum())
+            row = np.repeat(row, sizes)
         key = row * b.n_cols + b.indices[at]
-        if len(key) > 1 and (key[1:] < key[:-1]).any():
+        if (key[1:] < key[:-1]).any():
             key.sort()
         new = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, np.int64)
         yield key[new] // b.n_cols, key[new] % b.n_cols, np.diff(np.append(new, len(key)))
@@ -98,15 +107,19 @@ class Pieces:
     """The bytes of every id of a vocabulary."""
 
     def __init__(self, raw: list[bytes]):
-        self.size = np.array([len(x) for x in raw], np.int64)
-        self.at = np.cumsum(self.size) - self.size
+        self.size = np.array([len(x) for x in raw], np.int32)
+        self.at = (np.cumsum(self.size) - self.size).astype(np.int32)
         self.data = np.frombuffer(b"".join(raw), np.uint8)
 
     def spell(self, ids: np.ndarray) -> np.ndarray:
         sizes = self.size[ids]
-        first = np.cumsum(sizes) - sizes
+        first = np.cumsum(sizes, dtype=np.int64) - sizes
         return self.data[np.repeat(self.at[ids] - first, sizes) + np.arange(sizes.sum())]
 
+    def tells(self, ids: np.ndarray, raw: np.ndarray) -> bool:
+        """Whether the ids spell these bytes."""
+        return int(self.size[ids].sum()) == len(raw) and np.array_equal(self.spell(ids), raw)
+
 
 class Tokenizers:
     """Both tokenizers: ids of a space and a text, and the bytes that an id stands for."""
@@ -115,8 +128,6 @@ class Tokenizers:
         import public_tokenizers
         import sentencepiece
 
-        from bankspark.llm.packing import Encoder
-
         # Without files of one's own the ranks of the same vocabulary serve plain Latin text, several times faster.
         self.encoder = Encoder(path_a or public_tokenizers.path(TOKENIZER_A), ranks)
         self.encoder.full.encode_special_tokens = True
@@ -135,14 +146,16 @@ class Tokenizers:
         # No piece runs from a word into the next one's space, so a long text can be cut there.
         self.cuts = not any(SPACE_MARK in p.lstrip(SPACE_MARK) for p in names)
 
-    def ids_a(self, text: str) -> list[int]:
-        if self.own or "<|" in text:
-            return self.encoder.full.encode(text, add_special_tokens=False).ids
-        return self.encoder(text)
+    def ids_a(self, text: str) -> np.ndarray:
+        if self.own or "<|" in text or OTHER_CHARS.search(text):
+            return np.array(self.encoder.full.encode(text, add_special_tokens=False).ids, np.int32)
+        return np.array(self.encoder.fast.encode_ordinary(text), np.int32)
+
+    def ids_b(self, text: str) -> np.ndarray:
+        return np.array(self.sp.encode(text) if len(text) <= LONG_TEXT or not self.cuts else self._cut(text), np.int32)
 
-    def ids_b(self, text: str) -> list[int]:
-        if len(text) <= LONG_TEXT or not self.cuts:
-            return self.sp.encode(text)
+    def _cut(self, text: str) -> list[int]:
+        """Ids of a long text from its parts; each part gets the space that is left out ahead of it."""
         out, start = [], 0
         while True:
             end = text.find(" ", start + LONG_TEXT)
@@ -151,7 +164,7 @@ class Tokenizers:
             if end < 0 or end == len(text) - 1:
                 return out + self.sp.encode(text[start:])
             out += self.sp.encode(text[start:end])
-            start = end + 1  # each part gets the space that is left out here
+            start = end + 1
 
 
 @lru_cache(maxsize=2)
@@ -194,16 +207,16 @@ def align_texts(texts: list[str | None], tok: Tokenizers) -> Aligned:
     byte by byte, and an empty one, has no tokens."""
     ids_a, ids_b = [], []
     for text in texts:
-        a = b = np.zeros(0, np.int64)
+        a = b = np.zeros(0, np.int32)
         if text:
-            a, b = np.array(tok.ids_a(" " + text), np.int64), np.array(tok.ids_b(text), np.int64)
+            a, b = tok.ids_a(" " + text), tok.ids_b(text)
             raw = np.frombuffer((" " + text).encode(), np.uint8)
-            if not all(np.array_equal(p.spell(ids), raw) for p, ids in ((tok.a, a), (tok.b, b))):
-                a = b = np.zeros(0, np.int64)
+            if not (tok.a.tells(a, raw) and tok.b.tells(b, raw)):
+                a = b = np.zeros(0, np.int32)
         ids_a.append(a)
         ids_b.append(b)
     doc_a, doc_b = (np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int64) for ids in (ids_a, ids_b))
-    a, b = (np.concatenate([np.zeros(0, np.int64), *ids]) for ids in (ids_a, ids_b))
+    a, b = (np.concatenate([np.zeros(0, np.int32), *ids]) for ids in (ids_a, ids_b))
     by_a, by_b = incidence(tok.a.size[a]), incidence(tok.b.size[b])
     # A token's group is the number of common ends before its own; a text's end is one.
     ends, groups = (by_a.indptr[1:], by_b.indptr[1:]), []
@@ -211,7 +224,7 @@ def align_texts(texts: list[str | None], tok: Tokenizers) -> Aligned:
         marks = np.zeros(by_a.n_cols + 1, bool)
         marks[other] = True
         last = marks[own]
-        groups.append(np.cumsum(last) - last)
+        groups.append(np.cumsum(last, dtype=np.int32) - last)
     return Aligned(a, b, doc_a, doc_b, by_a, by_b, *groups, int(groups[0][-1]) + 1 if len(a) else 0)
 
 
@@ -263,7 +276,7 @@ class Chunk:
     def add(self, doc_ids: list, texts: list[str | None], tok: Tokenizers) -> None:
         x = align_texts(texts, tok)
         doc_of = np.repeat(np.arange(len(texts)), np.diff(x.doc_a))
-        found = [(doc_of[i], x.a[i] * self.width + x.b[j]) for i, j, _ in x.overlaps()]
+        found = [(doc_of[i], x.a[i].astype(np.int64) * self.width + x.b[j]) for i, j, _ in x.overlaps()]
         doc = np.concatenate([np.zeros(0, np.int64), *[f[0] for f in found]])
         pair = np.concatenate([np.zeros(0, np.int64), *[f[1] for f in found]])
         n_links = np.bincount(doc, minlength=len(texts))
