@@ -89,6 +89,19 @@ def _(b: Bank):
     return ops.log_run(b.spark, nodes).select("node_name", "node_type", "status", "message", "target_name")
 
 
+@query("run_tag", """
+  SELECT '{"project": "bank", "target": "dev", "invocation_id": "i1", "user": "me"}' AS query_tag, TRUE AS tagged, TRUE AS cleared,
+    (SELECT count(*) FROM events) AS rows_tagged""")
+def _(b: Bank):
+    """The tag that the jobs of a run carry, while they run and no longer."""
+    with ops.run_tagged(b.spark, "bank", "dev", "i1", "me") as tag:
+        counted = b.table("events").count()
+        tagged = "bank:dev:i1:me" in b.spark.getTags()
+    cleared = "bank:dev:i1:me" not in b.spark.getTags()
+    return b.spark.range(1).select(
+        F.lit(tag).alias("query_tag"), F.lit(tagged).alias("tagged"), F.lit(cleared).alias("cleared"), F.lit(counted).cast("bigint").alias("rows_tagged"))
+
+
 @query("sample_rows", "SELECT least(100, count(*)) AS n, least(100, count(*)) AS n_known FROM orders")
 def _(b: Bank):
     """A sample's size, and how many of its rows the table really holds."""

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from datetime import datetime
 
 from pyspark.sql import functions as F
@@ -20,6 +21,7 @@ from bankspark.plans import dims, enrich, marts, staging
 from bankspark.sources import sinks
 from bankspark.session import work_dir
 from bankspark.sources.files import land, load, read_csv, read_seed
+from bankspark.sources.ledger import load_new
 
 # --- sources --------------------------------------------------------------------------------
 
@@ -514,6 +516,28 @@ def _(b: Bank):
     return load(b.spark, _loan_files(b), schemas.LOANS)[0]
 
 
+_WAVE = f"CASE WHEN {_N} % 3 = 0 THEN 'late' ELSE 'early' END"
+
+
+@query("csv_load_ledger", f"""
+  SELECT {_WAVE} AS wave, CAST(CASE WHEN {_WAVE} = 'late' THEN 1 ELSE 0 END AS BIGINT) AS load, count(*) FILTER (WHERE {_N} % 50 <> 0 AND {_N} % 90 <> 0) AS good,
+    count(*) FILTER (WHERE {_N} % 50 = 0 OR {_N} % 90 = 0) AS rejected
+  FROM raw_loans GROUP BY 1, 2""")
+def _(b: Bank):
+    """Two waves of files, the first of them loaded twice; rows by the file that they name."""
+    text, home = b.spark.read.csv(_loan_files(b), header=True), work_dir(b.spark, "ledger")
+    landing = os.path.join(home, "landing")
+    late = F.substr("loan_id", F.lit(2)).cast("bigint") % 3 == 0
+    for wave, rows in (("early", text.filter(~late)), ("late", text.filter(late))):
+        rows.write.csv(os.path.join(landing, wave), header=True, quote='"', escape='"')
+        for _ in range(2):
+            load_new(b.spark, os.path.join(landing, "*"), schemas.LOANS, home)
+    of = lambda kind: b.spark.read.parquet(os.path.join(home, kind)).select(
+        "load", F.regexp_extract("file", "/landing/([a-z]+)/", 1).alias("wave"), F.lit(kind).alias("kind"))
+    return of("good").unionByName(of("rejected")).groupBy("wave", F.col("load").cast("bigint").alias("load")).agg(
+        F.count_if(F.col("kind") == "good").alias("good"), F.count_if(F.col("kind") == "rejected").alias("rejected"))
+
+
 @query("csv_load_rejected", f"""
   SELECT loan_id, CASE WHEN {_N} % 50 = 0 THEN 'loan_amount' ELSE 'disbursement_date' END AS reject_reason
   FROM raw_loans WHERE {_N} % 50 = 0 OR {_N} % 90 = 0""")

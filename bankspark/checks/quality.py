@@ -14,9 +14,9 @@ from bankspark.checks.sql import (
 )
 from bankspark.functions import masks, rules
 from bankspark.functions.dates import lit_ts
-from bankspark.operators import changes, governance, ops, quality as Q, rows
+from bankspark.operators import changes, governance, masks_sql, ops, quality as Q, rows
 from bankspark.plans import dims, dq, loans as loan_plans, marts, staging
-from bankspark.plans.build import as_of, load_fact_from_raw, load_staged_fact
+from bankspark.plans.build import as_of, fact_bound, load_fact_from_raw, load_staged_fact
 from bankspark.session import work_dir
 from bankspark.sources import sinks, standin
 from bankspark.streaming.cdc import SINK_COLS
@@ -369,11 +369,15 @@ def _(b: Bank):
     CASE WHEN transaction_timestamp >= (SELECT max(transaction_timestamp) - INTERVAL 24 HOUR FROM fct WHERE transaction_date < DATE '2001-01-01')
       THEN TIMESTAMP '2001-12-31' ELSE TIMESTAMP '2000-12-31' END AS loaded_at FROM fct""")
 def _(b: Bank):
-    """Two loads into a written table: everything before 2001, then the slice since then."""
-    path = work_dir(b.spark, "fct")
+    """Two loads into a written table, as the build makes them: everything before 2001, then what was
+    synced since, from the partitions of the staging that the slice can lie in."""
+    path, staged = work_dir(b.spark, "fct"), work_dir(b.spark, "stg_transactions")
     early = b.raw["transactions"].filter(F.col("transaction_timestamp") < lit_ts(_CUT))
     for raw, p in ((early, as_of(b.p, datetime(2000, 12, 31))), (b.raw["transactions"], b.p)):
-        fact = load_fact_from_raw(b.spark, path, raw, b.stg, b.fx, p)
+        txn = staging.refresh_staged_transactions(b.spark, staged, raw, p.txn_late_arrival_overlap_hours)
+        bound = fact_bound(b.spark, path, p)
+        txn = txn if bound is None else sinks.read_since(b.spark, staged, bound)
+        fact = load_staged_fact(b.spark, path, {**b.stg, "transactions": txn}, b.fx, p, backfill_from=bound)
     return fact
 
 
@@ -533,6 +537,33 @@ def _tagged(b: Bank):
     return df
 
 
+_SEEN = {
+    "FIN_ADMIN": ("name", "email", "phone", "govt_id", dbl("balance")),
+    "DBT_TRANSFORMER": ("name", "email", "phone", "'HASH_' || left(sha256(govt_id), 12)", dbl("balance")),
+    "BI_READER": (
+        "coalesce(left(split_part(name, ' ', 1), 1) || '. ' || left(split_part(name, ' ', -1), 1) || '.', '***')",
+        "left(split_part(email, '@', 1), 1) || '***@' || split_part(email, '@', 2)",
+        "'XXX-XXX-' || right(regexp_replace(phone, '[^0-9]', '', 'g'), 4)", "'HASH_' || left(sha256(govt_id), 12)",
+        dbl(f"{rdiv(cents('balance'), '100000')} * 1000")),
+    "INTERN": (_M, _M, _M, _M, "CAST(NULL AS DOUBLE)"),
+}
+
+
+@query("masks_in_sql", " UNION ALL ".join(
+    f"SELECT '{role}' AS role, c_custkey, {', '.join(f'{e} AS {c}' for e, c in zip(seen, ('name', 'email', 'phone', 'govt_id', 'balance')))} FROM contacts"
+    for role, seen in _SEEN.items()), contacts=_CONTACTS)
+def _(b: Bank):
+    """One masked view, read in SQL as each role."""
+    masks_sql.register_masks(b.spark)
+    masks_sql.masked_view(b.spark, _tagged(b), "masked_contacts")
+    out = None
+    for role in _SEEN:
+        masks_sql.set_role(b.spark, role)
+        seen = b.spark.sql("SELECT masking_role AS role, * FROM masked_contacts")
+        out = seen if out is None else out.unionByName(seen)
+    return out
+
+
 @query("apply_masks", f"""
   SELECT c_custkey, coalesce(left(split_part(name, ' ', 1), 1) || '. ' || left(split_part(name, ' ', -1), 1) || '.', '***') AS name,
     left(split_part(email, '@', 1), 1) || '***@' || split_part(email, '@', 2) AS email,

@@ -26,7 +26,7 @@ from bankspark.config import Params
 from bankspark.functions.masks import READER
 from bankspark.operators import changes, ops, quality
 from bankspark.operators.test_state import refresh_tests
-from bankspark.plans import balances, dims, dq, enrich, fraud, loans, marts, monthly, serve
+from bankspark.plans import balances, dims, dq, enrich, loans, marts, monthly, serve
 from bankspark.plans.staging import (
     refresh_staged_transactions, stage, stg_transactions, stg_transactions_since,
 )
@@ -219,7 +219,7 @@ def build(
         months: dict[str, DataFrame] = {}
 
         def refresh_months() -> DataFrame:
-            months.update(monthly.refresh(spark, os.path.join(folder, "monthly"), os.path.join(folder, "fct_transactions"), written))
+            months.update(monthly.refresh(spark, os.path.join(folder, "monthly"), os.path.join(folder, "fct_transactions"), written, p, scratch))
             return months["revenue"]
 
         step("monthly", "incremental", refresh_months)
@@ -232,8 +232,7 @@ def build(
         profit = table("fct_customer_profitability", lambda: marts.customer_profitability_of(
             customer, marts.customer_txn_total(months["customers"]), loan, p))
         table("fct_loan_portfolio", lambda: loans.loan_portfolio(loan))
-        hits = table("rapid_fire_hits", lambda: fraud.rapid_fire_hits(fact, p), "work")
-        flagged = table("fct_fraud_indicators", lambda: fraud.fraud_indicators(fact, p, hits))
+        flagged = table("fct_fraud_indicators", lambda: months["flags"])
         table("vw_fraud_daily", lambda: serve.fraud_daily(flagged), "view")
         table("vw_revenue_exec", lambda: serve.revenue_exec(revenue), "view")
         table("vw_customer_360", lambda: serve.customer_360(customer, profit, fact, p, role), "view")

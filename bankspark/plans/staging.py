@@ -124,6 +124,20 @@ def stg_transactions_since(raw: DataFrame, bound: datetime) -> DataFrame:
     return stg_transactions(versions).filter(ts >= lit_ts(bound))
 
 
+SYNCS = "_syncs"  # newest sync time of each refresh, beside the partitions
+
+
+def _note_sync(fresh: DataFrame, path: str) -> None:
+    sinks.append_log(fresh.agg(F.max("loaded_at").alias("newest")), os.path.join(path, SYNCS))
+
+
+def _newest_sync(stored: DataFrame, path: str) -> datetime | None:
+    """Newest stored sync time, from the notes of the refreshes; a table without them is scanned."""
+    notes = sinks.read_if_exists(stored.sparkSession, os.path.join(path, SYNCS))
+    found = stored.agg(F.max("loaded_at")) if notes is None else notes.agg(F.max("newest"))
+    return found.first()[0]  # one value
+
+
 def refresh_staged_transactions(
     spark: SparkSession, path: str, raw: DataFrame, overlap_hours: int = 24, grain: str = "month",
     before: Callable[[list[str] | None], None] | None = None,
@@ -141,8 +155,10 @@ def refresh_staged_transactions(
         if before is not None:
             before(None)
         sinks.write_clustered(stg_transactions(raw), path, "transaction_date", grain)
-        return sinks.read_clustered(spark, path)
-    newest = stored.agg(F.max("loaded_at")).first()[0]  # one value
+        whole = sinks.read_clustered(spark, path)
+        _note_sync(whole, path)
+        return whole
+    newest = _newest_sync(stored, path)
     recent = raw
     if newest is not None:
         since = lit_ts(newest - timedelta(hours=overlap_hours))
@@ -168,6 +184,7 @@ def refresh_staged_transactions(
             return latest_per_key(left.unionByName(new), "transaction_id", "loaded_at", TXN_TIES)
 
         sinks.rewrite_partitions(spark, path, "transaction_date", "transaction_sk", grain, keys, fresh, merge, before)
+        _note_sync(fresh, path)
     finally:
         sinks.discard(spark, work)
     return sinks.read_clustered(spark, path)

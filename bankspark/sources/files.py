@@ -14,8 +14,12 @@ from bankspark.schemas import DELETED, RAW, SYNCED
 NULL_TOKENS = ("", "NULL", "null")
 
 
-def _raw_text(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """All fields as trimmed text, null tokens as null; short rows are filled with nulls."""
+FILE = "file"
+
+
+def _raw_text(spark: SparkSession, path: str | list[str], schema: T.StructType, named: bool = False) -> DataFrame:
+    """All fields as trimmed text, null tokens as null; short rows are filled with nulls. `named` adds
+    the file of each row."""
     text = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
     df = spark.read.csv(
         path, schema=text, header=True, quote='"', escape='"', mode="PERMISSIVE",
@@ -26,7 +30,7 @@ def _raw_text(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame
         value = F.trim(F.col(name))
         return F.when(~value.isin(*NULL_TOKENS), value).alias(name)
 
-    return df.select(*[clean(f.name) for f in schema.fields])
+    return df.select(*[clean(f.name) for f in schema.fields], *([F.col("_metadata.file_path").alias(FILE)] if named else []))
 
 
 def _typed(schema: T.StructType) -> list[Column]:
@@ -38,12 +42,14 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     return _raw_text(spark, path, schema).select(*_typed(schema))
 
 
-def load(spark: SparkSession, path: str, schema: T.StructType) -> tuple[DataFrame, DataFrame]:
+def load(
+    spark: SparkSession, path: str | list[str], schema: T.StructType, named: bool = False
+) -> tuple[DataFrame, DataFrame]:
     """(good, rejected): a row is rejected when one of its fields has text that does not parse.
 
-    Rejected rows keep their text and name the first such column.
+    Rejected rows keep their text and name the first such column. `named` adds the `file` of each row.
     """
-    raw = _raw_text(spark, path, schema)
+    raw = _raw_text(spark, path, schema, named)
     bad = [
         F.when(
             F.col(f.name).isNotNull() & F.col(f.name).try_cast(f.dataType).isNull(), F.lit(f.name)
@@ -51,7 +57,7 @@ def load(spark: SparkSession, path: str, schema: T.StructType) -> tuple[DataFram
         for f in schema.fields
     ]
     checked = raw.withColumn("reject_reason", F.coalesce(*bad))
-    good = checked.filter(F.col("reject_reason").isNull()).select(*_typed(schema))
+    good = checked.filter(F.col("reject_reason").isNull()).select(*_typed(schema), *([FILE] if named else []))
     rejected = checked.filter(F.col("reject_reason").isNotNull())
     return good, rejected
 

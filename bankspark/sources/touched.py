@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import os
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
@@ -59,21 +59,34 @@ def months_of(parts: list[str]) -> list[str]:
     return sorted({p if p == "none" else "m" + p[1:8] for p in parts})
 
 
+def month_away(label: str, n: int) -> str:
+    """The label of the month n months after a month's."""
+    if label == "none":
+        return label
+    count = int(label[1:5]) * 12 + int(label[6:8]) - 1 + n
+    return f"m{count // 12:04d}-{count % 12 + 1:02d}"
+
+
 def follow(
     spark: SparkSession, path: str, table: str, label: str, parts: list[str] | None,
     work: Callable[[DataFrame], DataFrame], by: Callable[[Column], Column] = lambda part: part,
+    also: Sequence[str] = (),
 ) -> DataFrame:
     """Keep `work(rows of the table)` stored by partition of the table: only `parts` (labels after `by`)
     are read and worked out again, each in place of what is there; None is all of them.
 
-    `work` sees the label as column `label` and keeps it. A partition without rows goes.
+    `work` sees the label as column `label` and keeps it. It is given the partitions `also` too, where
+    it has to look beyond a partition's edge; what it makes of those is not stored. A partition
+    without rows goes.
     """
     source = spark.read.parquet(table)
     named = source.withColumn(label, by(F.col(PART)))
     whole = parts is None or not folder_names(spark, path)
     if not whole:
-        named = named.filter(by(F.col(PART)).isin(*parts))
+        named = named.filter(by(F.col(PART)).isin(*parts, *also))
     rows = work(named.drop(PART))
+    if not whole and also:
+        rows = rows.filter(F.col(label).isin(*parts))
     if whole:
         rows.hint("rebalance", F.col(label)).write.mode("overwrite").partitionBy(label).parquet(path)
     elif parts:

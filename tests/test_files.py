@@ -5,7 +5,7 @@ from decimal import Decimal
 import pytest
 
 from bankspark import schemas
-from bankspark.sources import files, sinks
+from bankspark.sources import files, ledger, sinks
 from bankspark.sources.calendar import calendar
 from tests.util import bag
 
@@ -78,3 +78,38 @@ def test_fiscal_calendar(spark):
     assert got["2024-03-31"]["fiscal_period"] == "FY2023-Q4" and got["2024-03-31"]["quarter"] == 1
     assert got["2024-04-01"]["fiscal_period"] == "FY2024-Q1"
     assert got["2023-12-31"]["fiscal_period"] == "FY2023-Q3"
+
+
+def write_loans(folder, name, rows):
+    folder.mkdir(exist_ok=True)
+    (folder / name).write_text("currency,rate_to_usd,effective_month\n" + "".join(",".join(r) + "\n" for r in rows))
+
+
+def test_files_are_loaded_once_and_rejects_name_their_file(spark, tmp_path, monkeypatch):
+    landing, home = tmp_path / "landing", str(tmp_path / "home")
+    counts = lambda: bag(ledger.load_new(spark, str(landing), schemas.EXCHANGE_RATES, home), "load", "good", "rejected")
+    stored = lambda kind: bag(spark.read.parquet(f"{home}/{kind}"), "load", "currency")
+    write_loans(landing, "a.csv", [("INR", "0.01", "2024-01-01"), ("EUR", "oops", "2024-01-01")])
+    write_loans(landing, "b.csv", [("GBP", "1.2", "2024-01-01")])
+    assert counts() == [(0, 2, 1)] and counts() == []
+    rejected = spark.read.parquet(f"{home}/rejected").first()
+    assert rejected["file"].endswith("/a.csv") and rejected["reject_reason"] == "rate_to_usd"
+    write_loans(landing, "c.csv", [("USD", "1", "2024-01-01")])
+    # The load breaks off after it has written its rows: it is done again with its own files.
+    real = ledger.append_log
+
+    def failing(df, path):
+        if path.endswith("done"):
+            raise OSError("lost")
+        real(df, path)
+
+    monkeypatch.setattr(ledger, "append_log", failing)
+    with pytest.raises(OSError):
+        counts()
+    monkeypatch.undo()
+    write_loans(landing, "d.csv", [("CHF", "1.1", "2024-01-01")])
+    assert counts() == [(1, 1, 0), (2, 1, 0)] and counts() == []
+    assert stored("good") == [(0, "GBP"), (0, "INR"), (1, "USD"), (2, "CHF")] and stored("rejected") == [(0, "EUR")]
+    # A file that changed is a new one.
+    write_loans(landing, "d.csv", [("CHF", "1.15", "2024-01-01"), ("JPY", "0.1", "2024-01-01")])
+    assert counts() == [(3, 2, 0)]

@@ -79,3 +79,20 @@ def test_row_access(spark):
     assert bag(G.row_access(df, M.READER, "N")) == [("N",)]
     assert G.row_access(df, M.READER, None).count() == 0
     assert G.row_access(df, "INTERN", "N").count() == 0
+
+
+def test_sql_masks_equal_the_frames_masks(spark):
+    from bankspark.operators import masks_sql
+
+    df = tagged(spark)
+    df = G.tag_open(G.tag(df, "id", "PII_LOW"), "id").withColumn("note", F.lit("n"))
+    df = G.tag(df, "note", "PII_HIGH", "ADDRESS")
+    masks_sql.register_masks(spark)
+    masks_sql.masked_view(spark, df, "shown")
+    assert bag(spark.sql("SELECT * FROM shown")) == bag(G.apply_masks(df, "NOBODY"))
+    for role in (M.ADMIN, M.TRANSFORMER, M.ACCOUNT_ADMIN, M.READER, "INTERN", "x' OR 'a' = 'a"):
+        masks_sql.set_role(spark, role)
+        got = spark.sql("SELECT * FROM shown")
+        assert bag(got) == bag(G.apply_masks(df, role)) and got.dtypes == df.dtypes
+    # The functions serve any SQL.
+    assert spark.sql("SELECT mask_name('Ada Lovelace', 'BI_READER')").first()[0] == "A. L."

@@ -1,9 +1,13 @@
-from datetime import datetime
+import random
+from datetime import datetime, timedelta
+
+import pytest
+from pyspark.sql import functions as F
 
 from bankspark.operators.history import overwrite_type1, snapshot_check, start_history
-from bankspark.operators.joins import join_as_of_validity
+from bankspark.operators.joins import join_as_of_validity, join_short_history
 from bankspark.sources import sinks
-from tests.util import bag, frame, ts
+from tests.util import bag, frame, plan, ts
 
 SCHEMA = "id string, name string, segment string, region string"
 CHECK = ["segment", "region"]
@@ -89,3 +93,44 @@ def test_point_in_time_join(spark):
     )
     got = bag(join_as_of_validity(facts, history, "id", "at", ["segment"]), "n", "asof_segment")
     assert got == [(1, None), (2, "X"), (3, "X"), (4, "Y"), (5, None), (6, None)]
+
+
+def versions(rng, keys, n):
+    """Contiguous and broken histories, versions of no length, open and closed ends."""
+    out = []
+    for k in keys:
+        cuts = sorted(datetime(2024, 1, 1) + timedelta(minutes=rng.randrange(0, 400_000)) for _ in range(n))
+        for a, b in zip(cuts, [*cuts[1:], None]):
+            if rng.random() < 0.8:
+                out.append((k, a, b, None if rng.random() < 0.1 else f"{k}{len(out)}"))
+    return out
+
+
+@pytest.mark.parametrize("bucket_days", [1, 31, 5000])
+def test_sweep_equals_the_interval_join(spark, bucket_days):
+    rng = random.Random(bucket_days)
+    keys = ["a", "b", "c", None]
+    hist = versions(rng, keys, 12) + [("d", None, None, "lost"), ("d", datetime(2024, 3, 1), datetime(2024, 3, 1), "never")]
+    moments = [h[1] for h in hist if h[1]] + [datetime(2023, 12, 1) + timedelta(minutes=rng.randrange(0, 500_000)) for _ in range(150)] + [None]
+    facts = [(i, rng.choice([*keys, "d", "zz"]), at) for i, at in enumerate(moments)]
+    history = frame(spark, "id string, valid_from timestamp_ntz, valid_to timestamp_ntz, segment string", *hist)
+    fact = frame(spark, "n int, id string, at timestamp_ntz", *facts)
+    cols = ("n", "id", "at", "asof_segment")
+    got = bag(join_as_of_validity(fact, history, "id", "at", ["segment"], bucket_days), *cols)
+    assert got == bag(join_short_history(fact, history, "id", "at", ["segment"]), *cols) and len(got) == len(facts)
+    assert sum(r[3] is not None for r in got) > 30
+    assert bag(join_as_of_validity(fact, history.limit(0), "id", "at", ["segment"]), "asof_segment") == [(None,)] * len(facts)
+    assert join_as_of_validity(fact.limit(0), history, "id", "at", ["segment"]).count() == 0
+
+
+def test_one_key_with_many_facts_and_versions(spark):
+    """10^5 facts and 10^3 versions of a key meet in rows of both, not in pairs, and in many tasks' groups."""
+    start = F.lit("2024-01-01").cast("timestamp_ntz")
+    at = lambda minutes: F.timestamp_add("MINUTE", minutes, start)
+    history = spark.range(1000).select(F.lit("hot").alias("id"), at((F.col("id") * 500).cast("int")).alias("valid_from"),
+                                       at((F.col("id") * 500 + 500).cast("int")).alias("valid_to"), F.col("id").alias("v"))
+    fact = spark.range(100_000).select(F.lit("hot").alias("id"), F.col("id").alias("n"), at((F.col("id") * 5).cast("int")).alias("ts"))
+    got = join_as_of_validity(fact, history, "id", "ts", ["v"], bucket_days=7)
+    text = plan(got)
+    assert "Join" not in text and "Window" in text
+    assert got.filter("asof_v = n div 100").count() == 100_000

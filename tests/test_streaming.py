@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from bankspark.config import Params
 from bankspark.functions.dates import lit_ts
 from bankspark.operators.bursts import burst_counts
-from bankspark.streaming import cdc, monitors
+from bankspark.streaming import cdc, late, monitors
 from tests.util import bag, frame, plan, ts
 
 P = Params(as_of=datetime(2024, 1, 31))
@@ -301,3 +301,41 @@ def test_daily_rollup_emits_closed_days_once(spark, tmp_path):
     monitors.run_to_files(daily, out, str(tmp_path / "ckpt")).awaitTermination()
     got = bag(spark.read.schema(daily.schema).parquet(out), "flag_date", "flagged_count", "flagged_amount")
     assert got == [(t0.date(), 2, 5), ((t0 + timedelta(days=1)).date(), 1, 2)]
+
+
+def test_a_hot_account_writes_new_entries_only(spark, tmp_path):
+    """Three batches into one group of state: each writes as many entries as it has instants, not
+    what the group holds."""
+    t0 = datetime(2024, 1, 1)
+    rows = [(i, "hot", t0 + timedelta(seconds=2 * i)) for i in range(1500)]
+    schema = "id int, k string, t timestamp_ntz"
+    batches = [rows[:1000], rows[1000:1400], rows[1400:]]
+    stream = monitors.with_event_time(stream_files(spark, tmp_path, schema, batches), "t")
+    out = str(tmp_path / "out")
+    q = monitors.run_to_files(monitors.rapid_fire_stream(stream, "k", "t"), out, str(tmp_path / "ckpt"))
+    q.awaitTermination()
+    # Every row stands in its own bucket and in the next one's window.
+    updated = [p.stateOperators[0].numRowsUpdated for p in q.recentProgress if p.numInputRows]
+    assert len(updated) == 3 and updated[1] <= 2 * 400 + 10 and updated[2] <= 2 * 100 + 10
+    got = monitors.final_counts(spark.read.parquet(out), "k", "t").withColumn("t", F.col("t").cast("timestamp_ntz"))
+    assert bag(got) == bag(burst_counts(frame(spark, schema, *rows), "k", "t"))
+
+
+def test_late_rows_are_kept_and_spare_the_stateful_step(spark, tmp_path):
+    schema = "id int, t timestamp_ntz"
+    t0 = datetime(2024, 1, 10)
+    hour = timedelta(hours=1)
+    batches = [[(1, t0), (2, None)], [(3, t0 - 24 * hour), (4, t0 - 23 * hour), (5, t0 + 30 * hour)], [(6, t0 + 6 * hour), (7, t0 + 7 * hour), (8, None)]]
+    stream = stream_files(spark, tmp_path, schema, batches)
+    path = str(tmp_path / "split")
+    late.split_late(stream, "t", path, str(tmp_path / "ckpt")).awaitTermination()
+    assert bag(late.late_rows(spark, path, schema), "id") == [(3,), (6,)]
+    on_time = spark.read.schema(schema).option("basePath", path + "/batches").parquet(path + "/batches").filter("not cast(late as boolean)")
+    assert bag(on_time, "id") == [(1,), (2,), (4,), (5,), (7,), (8,)]
+    assert bag(spark.read.parquet(path + "/marks"), "batch", "mark") == [(0, t0 - 24 * hour), (1, t0 + 6 * hour), (2, t0 - 17 * hour)]
+    log = str(tmp_path / "log")
+    timed = monitors.with_event_time(late.on_time_rows(spark, path, schema), "t")
+    with monitors.progress_log(spark, log):
+        monitors.run_to_files(monitors.dedup_within_watermark(timed, ["id"]), str(tmp_path / "out"), str(tmp_path / "ckpt2")).awaitTermination()
+    assert spark.read.parquet(log).agg(F.sum("late_rows")).first()[0] == 0
+    assert late.state_keys(spark, str(tmp_path / "ckpt2")).agg(F.sum("n_keys")).first()[0] >= 3

@@ -7,9 +7,10 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
+from bankspark.config import Params
 from bankspark.operators import quality as Q
 from bankspark.operators.test_state import refresh_tests
-from bankspark.plans import marts, monthly
+from bankspark.plans import fraud, marts, monthly
 from bankspark.sources import sinks
 from bankspark.sources.touched import Touched, follow, month_of, months_of
 from tests.util import bag, frame, plan
@@ -70,7 +71,9 @@ def test_only_touched_months_are_read(spark, tmp_path, grain):
 FACT = (
     "transaction_sk string, transaction_date date, transaction_status string, transaction_type string, amount_usd decimal(18,2), "
     "customer_segment string, customer_risk_category string, branch_region string, customer_id string, account_id string, "
-    "branch_id string, is_failed_flag int, is_high_value_flag int")
+    "branch_id string, is_failed_flag int, is_high_value_flag int, is_blocked_flag int, is_round_high_value_flag int, "
+    "transaction_id string, transaction_timestamp timestamp_ntz, currency string, merchant_category string")
+P = Params(as_of=datetime(2002, 1, 1))
 
 
 def facts(n, seed, first=0):
@@ -78,7 +81,13 @@ def facts(n, seed, first=0):
     day = lambda: None if rng.random() < 0.05 else date(2001, rng.randrange(1, 7), rng.randrange(1, 28))
     return [(f"s{first + i}", day(), rng.choice(["COMPLETED"] * 3 + ["FAILED"]), rng.choice(["CREDIT", "DEBIT", "REFUND", "FEE"]),
              Decimal(rng.randrange(1, 90000)) / 100, rng.choice("AB"), "LOW", rng.choice(["E", None]), rng.choice(["c1", "c2", "c3", None]),
-             f"a{rng.randrange(5)}", rng.choice(["b1", "b2", None]), rng.randrange(2), 0) for i in range(n)]
+             f"a{rng.randrange(5)}", rng.choice(["b1", "b2", None]), rng.randrange(2), 0, 0, 0, f"t{first + i}", None, "USD", "X") for i in range(n)]
+
+
+def at(row, moment):
+    """A row of the fact at another time."""
+    day = None if moment is None else moment.date()
+    return (row[0], day, *row[2:16], moment, *row[17:])
 
 
 def test_months_kept_equal_marts_made_at_once(spark, tmp_path):
@@ -88,7 +97,7 @@ def test_months_kept_equal_marts_made_at_once(spark, tmp_path):
 
     def load(items):
         sinks.merge_into_table(spark, path, frame(spark, FACT, *items), "transaction_sk", "transaction_date", before=touched.mark)
-        got = monthly.refresh(spark, folder, path, touched)
+        got = monthly.refresh(spark, folder, path, touched, P, str(tmp_path / "scratch"))
         fact = sinks.read_clustered(spark, path)
         assert bag(got["revenue"], *sorted(got["revenue"].columns)) == bag(marts.revenue_monthly(fact), *sorted(got["revenue"].columns))
         assert bag(got["branches"], *sorted(got["branches"].columns)) == bag(marts.branch_months(fact), *sorted(got["branches"].columns))
@@ -97,7 +106,7 @@ def test_months_kept_equal_marts_made_at_once(spark, tmp_path):
 
     load(facts(200, 1))
     may = {f.name: f.stat().st_mtime_ns for f in (tmp_path / "monthly" / "customers" / "month=m2001-05").iterdir()}
-    load([("s1", date(2001, 2, 3), *facts(1, 2)[0][2:]), *[(*r[:1], date(2001, 3, 9), *r[2:]) for r in facts(3, 3, 500)]])
+    load([("s1", date(2001, 2, 3), *facts(1, 2)[0][2:]), *[(r[0], date(2001, 3, 9), *r[2:]) for r in facts(3, 3, 500)]])
     if touched.since("monthly")[0] == []:
         unchanged = {f.name: f.stat().st_mtime_ns for f in (tmp_path / "monthly" / "customers" / "month=m2001-05").iterdir()}
         old = facts(200, 1)[1][1]
@@ -105,6 +114,29 @@ def test_months_kept_equal_marts_made_at_once(spark, tmp_path):
     load([])
 
 
+def test_flags_kept_by_month_see_over_its_edges(spark, tmp_path):
+    """A late row at the end of a month raises a burst in the next one; months far away stay as they are."""
+    path, folder = str(tmp_path / "fact"), str(tmp_path / "monthly")
+    touched, blank = Touched(spark, str(tmp_path / "touched")), facts(40, 5)
+
+    def load(items):
+        items = [(*r[:9], "a", *r[10:]) for r in items]
+        sinks.merge_into_table(spark, path, frame(spark, FACT, *items), "transaction_sk", "transaction_date", before=touched.mark)
+        got = monthly.refresh(spark, folder, path, touched, P, str(tmp_path / "scratch"))["flags"]
+        want = fraud.fraud_indicators(sinks.read_clustered(spark, path), P)
+        assert bag(got, *sorted(want.columns)) == bag(want, *sorted(want.columns))
+        return {r.transaction_sk for r in got.collect()}
+
+    t = lambda *x: datetime(2001, *x)
+    first = load([at(blank[0], t(3, 1, 0, 5)), at(blank[1], t(3, 1, 0, 20)), at(blank[2], t(6, 1, 5)), at(blank[3], t(6, 1, 5)), at(blank[4], t(6, 1, 5, 1)), at(blank[5], None)])
+    assert first == {"s4"}
+    june = {f.name: f.stat().st_mtime_ns for f in (tmp_path / "monthly" / "flags" / "month=m2001-06").iterdir()}
+    second = load([at(blank[6], t(2, 28, 23, 50))])
+    assert second - first == {"s1"}
+    assert june == {f.name: f.stat().st_mtime_ns for f in (tmp_path / "monthly" / "flags" / "month=m2001-06").iterdir()}
+    load([at(blank[7], None), at(blank[6], t(2, 20))])  # it moves away again, and the burst with it
+
+
 def state(spark, home, table, parts, tests):
     return bag(refresh_tests(spark, str(home / "state"), table, parts, "m", *tests), "model", "column_name", "test", "failures", "severity")
 
