@@ -32,6 +32,12 @@ def test_two_builds(spark, sf_dir, tmp_path):
     assert two["snap_customers"].filter("valid_to is not null").count() == 0
     # A fact built by increments gives the marts of one built at once.
     assert bag(marts.revenue_monthly(two["fct_transactions"])) == first_revenue
+    # The second build read and wrote the last months' aggregates only.
+    ages = {f.parent.name: f.stat().st_mtime_ns for f in (tmp_path / "bank" / "monthly" / "customers").glob("month=*/*.parquet")}
+    last = two["fct_transactions"].filter("loaded_at > '2001-12-31'").selectExpr("date_format(transaction_date, \"'month=m'yyyy-MM\")").distinct()
+    rewritten = {r[0] for r in last.collect()}
+    written = sorted(ages, key=ages.get)[-len(rewritten):]
+    assert set(written) == rewritten and len(ages) > 50
 
     runs = spark.read.parquet(folder + "/audit/run_results")
     assert runs.select("invocation_id").distinct().count() == 2
@@ -56,8 +62,8 @@ def test_gate_stops_the_build_before_publication(spark, sf_dir, tmp_path):
     raw, fx = standin.raw_tables(spark, sf_dir), standin.exchange_rates(spark)
     with pytest.raises(QualityGateError, match="stg_customers.region.accepted_values"):
         build(spark, raw, fx, str(folder), standin.BANK)
-    # Staging and the audit log exist; no snapshot, dimension, fact or mart does.
-    assert sorted(p.name for p in folder.iterdir()) == ["audit", "staging"]
+    # Staging, its books and the audit log exist; no snapshot, dimension, fact or mart does.
+    assert sorted(p.name for p in folder.iterdir()) == ["audit", "staging", "tests", "touched"]
     runs = spark.read.parquet(str(folder / "audit" / "run_results"))
     assert bag(runs.filter("status = 'error'"), "node_name") == [("staging_tests",)]
     assert {r["node_type"] for r in runs.collect()} == {"view", "test"}
@@ -70,7 +76,7 @@ def test_duplicate_branch_publishes_nothing_and_waived_tests_let_pass(spark, sf_
     folder = tmp_path / "bad"
     with pytest.raises(QualityGateError, match="stg_branches.branch_id.unique"):
         build(spark, twice, fx, str(folder), standin.BANK, waive=KNOWN)
-    assert sorted(p.name for p in folder.iterdir()) == ["audit", "staging"]
+    assert sorted(p.name for p in folder.iterdir()) == ["audit", "staging", "tests", "touched"]
 
     # Rows without a time, or from before any other, are in the first load.
     n = F.substr("transaction_id", F.lit(-3)).cast("int")
