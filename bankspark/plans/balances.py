@@ -8,11 +8,13 @@ from datetime import date, datetime
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from bankspark.config import Params
-from bankspark.functions.dates import lit_ts
+from bankspark.functions.dates import lit_date, lit_ts, months_between_boundaries
 from bankspark.plans.loans import balance_intervals
 from bankspark.sources import sinks
 
 PART = "balance_month"
+# A few narrow loans become many rows; a task writes out about so many.
+ROWS_PER_TASK = 500_000
 
 
 def stored_months(spark: SparkSession, path: str) -> list[date]:
@@ -21,6 +23,14 @@ def stored_months(spark: SparkSession, path: str) -> list[date]:
     return sorted(date.fromisoformat(n) for n in names)
 
 
+def _spread(loans: DataFrame, p: Params, since: date | None) -> DataFrame:
+    """The loans over as many tasks as the rows they become ask for, which their own size does not tell."""
+    start = F.col("disbursement_date") if since is None else F.greatest("disbursement_date", lit_date(since))
+    months = months_between_boundaries(start, lit_date(p.as_of_date)) + 1
+    total = loans.agg(F.sum(F.greatest(months, F.lit(0)))).first()[0] or 0
+    return loans.repartition(total // ROWS_PER_TASK + 1)
+
+
 def load_balances(
     spark: SparkSession, path: str, loans: DataFrame, p: Params, backfill_from: date | None = None,
     loaded_since: datetime | None = None,
@@ -40,7 +50,7 @@ def load_balances(
         if loaded_since is not None:
             changed = loans.filter(F.col("loaded_at") >= lit_ts(loaded_since)).agg(F.min("disbursement_date")).first()[0]
             since = min(since, changed or since)
-    rows, written = balance_intervals(loans, p, since), Observation()
+    rows, written = balance_intervals(_spread(loans, p, since), p, since), Observation()
     # A month is split over as many tasks as its size asks for.
     (rows.hint("rebalance", F.col(PART)).observe(written, F.collect_set(PART).alias("months"))
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(PART).parquet(path))
