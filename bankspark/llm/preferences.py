@@ -63,7 +63,11 @@ def format_pairs(turns: DataFrame, pairs: DataFrame, trained: str = TRAINED_ROLE
     whole = conversations(turns, **names)
     left = whole.select(F.col("conv_id").alias("chosen_id"), F.col("turns").alias("c"))
     right = whole.select(F.col("conv_id").alias("rejected_id"), F.col("turns").alias("r"))
-    both = pairs.select("chosen_id", "rejected_id").join(left, "chosen_id").join(right, "rejected_id")
+    return format_sides(pairs.select("chosen_id", "rejected_id").join(left, "chosen_id").join(right, "rejected_id"), trained)
+
+
+def format_sides(both: DataFrame, trained: str = TRAINED_ROLE) -> DataFrame:
+    """The same from the turns of either side, columns c and r."""
     both = both.withColumn("n_prompt", common_prefix(F.col("c"), F.col("r")))
     rest = lambda side: F.slice(side, F.col("n_prompt") + 1, F.greatest(F.size(side), F.lit(1)))
     both = both.select(
@@ -74,6 +78,30 @@ def format_pairs(turns: DataFrame, pairs: DataFrame, trained: str = TRAINED_ROLE
         render(F.col("r")).alias("rejected"), trained_spans(F.col("r"), trained).alias("rejected_trained"))
 
 
+def exchanged(turns: DataFrame, trained: str = TRAINED_ROLE, **names: str) -> DataFrame:
+    """Preference pairs made of every conversation by itself, for tables that hold none: (chosen_id,
+    rejected_id, c, r) for `format_sides`.
+
+    The rejected side is the conversation with its last trained turn exchanged for the last trained
+    turn of conversation `rejected_id`, its neighbour (2k and 2k + 1); where that is missing or has
+    none, for an empty text, and rejected_id is null. A conversation without a trained turn is the
+    same on both sides, its rejected_id null. So the turns ahead of the exchanged one are the prompt.
+    """
+    whole = conversations(turns, **names)
+    place = F.array_max(F.transform("turns", lambda t, i: F.when(t["role"] == trained, i)))
+    whole = whole.withColumn("last", place)
+    answers = whole.filter("last is not null").select(
+        F.col("conv_id").alias("rejected_id"), F.expr("turns[last].text").alias("answer"))
+    joined = whole.join(answers, F.col("conv_id").cast("long").bitwiseXOR(F.lit(1).cast("long")) == F.col("rejected_id"), "left")
+    joined = joined.withColumn("rejected_id", F.when(F.col("last").isNotNull(), F.col("rejected_id")))
+
+    def other(t: Column, i: Column) -> Column:
+        return F.struct(t["turn"].alias("turn"), t["role"].alias("role"), F.when(
+            i == F.col("last"), F.coalesce(F.col("answer"), F.lit(""))).otherwise(t["text"]).alias("text"))
+
+    return joined.select(F.col("conv_id").alias("chosen_id"), "rejected_id", F.col("turns").alias("c"), F.transform("turns", other).alias("r"))
+
+
 def neighbour_pairs(turns: DataFrame, trained: str = TRAINED_ROLE) -> DataFrame:
     """(chosen_id, rejected_id) of conversations 2k and 2k + 1: the one with more characters by the
     trained role is chosen, of equals the one with the smaller id. A stand-in for a preference

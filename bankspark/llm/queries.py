@@ -106,7 +106,7 @@ FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN named USING (doc_id)
 @query
 def op5_preference_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations")
-    pairs = preferences.format_pairs(turns, preferences.neighbour_pairs(turns))
+    pairs = preferences.format_sides(preferences.exchanged(turns))
     shown = lambda c: F.array_join(F.transform(c, lambda s: F.concat(s["start"], F.lit("-"), s["end"])), ",")
     return pairs.withColumns({c: shown(c) for c in ("chosen_trained", "rejected_trained")})
 
@@ -116,19 +116,16 @@ WITH t AS (
   SELECT conv_id, coalesce(role, 'unknown') AS role, coalesce(text, '') AS text,
          row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, 'unknown'), coalesce(text, '')) AS i
   FROM conversations WHERE conv_id IS NOT NULL
-), n AS (
-  SELECT conv_id, count(*) AS k, sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END) AS said FROM t GROUP BY conv_id
-), pairs AS (
-  SELECT c.conv_id AS chosen_id, r.conv_id AS rejected_id, least(c.k, r.k) AS k
-  FROM n c JOIN n r ON c.conv_id // 2 = r.conv_id // 2 AND c.conv_id <> r.conv_id
-       AND (c.said > r.said OR c.said = r.said AND c.conv_id < r.conv_id)
+), last AS (SELECT conv_id, max(i) FILTER (WHERE role = 'assistant') AS li FROM t GROUP BY conv_id),
+said AS (SELECT conv_id, text FROM t JOIN last USING (conv_id) WHERE i = li),
+sides AS (
+  SELECT t.conv_id AS conv_id, CASE WHEN li IS NOT NULL THEN s.conv_id END AS rejected_id, i, role, t.text AS mine, CASE WHEN i = li THEN coalesce(s.text, '') ELSE t.text END AS other
+  FROM t JOIN last USING (conv_id) LEFT JOIN said s ON s.conv_id = xor(t.conv_id, 1)
 ), common AS (
-  SELECT chosen_id, rejected_id, coalesce(min(CASE WHEN c.role <> r.role OR c.text <> r.text THEN c.i - 1 END), any_value(k)) AS n_prompt
-  FROM pairs JOIN t c ON c.conv_id = chosen_id JOIN t r ON r.conv_id = rejected_id AND r.i = c.i GROUP BY chosen_id, rejected_id
+  SELECT conv_id, coalesce(min(CASE WHEN mine <> other THEN i - 1 END), max(i)) AS n_prompt FROM sides GROUP BY conv_id
 ), shown AS (
-  SELECT chosen_id, rejected_id, n_prompt, conv_id = chosen_id AS chosen, i, role, text, i > n_prompt AS rest,
-         '<|' || role || '|>' || chr(10) || text || '<|end|>' || chr(10) AS line
-  FROM common JOIN t ON conv_id IN (chosen_id, rejected_id)
+  SELECT conv_id AS chosen_id, rejected_id, n_prompt, chosen, i, role, i > n_prompt AS rest, '<|' || role || '|>' || chr(10) || text || '<|end|>' || chr(10) AS line
+  FROM (SELECT *, true AS chosen, mine AS text FROM sides UNION ALL SELECT *, false, other FROM sides) JOIN common USING (conv_id)
 ), placed AS (
   SELECT *, sum(length(line)) OVER (PARTITION BY chosen_id, rejected_id, chosen, rest ORDER BY i) - length(line) AS pos FROM shown
 ), spans AS (

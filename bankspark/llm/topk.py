@@ -18,12 +18,16 @@ BLOCK = 2048  # vectors of a stored block, queries of a query block
 EXACT = float(2**53)
 
 
+LARGEST = 9223372036854774784.0  # the largest double that is a long
+
+
 def scaled(vector: Column, factor: int = 1024) -> Column:
-    """floor(factor * x) of each component; null for a vector that is null or holds a null or
-    non-finite component."""
-    x = F.transform(vector, lambda e: F.lit(factor) * e.cast("double"))
-    fine = F.forall(x, lambda e: e.isNotNull() & ~F.isnan(e) & (F.abs(e) < F.lit(9e18)))
-    return F.when(fine, F.transform(x, lambda e: F.floor(e)))
+    """floor(factor * x) of each component, at the edge of longs where it lies beyond them; null for a
+    vector that is null or holds a null or non-finite component."""
+    x = F.transform(vector, lambda e: e.cast("double"))
+    fine = F.forall(x, lambda e: e.isNotNull() & ~F.isnan(e) & (F.abs(e) < F.lit(float("inf"))))
+    edge = F.lit(LARGEST)
+    return F.when(fine, F.transform(x, lambda e: F.floor(F.greatest(F.least(F.lit(factor) * e, edge), -edge))))
 
 
 def matrix(column: pa.Array, dim: int) -> np.ndarray:
@@ -38,11 +42,12 @@ def matrix(column: pa.Array, dim: int) -> np.ndarray:
 
 
 def products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Integer inner products, exact: by doubles where they are, else by Python's integers."""
+    """Integer inner products, exact: by doubles where they are, else by Python's integers; a sum beyond
+    the longs is at their edge."""
     bound = np.sqrt((a.astype(float) ** 2).sum(axis=1).max() * (b.astype(float) ** 2).sum(axis=1).max())
     if bound < EXACT:
         return (a.astype(float) @ b.astype(float).T).astype(np.int64)
-    return np.clip(a.astype(object) @ b.astype(object).T, -(2**63), 2**63 - 1).astype(np.int64)
+    return np.clip(a.astype(object) @ b.astype(object).T, 1 - 2**63, 2**63 - 1).astype(np.int64)
 
 
 def distances(x: np.ndarray, pivots: np.ndarray) -> np.ndarray:
@@ -164,7 +169,9 @@ def search(index: Index, queries: DataFrame, k: int = 10) -> DataFrame:
     the k-th score. The rest are visited, in blocks, by the queries that still need them.
     """
     dim, pivots, cells = index.dim, index.pivots, index.cells
-    where = queries.join(index.points.select("id", "cell").distinct(), "id")
+    # A query that is not indexed, or has more components than any indexed row, starts anywhere.
+    where = queries.join(index.points.select("id", "cell").distinct(), "id", "left").select(
+        "id", F.coalesce("cell", F.lit(int(cells[0][0]))).alias("cell"), F.slice("ints", 1, dim).alias("ints"))
     where = where.groupBy("id").agg(F.min("cell").alias("cell"), F.min("ints").alias("ints"))
     sizes = where.groupBy("cell").agg(F.ceil(F.count("*") / BLOCK).alias("parts"))
     where = where.join(sizes, "cell").withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")))
@@ -190,7 +197,7 @@ def search(index: Index, queries: DataFrame, k: int = 10) -> DataFrame:
         x = matrix(table.column("ints"), dim)
         ids = table.column("id").to_numpy()
         least = table.column("s").to_numpy(zero_copy_only=False).astype(float)
-        least = np.where(np.isnan(least), -np.inf, least)
+        least = np.nextafter(np.where(np.isnan(least), -np.inf, least), -np.inf)  # as a double it may be rounded up
         d = distances(x, pivots)
         norm = (x.astype(float) ** 2).sum(axis=1)
         out = []
@@ -198,7 +205,7 @@ def search(index: Index, queries: DataFrame, k: int = 10) -> DataFrame:
             apart = np.maximum(0, np.maximum(lo - d[:, int(pivot)], d[:, int(pivot)] - hi))
             apart = np.maximum(0, apart - 1e-6 * (1 + apart))
             bound = (norm + top - apart**2) / 2
-            on = bound * (1 + 1e-9) + 1e-6 >= least
+            on = bound + np.abs(bound) * 1e-9 + 1e-6 >= least
             own = int(cell) == key[0].as_py()
             if on.any():
                 chosen = (ids[on].astype("<i8").tobytes(), x[on].astype("<i8").tobytes(), least[on].tobytes())
@@ -220,7 +227,8 @@ def top_k(vectors: DataFrame, queries: DataFrame, id_col: str = "vec_id", vector
     Vectors are scaled to integers (`scaled`); null ones, those with null or non-finite
     components, and rows without id take no part. Shorter vectors count as padded with zeros. Rows
     of the query's own id are not its candidates; a repeated query id is one query; repeated
-    candidates each count. Empty tables give no rows.
+    candidates each count. Queries need not be among the vectors; components beyond the longest
+    indexed vector meet nothing. Empty tables give no rows.
     """
     spark = vectors.sparkSession
     prepare(spark)

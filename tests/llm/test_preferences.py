@@ -40,3 +40,19 @@ def test_neighbours_and_empty_tables(spark):
     turns = spark.createDataFrame(TURNS, "conv_id long, turn long, role string, text string")
     assert {tuple(r) for r in pf.neighbour_pairs(turns).collect()} == {(2, 3), (4, 5)}
     assert pf.format_pairs(turns.limit(0), pf.neighbour_pairs(turns.limit(0))).count() == 0
+
+
+def test_exchanged_answers_give_real_prompts(spark):
+    turns = spark.createDataFrame([(*t, "x", "y") for t in TURNS] + [(7, 0, "assistant", "b", "x", "y"), (9, 0, "user", "u" * 200_000, "x", "y"), (9, 1, "assistant", "v", "x", "y")],
+                                  "conv_id long, turn long, role string, text string, c string, last string")
+    pairs = pf.exchanged(turns)
+    got = {r.chosen_id: r for r in pf.format_sides(pairs).collect()}
+    assert set(got) == {1, 2, 3, 4, 5, 6, 7, 9} and {k: r.rejected_id for k, r in got.items()} == {1: None, 2: None, 3: None, 4: None, 5: None, 6: 7, 7: 6, 9: None}
+    # A neighbour without a trained turn, or none at all: an empty answer.
+    assert got[2].n_prompt == 3 and got[2].rejected == line("assistant", "") + line("user", "ok") and got[2].chosen == line("assistant", "no") + line("user", "ok")
+    assert [got[2].rejected[a:b] for a, b in got[2].rejected_trained] == ["<|end|>"]
+    assert got[9].prompt == line("user", "u" * 200_000) and got[9].chosen == line("assistant", "v")
+    # No trained turn: nothing to exchange. Equal answers: all is prompt.
+    assert got[4].n_prompt == 1 and got[4].chosen == got[4].rejected == "" and got[5].n_prompt == 2
+    assert got[6].n_prompt == 3 and got[7].n_prompt == 1 and got[6].chosen == got[7].rejected == ""
+    assert pf.format_sides(pf.exchanged(turns.limit(0))).count() == 0

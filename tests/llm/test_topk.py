@@ -56,3 +56,26 @@ def test_empty_and_repeated(spark):
     rows = [(0, [1.0, 0.0]), (0, [1.0, 0.0]), (5, [1.0, 1.0]), (5, [1.0, 1.0])]
     assert search(spark, [(*r, 1, "s") for r in rows]) == [(0, 1, 5, 2**20), (0, 2, 5, 2**20)]
     assert search(spark, []) == []
+
+
+def test_queries_that_are_not_indexed_are_answered(spark):
+    rows = [(i, [float(i % 7), float(i % 5), 1.0]) for i in range(1, 60)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    asked = [(1, rows[0][1]), (1000, [0.5, -2.0, 1.0]), (2000, [1.0, 1.0, 1.0, 9.0]), (3000, [1.0])]
+    got = topk.top_k(df, spark.createDataFrame(asked, "vec_id long, embedding array<float>"), k=4)
+    found = sorted(tuple(r) for r in got.select("query_id", "rank", "id", "score").collect())
+    want = []
+    for q, x in asked:
+        scored = sorted((-sum(math.floor(1024 * a) * math.floor(1024 * b) for a, b in zip(x, v)), i) for i, v in rows if i != q)[:4]
+        want += [(q, r, i, -s) for r, (s, i) in enumerate(scored, 1)]
+    assert found == want
+
+
+def test_large_finite_components_take_part(spark):
+    rows = [(0, [1e17, 1.0]), (1, [1.0, 1.0]), (2, [-1e17, 1.0]), (3, [1e300, 0.0]), (4, [0.0, 2.0]), (5, [float("inf"), 0.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = topk.top_k(df, df.filter("vec_id in (0, 4, 5)"))
+    found = {(r.query_id, r.rank): (r.id, r.score) for r in got.collect()}
+    assert found[0, 1] == (1, 2**63 - 1) and found[0, 2] == (3, 2**63 - 1)
+    assert {found[0, r][0] for r in (1, 2, 3, 4)} == {1, 2, 3, 4} and found[0, 4] == (2, 1 - 2**63)
+    assert found[4, 1] == (0, 2048 * 1024) and found[4, 4] == (3, 0) and len(found) == 8
