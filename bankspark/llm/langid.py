@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from bankspark.llm.common import byte_slices, prepare, write_stage
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
-LETTERS = re.compile(r"[^\W\d_]+")
+RUNS = re.compile(r"[^\W\d_]+")
 MAX_PIECE = 16  # longer pieces of the vocabulary are not used
 MAX_WORD = 48  # a longer run of letters is scored in stretches of so many bytes
 SCALE = 64.0  # per byte, keeps products of probabilities within a double's range
@@ -133,10 +133,20 @@ def expected_counts(
     return out
 
 
+def letters(text: str) -> Iterator[str]:
+    """Runs of letters. The pattern's runs may also hold numerals that are no digits, such as
+    fractions and superscripts; those are cut out."""
+    for run in RUNS.findall(text):
+        if run.isalpha():
+            yield run
+        else:
+            yield from "".join(c if c.isalpha() else " " for c in run).split()
+
+
 def words_of(text: str) -> list[bytes]:
     """Lower-cased runs of letters behind a space, long runs in stretches."""
     out = []
-    for word in LETTERS.findall(text.lower()):
+    for word in letters(text.lower()):
         raw = b" " + word.encode("utf-8", "surrogatepass")
         if len(raw) <= MAX_WORD:
             out.append(raw)

@@ -77,3 +77,10 @@ def test_nothing_to_learn_from(spark):
 def test_long_runs_of_letters_are_scored_whole():
     parts = langid.words_of("É" * 100 + " x")
     assert b"".join(parts[:-1]) == b" " + ("é" * 100).encode() and all(len(p) <= langid.MAX_WORD for p in parts)
+
+
+def test_numerals_are_no_letters(spark, model):
+    assert list(langid.letters("½ ² ⅷ ① añb²c_d1 漢字½x")) == ["añb", "c", "d", "漢字", "x"]
+    docs = spark.createDataFrame([(1, "½ ²"), (2, "ⅷ ① 3"), (3, "the ² of")], "doc_id long, text string")
+    told = {r.doc_id: (r.lang_pred, r.score) for r in langid.identify(docs, model).collect()}
+    assert told[1] == told[2] == ("und", 0.0) and told[3][0] != "und"
