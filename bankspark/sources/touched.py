@@ -7,9 +7,10 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
-from bankspark.sources.sinks import PART, append_log, discard, folder_names, read_if_exists
+from bankspark.sources.sinks import PART, append_log, discard, finish_replace, folder_names, read_if_exists, replace_table
 
 ALL = "*"
+FEW_FILES = 200  # of a log, before it is written anew
 
 
 class Touched:
@@ -21,6 +22,8 @@ class Touched:
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.marks, self.done = spark, os.path.join(path, "marks"), os.path.join(path, "done")
+        for log in (self.marks, self.done):
+            finish_replace(spark, log)
 
     def _newest(self, path: str, follower: str | None = None) -> int:
         kept = read_if_exists(self.spark, path)
@@ -47,6 +50,18 @@ class Touched:
 
     def reached(self, follower: str, n: int) -> None:
         append_log(self.spark.createDataFrame([(n, follower)], "n long, follower string").coalesce(1), self.done)
+        if max(len(folder_names(self.spark, log)) for log in (self.marks, self.done)) > FEW_FILES:
+            self._shorten()
+
+    def _shorten(self) -> None:
+        """Keep what some follower has yet to see, and the last number given. One that has never come
+        looks at everything anyway."""
+        done = self.spark.read.parquet(self.done).groupBy("follower").agg(F.max("n").alias("n")).select("n", "follower")
+        seen, newest = done.agg(F.min("n")).first()[0], self._newest(self.marks)
+        if newest:
+            left = self.spark.read.parquet(self.marks).filter((F.col("n") > seen) | (F.col("n") == newest))
+            replace_table(left.distinct().coalesce(1), self.marks)
+        replace_table(done.coalesce(1), self.done)
 
 
 def month_of(part: Column) -> Column:

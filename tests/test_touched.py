@@ -43,6 +43,26 @@ def test_followers_see_what_was_written_since_they_came(spark, tmp_path):
     assert months_of(["d2001-02-03", "d2001-02-04", "none", "m2001-05"]) == ["m2001-02", "m2001-05", "none"]
 
 
+def test_the_books_stay_short(spark, tmp_path, monkeypatch):
+    from bankspark.sources import touched as module
+
+    monkeypatch.setattr(module, "FEW_FILES", 6)
+    t = Touched(spark, str(tmp_path / "t"))
+    t.mark(None)
+    t.reached("slow", t.since("slow")[1])
+    for k in range(1, 8):
+        t.mark([f"m2001-0{k}"])
+        parts, n = t.since("quick")
+        assert parts is None if k == 1 else parts == [f"m2001-0{k}"]
+        t.reached("quick", n)
+    assert t.since("slow")[0] == [f"m2001-0{k}" for k in range(1, 8)] and t.since("quick") == ([], 8)
+    assert len([f for f in (tmp_path / "t" / "done").iterdir() if f.suffix == ".parquet"]) < 7
+    t.reached("slow", 8)
+    t.reached("quick", 8)
+    t.mark(["m2001-09"])
+    assert t.since("slow") == (["m2001-09"], 9) == t.since("quick") and t.since("new")[0] is None
+
+
 @pytest.mark.parametrize("grain", ["month", "day"])
 def test_only_touched_months_are_read(spark, tmp_path, grain):
     table, kept = str(tmp_path / "t"), str(tmp_path / "kept")
