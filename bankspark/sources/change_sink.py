@@ -22,7 +22,9 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from bankspark.operators.changes import CDC_UPDATE_COLS
-from bankspark.sources.sinks import append_log, discard, folder_names, part_label, read_if_exists
+from bankspark.sources.sinks import (
+    append_log, discard, finish_replace, folder_names, part_label, read_if_exists, replace_table,
+)
 
 BUCKETS = 256
 SEQ, BUCKET, VERSION, PART = "seq", "bucket", "version", "date_part"
@@ -67,6 +69,7 @@ class ChangeSink:
     buckets: int = BUCKETS
 
     def __post_init__(self) -> None:
+        finish_replace(self.spark, self._at("versions"))
         kept = read_if_exists(self.spark, self._at("streams"))
         known = None if kept is None else kept.first()
         if known is not None:  # a sink keeps what it was made with
@@ -227,7 +230,13 @@ class ChangeSink:
         return len(buckets)
 
     def clean(self) -> None:
-        """Remove folded batches and superseded versions. Not while a reader that began before the last fold runs."""
+        """Remove folded batches, superseded versions and their entries in the books. Not while a reader
+        that began before the last fold runs."""
+        kept = self._versions()
+        if kept is None:
+            return
+        newest = kept.groupBy(BUCKET).agg(F.max_by(F.struct(VERSION, "upto", BUCKET, "n"), VERSION).alias("x"))
+        replace_table(newest.select("x.*").coalesce(1), self._at("versions"))
         upto, live = self._upto(), {(v, b) for b, v, _ in self._live()}
         newest = max([v for v, _ in live], default=-1)
         for n in self._seqs():
