@@ -135,3 +135,21 @@ def test_changed_and_vanished_loans_leave_the_stored_balances(spark, tmp_path):
     got = load_balances(spark, path, left, p, backfill_from=date(2024, 1, 15))
     assert bag(daily_balances(got), *cols) == bag(loan_balances_daily(left, p), *cols)
     assert [m.month for m in stored_months(spark, path)] == [3, 4, 5]
+
+
+def test_months_of_loans_are_written_without_a_shuffle(spark, tmp_path, monkeypatch):
+    """Only the loans are shuffled; every task writes all months of its own."""
+    from decimal import Decimal as D
+
+    from bankspark.plans import balances
+    from bankspark.plans.loans import daily_balances, loan_balances_daily
+
+    monkeypatch.setattr(balances, "ROWS_PER_TASK", 50)
+    p, path = Params(as_of=datetime(2024, 4, 2)), str(tmp_path / "balances")
+    loans = frame(spark, LOANS, *[(f"s{i}", f"l{i}", "AUTO", "c", D(1000 + i), D(100), date(2023, 1 + i % 12, 15)) for i in range(60)])
+    shown = plan(balances.stored_rows(loans, p, None))
+    assert "Exchange" not in shown[:shown.index("Generate")] and "Exchange" in shown
+    cols = ["loan_id", "balance_date", "outstanding_balance"]
+    held = load_balances(spark, path, loans, p)
+    assert bag(daily_balances(held), *cols) == bag(loan_balances_daily(loans, p), *cols)
+    assert len(list((tmp_path / "balances" / "balance_month=2024-04-01").glob("*.zstd.parquet"))) > 1
