@@ -73,18 +73,21 @@ def _(b: Bank):
 
 @query("run_log", """
   SELECT event_type || '.' || CAST(CAST(ts AS DATE) AS VARCHAR) AS node_name, 'model' AS node_type, 'error' AS status,
-    'events: ' || count(*) || chr(10) || 'first: ' || min(event_id) || chr(10) || 'last: ' || max(event_id) AS message, 'local' AS target_name
+    'events: ' || count(*) || chr(10) || 'first: ' || min(event_id) || chr(10) || 'last: ' || max(event_id)
+      || chr(10) || string_agg(event_id, chr(10) ORDER BY event_id) AS message, 'local' AS target_name
   FROM events GROUP BY event_type, CAST(ts AS DATE)""")
 def _(b: Bank):
-    """A row per kind of event and day, as a failed node whose message has several lines; it is kept whole."""
+    """A row per kind of event and day, as a failed node whose message names every event of that kind and day on a
+    line of its own; it is kept whole."""
     day = F.col("ts").cast("date").alias("day")
     kinds = b.table("events").groupBy("event_type", day).agg(
-        F.count(F.lit(1)).alias("n"), F.min("event_id").alias("first"), F.max("event_id").alias("last"))
+        F.count(F.lit(1)).alias("n"), F.min("event_id").alias("first"), F.max("event_id").alias("last"),
+        F.nullif(F.array_join(F.sort_array(F.collect_list("event_id")).cast("array<string>"), "\n"), F.lit("")).alias("ids"))
     line = lambda name, c: F.concat(F.lit(f"{name}: "), F.col(c).cast("string"))
     nodes = kinds.select(
         F.lit("run").alias("invocation_id"), F.lit(datetime(2024, 1, 1)).alias("run_started_at"), F.current_timestamp().alias("run_completed_at"),
         F.concat_ws(".", "event_type", F.col("day").cast("string")).alias("node_name"), F.lit("model").alias("node_type"), F.lit("error").alias("status"),
-        F.lit(1.5).alias("execution_time_s"), F.concat_ws("\n", line("events", "n"), line("first", "first"), line("last", "last")).alias("message"),
+        F.lit(1.5).alias("execution_time_s"), F.concat_ws("\n", line("events", "n"), line("first", "first"), line("last", "last"), F.col("ids")).alias("message"),
         F.lit("local").alias("target_name"))
     return ops.log_run(b.spark, nodes).select("node_name", "node_type", "status", "message", "target_name")
 

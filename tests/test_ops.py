@@ -26,6 +26,17 @@ def test_run_log_takes_a_frame_without_collecting_it(spark):
     assert frames.drop("inserted_at").collect() == listed.drop("inserted_at").collect()
 
 
+def test_run_log_names_every_event(spark, tmp_path):
+    from bankspark.checks.all import QUERIES
+
+    rows_ = [(i, ts("2024-01-0%d 10:00:00" % (1 + i % 2)), "view") for i in (10, 9, 50, 51, 100, 9, 7)]
+    frame(spark, "event_id bigint, ts timestamp_ntz, event_type string", *rows_).write.parquet(str(tmp_path / "events.parquet"))
+    got = {r["node_name"]: r["message"].split("\n") for r in QUERIES["run_log"](spark, str(tmp_path)).collect()}
+    assert got == {
+        "view.2024-01-01": ["events: 3", "first: 10", "last: 100", "10", "50", "100"],
+        "view.2024-01-02": ["events: 4", "first: 7", "last: 51", "7", "9", "9", "51"]}
+
+
 def test_costs(spark):
     log = frame(
         spark, "query_tag string, query_type string, query_text string, execution_time bigint, credits_used decimal(18,4), credits_used_cloud_services decimal(18,4)",
