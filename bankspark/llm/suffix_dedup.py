@@ -12,7 +12,8 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from bankspark.llm.common import KEY, as_key, byte_slices, columns_of, drop_stage, keyed, prepare, row_key, texts_of, write_stage
 
 GRAM = 24  # bytes of the hashed grams; a window of `min_bytes` holds min_bytes - GRAM + 1 of them
-BUCKET_BYTES = 8 << 20  # stretches whose suffixes one group sorts at a time
+BUCKET_BYTES = 8 << 20  # most bytes of one hash's stretches that are sorted in one group
+USUAL_BYTES = 2 << 20  # stretches whose suffixes a group sorts at a time, about
 SCAN_BYTES = 1 << 18  # texts hashed at a time: the arrays stay in the processor's cache
 HELD_BYTES = 24 << 20  # distinct stretches a task gathers before it passes them on
 
@@ -101,36 +102,47 @@ def suffix_runs(data: np.ndarray, starts: np.ndarray, size: int) -> tuple[np.nda
     words before it tie, and sorted only where it differs.
     """
     padded = np.concatenate([data, np.zeros(8, np.uint8)])
-    n = len(data)
-    word = np.zeros(n, np.uint64)
-    for j in range(8):
-        word |= padded[j:j + n].astype(np.uint64) << np.uint64(56 - 8 * j)
-    suffixes = starts[np.argsort(word[starts], kind="stable")]
-    key = word[suffixes]
+    # Numbers of windows and positions are under 2^31: half the memory of the usual index.
+    kind = np.int32 if len(data) < 2**31 else np.int64
+
+    # The eight bytes from each place on as a number, read where they stand.
+    words = np.ndarray((len(data),), ">u8", padded, strides=(1,))
+
+    def word(at: np.ndarray) -> np.ndarray:
+        return words[at].astype(np.uint64)
+
+    key = word(starts)
+    order = np.argsort(key, kind="stable").astype(kind)
+    suffixes, key = starts.astype(kind)[order], key[order]
+    del order
     new = np.ones(len(suffixes), bool)
     new[1:] = key[1:] != key[:-1]
+    del key
     offsets = sorted({*range(8, size - 7, 8), size - 8}) if size > 8 else []
     for offset in offsets:
-        run = np.cumsum(new) - 1
-        tied = np.nonzero(np.bincount(run)[run] > 1)[0]
+        # Windows that tie so far: those that do not begin a run, or whose next one does not.
+        tied = np.nonzero(~new | ~np.append(new[1:], True))[0].astype(kind)
         if not len(tied):
             break
-        group, key = run[tied], word[suffixes[tied] + offset]
+        group = np.cumsum(new[tied], dtype=kind) - 1
+        key = word(suffixes[tied] + kind(offset))
         differs = np.zeros(len(tied), bool)
         differs[1:] = (key[1:] != key[:-1]) & (group[1:] == group[:-1])
         if not differs.any():
             continue
-        mixed = np.zeros(int(run[-1]) + 1, bool)
+        mixed = np.zeros(int(group[-1]) + 1, bool)
         mixed[group[differs]] = True
-        at = tied[mixed[group]]
-        group, key = run[at], word[suffixes[at] + offset]
+        on = mixed[group]
+        at, group, key = tied[on], group[on], key[on]
+        del tied, on
         order = np.lexsort((key, group))
         suffixes[at] = suffixes[at][order]
         key = key[order]
+        del order
         fresh = np.zeros(len(at), bool)
         fresh[1:] = (key[1:] != key[:-1]) & (group[1:] == group[:-1])
         new[at] |= fresh
-    return suffixes, np.cumsum(new) - 1
+    return suffixes, np.cumsum(new, dtype=kind) - 1
 
 
 def earlier_match(position: np.ndarray, run: np.ndarray) -> np.ndarray:
@@ -356,7 +368,7 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     # A single stretch whose gram stands there once can only be its own copy: nothing to sort.
     loads = write_stage(loads.filter("a != b or twice").select("anchor", "bytes"), "loads")
     total, hottest = loads.agg(F.sum("bytes"), F.max("bytes")).first()
-    buckets = max(1, int((total or 0) // BUCKET_BYTES) * 2)
+    buckets = max(1, int((total or 0) // min(USUAL_BYTES, BUCKET_BYTES)))
     cool = loads.filter(F.col("bytes") <= BUCKET_BYTES).select("anchor")
     ranges = (
         held.join(cool, "anchor", "left_semi")

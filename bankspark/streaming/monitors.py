@@ -30,9 +30,9 @@ def dedup_within_watermark(df: DataFrame, keys: list[str]) -> DataFrame:
 
 
 class _Bursts(StatefulProcessor):
-    """One key and bucket of time: how many rows each instant has, an entry per instant.
+    """A share of the keys and a bucket of time: how many rows each (key, instant) has.
 
-    Only the entries of instants that got rows are written; counts are worked out from the
+    A batch appends its own counts per (key, instant), in one call; totals are worked out from all
     entries, which are those of the bucket and of one window before it.
     """
 
@@ -41,20 +41,28 @@ class _Bursts(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.rows = handle.getMapState("rows", "us long", "n long")
+        self.rows = handle.getListState("rows", "k string, us long, n long")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         bucket = int(key[1])
-        held = [(us, n) for (us,), (n,) in self.rows.iterator()]
+        held = list(zip(*self.rows.get()))
         if not held:
             self.handle.registerTimer((bucket + 1) * self.width_us // 1000)
-        old_us, old_n = (np.array(x, np.int64) for x in (zip(*sorted(held)) if held else ((), ())))
-        new_us, new_n = np.unique(np.concatenate([p["us"].to_numpy(np.int64) for p in rows]), return_counts=True)
-        at, place = np.unique(np.concatenate([new_us, old_us]), return_inverse=True)
-        added, before = (np.bincount(place, weights=w, minlength=len(at)).astype(np.int64) for w in (
-            np.concatenate([new_n, np.zeros(len(old_us))]), np.concatenate([np.zeros(len(new_us)), old_n])))
-        for us, n in zip(at[added > 0].tolist(), (added + before)[added > 0].tolist()):
-            self.rows.updateValue((us,), (n,))
+        old_k, old_us, old_n = held or ((), (), ())
+        parts = [(p["k"].to_numpy(object), p["us"].to_numpy(np.int64)) for p in rows]
+        names = np.concatenate([*[k for k, _ in parts], np.array(old_k, object)])
+        us = np.concatenate([*[t for _, t in parts], np.array(old_us, np.int64)])
+        fresh = len(us) - len(old_us)
+        code, known_names = pd.factorize(names)
+        # One number per (key, instant); a key's last instant is more than a window ahead of the next key.
+        low = us.min()
+        span = us.max() - low + self.window_us + 1
+        at, place = np.unique(code * span + (us - low), return_inverse=True)
+        code, us = at // span, at % span + low
+        added = np.bincount(place[:fresh], minlength=len(at))
+        before = np.bincount(place[fresh:], weights=np.array(old_n, np.int64), minlength=len(at)).astype(np.int64)
+        new = np.nonzero(added)[0]
+        self.rows.appendList(list(zip(known_names[code[new]].tolist(), us[new].tolist(), added[new].tolist())))
         first = np.searchsorted(at, at - self.window_us, side="left")
 
         def counts(n: np.ndarray) -> np.ndarray:
@@ -63,9 +71,9 @@ class _Bursts(StatefulProcessor):
 
         now = counts(added + before)
         known = np.where(before > 0, counts(before), 0)
-        news = (now != known) & (at // self.width_us == bucket)
+        news = (now != known) & (us // self.width_us == bucket)
         if news.any():
-            yield pd.DataFrame({"k": key[0], "us": at[news], "c": now[news]})
+            yield pd.DataFrame({"k": known_names[code[news]], "us": us[news], "c": now[news]})
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         self.rows.clear()
@@ -76,18 +84,19 @@ class _Bursts(StatefulProcessor):
 
 
 def rapid_fire_stream(
-    df: DataFrame, key: str, ts: str, minutes: int = 60, bucket_windows: int = 1
+    df: DataFrame, key: str, ts: str, minutes: int = 60, bucket_windows: int = 1, shares: int = 64
 ) -> DataFrame:
     """(key, ts, txn_count) for each instant whose 60-minute count is new or has grown.
 
     A late row raises the counts of instants after it, which are then emitted again; the
     final count of an instant is the largest one emitted.
 
-    State is kept per key and time bucket: the distinct instants of the bucket and of the
-    window before it. So a group holds one key's rows of at most `bucket_windows` + 1 windows,
-    however hot the key or long its history; a batch writes the instants it has rows for and no
-    others, and a timer clears the group when the watermark passes the bucket's end. Take
-    wider buckets to catch up on a long backlog with fewer groups.
+    State is kept per share of the keys (`shares`, by hash) and time bucket: the rows per key and instant
+    of the bucket and of the window before it. So a group holds at most `bucket_windows` + 1 windows,
+    however hot a key or long its history, and the number of groups does not grow with that of the
+    keys; a batch writes the instants it has rows for and no others, and a timer clears the group
+    when the watermark passes the bucket's end. Take more shares where a window has more rows than
+    a group should hold.
     """
     window_us = minutes * MICROS_PER_MINUTE
     width_us = window_us * bucket_windows
@@ -99,9 +108,10 @@ def rapid_fire_stream(
         ts,
         F.when(text.isNull(), "").otherwise(F.concat(F.lit("="), text)).alias("k"),
         us.alias("us"),
+        F.pmod(F.xxhash64(text), F.lit(shares)).alias("_share"),
         F.explode(F.array_distinct(F.array(own, last))).alias("_bucket"),
     )
-    emitted = placed.groupBy("k", "_bucket").transformWithStateInPandas(
+    emitted = placed.groupBy("_share", "_bucket").transformWithStateInPandas(
         _Bursts(window_us, width_us), "k string, us long, c long", "append", "EventTime")
     return emitted.select(
         F.when(F.col("k") != "", F.substr("k", F.lit(2))).cast(df.schema[key].dataType).alias(key),

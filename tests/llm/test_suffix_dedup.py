@@ -59,3 +59,18 @@ def test_suffix_array_is_sorted_and_earlier_matches_are_right():
     for i, w in sorted(zip(suffixes, windows)):
         first.setdefault(w, i)
     assert list(earlier) == [first[w] < i for i, w in zip(suffixes, windows)]
+
+
+def test_sorting_a_bucket_takes_few_times_its_bytes():
+    """Indices of four bytes, words read in place: peak memory per window stays small."""
+    import tracemalloc
+
+    rng = np.random.default_rng(2)
+    data = np.tile(rng.integers(97, 123, 2000).astype(np.uint8), 400)
+    starts = np.arange(len(data) - 199)
+    sd.suffix_runs(data[:5000], starts[:4000], 200)
+    tracemalloc.start()
+    sd.suffix_runs(data, starts, 200)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 50 * len(data)

@@ -341,3 +341,14 @@ def test_late_rows_are_kept_and_spare_the_stateful_step(spark, tmp_path):
         monitors.run_to_files(monitors.dedup_within_watermark(timed, ["id"]), str(tmp_path / "out"), str(tmp_path / "ckpt2")).awaitTermination()
     assert spark.read.parquet(log).agg(F.sum("late_rows")).first()[0] == 0
     assert late.state_keys(spark, str(tmp_path / "ckpt2")).agg(F.sum("n_keys")).first()[0] >= 3
+
+
+def test_groups_of_rapid_fire_state_do_not_grow_with_the_keys(spark, tmp_path):
+    schema = "id int, k string, t timestamp_ntz"
+    rows = [(i, f"k{i}", datetime(2024, 1, 1, 0, 30)) for i in range(600)]
+    stream = monitors.with_event_time(stream_files(spark, tmp_path, schema, [rows]), "t")
+    q = monitors.run_to_files(monitors.rapid_fire_stream(stream, "k", "t", shares=4), str(tmp_path / "out"), str(tmp_path / "ckpt"))
+    q.awaitTermination()
+    # Two buckets of time for each of four shares, with a timer each.
+    assert max(p.stateOperators[0].numRowsTotal for p in q.recentProgress) < 100
+    assert spark.read.parquet(str(tmp_path / "out")).filter("txn_count = 1").count() == 600
