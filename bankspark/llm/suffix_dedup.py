@@ -13,9 +13,10 @@ from bankspark.llm.common import KEY, as_key, byte_slices, columns_of, drop_stag
 
 GRAM = 24  # bytes of the hashed grams; a window of `min_bytes` holds min_bytes - GRAM + 1 of them
 BUCKET_BYTES = 8 << 20  # most bytes of one hash's stretches that are sorted in one group
-USUAL_BYTES = 2 << 20  # stretches whose suffixes a group sorts at a time, about
+USUAL_BYTES = 1 << 20  # stretches whose suffixes a group sorts at a time, about
 SCAN_BYTES = 1 << 18  # texts hashed at a time: the arrays stay in the processor's cache
 HELD_BYTES = 24 << 20  # distinct stretches a task gathers before it passes them on
+PASSED_BYTES = 1 << 20  # stretches in a batch of those
 
 _rng = np.random.default_rng(20240229)
 BYTE_HASH = _rng.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -109,11 +110,13 @@ def suffix_runs(data: np.ndarray, starts: np.ndarray, size: int) -> tuple[np.nda
     words = np.ndarray((len(data),), ">u8", padded, strides=(1,))
 
     def word(at: np.ndarray) -> np.ndarray:
-        return words[at].astype(np.uint64)
+        found = words[at]
+        return found.byteswap(inplace=True).view(np.uint64) if np.little_endian else found.astype(np.uint64)
 
     key = word(starts)
     order = np.argsort(key, kind="stable").astype(kind)
-    suffixes, key = starts.astype(kind)[order], key[order]
+    key = key[order]
+    suffixes = starts.astype(kind, copy=False)[order]
     del order
     new = np.ones(len(suffixes), bool)
     new[1:] = key[1:] != key[:-1]
@@ -176,11 +179,16 @@ def _stretch_rows(min_bytes: int):
     """Stretches of documents (with the least hashes that repeat, `hits`): where each occurs,
     and once per task, or per HELD_BYTES of it, its bytes and first place."""
 
-    def flush(held: dict) -> pa.RecordBatch:
-        cols = list(zip(*[(HOLDS, *place, *about, digest, raw) for digest, (place, *about, raw) in held.items()]))
-        held.clear()
+    def flush(held: dict) -> Iterator[pa.RecordBatch]:
+        """What is held, let go of as it is passed on: a batch has PASSED_BYTES or one stretch."""
         kinds = [pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.binary(), pa.binary()]
-        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names=STRETCH_NAMES)
+        while held:
+            rows, size = [], 0
+            while held and size < PASSED_BYTES:
+                digest, (place, *about, raw) = held.popitem()
+                rows.append((HOLDS, *place, *about, digest, raw))
+                size += len(raw)
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=STRETCH_NAMES)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[bytes, tuple] = {}
@@ -223,10 +231,9 @@ def _stretch_rows(min_bytes: int):
                          pa.nulls(n, pa.int64()), pa.nulls(n, pa.bool_()), pa.array(c[4], pa.binary()), pa.nulls(n, pa.binary())],
                         names=STRETCH_NAMES)
                 if size > HELD_BYTES:
-                    yield flush(held)
+                    yield from flush(held)
                     size = 0
-        if held:
-            yield flush(held)
+        yield from flush(held)
 
     return run
 
@@ -263,19 +270,26 @@ def _sort_bucket(min_bytes: int):
         for digest, *place, raw in zip(*cols):
             if digest not in first or tuple(place) < first[digest][0]:
                 first[digest] = (tuple(place), raw)
+        del cols, table
         digests = sorted(first, key=lambda d: first[d][0])  # in order of their places
         sizes = np.array([len(first[d][1]) for d in digests], np.int64)
         data = np.frombuffer(b"".join(first[d][1] for d in digests), np.uint8)
+        first.clear()
         offset = np.concatenate([[0], np.cumsum(sizes)])
         windows = sizes - min_bytes + 1
-        head = np.repeat(offset[:-1] - np.concatenate([[0], np.cumsum(windows)[:-1]]), windows)
-        starts = np.arange(int(windows.sum())) + head
+        # Positions take four bytes where the buffer allows, as there is one a byte of it.
+        kind = np.int32 if len(data) < 2**31 else np.int64
+        starts = np.arange(int(windows.sum()), dtype=kind)
+        starts += np.repeat((offset[:-1] - np.concatenate([[0], np.cumsum(windows)[:-1]])).astype(kind), windows)
         suffixes, runs = suffix_runs(data, starts, min_bytes)
+        del starts
         several = np.bincount(runs)[runs] > 1
         # Places ascend with positions in the buffer, so those stand for them.
         earlier = earlier_match(suffixes, runs)
+        del runs
         flagged = np.sort(suffixes[several])
         later = np.sort(suffixes[earlier])
+        del suffixes, several, earlier
         out = []
         lo, hi = np.searchsorted(flagged, offset[:-1]), np.searchsorted(flagged, offset[1:])
         lo2, hi2 = np.searchsorted(later, offset[:-1]), np.searchsorted(later, offset[1:])

@@ -1,4 +1,8 @@
+import hashlib
+import tracemalloc
+
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from bankspark.llm import suffix_dedup as sd
@@ -74,3 +78,38 @@ def test_sorting_a_bucket_takes_few_times_its_bytes():
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert peak < 50 * len(data)
+
+
+def test_a_bucket_is_sorted_in_little_memory():
+    """Under 24 bytes for each byte of its stretches, at the peak."""
+    rng = np.random.default_rng(2)
+    shared = rng.integers(97, 123, 300).astype(np.uint8).tobytes()
+    texts = [rng.integers(97, 123, 400).astype(np.uint8).tobytes() + shared for _ in range(2000)]
+    n = list(range(len(texts)))
+    table = pa.table({
+        "digest": [hashlib.md5(t).digest() for t in texts], "k_id": n, "k_row": n, "at": [0] * len(n), "stretch": texts})
+    sort = sd._sort_bucket(200)
+    tracemalloc.start()
+    try:
+        out = sort(table)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    # What stands before the shared part can be alike by chance.
+    assert out.num_rows == len(texts) and all(380 < m[-2] <= 400 and m[-1] == 700 for m in out.column("matched").to_pylist())
+    assert peak < 24 * sum(map(len, texts))
+
+
+def test_held_stretches_are_passed_on_in_small_batches(monkeypatch):
+    monkeypatch.setattr(sd, "PASSED_BYTES", 1000)
+    rng = np.random.default_rng(3)
+    texts = [rng.integers(97, 123, 600).astype(np.uint8).tobytes() for _ in range(20)]
+    data = np.frombuffer(b"".join(texts), np.uint8)
+    doc, anchor, *_ = sd.stretches(data, np.arange(0, len(data) + 1, 600), 200)
+    hits = [[int(a) for a, d in zip(anchor, doc) if d == i] for i in range(20)]
+    docs = pa.RecordBatch.from_arrays(
+        [pa.array(range(20)), pa.array(range(20)), pa.array([t.decode() for t in texts]), pa.array(hits, pa.list_(pa.int64()))],
+        names=["k_id", "k_row", "text", "hits"])
+    out = [b for b in sd._stretch_rows(200)(iter([docs])) if b.column("kind")[0].as_py() == sd.HOLDS]
+    held = [[len(x) for x in b.column("stretch").to_pylist()] for b in out]
+    assert sum(map(len, held)) == len(doc) and all(sum(x[:-1]) < 1000 for x in held)
