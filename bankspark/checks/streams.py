@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -161,24 +162,25 @@ def _(b: Bank):
 _LATE = """SELECT * FROM events WHERE event_id % 10 = 0 AND ts <= (SELECT max(ts) FROM events WHERE event_id % 10 <> 0) - INTERVAL 24 HOUR"""
 
 
-def _waves_of_events(b: Bank, home: str) -> DataFrame:
-    """Nine tenths of the events, then the newest of the last tenth, then the rest: one micro-batch each."""
+def _waves_of_events(b: Bank, home: str) -> Iterator[DataFrame]:
+    """Nine tenths of the events, then the newest of the last tenth, then the rest: the same stream each
+    time, after one more of them has come. What follows it takes a wave in one micro-batch, whatever
+    the number of its files."""
     events = b.table("events").select("event_id", "user_id", "ts")
     landing = os.path.join(home, "landing")
     newest = events.filter("event_id % 10 <> 0").agg(F.max("ts") - F.expr("interval 1 day")).scalar()
     tenth = F.col("event_id") % 10 == 0
     for name, part in (("a", ~tenth), ("b", tenth & (F.col("ts") > newest)), ("c", tenth & (F.col("ts") <= newest))):
-        events.filter(part).coalesce(1).write.parquet(os.path.join(landing, name))
-    stream = b.spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1)
-    return stream.parquet(os.path.join(landing, "*"))
+        events.filter(part).write.parquet(os.path.join(landing, name))
+        yield b.spark.readStream.schema(events.schema).parquet(os.path.join(landing, "*"))
 
 
 @query("late_rows", "SELECT event_id, user_id, ts FROM late", late=_LATE)
 def _(b: Bank):
     """The rows that came too late, kept."""
     home = work_dir(b.spark, "late")
-    stream = _waves_of_events(b, home)
-    late.split_late(stream, "ts", os.path.join(home, "out"), os.path.join(home, "ckpt")).awaitTermination()
+    for stream in _waves_of_events(b, home):
+        late.split_late(stream, "ts", os.path.join(home, "out"), os.path.join(home, "ckpt")).awaitTermination()
     return late.late_rows(b.spark, os.path.join(home, "out"), stream.schema).select("event_id", "user_id", "ts")
 
 
@@ -188,13 +190,18 @@ def _(b: Bank):
     """What the progress log counts for a stateful step on the same stream, and for one behind the split."""
     home = work_dir(b.spark, "late_logged")
     at = lambda *names: os.path.join(home, *names)
-    stream = _waves_of_events(b, home)
     counted = {}
-    late.split_late(stream, "ts", at("out"), at("split_ckpt")).awaitTermination()
-    for name, rows in (("late_rows", stream), ("late_after_split", late.on_time_rows(b.spark, at("out"), stream.schema))):
+
+    def follow(rows: DataFrame, name: str) -> None:
         unique = monitors.dedup_within_watermark(monitors.with_event_time(rows, "ts"), ["event_id"])
         with monitors.progress_log(b.spark, at(f"{name}_log")):
             monitors.run_to_files(unique, at(name), at(f"{name}_ckpt")).awaitTermination()
+
+    for stream in _waves_of_events(b, home):
+        late.split_late(stream, "ts", at("out"), at("split_ckpt")).awaitTermination()
+        follow(stream, "late_rows")
+    follow(late.on_time_rows(b.spark, at("out"), stream.schema), "late_after_split")
+    for name in ("late_rows", "late_after_split"):
         counted[name] = b.spark.read.parquet(at(f"{name}_log")).agg(F.sum("late_rows").alias(name))
         counted["unique_rows"] = b.spark.read.parquet(at(name)).agg(F.count(F.lit(1)).alias("unique_rows"))
     names = ("late_rows", "unique_rows", "late_after_split")

@@ -352,3 +352,27 @@ def test_groups_of_rapid_fire_state_do_not_grow_with_the_keys(spark, tmp_path):
     # Two buckets of time for each of four shares, with a timer each.
     assert max(p.stateOperators[0].numRowsTotal for p in q.recentProgress) < 100
     assert spark.read.parquet(str(tmp_path / "out")).filter("txn_count = 1").count() == 600
+
+
+def test_waves_of_events_are_written_by_many_tasks_and_taken_in_one_batch_each(spark, tmp_path):
+    from bankspark.checks import streams
+    from bankspark.streaming import late
+
+    class Bank:
+        def __init__(self):
+            self.spark = spark
+
+        def table(self, name):
+            n = F.col("id")
+            ts = F.timestamp_seconds(F.lit(1_700_000_000) + n * 60).cast("timestamp_ntz")
+            return spark.range(0, 10_000, 1, 4).select(n.alias("event_id"), (n % 7).alias("user_id"), ts.alias("ts"))
+
+    home, batches = str(tmp_path), []
+    for stream in streams._waves_of_events(Bank(), home):
+        q = late.split_late(stream, "ts", home + "/out", home + "/ckpt")
+        q.awaitTermination()
+        batches.append(sum(p.numInputRows > 0 for p in q.recentProgress))
+    assert batches == [1, 1, 1]
+    assert len(list((tmp_path / "landing" / "a").glob("part-*.parquet"))) == 4
+    got = late.late_rows(spark, home + "/out", stream.schema)
+    assert got.count() == sum(n % 10 == 0 and n <= 9999 - 1440 for n in range(10_000))
