@@ -110,3 +110,23 @@ def test_sync_anomalies(spark):
     )
     got = bag(Q.sync_anomalies(log), "synced_at", "is_slow", "is_row_drift")
     assert got == sorted([(day(2), 1, 0), (day(3), 0, 1)], key=repr)
+
+
+def test_marts_are_made_from_the_tables_written_before_them(spark, tmp_path, monkeypatch):
+    from types import SimpleNamespace
+
+    from bankspark.checks import quality
+
+    n = spark.range(5)
+    b = SimpleNamespace(dim_customer=n, dim_branch=n, fct=n, loans=n, revenue=n)
+    seen = {}
+
+    def models(b):
+        seen["from"] = [f for layer in quality._SHARED for f in getattr(b, layer).inputFiles()]
+        return {**{m: getattr(b, layer) for layer, m in quality._SHARED.items()}, "fct_fraud_indicators": b.fct.filter("id > 2")}
+
+    monkeypatch.setattr(quality, "_mart_models", models)
+    written = quality._written_marts(b, str(tmp_path))
+    assert {f.split("/")[-2] for f in seen["from"]} == set(quality._SHARED.values())
+    assert list(written) == [*quality._SHARED.values(), "fct_fraud_indicators"]
+    assert written["fct_fraud_indicators"].count() == 2 and written["fct_loans"].count() == 5
