@@ -116,7 +116,9 @@ class ChangeSink:
         pending = self._pending(buckets, upto=seq)
         keys = pending.filter(F.col(SEQ) == seq).select(BUCKET, self.key)
         mine = [BUCKET, self.key]
-        lists = self._lists(pending.join(keys, mine, "left_semi"))
+        # Where this batch alone is pending, all changes are of its keys.
+        alone = self._seqs(self._upto())[:1] == [seq]
+        lists = self._lists(pending.filter(F.col(self.key).isNotNull()) if alone else pending.join(keys, mine, "left_semi"))
         base = self._base(buckets).join(keys, mine, "left_semi")
         rows = lists.join(base, mine, "left").select(self._play("row").alias("r"))
         return rows.filter(F.col(f"r.{SEQ}") == seq).select("r.*").drop(SEQ)

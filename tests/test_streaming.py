@@ -376,3 +376,19 @@ def test_waves_of_events_are_written_by_many_tasks_and_taken_in_one_batch_each(s
     assert len(list((tmp_path / "landing" / "a").glob("part-*.parquet"))) == 4
     got = late.late_rows(spark, home + "/out", stream.schema)
     assert got.count() == sum(n % 10 == 0 and n <= 9999 - 1440 for n in range(10_000))
+
+
+def test_a_batch_alone_is_not_joined_with_its_own_keys(spark, tmp_path):
+    sink = cdc.open_sink(spark, str(tmp_path / "sink"), buckets=2)
+    kinds = {f.name: f.dataType for f in cdc.SINK_SCHEMA}
+    values = {"cdc_operation": F.lit("INSERT"), "amount": F.lit(1)}
+    keys = spark.createDataFrame([("a",), ("b",), (None,)], "transaction_sk string")
+    changes = keys.select(*[
+        (F.col(c) if c == "transaction_sk" else values.get(c, F.lit(None))).cast(kinds[c]).alias(c)
+        for c in cdc.SINK_COLS if c != "ingested_at"])
+    sink.append(changes, 0, lit_ts(datetime(2024, 1, 1)))
+    applied = sink.applied(0)
+    assert sorted(r["transaction_sk"] for r in applied.collect()) == ["a", "b"]
+    assert applied._jdf.queryExecution().optimizedPlan().toString().count("LeftSemi") == 1  # the base
+    sink.append(changes, 1, lit_ts(datetime(2024, 1, 1)))
+    assert sink.applied(1).count() == 0
