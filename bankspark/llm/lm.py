@@ -1,25 +1,30 @@
-"""Language-model scores: word counts backed by a compact n-gram trie over their bytes."""
+"""Language-model scores: a trie of token n-grams, backed by word counts and a byte trie of the words."""
 
 from __future__ import annotations
 
 import itertools
 import os
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import SparkFiles
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from bankspark.llm.common import byte_slices, prepare, row_key, texts_of, write_stage
-from bankspark.llm.ngram_trie import ORDER, Trie, gram_counts
+from bankspark.llm.ngram_trie import ORDER, TokenLevel, Trie, gram_counts
 from bankspark.session import work_dir
-from bankspark.sources.sinks import _fs, _path
+from bankspark.sources.sinks import _fs, _path, discard
 
 DISCOUNT = 0.75
-BLOCK_BYTES = 32 << 20  # text whose words share one dictionary
+TOKENS = 2  # the longest gram of tokens
+BLOCK_BYTES = 16 << 20  # text whose words share one dictionary
+SHARD_BYTES = 16 << 20  # text whose grams, by their contexts, make one shard of a level
+CHUNK_GRAMS = 1 << 17  # grams handed on or added up at once
 WORDS_AT_ONCE = 50_000
 END = b""  # the token behind the last word
 LN10 = float(np.log(10.0))
@@ -27,16 +32,16 @@ LN10 = float(np.log(10.0))
 CLASSES = 8
 MARKERS = 400  # frequent words that tell the class of what follows
 
-BLOCKS = (
-    "kind int, block long, k_id long, k_row long, held_out boolean, n_tokens long, "
-    "tokens binary, counts binary, pair long, class int, word binary, n long"
-)
+# Rows of a block: its documents (payload: tokens), the words it holds (payload: word, count n), the shards of
+# a level's contexts (payload), and its token grams by shard of their context (see `GRAM_PARTS`).
 BLOCK_ARROW = pa.schema([
     ("kind", pa.int32()), ("block", pa.int64()), ("k_id", pa.int64()), ("k_row", pa.int64()), ("held_out", pa.bool_()),
-    ("n_tokens", pa.int64()), ("tokens", pa.binary()), ("counts", pa.binary()), ("pair", pa.int64()), ("class", pa.int32()),
-    ("word", pa.binary()), ("n", pa.int64()),
+    ("number", pa.int64()), ("n", pa.int64()), ("level", pa.int32()), ("shard", pa.int32()), ("payload", pa.binary()),
 ])
-DOCUMENT, PAIR = 0, 1
+GRAM_PARTS = ("contexts", "runs", "words", "at", "counts")
+BLOCKS = ", ".join(
+    f"{f.name} {({'int32': 'int', 'int64': 'long', 'bool': 'boolean', 'binary': 'binary'})[str(f.type)]}" for f in BLOCK_ARROW)
+DOCUMENT, WORD, SHARDS, GRAM = 0, 1, 2, 3
 
 
 def tokens_of(raw: bytes) -> list[bytes]:
@@ -55,11 +60,31 @@ def unplaned(raw: bytes) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(4, -1).T).view("<u4").ravel().astype(np.int64)
 
 
+def squeezed(values: np.ndarray) -> bytes:
+    """Many numbers under 2^32, compressed where they are made, as they are written and shuffled."""
+    return len(values).to_bytes(4, "little") + pa.compress(planes(values), "zstd", asbytes=True)
+
+
+def unsqueezed(raw: bytes) -> np.ndarray:
+    size = int.from_bytes(raw[:4], "little")
+    return unplaned(pa.decompress(raw[4:], 4 * size, "zstd", asbytes=True))
+
+
+def joined(parts: list[bytes]) -> bytes:
+    """Some byte strings as one."""
+    return np.array([len(p) for p in parts], "<u4").tobytes() + b"".join(parts)
+
+
+def parted(raw: bytes, n: int) -> list[bytes]:
+    ends = np.cumsum([4 * n, *np.frombuffer(raw, "<u4", n).tolist()]).tolist()
+    return [raw[a:b] for a, b in zip(ends[:-1], ends[1:])]
+
+
 def learn_classes(docs: DataFrame) -> dict[bytes, int]:
     """Classes (from 1) of the most frequent words, by the documents they share.
 
     docs: (text). From all documents; each task sums its own, and the driver holds MARKERS x
-    MARKERS numbers.
+    MARKERS numbers. The scores do not use it: their contexts are the tokens before.
     """
 
     def frequency(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -115,21 +140,84 @@ def clusters(rows: np.ndarray, n: int, rounds: int = 30) -> np.ndarray:
 
 
 class Numbers(dict):
-    """Numbers words as they come, and remembers their classes by number."""
-
-    def __init__(self, classes: dict[bytes, int]):
-        self.classes, self.marks = classes, []
+    """Numbers words as they come."""
 
     def __missing__(self, word: bytes) -> int:
         n = self[word] = len(self)
-        self.marks.append(self.classes.get(word, 0))
         return n
 
 
-def _block_rows(classes: dict[bytes, int]):
-    """Documents as (word, class) pairs of a block's own dictionary, and that dictionary with the
-    counts of the training documents. A word's class is that of the last marker before it."""
-    width = CLASSES + 1
+def hashed(words: list[bytes]) -> np.ndarray:
+    """64-bit hashes of words, the same in every process."""
+    return pd.util.hash_array(np.array([*words, None], object)[:-1], categorize=False) if words else np.zeros(0, np.uint64)
+
+
+def mixed(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """A hash of two hashes, in order."""
+    x = a * np.uint64(0x9E3779B97F4A7C15) + b
+    for shift in (32, 29):
+        x = (x ^ (x >> np.uint64(shift))) * np.uint64(0xD6E8FEB86659FD93)
+    return x ^ (x >> np.uint64(32))
+
+
+def six(hashes: np.ndarray) -> bytes:
+    """Their low 48 bits, which tell grams of a shard apart (its number holds the bits above)."""
+    return hashes.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
+
+
+def unsix(raw: bytes) -> np.ndarray:
+    out = np.zeros((len(raw) // 6, 8), np.uint8)
+    out[:, :6] = np.frombuffer(raw, np.uint8).reshape(-1, 6)
+    return out.view("<u8").ravel().astype(np.int64)
+
+
+def token_grams(
+    ids: np.ndarray, starts: np.ndarray, width: int, shards: Callable[[int], np.ndarray], tokens: int = TOKENS,
+) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Distinct grams of 2, ... `tokens` tokens that end at each position of some documents.
+
+    ids: the documents' tokens (under `width`), one after the other; starts: where documents begin. What
+    precedes a document is a token of its own. Contexts of a level are numbered as the grams of the
+    level before, and the beginning last; shards(length) tells the shard of each. Per length: the context of
+    each gram, its last token, and the gram of each position. Grams come by shard, context and last
+    token, whatever the documents' order.
+    """
+    context, n = np.roll(ids, 1), width
+    for k in range(2, tokens + 1):
+        context[starts] = n
+        by = np.argsort(shards(k), kind="stable")
+        rank = np.empty(len(by), np.int64)
+        rank[by] = np.arange(len(by))
+        key = rank[context] * width + ids
+        order = np.argsort(key)
+        key = key[order]
+        new = np.concatenate([[True], key[1:] != key[:-1]])
+        gram = np.empty(len(ids), np.int64)
+        gram[order] = np.cumsum(new) - 1
+        key = key[new]
+        yield by[key // width], key % width, gram
+        context, n = np.roll(gram, 1), len(key)
+
+
+def shards_of(hashes: np.ndarray, shards: int) -> np.ndarray:
+    """Shares of the range of hashes."""
+    return ((hashes >> np.uint64(40)).astype(np.int64) * shards) >> 24
+
+
+def cuts(values: np.ndarray) -> np.ndarray:
+    """Where runs of equal values begin, and the end."""
+    return np.concatenate([[0], np.nonzero(values[1:] != values[:-1])[0] + 1, [len(values)]])
+
+
+def _batch(size: int, **cols) -> pa.RecordBatch:
+    whole = {f.name: pa.nulls(size, f.type) for f in BLOCK_ARROW}
+    whole |= {k: v if isinstance(v, pa.Array) else pa.array(v, BLOCK_ARROW.field(k).type) for k, v in cols.items()}
+    return pa.RecordBatch.from_arrays(list(whole.values()), schema=BLOCK_ARROW)
+
+
+def _block_rows(shards: int, tokens: int):
+    """Documents as numbers of a block's own dictionary; that dictionary with the counts of the
+    training documents; and the block's distinct token grams with theirs, by shard of their context."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -137,56 +225,111 @@ def _block_rows(classes: dict[bytes, int]):
         part, serial = TaskContext.get().partitionId(), itertools.count()
 
         def fresh():
-            return (part << 24) + next(serial), Numbers(classes), [], [], 0
-
-        def dictionary() -> pa.RecordBatch:
-            pair, back = np.unique(np.concatenate(pairs), return_inverse=True)
-            n = np.bincount(back, weights=np.concatenate(trained), minlength=len(pair)).astype(np.int64)
-            words = pa.array(list(known), pa.binary()).take(pa.array(pair // width))
-            cols = {f.name: pa.nulls(len(pair), f.type) for f in BLOCK_ARROW}
-            cols |= {
-                "kind": pa.array(np.full(len(pair), PAIR, np.int32)), "block": pa.array(np.full(len(pair), block)),
-                "pair": pa.array(pair), "class": pa.array((pair % width).astype(np.int32)), "word": words, "n": pa.array(n)}
-            return pa.RecordBatch.from_arrays(list(cols.values()), schema=BLOCK_ARROW)
-
-        block, known, pairs, trained, size = fresh()
+            return (part << 24) + next(serial), Numbers(), [], [], 0
+
+        def close() -> Iterator[pa.RecordBatch]:
+            ids = np.concatenate(texts)
+            sizes = np.array([len(t) for t in texts])
+            trained = np.repeat(np.array(trains, np.int64), sizes)
+            words, n = list(known), len(known)
+            hashes = hashed(words)
+            counts = np.bincount(ids, weights=trained, minlength=n).astype(np.int64)
+            for a in range(0, n, WORDS_AT_ONCE):
+                b = min(n, a + WORDS_AT_ONCE)
+                yield _batch(
+                    b - a, kind=np.full(b - a, WORD, np.int32), block=np.full(b - a, block), number=np.arange(a, b), payload=words[a:b],
+                    n=counts[a:b])
+            del words
+            known.clear()  # the numbers suffice from here on
+            texts.clear()
+            contexts = np.append(hashes, np.uint64(1))
+            grams = token_grams(ids, np.cumsum(sizes) - sizes, n, lambda _: shards_of(contexts, shards), tokens)
+            for k, (context, last, gram) in enumerate(grams):
+                counts = np.bincount(gram, weights=trained, minlength=len(last)).astype(np.int64)
+                shard, before = shards_of(contexts, shards), contexts[context]
+                yield _batch(1, kind=[SHARDS], block=[block], level=[k + 2], payload=[squeezed(shard)])
+                shard, contexts = shard[context], np.append(mixed(before, hashes[last]), np.uint64(k + 2))
+                rows, held = [], 0
+                at = cuts(shard)
+                for a, b in zip(at[:-1].tolist(), at[1:].tolist()):
+                    run_at = cuts(context[a:b])
+                    distinct, place = np.unique(last[a:b], return_inverse=True)
+                    rows.append((int(shard[a]), a, joined([
+                        six(before[a:b][run_at[:-1]]), squeezed(np.diff(run_at)), six(hashes[distinct]), squeezed(place), squeezed(counts[a:b])])))
+                    held += b - a
+                    if held > CHUNK_GRAMS or b == len(last):
+                        m, c = len(rows), dict(zip(("shard", "number", "payload"), zip(*rows)))
+                        yield _batch(m, kind=[GRAM] * m, block=[block] * m, level=[k + 2] * m, **c)
+                        rows, held = [], 0
+
+        block, known, texts, trains, size = fresh()
         for batch in batches:
             for rows in byte_slices(batch, "text"):
                 data, offsets = texts_of(rows, "text")
                 raw = data.tobytes()
-                out = []
+                n = len(rows)
                 for i, held_out in enumerate(rows.column(2).to_pylist()):
                     words = tokens_of(raw[offsets[i]:offsets[i + 1]])
-                    ids = np.fromiter(map(known.__getitem__, words), np.int64, len(words))
-                    mark = np.fromiter(map(known.marks.__getitem__, ids.tolist()), np.int64, len(ids))
-                    last = np.maximum.accumulate(np.where(mark > 0, np.arange(len(mark)), 0))
-                    before = np.concatenate([[0], mark[last[:-1]]])
-                    pair, counts = np.unique(ids * width + before, return_counts=True)
-                    pairs.append(pair)
-                    trained.append(counts * (not held_out))
-                    out.append((len(words), planes(np.diff(pair, prepend=0)), planes(counts)))
-                n = len(out)
-                c = list(zip(*out))
-                cols = {f.name: pa.nulls(n, f.type) for f in BLOCK_ARROW}
-                cols |= {
-                    "kind": pa.array([DOCUMENT] * n, pa.int32()), "block": pa.array([block] * n, pa.int64()), "k_id": rows.column(0),
-                    "k_row": rows.column(1), "held_out": rows.column(2), "n_tokens": pa.array(c[0], pa.int64()),
-                    "tokens": pa.array(c[1], pa.binary()), "counts": pa.array(c[2], pa.binary())}
-                yield pa.RecordBatch.from_arrays(list(cols.values()), schema=BLOCK_ARROW)
+                    texts.append(np.fromiter(map(known.__getitem__, words), np.int32, len(words)))
+                    trains.append(not held_out)
+                yield _batch(
+                    n, kind=[DOCUMENT] * n, block=[block] * n, k_id=rows.column(0), k_row=rows.column(1), held_out=rows.column(2),
+                    n=[len(t) for t in texts[-n:]], payload=[planes(t) for t in texts[-n:]])
                 size += len(raw) + 16 * n
                 if size > BLOCK_BYTES:
-                    yield dictionary()
-                    block, known, pairs, trained, size = fresh()
-        if pairs:
-            yield dictionary()
+                    yield from close()
+                    block, known, texts, trains, size = fresh()
+        if texts:
+            yield from close()
 
     return run
 
 
+ANSWERS = "block long, level int, number long, payload binary"  # codes and books of probabilities and backoffs
+
+
+def token_level(key: tuple, rows: pa.Table) -> pa.Table:
+    """The trie's level of a shard of contexts, and what it says of the grams each block asks for.
+
+    Counts are added up a few chunks at a time, so that a frequent context costs its distinct words
+    and not its occurrences.
+    """
+    c = dict(zip(GRAM_PARTS, zip(*[parted(x.as_py(), len(GRAM_PARTS)) for x in rows.column("payload")])))
+    contexts = np.unique(unsix(b"".join(c["contexts"])))
+    words = np.unique(unsix(b"".join(c["words"])))
+    width = len(words)
+
+    def places(i: int) -> tuple[np.ndarray, np.ndarray]:
+        context = np.searchsorted(contexts, unsix(c["contexts"][i]))
+        return context, np.repeat(context, unsqueezed(c["runs"][i])) * width + np.searchsorted(words, unsix(c["words"][i]))[unsqueezed(c["at"][i])]
+
+    keys, counts, held = [np.zeros(0, np.int64)], [np.zeros(0)], 0
+    for i in range(len(rows)):
+        n = unsqueezed(c["counts"][i])
+        seen = n > 0
+        keys.append(places(i)[1][seen])
+        counts.append(n[seen].astype(float))
+        held += len(keys[-1])
+        if i == len(rows) - 1 or held > max(CHUNK_GRAMS, 2 * len(keys[0])):
+            every, n = np.concatenate(keys), np.concatenate(counts)
+            order = np.argsort(every)
+            every = every[order]
+            at = cuts(every)[:-1] if len(every) else np.zeros(0, np.int64)
+            keys, counts, held = [every[at]], [np.add.reduceat(n[order], at) if len(at) else n], 0
+    level = TokenLevel.build(keys[0], counts[0], len(contexts), width)
+    books = [x.book.astype("<f4").tobytes() for x in (level.logp, level.backoff)]
+    said = []
+    for i in range(len(rows)):
+        context, key_of = places(i)
+        said.append(joined([level.find(key_of).tobytes(), level.backoff.codes[context].tobytes(), *books]))
+    return pa.table({
+        "block": rows.column("block"), "level": rows.column("level"), "number": rows.column("number"), "payload": pa.array(said, pa.binary())})
+
+
 def _grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Counts of packed grams of the words behind their classes, by length."""
+    """Counts of packed byte grams of the words, by length."""
     for batch in word_batches(batches):
-        for k, (gram, n) in enumerate(gram_counts(*[c.to_pylist() for c in batch.columns])):
+        for k, (gram, n) in enumerate(gram_counts(batch.column(0).to_pylist())):
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.full(len(gram), k + 1, np.int32)), pa.array(gram), pa.array(n.astype(np.int64))], names=["size", "gram", "n"])
 
@@ -212,47 +355,46 @@ def word_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 @dataclass
 class Model:
-    """Counts of the tokens of all documents (written), and the trie that backs them."""
+    """Counts of the tokens of all documents (written), what the trie of token grams says of each
+    block's grams (written), and the byte trie behind the words."""
 
     blocks: DataFrame
-    pairs: DataFrame  # word, class, c2 (count of the pair), c1 (of the word)
+    grams: DataFrame  # see ANSWERS
+    words: DataFrame  # word, c1
     train_tokens: int  # N
     distinct: int  # V
-    by_class: np.ndarray  # tokens and distinct words behind each class
     trie: str | None  # name of the file that every executor holds
+    tokens: int = TOKENS  # the longest gram of tokens
 
 
-def train(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: str = "text", order: int = ORDER) -> Model:
-    """Count the training documents' tokens and build the trie of their words' byte grams.
+def train(
+    docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: str = "text", order: int = ORDER, tokens: int = TOKENS,
+) -> Model:
+    """Count the training documents' tokens and their grams of up to `tokens`, and build both tries.
 
-    Every document becomes numbers of its block's dictionary, which holds each word with the class
-    it stands behind. The dictionaries give the corpus counts. The trie counts the grams of each
-    distinct training pair once and holds all of them up to `order`, so it grows with the distinct
-    words. Known cost: its levels pass through the driver (`build_trie`).
+    Every document becomes numbers of its block's dictionary. A block passes on each of its distinct
+    token grams once, with its count; the grams meet by shard of their context, where they become a level
+    of the trie and are looked up for the blocks. The number of shards grows with the text. The byte
+    trie counts the grams of each distinct training word once and holds all of them up to `order`,
+    so it grows with the distinct words. Known cost: its levels pass through the driver (`build_trie`).
     """
     spark = docs.sparkSession
     prepare(spark)
     source = docs.select(*row_key(id_col, text_col), F.coalesce(held_out, F.lit(False)).alias("held_out"), F.col(text_col).alias("text"))
-    classes = learn_classes(source.filter("not held_out").select("text"))
-    blocks = write_stage(source.mapInArrow(_block_rows(classes), BLOCKS), "blocks", "kind")
-    # One shuffle, by word, serves both counts and the join that puts them side by side. A word has
-    # one row per block and class at most, so none is hot.
-    pairs = blocks.filter(F.col("kind") == PAIR).select("word", "class", "n").repartition("word")
-    pairs = pairs.groupBy("word", "class").agg(F.sum("n").alias("c2"))
-    words = pairs.groupBy("word").agg(F.sum("c2").alias("c1"))
-    pairs = write_stage(pairs.join(words.hint("shuffle_hash"), "word").select("word", "class", "c2", "c1"), "counts")
-    figures = pairs.groupBy("class").agg(F.sum("c2").alias("n"), F.sum((F.col("c2") > 0).cast("long")).alias("v")).collect()
-    by_class = np.zeros((CLASSES + 1, 2))
-    for r in figures:
-        by_class[r["class"]] = r["n"], r["v"]
-    total = int(by_class[:, 0].sum())
-    distinct = pairs.filter("c1 > 0").agg(F.count_distinct("word")).first()[0]
+    size = source.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    blocks = write_stage(source.mapInArrow(_block_rows(1 + size // SHARD_BYTES, tokens), BLOCKS), "blocks", "kind")
+    grams = blocks.filter(F.col("kind") == GRAM).select("block", "level", "shard", "number", "payload")
+    grams = write_stage(grams.groupBy("level", "shard").applyInArrow(token_level, ANSWERS), "token-grams")
+    discard(spark, f"{blocks.stage_path}/kind={GRAM}")
+    words = blocks.filter(F.col("kind") == WORD).groupBy(F.col("payload").alias("word")).agg(F.sum("n").alias("c1"))
+    words = write_stage(words, "counts")
+    total, distinct = words.agg(F.coalesce(F.sum("c1"), F.lit(0)), F.count_if(F.col("c1") > 0)).first()
     name = None
     if total:
-        grams = pairs.filter("c2 > 0").select("word", "class").mapInArrow(_grams, "size int, gram long, n long")
-        grams = write_stage(grams.filter(F.col("size") <= order).groupBy("size", "gram").agg(F.sum("n").alias("n")), "grams")
-        name = share(spark, build_trie(grams, order).dump())
-    return Model(blocks, pairs, total, int(distinct), by_class, name)
+        spelt = words.filter("c1 > 0").select("word").mapInArrow(_grams, "size int, gram long, n long")
+        spelt = write_stage(spelt.filter(F.col("size") <= order).groupBy("size", "gram").agg(F.sum("n").alias("n")), "grams")
+        name = share(spark, build_trie(spelt, order).dump())
+    return Model(blocks, grams, words, int(total), int(distinct), name, tokens)
 
 
 def build_trie(grams: DataFrame, order: int) -> Trie:
@@ -279,32 +421,24 @@ def share(spark: SparkSession, data: bytes) -> str:
     return os.path.basename(path)
 
 
-def pair_scores(model: Model) -> DataFrame:
-    """(word, class, c1, logp): the word's training count and its log10 probability behind the class.
+def word_scores(model: Model) -> DataFrame:
+    """(word, c1, logp): the word's training count and its log10 probability without context.
 
-    Absolute discounts at two levels: P1 = (max(c1 - d, 0) + d V trie(word | class)) / N, and
-    P2 = (max(c2 - d, 0) + d V2 P1) / N2 with the class's own tokens N2 and distinct words V2 (P1
-    alone behind a class without tokens). Each sums to one. The end token is the empty word.
+    Absolute discount: P1 = (max(c1 - d, 0) + d V trie(word)) / N. The end token is the empty word.
     """
-    n, v, by_class, name = float(model.train_tokens), float(model.distinct), model.by_class, model.trie
+    n, v, name = float(model.train_tokens), float(model.distinct), model.trie
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trie = Trie.open(SparkFiles.get(name))
         for batch in word_batches(batches):
-            kind = batch.column(1).to_numpy()
-            spelling = trie.score(batch.column(0).to_pylist(), kind.tolist())
-            c2, c1 = batch.column(2).to_numpy(), batch.column(3).to_numpy()
-            n2, v2 = by_class[kind].T
-            share1, share2 = np.log10(DISCOUNT * v / n), np.log10(np.where(n2 > 0, DISCOUNT * v2 / np.maximum(n2, 1), 1))
+            spelling = trie.score(batch.column(0).to_pylist())
+            c1 = batch.column(1).to_numpy()
             # Logarithms, as a long unknown word is under the range of doubles.
-            plain1 = np.where(c1 > 0, np.log10(np.maximum(c1 - DISCOUNT, 1e-9) / n), -np.inf)
-            p1 = np.logaddexp(plain1 * LN10, (share1 + spelling) * LN10) / LN10
-            plain2 = np.where(c2 > 0, np.log10(np.maximum(c2 - DISCOUNT, 1e-9) / np.maximum(n2, 1)), -np.inf)
-            p2 = np.logaddexp(plain2 * LN10, (share2 + p1) * LN10) / LN10
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), batch.column(3), pa.array(p2)], names=["word", "class", "c1", "logp"])
+            plain = np.where(c1 > 0, np.log10(np.maximum(c1 - DISCOUNT, 1e-9) / n), -np.inf)
+            p1 = np.logaddexp(plain * LN10, (np.log10(DISCOUNT * v / n) + spelling) * LN10) / LN10
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(p1)], names=["word", "c1", "p1"])
 
-    return model.pairs.mapInArrow(run, "word binary, class int, c1 long, logp double")
+    return model.words.mapInArrow(run, "word binary, c1 long, p1 double")
 
 
 SCORES = (
@@ -317,38 +451,56 @@ def score(model: Model) -> DataFrame:
     base_score, score.
 
     Tokens are the words between ASCII white space, A-Z lower-cased, and one end. base_score sums
-    log10((c + 0.5) / (N + 0.5 (V + 1))), score the model's log10 probabilities. Null and empty
+    log10((c + 0.5) / (N + 0.5 (V + 1))), score the model's log10 probabilities: of a token behind
+    the one before it, P2 = (c2 - d) / c(context) + backoff(context) P1, likewise from P2 on in longer
+    contexts; P1 is that of the word alone (`word_scores`); a context that training lacks passes the shorter one's on. Null and empty
     texts are the end alone. Held-out conditions that are null count as false; repeated rows agree;
     other columns are ignored; an empty table gives no rows. Without training documents the score
     is the base.
 
     Words meet their scores by one join, per block and not per occurrence; a block then finds its
-    documents again by number.
+    documents' words and grams again by number.
     """
-    n, v = model.train_tokens, model.distinct
+    n, v, tokens = model.train_tokens, model.distinct, model.tokens
     base = np.log10(n + 0.5 * (v + 1))
-    plain = model.pairs.select("word", "class", "c1", F.lit(float(np.log10(0.5) - base)).alias("logp"))
-    found = write_stage(pair_scores(model) if model.trie else plain, "pair-scores")
-    asked = model.blocks.filter(F.col("kind") == PAIR).select(F.col("block").alias("in_block"), "pair", "word", "class")
+    plain = model.words.select("word", "c1", F.lit(float(np.log10(0.5) - base)).alias("p1"))
+    found = write_stage(word_scores(model) if model.trie else plain, "word-scores")
+    asked = model.blocks.filter(F.col("kind") == WORD).select(F.col("block").alias("in_block"), "number", F.col("payload").alias("word"))
     # Keys are unique on the hashed side, so its partitions are even; no sort of the words.
-    values = asked.join(found.hint("shuffle_hash"), ["word", "class"]).select("in_block", "pair", "c1", "logp")
-    documents = model.blocks.filter(F.col("kind") == DOCUMENT).select("block", "k_id", "k_row", "held_out", "n_tokens", "tokens", "counts")
-
-    def meet(docs: pa.Table, words: pa.Table) -> pa.Table:
-        pair = words.column("pair").to_numpy()
-        order = np.argsort(pair)
-        pair = pair[order]
-        c1, logp = words.column("c1").to_numpy()[order], words.column("logp").to_numpy()[order]
+    values = asked.join(found.hint("shuffle_hash"), "word").select("in_block", "number", "c1", "p1")
+    values = values.unionByName(model.grams.withColumnRenamed("block", "in_block"), allowMissingColumns=True)
+    documents = model.blocks.filter(F.col("kind").isin(DOCUMENT, SHARDS)).select("block", "level", "k_id", "k_row", "held_out", "n", "payload")
+
+    def meet(docs: pa.Table, values: pa.Table) -> pa.Table:
+        words = values.filter(pc.is_null(values.column("level")))
+        order = np.argsort(words.column("number").to_numpy())
+        c1, p1 = (words.column(x).to_numpy()[order] for x in ("c1", "p1"))
+        grams = values.filter(pc.is_valid(values.column("level"))).sort_by("number")
+        shards = docs.filter(pc.is_valid(docs.column("level")))
+        shards = dict(zip(shards.column("level").to_pylist(), shards.column("payload").to_pylist()))
+        docs = docs.filter(pc.is_null(docs.column("level")))
+        ids = np.concatenate([unplaned(t.as_py()) for t in docs.column("payload")])
+        sizes = docs.column("n").to_numpy()
+        starts = np.cumsum(sizes) - sizes
         plain, known = np.log10(c1 + 0.5) - base, (c1 > 0).astype(np.int64)
-        rows = []
-        for tokens, counts in zip(docs.column("tokens").to_pylist(), docs.column("counts").to_pylist()):
-            at, times = np.searchsorted(pair, np.cumsum(unplaned(tokens))), unplaned(counts)
-            rows.append((int(times @ known[at]), float(times @ plain[at]), float(times @ logp[at])))
-        c = list(zip(*rows)) if rows else [[], [], []]
+        logp = p1[ids]
+        for k, (context, last, gram) in enumerate(token_grams(ids, starts, len(c1), lambda length: unsqueezed(shards[length]), tokens)):
+            share, found, weight = [], [], []
+            for raw in grams.filter(pc.equal(grams.column("level"), k + 2)).column("payload"):
+                code, back, p_book, b_book = [np.frombuffer(x, t) for x, t in zip(parted(raw.as_py(), 4), ("u1", "u1", "<f4", "<f4"))]
+                found.append(code != TokenLevel.ABSENT)
+                share.append(p_book.astype(float)[np.minimum(code, len(p_book) - 1)])
+                weight.append(b_book.astype(float)[back])
+            found, share = np.concatenate(found), np.concatenate(share)
+            at = np.empty(len(last), np.int64)
+            at[gram] = np.arange(len(gram))
+            lower = np.repeat(np.concatenate(weight), np.diff(cuts(context))) + logp[at]
+            lower[found] = np.minimum(np.logaddexp(share[found] * LN10, lower[found] * LN10) / LN10, 0.0)
+            logp = lower[gram]
         return pa.table({
-            "k_id": docs.column("k_id"), "k_row": docs.column("k_row"), "held_out": docs.column("held_out"), "n_tokens": docs.column("n_tokens"),
-            "n_known": pa.array(c[0], pa.int64()), "train_tokens": pa.array([n] * len(rows), pa.int64()),
-            "base_score": pa.array(c[1], pa.float64()), "score": pa.array(c[2], pa.float64())})
+            "k_id": docs.column("k_id"), "k_row": docs.column("k_row"), "held_out": docs.column("held_out"), "n_tokens": docs.column("n"),
+            "n_known": pa.array(np.add.reduceat(known[ids], starts)), "train_tokens": pa.array(np.full(len(docs), n, np.int64)),
+            "base_score": pa.array(np.add.reduceat(plain[ids], starts)), "score": pa.array(np.add.reduceat(logp, starts))})
 
     return documents.groupBy("block").cogroup(values.groupBy("in_block")).applyInArrow(meet, SCORES)
 

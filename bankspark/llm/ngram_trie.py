@@ -68,10 +68,10 @@ class Quantised:
         self.codes, self.book = codes, book
 
     @classmethod
-    def of(cls, values: np.ndarray) -> "Quantised":
+    def of(cls, values: np.ndarray, codes: int = CODES) -> "Quantised":
         distinct = np.unique(values)
-        if len(distinct) > CODES:
-            distinct = np.quantile(values, (np.arange(CODES) + 0.5) / CODES)
+        if len(distinct) > codes:
+            distinct = np.quantile(values, (np.arange(codes) + 0.5) / codes)
         middle = (distinct[1:] + distinct[:-1]) / 2
         return cls(np.searchsorted(middle, values).astype(np.uint8), distinct.astype(np.float64))
 
@@ -79,6 +79,47 @@ class Quantised:
         return self.book[self.codes[i]]
 
 
+class TokenLevel:
+    """One level of a trie over tokens: contexts, and behind each the words seen there.
+
+    Contexts and words are numbers from 0. A context's words are a stretch of the level, found by a
+    monotone pointer; word w behind context c is the number c x width + w, so that the level is one
+    monotone sequence as well. Each has the discounted log10 share of its context in one byte, and each
+    context the log10 weight of the next shorter one.
+    """
+
+    ABSENT = CODES - 1
+
+    def __init__(self, pointers: EliasFano, words: EliasFano, logp: Quantised, backoff: Quantised, width: int):
+        self.pointers, self.words, self.logp, self.backoff, self.width = pointers, words, logp, backoff, width
+
+    @classmethod
+    def build(cls, keys: np.ndarray, counts: np.ndarray, contexts: int, width: int) -> "TokenLevel":
+        """keys: sorted distinct c x width + w, with counts above 0."""
+        context = keys // width
+        mass = np.bincount(context, weights=counts, minlength=contexts)
+        kinds = np.bincount(context, minlength=contexts)
+        weight = np.where(mass > 0, DISCOUNT * kinds / np.maximum(mass, 1), 1.0)
+        logp = np.log10((counts - DISCOUNT) / mass[context])
+        return cls(
+            EliasFano.of(np.concatenate([[0], np.cumsum(kinds)])), EliasFano.of(keys),
+            Quantised.of(logp, cls.ABSENT) if len(keys) else Quantised(np.zeros(0, np.uint8), np.zeros(1)),
+            Quantised.of(np.log10(weight)), width)
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """The probability code of each c x width + w, or ABSENT."""
+        out = np.full(len(keys), self.ABSENT, np.uint8)
+        if self.words.n and len(keys):
+            at = np.minimum(np.searchsorted(self.stored, keys), self.words.n - 1)
+            out = np.where(self.stored[at] == keys, self.logp.codes[at], out)
+        return out
+
+    @property
+    def stored(self) -> np.ndarray:
+        """The sequence of words written out, as many are looked up at once."""
+        if not hasattr(self, "_stored"):
+            self._stored = self.words[np.arange(self.words.n)]
+        return self._stored
 
 
 def probabilities(grams: list[np.ndarray], counts: list[np.ndarray]) -> tuple[list[np.ndarray], list[np.ndarray], np.ndarray, float]:

@@ -4,6 +4,7 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark import SparkFiles
 from pyspark.sql import functions as F
@@ -135,3 +136,70 @@ def test_trie_keeps_its_order_whatever_its_size(spark):
     caps = {k: 10 for k in inspect.signature(lm.train).parameters if k == "max_grams"}
     model = lm.train(docs_frame(spark, similar_docs(40)), F.lit(False), **caps)
     assert Trie.open(SparkFiles.get(model.trie)).order == ORDER
+
+
+def brute_lm(rows, tokens, d=0.75):
+    """Scores of whole texts by dictionaries of token n-grams, unquantised."""
+    texts = [(t or "").encode().lower().split() + [b""] for _, t in rows]
+    train = [t for (i, _), t in zip(rows, texts) if remainder(i, 5) != 1]
+    c1 = Counter(w for t in train for w in t)
+    n, kinds = sum(c1.values()), {w: brute_score(sorted(c1), w) for w in {w for t in texts for w in t}}
+    c, mass, after = Counter(), Counter(), Counter()
+    for (i, _), t in zip(rows, texts):
+        if remainder(i, 5) != 1:
+            for j in range(len(t)):
+                for k in range(2, tokens + 1):
+                    c[k, context(t, j, k), t[j]] += 1
+    for (k, x, _), m in c.items():
+        mass[k, x] += m
+        after[k, x] += 1
+
+    def p(t, j, k):
+        if k == 1:
+            return (max(c1[t[j]] - d, 0) + d * len(c1) * 10 ** kinds[t[j]]) / n
+        x = context(t, j, k)
+        lower = p(t, j, k - 1)
+        return max(c[k, x, t[j]] - d, 0) / mass[k, x] + d * after[k, x] / mass[k, x] * lower if mass[k, x] else lower
+
+    return {i: sum(math.log10(p(t, j, tokens)) for j in range(len(t))) for (i, _), t in zip(rows, texts)}
+
+
+def context(t, j, k):
+    """The k - 1 tokens before position j; what precedes a text is one token."""
+    return ("<s>", *t[:j]) if j < k - 1 else tuple(t[j - k + 1:j])
+
+
+@pytest.mark.parametrize("tokens", [2, 3])
+def test_score_is_that_of_token_grams(spark, monkeypatch, tokens):
+    """All n-grams of tokens of all training documents, over several blocks and shards."""
+    monkeypatch.setattr(lm, "BLOCK_BYTES", 3000)
+    monkeypatch.setattr(lm, "SHARD_BYTES", 4000)
+    rows = similar_docs(30) + [(901, None), (902, "th th th"), (903, "zz qq")]
+    model = lm.train(docs_frame(spark, rows), id_remainder("doc_id", 5) == 1, tokens=tokens)
+    want = brute_lm(rows, tokens)
+    got = {r.k_id: r.score for r in lm.score(model).collect()}
+    assert got.keys() == want.keys()
+    assert all(abs(got[i] - want[i]) < 0.02 * abs(want[i]) + 0.05 for i in want)
+
+
+def test_order_of_words_counts(spark):
+    """A text seen in training scores higher than its words in another order, whatever words they are."""
+    words = [f"w{i}" for i in range(40)]
+    rows = [(i, " ".join(words)) for i in range(20) if remainder(i, 5) != 1]
+    model = lm.train(docs_frame(spark, [*rows, (100, " ".join(words[::-1]))]), F.col("doc_id") == 100)
+    got = {r.k_id: r.score for r in lm.score(model).collect()}
+    assert all(got[i] > -2 for i, _ in rows) and got[100] < -40
+
+
+def test_a_level_is_built_from_chunks_of_any_number(monkeypatch):
+    """Counts of a shard are the same, added up at once or few at a time."""
+    rnd = np.random.default_rng(3)
+    rows = []
+    for block in range(6):
+        runs, at = np.array([2, 3]), np.array([0, 1, 0, 1, 2])
+        parts = [lm.six(np.array([7, 9], np.uint64)), lm.squeezed(runs), lm.six(np.array([4, 5, 6], np.uint64)), lm.squeezed(at), lm.squeezed(rnd.integers(0, 5, 5))]
+        rows.append({"block": block, "level": 2, "number": 0, "payload": lm.joined(parts)})
+    table = pa.Table.from_pylist(rows)
+    whole = lm.token_level((2, 0), table)
+    monkeypatch.setattr(lm, "CHUNK_GRAMS", 1)
+    assert lm.token_level((2, 0), table).equals(whole)
