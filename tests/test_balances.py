@@ -3,6 +3,7 @@ from decimal import Decimal as D
 
 from pyspark.sql import functions as F
 
+from bankspark.checks import marts
 from bankspark.config import Params
 from bankspark.functions.cleanse import surrogate_key
 from bankspark.plans import balances
@@ -37,6 +38,28 @@ def test_a_stored_month_of_a_loan_takes_few_bytes(spark, tmp_path):
     assert bag(held.select("loan_id", "loan_sk").distinct()) == bag(mixed.select("loan_id", "loan_sk"))
 
 
+def test_the_months_of_a_loan_meet_without_a_shuffle(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(balances, "ROWS_PER_TASK", 5000)
+    loans = book(spark)
+    folded = marts._per_loan(balances.load_balances(spark, str(tmp_path / "t"), loans, P))
+    shown = final_plan(folded)
+    assert "Bucketed: true" in shown and "Exchange" not in shown
+    daily = loan_balances_daily(loans, P)
+    day, balance = F.col("balance_date"), F.col("outstanding_balance")
+    want = daily.groupBy("loan_id", "loan_type").agg(
+        F.count("*"), F.count(balance), F.min(day), F.max(day), F.sum(balance),
+        F.sum((balance * 100).cast("bigint") % 1000003 * (F.date_diff(day, F.lit("1990-01-01").cast("date")) % 10007)))
+    assert bag(folded) == bag(want)
+
+
+def test_sums_of_the_greatest_balances_are_exact(spark, tmp_path):
+    amount, emi = D("9999999999999999.99"), D("10000000000.00")
+    loans = frame(spark, LOANS, ("s1", "l1", "AUTO", "c", amount, emi, date(2023, 1, 1)), ("s2", "l2", "AUTO", "c", amount, None, date(2023, 1, 1)))
+    got = marts._per_loan(balances.load_balances(spark, str(tmp_path / "t"), loans, P))
+    want = loan_balances_daily(loans, P).groupBy("loan_id").agg(F.sum("outstanding_balance"))
+    assert bag(got, "loan_id", "outstanding_usd") == bag(want)
+
+
 def test_a_table_without_buckets_is_brought_into_them(spark, tmp_path):
     """Its months stay as they are, even where the loans would give others now."""
     path, old = str(tmp_path / "t"), book(spark, 200, own_key=True)
