@@ -71,3 +71,21 @@ def test_a_table_without_buckets_is_brought_into_them(spark, tmp_path):
     want = loan_balances_daily(old, p).filter(F.col("balance_month") < march).union(loan_balances_daily(changed, P, march))
     assert bag(daily_balances(held), *DAYS) == bag(want, *DAYS)
     assert balances.stored_months(spark, path)[-1] == date(2024, 4, 1)
+
+
+def test_a_backfill_writes_a_few_months_at_once(spark, tmp_path, monkeypatch):
+    """So that not all the months it replaces lie beside the new ones until it ends."""
+    monkeypatch.setattr(balances, "MONTHS_AT_ONCE", 2)
+    path, old, written = str(tmp_path / "t"), book(spark, 200, own_key=True), []
+    p = Params(as_of=datetime(2024, 2, 10))
+    balances.load_balances(spark, path, old.filter("loan_id != 'L000003'"), p)
+    make = balances.stored_rows
+    monkeypatch.setattr(balances, "stored_rows", lambda loans, p, since, n=None: written.append((since, p.as_of_date)) or make(loans, p, since, n))
+    held = balances.load_balances(spark, path, old, P, backfill_from=date(2023, 9, 5))
+    spans = sorted(set(written) - {(date(2023, 9, 5), P.as_of_date)})
+    assert spans == [(date(2023, 9, 5), date(2023, 10, 31)), (date(2023, 11, 1), date(2023, 12, 31)), (date(2024, 1, 1), P.as_of_date)]
+    want = loan_balances_daily(old, P).filter("loan_id != 'L000003' or balance_month >= '2023-09-01'")
+    assert bag(daily_balances(held), *DAYS) == bag(want, *DAYS)
+    # Up to an earlier day than the table reaches, the months behind it go.
+    held = balances.load_balances(spark, path, old, p, backfill_from=date(2023, 9, 5))
+    assert bag(daily_balances(held), *DAYS) == bag(want.filter("balance_date <= '2024-02-10'"), *DAYS)
